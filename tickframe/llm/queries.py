@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickframe.llm.fmindex import decontaminate
+from tickframe.llm.linededup import dedup_lines
 from tickframe.llm.lsm import exact_dedup
+from tickframe.llm.packing import pack_documents
+from tickframe.llm.toxicity import score_toxicity
 from tickframe.llm.urlfilter import apply_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +24,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = Path(vocabulary_path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer)
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -33,6 +64,16 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)
 """
 
+OP8_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+     k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+     g AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+     m AS (SELECT k.*, g.last IS NOT NULL AND k.doc_id <> g.last AS gone FROM k LEFT JOIN g USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 OP9_SQL = r"""
 WITH p AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
      q AS (SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -43,5 +84,12 @@ WITH p AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url
 SELECT page_id, url, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
 """
 
-QUERIES: dict[str, Query] = {"op6_exact_dedup": op6_exact_dedup, "op9_url_filter": op9_url_filter}
-ORACLES: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op9_url_filter": OP9_SQL}
+QUERIES: dict[str, Query] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op4_toxicity": op4_toxicity,
+    "op5_pack": op5_pack,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_url_filter": op9_url_filter,
+}
+ORACLES: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL}
