@@ -12,6 +12,7 @@ from tickframe.llm.fmindex import decontaminate
 from tickframe.llm.linededup import dedup_lines
 from tickframe.llm.lsm import exact_dedup
 from tickframe.llm.packing import pack_documents
+from tickframe.llm.paritysketch import near_duplicates
 from tickframe.llm.toxicity import score_toxicity
 from tickframe.llm.urlfilter import apply_rules
 
@@ -35,6 +36,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
@@ -86,6 +91,7 @@ SELECT page_id, url, host, path, rule, coalesce(verdict, 'allow') AS verdict FRO
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_toxicity": op4_toxicity,
     "op5_pack": op5_pack,
     "op6_exact_dedup": op6_exact_dedup,
