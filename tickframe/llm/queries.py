@@ -13,6 +13,7 @@ from tickframe.llm.linededup import dedup_lines
 from tickframe.llm.lsm import exact_dedup
 from tickframe.llm.packing import pack_documents
 from tickframe.llm.paritysketch import near_duplicates
+from tickframe.llm.suffixdedup import remove_repeats
 from tickframe.llm.toxicity import score_toxicity
 from tickframe.llm.urlfilter import apply_rules
 
@@ -36,6 +37,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,7 @@ SELECT page_id, url, host, path, rule, coalesce(verdict, 'allow') AS verdict FRO
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_toxicity": op4_toxicity,
     "op5_pack": op5_pack,
