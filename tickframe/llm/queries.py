@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.llm.fmindex import decontaminate
+from tickframe.llm.latticelm import score_documents
 from tickframe.llm.linededup import dedup_lines
 from tickframe.llm.lsm import exact_dedup
 from tickframe.llm.packing import pack_documents
@@ -54,6 +55,10 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_pack": op5_pack,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_lm_score": op7_lm_score,
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
 }
