@@ -14,6 +14,7 @@ from tickframe.llm.linededup import dedup_lines
 from tickframe.llm.lsm import exact_dedup
 from tickframe.llm.packing import pack_documents
 from tickframe.llm.paritysketch import near_duplicates
+from tickframe.llm.pii import find_personal_data
 from tickframe.llm.suffixdedup import remove_repeats
 from tickframe.llm.toxicity import score_toxicity
 from tickframe.llm.urlfilter import apply_rules
@@ -73,6 +74,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "pages"), rules)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents")).drop("span_list")
+
+
 OP6_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
      g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
@@ -109,5 +114,6 @@ QUERIES: dict[str, Query] = {
     "op7_lm_score": op7_lm_score,
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL}
