@@ -1,10 +1,6 @@
 """Every query of the library by name, with the DuckDB SQL that checks it."""
 
-from __future__ import annotations
+from tickframe.plans import candles, markets  # noqa: F401  registers the queries
+from tickframe.plans.base import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
