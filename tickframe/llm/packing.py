@@ -12,42 +12,131 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.linededup import texts
 from tickframe.llm.storage import materialize
+from tickframe.llm.textbatch import NOT_SPACE, prefix_sums, slices, substring_hash, to_bytes_array, word_spans
 
 CAPACITY = 2048
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+#: Words whose ids a worker remembers, in about 40 bytes each.
+CACHE_WORDS = 1_000_000
+PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 #: Pieces ranked by one task.
 PIECES_A_SALT = 20_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordCache(dict):
-    """Ids of white-space separated words. White space always ends a token of this tokenizer, so words stand alone."""
+class WordIds:
+    """Ids of white-space separated words by word hash, as flat arrays. White space always ends a token, so words stand
+    alone. New words are encoded by the tokenizer: lower-case letters with trailing punctuation are two of its words,
+    which need none of its normalising and splitting rules and are encoded without them, many at once."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE_WORDS:
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.full, self.plain = Tokenizer.from_str(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.full.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.ends_word[number] = token.endswith("</w>")
+        self.tails: dict[str, list[int]] = {"": []}
+        self.trusted = True
+        self.clear()
+
+    def clear(self) -> None:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.levels = [none, none]  # (sorted hashes, place in flat, length): all, and the recent ones
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and length of each hash's ids; length -1 if unknown."""
+        place, length = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1, np.int64)
+        for known, places, lengths in self.levels:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                place[hit], length[hit] = places[at[hit]], lengths[at[hit]]
+        return place, length
+
+    def of(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and length in ``flat`` of every word's ids."""
+        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.levels[0][0]) + len(self.levels[1][0]) + len(unique) > CACHE_WORDS:
             self.clear()
-            new = list(words)
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self[word] = tuple(found.ids)
-
-
-_WORKER: dict[int, WordCache] = {}
+        place, length = self._find(unique)
+        new = np.flatnonzero(length < 0)
+        if len(new):
+            raw = data.tobytes()
+            self._learn(unique[new], [raw[starts[i] : ends[i]].decode() for i in first[new]])
+            place, length = self._find(unique)
+        return place[inverse], length[inverse]
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        found = self._encode(words)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        entry = hashes, self.used + np.cumsum(lengths) - lengths, lengths
+        self.used += len(ids)
+        self.levels[1] = self._merge(self.levels[1], entry)
+        if 8 * len(self.levels[1][0]) > len(self.levels[0][0]):
+            self.levels = [self._merge(*self.levels), tuple(x[:0] for x in entry)]
+
+    @staticmethod
+    def _merge(a: tuple, b: tuple) -> tuple:
+        order = np.argsort(np.concatenate([a[0], b[0]]), kind="stable")
+        return tuple(np.concatenate([x, y])[order] for x, y in zip(a, b, strict=True))
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        found: list[list[int] | None] = [None] * len(words)
+        cores: dict[str, list[int]] = {}
+        split: list[tuple[int, str, str]] = []
+        for i, word in enumerate(words):
+            low = word.lower() if word.isascii() else word.translate(ASCII_LOWER)
+            core = low.rstrip(PUNCTUATION)
+            tail = low[len(core) :]
+            if self.trusted and core.isalpha() and "'" not in tail and (core.isascii() or (core == core.lower() and is_normalized("NFC", core))):
+                split.append((i, core, tail))
+                cores[core] = []
+                if tail not in self.tails:
+                    self.tails[tail] = self.full.encode(tail, add_special_tokens=False).ids
+        self._encode_plain(list(cores), cores)
+        for i, core, tail in split:
+            found[i] = cores[core] + self.tails[tail] if tail else cores[core]
+        if any(found[i] != self.full.encode(words[i], add_special_tokens=False).ids for i, _, _ in split[:: max(1, len(split) // 32)]):
+            self.trusted, found = False, [None] * len(words)  # another kind of tokenizer: encode whole words only
+        rest = [i for i, f in enumerate(found) if f is None]
+        for i, e in zip(rest, self.full.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
+            found[i] = e.ids
+        return found
+
+    def _encode_plain(self, words: list[str], into: dict[str, list[int]]) -> None:
+        runs = [words[i : i + 256] for i in range(0, len(words), 256)]
+        for run, e in zip(runs, self.plain.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False), strict=True):
+            ids = e.ids
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            if len(ends) != len(run):
+                for word, own in zip(run, self.full.encode_batch_fast(run, add_special_tokens=False), strict=True):
+                    into[word] = own.ids
+                continue
+            start = 0
+            for word, end in zip(run, ends, strict=True):
+                into[word] = ids[start:end]
+                start = end
+
+
+_WORKER: dict[int, WordIds] = {}
 
 
 def tokenise(tokenizer, capacity: int, end_id: int):
@@ -58,19 +147,24 @@ def tokenise(tokenizer, capacity: int, end_id: int):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         text_json = tokenizer.value
-        if (cache := _WORKER.get(hash(text_json))) is None:
-            cache = _WORKER[hash(text_json)] = WordCache(text_json)
+        if (words := _WORKER.get(hash(text_json))) is None:
+            words = _WORKER[hash(text_json)] = WordIds(text_json)
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                docs = [t.split() for t in texts(part.column("text"))]
-                cache.learn(set(chain.from_iterable(docs)))
-                for doc_id, words in zip(part.column("doc_id").to_pylist(), docs, strict=True):
-                    ids = np.fromiter(chain(chain.from_iterable(map(cache.__getitem__, words)), (end_id,)), np.dtype("<u4"))
-                    for piece, start in enumerate(range(0, len(ids), capacity)):
-                        cut = ids[start : start + capacity]
-                        for column, value in zip(out, (doc_id, piece, start, len(cut), zlib.crc32(cut.tobytes())), strict=True):
+            doc_ids = batch.column("doc_id").to_pylist()
+            for first, end, data, offsets in slices(*to_bytes_array(batch.column("text"))):
+                starts, ends, before = word_spans(data, offsets, NOT_SPACE)
+                # Special tokens are case-sensitive, all else is not.
+                hashes = substring_hash(prefix_sums(data, fold_case=b"<|" not in data.tobytes()), starts, ends)
+                place, length = words.of(hashes, starts, ends, data)
+                total = np.concatenate([[0], np.cumsum(length)])
+                ids = words.flat[np.arange(total[-1]) + np.repeat(place - total[:-1], length)].astype("<u4")
+                cuts = total[before]
+                for row in range(end - first):
+                    own = np.append(ids[cuts[row] : cuts[row + 1]], np.array([end_id], "<u4")).astype("<u4")
+                    for piece, start in enumerate(range(0, len(own), capacity)):
+                        cut = own[start : start + capacity]
+                        for column, value in zip(out, (doc_ids[first + row], piece, start, len(cut), zlib.crc32(cut.tobytes())), strict=True):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
