@@ -24,6 +24,8 @@ from tickframe.llm.storage import materialize
 #: Fitting reads at most about so many labelled rows, chosen by a hash of the doc_id; counts for the lexicon read all.
 FIT_ROWS = 50_000
 LEXICON_WORDS = 500
+#: Labels are broadcast to the texts if there are at most so many, else joined by shuffle.
+BROADCAST_LABELS = 1_000_000
 #: Second-person words of the corpus languages.
 SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi vous votre du dich dir dein deine ihr euch usted ustedes tú".split())
 #: Characters commonly written for letters.
@@ -116,26 +118,33 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, f
     Returns the rows' columns but the text, with held_out, score (0 to 1, higher: toxic likelier) and predicted (score
     at least ``threshold``). Rows with crc32(doc_id) mod 3 = 1 are never learnt from. Null and empty texts have zero
     features and get a score. Rows without a label are only scored; of repeated labels the highest counts. Without
-    labelled rows of both classes every score is 0. Columns of ``docs`` with the names of added ones are replaced.
+    labelled rows of both classes, to fit and to calibrate on, every score is 0. Columns of ``docs`` with the names of added ones are replaced.
     """
     docs = docs.drop("held_out", "score", "predicted", *FEATURES)
     held = docs.withColumn("held_out", is_held_out())
     truth = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~is_held_out())
     n_labelled = truth.count()
-    labelled = materialize(docs.select("doc_id", "text").join(truth, "doc_id"), "labelled")
+    if n_labelled <= BROADCAST_LABELS:
+        labelled = docs.select("doc_id", "text").join(F.broadcast(truth), "doc_id")
+    else:
+        labelled = materialize(docs.select("doc_id", "text").join(truth, "doc_id"), "labelled")
     others = [c for c in held.columns if c != "text"]
     lexicon = learn_lexicon(labelled)
-    kinds = {r["toxic"] for r in labelled.select("toxic").distinct().collect()}
-    if not {0, 1} <= kinds:
-        return held.select(*others, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    unscored = held.select(*others, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    if not n_labelled:
+        return unscored
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)
     types = ", ".join(f"{f} double" for f in FEATURES)
     share = min(1.0, fit_rows / max(1, n_labelled))
     picked = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     fit = materialize(picked.select("doc_id", "text", F.col("toxic").cast("double").alias("toxic")).mapInArrow(extract(sent), f"doc_id long, toxic double, {types}"), "fit")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0  # a quarter calibrates
+    found = {(r["fold"], r["toxic"]) for r in fit.select(fold.alias("fold"), "toxic").distinct().collect()}
+    if not {(False, 0.0), (False, 1.0), (True, 0.0), (True, 1.0)} <= found:
+        return unscored
     rows = assembler.transform(fit.coalesce(8)).select("doc_id", "toxic", "features")
-    learn, calibrate = rows.where("pmod(xxhash64(doc_id, 7), 4) <> 0").cache(), rows.where("pmod(xxhash64(doc_id, 7), 4) = 0")
+    learn, calibrate = rows.where(~fold).cache(), rows.where(fold)
     trees_model = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=trees, maxDepth=3, stepSize=0.2, seed=17, minInstancesPerNode=5).fit(learn)
     raw = lambda df: trees_model.transform(df).withColumn("raw", vector_to_array("probability")[1])
     isotonic = IsotonicRegression(labelCol="toxic", featuresCol="raw").fit(raw(calibrate).select("raw", "toxic"))
