@@ -17,14 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.components import connected_components
-from tickframe.llm.storage import bucket_count, corpus_size, materialize
+from tickframe.llm.storage import bucket_count, corpus_size, in_small_batches, materialize
 from tickframe.llm.textbatch import NOT_SPACE, U64, mix, pack_planes, prefix_sums, slices, substring_hash, to_bytes_array, unpack_planes, word_spans
 
 SHINGLE = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 KEYS_A_FLUSH = 1 << 21
-SKETCH_BITS = 1024
+#: Logarithms of the fewest and most bits of a parity sketch, and the bytes of one within a group.
+LEAST_BITS, MOST_BITS, GROUP_BYTES = 6, 14, 128
 #: Ids of documents in candidate pairs are broadcast, to filter the read of their texts, if there are at most so many.
 BROADCAST_IDS = 1_000_000
 #: Members of a group compared by one task; a larger group is compared block by block.
@@ -76,49 +77,83 @@ def block_count(band: int) -> int:
     return 1 << 16 if largest < 64 else 2 * largest + 64 if largest < 256 else 11 * largest // 20
 
 
-def block_keys(shingles: np.ndarray, band: int, need: int) -> tuple[np.ndarray, bool]:
-    """The first ``need`` filled blocks of the set's sketch for a band, and whether there were so many.
+def blocks_of(shingles: np.ndarray, band: int) -> np.ndarray:
+    """The block of each shingle, ascending as the shingles are."""
+    return ((shingles >> U64(32)) * U64(block_count(band))) >> U64(32)
+
+
+def block_keys(shingles: np.ndarray, band: int, need: int) -> np.ndarray:
+    """The first ``need`` filled blocks of the set's sketch for a band, or all if there are fewer.
 
     A key has the number of the block's shingles (more come first), then a hash of block and content.
     """
-    blocks = ((shingles >> U64(32)) * U64(block_count(band))) >> U64(32)
+    blocks = blocks_of(shingles, band)
     starts = np.flatnonzero(np.diff(blocks, prepend=U64(1 << 63)))
     content = np.bitwise_xor.reduceat(mix(shingles), starts)
     filled = np.diff(starts, append=len(shingles))
     keys = mix(content ^ mix(blocks[starts] + np.array([band], np.uint64) * STEP[1])) >> U64(8) | (U64(255) - np.minimum(filled, 255).astype(np.uint64)) << U64(56)
-    if len(keys) <= need:
-        return keys, len(keys) == need
-    return np.partition(keys, need - 1)[:need], True
+    return np.partition(keys, need - 1)[:need] if len(keys) > need else keys
 
 
-def sketch_keys(shingles: np.ndarray) -> tuple[list[np.ndarray], bool]:
-    """Keys of a set in its own band, as partner of any size there or above, and in the band below."""
-    n = len(shingles)
+def needs(n: int) -> list[tuple[int, int]]:
+    """(band, blocks) that a set of size n is joined on: its own band, for partners of any size, and the band below."""
     band = int(np.searchsorted(_BANDS, n, "right")) - 1
-    own, enough = block_keys(shingles, band, most_different(n, 100 * n // PERCENT) + 1)
-    if not band:
-        return [own], enough
-    below, also = block_keys(shingles, band - 1, most_different(n, BANDS[band] - 1) + 1)
-    return [own, below], enough and also
+    own = [(band, most_different(n, 100 * n // PERCENT) + 1)]
+    return own if not band else [*own, (band - 1, most_different(n, BANDS[band] - 1) + 1)]
+
+
+def sketch_keys(shingles: np.ndarray) -> list[np.ndarray]:
+    return [block_keys(shingles, band, need) for band, need in needs(len(shingles))]
+
+
+def enough_blocks(shingles: np.ndarray) -> bool:
+    """Whether the set fills as many blocks as it is joined on."""
+    return all(1 + np.count_nonzero(np.diff(blocks_of(shingles, band))) >= need for band, need in needs(len(shingles)))
 
 
 def parity_bits(shingles: np.ndarray) -> bytes:
-    """One bit per shingle, XORed; the Hamming distance of two is at most their symmetric difference."""
-    odd = np.bincount((mix(shingles + STEP[2]) >> U64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    """A parity bit per shingle hash, XORed, in about as many bits as shingles; the Hamming distance of two such
+    sketches is at most the sets' symmetric difference. Bits are dealt by low hash bits, so that a sketch folds."""
+    bits = 1 << max(LEAST_BITS, min(MOST_BITS, (len(shingles) - 1).bit_length()))
+    odd = np.bincount((mix(shingles + STEP[2]) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-SKETCHES = "doc_id long, n long, h1 long, h2 long, sketch binary, enough boolean, bucket int, keys binary, docs binary"
+def fold(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch in ``size`` bytes: its halves XORed, as if it had been dealt over fewer bits."""
+    while len(sketch) > size:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
 
 
-def sketch_task(buckets: int):
-    """Task function: a row per document (size, set hash, parity bits), and packed rows of (key, doc_id) by bucket."""
-    shift = U64(buckets.bit_length() - 1)
-    names = [x.split()[0] for x in SKETCHES.split(", ")]
-    types = [pa.int64()] * 4 + [pa.binary(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
+META = "doc_id long, n long, h1 long, h2 long, sketch binary, enough boolean"
+KEYS = "bucket int, keys binary, docs binary"
+
+
+def set_hash(shingles: np.ndarray) -> tuple[int, int]:
+    if not len(shingles):
+        return 0, 0
+    return int(shingles.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mix(shingles + STEP[4])).view(np.int64))
 
-    def batch(rows: dict[str, list], n: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(rows.get(k, [None] * n), t) for k, t in zip(names, types, strict=True)], names=names)
+
+def meta_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per document: size, set hash, parity bits, and whether its sketch has enough filled blocks."""
+    for part in batches:
+        ids = iter(part.column("doc_id").to_pylist())
+        for sets in shingle_sets(part.column("text")):
+            hashes = [set_hash(x) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([next(ids) for _ in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64()),
+                    pa.array([parity_bits(x) if len(x) else None for x in sets], pa.binary()), pa.array([not len(x) or enough_blocks(x) for x in sets], pa.bool_()),
+                ],
+                names=["doc_id", "n", "h1", "h2", "sketch", "enough"],
+            )
+
+
+def key_task(buckets: int):
+    """Task function: packed rows of (key, doc_id) by bucket."""
+    shift = U64(buckets.bit_length() - 1)
 
     def flush(keys: list[np.ndarray], docs: list[int], counts: list[int]) -> pa.RecordBatch:
         key, doc = np.concatenate(keys), np.repeat(np.array(docs, np.int64), counts)
@@ -127,31 +162,26 @@ def sketch_task(buckets: int):
         key, doc, bucket = (key[order] >> shift).astype(np.uint32), doc[order], bucket[order]
         edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
         spans = list(zip(edges[:-1], edges[1:], strict=True))
-        return batch({"bucket": [int(bucket[a]) for a, _ in spans], "keys": [key[a:b].tobytes() for a, b in spans], "docs": [pack_planes(doc[a:b]) for a, b in spans]}, len(spans))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(bucket[a]) for a, _ in spans], pa.int32()), pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([pack_planes(doc[a:b]) for a, b in spans], pa.binary())],
+            names=["bucket", "keys", "docs"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs, counts, held, seen = [], [], [], 0, set()
         for part in batches:
             ids = iter(part.column("doc_id").to_pylist())
             for sets in shingle_sets(part.column("text")):
-                rows = {k: [] for k in names[:6]}
                 for shingles in sets:
                     doc_id = next(ids)
-                    n = len(shingles)
-                    h1 = int(shingles.sum(dtype=np.uint64).view(np.int64)) if n else 0
-                    h2 = int(np.bitwise_xor.reduce(mix(shingles + STEP[4])).view(np.int64)) if n else 0
-                    enough = True
-                    if n and doc_id is not None and (h1, h2) not in seen:  # equal sets of a task need one entry
-                        seen.add((h1, h2))
-                        found, enough = sketch_keys(shingles)
-                        for k in found:
+                    # Equal sets of a task need one entry.
+                    if len(shingles) and doc_id is not None and (own := set_hash(shingles)) not in seen:
+                        seen.add(own)
+                        for k in sketch_keys(shingles):
                             keys.append(k)
                             docs.append(doc_id)
                             counts.append(len(k))
                             held += len(k)
-                    for k, v in zip(names[:6], (doc_id, n, h1, h2, parity_bits(shingles) if n else None, enough), strict=True):
-                        rows[k].append(v)
-                yield batch(rows, len(sets))
                 if held >= KEYS_A_FLUSH:
                     yield flush(keys, docs, counts)
                     keys, docs, counts, held, seen = [], [], [], 0, set()
@@ -181,45 +211,74 @@ def bucket_groups(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     yield pa.RecordBatch.from_arrays([pa.array([*pairs[:, 0], *[None] * m], pa.int64()), pa.array([*pairs[:, 1], *[None] * m], pa.int64()), pa.array([*[None] * n, *[np.frombuffer(g, np.int64) for g in groups]], pa.list_(pa.int64()))], names=["a", "b", "members"])
 
 
-def compare_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose shingle sets reach the similarity."""
-    for batch in batches:
-        keep = []
-        for i, (x, y) in enumerate(zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True)):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            at = np.searchsorted(q, p)
-            same = int((q[np.minimum(at, len(q) - 1)] == p).sum()) if len(q) else 0
-            if 100 * same >= PERCENT * (len(p) + len(q) - same) > 0:
-                keep.append(i)
-        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], names=["a", "b"])
+def set_rows(bits: int):
+    """Task function: each document's sorted shingle hashes, cut to 32 bits or whole."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique((s >> U64(32)).astype(np.uint32)) if bits == 32 else s for part in shingle_sets(batch.column("text")) for s in part]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "shingles"])
+
+    return run
 
-def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [s.tobytes() for part in shingle_sets(batch.column("text")) for s in part]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
+#: Outcome of a comparison.
+APART, LINKED, UNSURE = 0, 1, 2
 
-def _ones(bits: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(bits).sum(axis=-1)
 
+def compare_sets(bits: int):
+    """Task function: says of each pair whether its sets reach the similarity. With 32-bit hashes, pairs so near the
+    threshold that colliding hashes could decide are unsure."""
+    kind = np.uint32 if bits == 32 else np.uint64
 
-def parity_close(n_a, n_b, s_a, s_b):
-    """Column condition: sizes and parity sketches allow the similarity."""
-    apart = sum((F.bit_count(F.conv(F.hex(F.substring(s_a, 1 + 4 * k, 4)), 16, 10).cast("long").bitwiseXOR(F.conv(F.hex(F.substring(s_b, 1 + 4 * k, 4)), 16, 10).cast("long"))) for k in range(SKETCH_BITS // 32)), F.lit(0))
-    return (100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)) & ((100 + PERCENT) * apart <= (100 - PERCENT) * (n_a + n_b))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            outcome = []
+            for n_a, n_b, x, y in zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "set_a", "set_b")), strict=True):
+                p, q = np.frombuffer(x, kind), np.frombuffer(y, kind)
+                at = np.searchsorted(q, p)
+                same = int((q[np.minimum(at, len(q) - 1)] == p).sum())
+                over = (100 + PERCENT) * same - PERCENT * (n_a + n_b)
+                doubt = (8 + (n_a * n_b >> 30)) * (100 + PERCENT) if bits == 32 else 0
+                outcome.append(UNSURE if abs(over) < doubt else LINKED if over >= 0 else APART)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "n_a", "n_b")), pa.array(outcome, pa.int32())], names=["a", "b", "n_a", "n_b", "outcome"])
+
+    return run
+
+
+def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sizes and parity sketches allow the similarity."""
+    for batch in batches:
+        keep = []
+        for i, (n_a, n_b, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "s_a", "s_b")), strict=True)):
+            if 100 * min(n_a, n_b) < PERCENT * max(n_a, n_b):
+                continue
+            p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            size = min(len(p), len(q))
+            if int(np.bitwise_count(fold(p, size) ^ fold(q, size)).sum()) <= most_different(n_a, n_b):
+                keep.append(i)
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b", "n_a", "n_b")], names=["a", "b", "n_a", "n_b"])
+
+
+def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members with their sketches in GROUP_BYTES at most."""
+    for batch in batches:
+        short = [fold(np.frombuffer(s, np.uint8), GROUP_BYTES).tobytes() for s in batch.column("sketch").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("n"), pa.array(short, pa.binary())], names=["rep", "n", "sketch"])
 
 
 def close_in_group(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a group in different components that sizes and parity sketches allow."""
     rows = pa.Table.from_batches(list(batches))
     node, label, n, side = (rows.column(c).to_numpy() for c in ("rep", "label", "n", "side"))
-    bits = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+    sketches = [np.frombuffer(s, np.uint8) for s in rows.column("sketch").to_pylist()]
+    size = min(map(len, sketches))
+    bits = np.stack([fold(s, size) for s in sketches])
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     a, b = [], []
     for i in left:
         j = right[(label[right] != label[i]) & (100 * np.minimum(n[right], n[i]) >= PERCENT * np.maximum(n[right], n[i]))]
-        j = j[(100 + PERCENT) * _ones(bits[j] ^ bits[i]) <= (100 - PERCENT) * (n[j] + n[i])]
+        j = j[(100 + PERCENT) * np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= (100 - PERCENT) * (n[j] + n[i])]
         a.extend(np.minimum(node[i], node[j]))
         b.extend(np.maximum(node[i], node[j]))
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -229,9 +288,9 @@ class _Join:
     """One run of the join over ``docs``."""
 
     def __init__(self, docs: DataFrame):
-        self.docs = docs.select("doc_id", "text")
-        sketches = materialize(self.docs.mapInArrow(sketch_task(bucket_count(corpus_size(docs)[1])), SKETCHES), "sketches")
-        self.meta, self.packed = sketches.where("bucket is null"), sketches.where("bucket is not null")
+        self.docs = in_small_batches(docs).select("doc_id", "text")
+        self.buckets = bucket_count(corpus_size(docs)[1])
+        self.meta = materialize(self.docs.mapInArrow(meta_task, META), "meta")
         filled = self.meta.where("n > 0 and doc_id is not null")
         classes = filled.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
         #: Documents with the same set as a smaller doc_id.
@@ -243,24 +302,31 @@ class _Join:
         own = self.copies.select(F.col("doc_id").alias(name), "rep")
         return df.join(own, name, "left").withColumn(name, F.coalesce("rep", name)).drop("rep")
 
-    def sets_of(self, pairs: DataFrame) -> DataFrame:
+    def sets_of(self, pairs: DataFrame, bits: int) -> DataFrame:
         ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
         if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
             ids = F.broadcast(ids)
-        return self.docs.join(ids, "doc_id", "left_semi").mapInArrow(set_rows, "doc_id long, shingles binary")
+        return self.docs.join(ids, "doc_id", "left_semi").mapInArrow(set_rows(bits), "doc_id long, shingles binary")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Links among candidate pairs, by their sets."""
-        sets = materialize(self.sets_of(pairs), "sets")
+    def compared(self, pairs: DataFrame, bits: int) -> DataFrame:
+        """Pairs (a, b, n_a, n_b) with the outcome of comparing their sets."""
+        sets = materialize(self.sets_of(pairs, bits), "sets")
         joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-        return materialize(joined.mapInArrow(compare_sets, "a long, b long"), "links")
+        return materialize(joined.mapInArrow(compare_sets(bits), "a long, b long, n_a long, n_b long, outcome int"), "compared")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Links (a, b) among candidate pairs, by their sets: short hashes first, whole ones near the threshold."""
+        first = self.compared(pairs, 32)
+        second = self.compared(first.where(F.col("outcome") == UNSURE).drop("outcome"), 64)
+        return first.unionByName(second).where(F.col("outcome") == LINKED).select("a", "b")
 
     def close(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs of different sets that sizes and parity sketches allow."""
+        """Distinct pairs of different sets that sizes and parity sketches allow, with both sizes."""
         pairs = self.to_reps(self.to_reps(pairs, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        facts = self.facts.dropDuplicates(["rep"])
         for side in "ab":
-            pairs = pairs.join(self.facts.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
-        return materialize(pairs.where(parity_close(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b").distinct(), "pairs")
+            pairs = pairs.join(facts.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
+        return materialize(pairs.mapInArrow(close_pairs, "a long, b long, n_a long, n_b long"), "pairs")
 
     def few_blocks(self) -> DataFrame | None:
         """Pairs of the rare sets with too few filled blocks with any set that shares a shingle, or None."""
@@ -272,7 +338,8 @@ class _Join:
         return own.join(sets.withColumnRenamed("doc_id", "b"), "shingle").select("a", "b").distinct()
 
     def run(self) -> DataFrame:
-        found = materialize(self.packed.select("bucket", "keys", "docs").groupBy("bucket").applyInArrow(bucket_groups, "a long, b long, members array<long>"), "groups")
+        packed = self.docs.mapInArrow(key_task(self.buckets), KEYS)
+        found = materialize(packed.groupBy("bucket").applyInArrow(bucket_groups, "a long, b long, members array<long>"), "groups")
         pairs = found.where("a is not null").select("a", "b")
         if (rare := self.few_blocks()) is not None:
             pairs = pairs.unionByName(rare)
@@ -284,16 +351,15 @@ class _Join:
         members = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
         members = materialize(members, "members")
         open_groups = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("g", F.ceil(F.col("size") / GROUP_BLOCK).cast("int").alias("blocks"))
-        rest = materialize(members.join(open_groups, "g").join(self.facts, "rep"), "open")
-        if rest.isEmpty():
-            return labels
+        short = self.facts.dropDuplicates(["rep"]).mapInArrow(folded, "rep long, n long, sketch binary")
+        rest = members.join(open_groups, "g").join(short, "rep")
         block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
         dealt = rest.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select("g", "rep", "label", "n", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
         more = materialize(dealt.groupBy("g", "i", "j").applyInArrow(close_in_group, "a long, b long").where("a <> b").distinct(), "more")
         if more.isEmpty():
             return labels
-        return connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(self.verified(more)))
+        return connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(self.verified(self.close(more))))
 
 
 def exploded_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
