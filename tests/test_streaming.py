@@ -156,3 +156,27 @@ def test_stateful_moving_average(spark, feed, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert [r["average"] for r in sorted(rows, key=lambda r: r["ts"])][-1] == sum(range(12, 22)) / 10
+
+
+def test_stateful_alerts_once_per_window(spark, tmp_path):
+    """With time to live the state needs processing time, under which a query only ends by being stopped."""
+    from tickframe.streaming.stateful import stateful_alerts
+
+    candles = [("BTC", 0, 100.0, 110.0), ("BTC", 0, 100.0, 110.0), ("BTC", 1, 100.0, 105.0), ("ETH", 1, 100.0, 90.0), ("ETH", 2, 0.0, 5.0)]
+    frame = spark.createDataFrame([(s, START + datetime.timedelta(minutes=m), o, c) for s, m, o, c in candles], "symbol string, window_start timestamp, open double, close double")
+    frame = frame.withColumns({c: F.col(c).cast("decimal(20,8)") for c in ("open", "close")})
+    frame.write.parquet(str(tmp_path / "in"))
+    rows = []
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    query = None
+    try:
+        stream = spark.readStream.schema(frame.schema).parquet(str(tmp_path / "in"))
+        query = sinks.start(stateful_alerts(stream), str(tmp_path / "check"), lambda df, n: rows.extend(df.collect()), "update", "1 second")
+        until = time.time() + 90
+        while len(rows) < 2 and time.time() < until and query.isActive:
+            time.sleep(0.5)
+    finally:
+        if query:
+            query.stop()
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert sorted((r["symbol"], float(r["price_change_pct"])) for r in rows) == [("BTC", 10.0), ("ETH", -10.0)]
