@@ -34,9 +34,11 @@ class DigestIndex:
 
     def __init__(self, spark, root: str | None = None):
         self.spark, self.root, self.levels = spark, root or scratch_dir(spark), [[], []]
+        self.runs = 0
 
     def _run(self, level: int) -> str:
-        path = f"{self.root}/level={level}/run={len(self.levels[level])}"
+        path = f"{self.root}/level={level}/run={self.runs}"
+        self.runs += 1
         self.levels[level].append(path)
         return path
 
@@ -85,11 +87,13 @@ def exact_dedup(docs: DataFrame, normalize: Callable[[Column], Column] = normali
     keys = shared.select(F.xxhash64("digest").alias("k"))
     if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         again = again.join(F.broadcast(keys.distinct()), F.xxhash64("digest") == F.col("k"), "left_semi")
-    suspects = again.join(shared, "digest")
-    keepers = suspects.where("doc_id = keep_id").groupBy("digest").agg(F.min("norm").alias("keep_norm"))
+    # Keepers are found by digest and identifier and written first, so that a digest with very many rows is joined with
+    # one row in a join of its own, which Spark can split.
+    keepers = again.join(shared.select("digest", F.col("keep_id").alias("doc_id")), ["digest", "doc_id"]).groupBy("digest").agg(F.min("norm").alias("keep_norm"))
+    keepers = materialize(keepers, "keepers")
     same = F.col("norm") == F.col("keep_norm")
     verdicts = materialize(
-        suspects.join(keepers, "digest").select("digest", "doc_id", F.sha2("norm", 256).alias("text_sha256"), same.alias("same"), F.when(~same, F.col("norm")).otherwise("").alias("other")),
+        again.join(keepers, "digest").select("digest", "doc_id", F.sha2("norm", 256).alias("text_sha256"), same.alias("same"), F.when(~same, F.col("norm")).otherwise("").alias("other")),
         "verified",
     )
     # Rows that only share the digest are grouped by their own text; for true copies ``other`` is empty.
