@@ -3,8 +3,8 @@
 The model draws pieces of an existing subword vocabulary independently, so a text's probability is the sum over all of
 its segmentations. White space is the piece vocabulary's word mark, hence a text's lattice falls apart into one lattice
 per word, and a word's marginal log-probability is computed once, by a log-space forward recursion over its bytes. The
-vocabulary's own scores weight the pieces at first; one expectation step over the training words' lattices re-weights
-them. Word counts are gathered from all training documents.
+vocabulary's own scores weight the pieces at first; a few expectation steps over the training words' lattices
+re-weight them. Word counts are gathered from all training documents.
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.linededup import texts
-from tickframe.llm.storage import bucket_count, corpus_size, materialize
+from tickframe.llm.storage import bucket_count, corpus_size, in_small_batches, materialize
 from tickframe.llm.suffixdedup import _batch, _packed
 from tickframe.llm.textbatch import NOT_SPACE, U64, prefix_sums, slices, substring_hash, to_bytes_array, unpack_planes, word_spans
 
 MARK = "▁".encode()
 #: Weight of the vocabulary's own scores, in expected pieces, beside the corpus' expected counts.
 PRIOR_PIECES = 1000.0
+EXPECTATION_STEPS = 4
 #: The most frequent words, whose scores every task holds; all others are joined by shuffle.
 HEAD_WORDS = 200_000
 WORDS_A_FLUSH = 400_000
@@ -166,16 +167,17 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(train, test)
 
 
-def expected_pieces(sent):
+def expected_pieces(sent, log_weight):
     """Task function: expected piece counts of a task's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces: Pieces = sent.value
-        total = np.zeros(len(pieces.log_weight))
+        weights = log_weight.value
+        total = np.zeros(len(weights))
         for batch in batches:
             for at in range(0, batch.num_rows, LATTICE_WORDS):
                 part = batch.slice(at, LATTICE_WORDS)
-                total += Lattice(part.column("word").to_pylist(), pieces).expected(pieces.log_weight, part.column("c").to_numpy())
+                total += Lattice(part.column("word").to_pylist(), pieces).expected(weights, part.column("c").to_numpy())
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], names=["piece", "expected"])
 
@@ -314,7 +316,7 @@ def score_documents(docs: DataFrame, model_path: str, head_words: int = HEAD_WOR
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
-    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
+    rows = in_small_batches(docs).select("doc_id", held_out().alias("held_out"), "text")
     buckets = bucket_count(corpus_size(docs)[1])
     words = materialize(rows.select("text", "held_out").mapInArrow(count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
     totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
@@ -325,11 +327,14 @@ def score_documents(docs: DataFrame, model_path: str, head_words: int = HEAD_WOR
     texts_of, prior = read_pieces(model_path)
     pieces = Pieces(texts_of, prior)
     sent = sc.broadcast(pieces)
-    counts = PRIOR_PIECES * np.exp(prior)
-    for r in words.where("c > 0").mapInArrow(expected_pieces(sent), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("e")).collect():
-        counts[r["piece"]] += r["e"]
     end_weight = ends + 1.0  # the end is a piece of its own
-    log_weight = np.log(counts / (counts.sum() + end_weight))
+    log_weight, train = prior, words.where("c > 0")
+    for _ in range(EXPECTATION_STEPS):
+        counts = PRIOR_PIECES * np.exp(prior)
+        found = train.mapInArrow(expected_pieces(sent, sc.broadcast(log_weight)), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("e"))
+        for r in found.collect():
+            counts[r["piece"]] += r["e"]
+        log_weight = np.log(counts / (counts.sum() + end_weight))
     end_lp = float(np.log(end_weight / (counts.sum() + end_weight)))
 
     lexicon = materialize(words.mapInArrow(score_words(sent, sc.broadcast(log_weight), buckets), LEXICON), "lexicon")

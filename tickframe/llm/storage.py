@@ -41,3 +41,15 @@ def bucket_count(n_bytes: int, per_bucket: int = 4 << 20, least: int = 256) -> i
 def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if a count shows at most ``most_rows`` rows, else unhinted (a shuffled join)."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
+#: Rows in a batch that goes to Python. Spark's default of 10,000 suits short rows; texts are long.
+TEXTS_A_BATCH = 2000
+
+
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, in a session that hands texts to Python in small batches, unless it was told a size of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if docs.sparkSession.conf.get(name, "10000") == "10000":
+        docs.sparkSession.conf.set(name, str(TEXTS_A_BATCH))
+    return docs
