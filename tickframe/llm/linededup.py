@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm.storage import corpus_size, materialize
+from tickframe.llm.storage import corpus_size, in_small_batches, materialize
 from tickframe.llm.textbatch import to_bytes_array
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -47,10 +47,10 @@ def long_keys(text: bytes, min_chars: int) -> set[bytes]:
 
 def texts(column: pa.Array) -> Iterator[bytes]:
     data, offsets = to_bytes_array(column)
-    raw = data.tobytes() if len(offsets) < 2 else data[offsets[0] : offsets[-1]].tobytes()
-    base = offsets[0] if len(offsets) else 0
-    for i in range(len(offsets) - 1):
-        yield raw[offsets[i] - base : offsets[i + 1] - base]
+    raw = data[offsets[0] : offsets[-1]].tobytes()
+    places = offsets - offsets[0]
+    for start, end in zip(places[:-1].tolist(), places[1:].tolist(), strict=True):
+        yield raw[start:end]
 
 
 def positions(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -138,7 +138,7 @@ def rewrite(min_chars: int):
                 lines.append(len(all_lines))
                 dropped.append(len(all_lines) - len(out))
                 kept.append(text.decode() if out is all_lines else b"\n".join(out).decode())
-            names = [n for n in batch.schema.names if n not in ("drop",)]
+            names = [n for n in batch.schema.names if n != "drop"]
             cols = {n: batch.column(n) for n in names}
             yield pa.RecordBatch.from_pydict({**cols, "n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64()), "kept_text": pa.array(kept, pa.string())})
 
@@ -164,14 +164,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, bits: i
     document; rows that repeat the largest doc_id all keep their lines. Columns of ``docs`` named like the added ones
     are replaced. An empty table gives an empty result.
     """
-    docs = docs.drop("n_lines", "n_dropped", "kept_text", "drop")
+    docs = in_small_batches(docs).drop("n_lines", "n_dropped", "kept_text", "drop")
     if bits is None:
         expected = 8 * (corpus_size(docs)[1] // BYTES_A_LINE)
         bits = 1 << max(LEAST_BITS, min(MOST_BITS, expected)).bit_length() - 1
     filters = docs.sparkSession.sparkContext.broadcast(twice_seen_filter(docs, bits, min_chars))
     suspects = docs.select("doc_id", "text").mapInArrow(suspected(filters, bits, min_chars), "doc_id long, key string")
     pairs = materialize(suspects, "suspects")
-    repeated = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
+    # Written first, so that the join with a very common line is one that Spark can split.
+    repeated = materialize(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs), "repeated")
     drops = pairs.join(repeated, "key").where("doc_id <> last").groupBy("doc_id").agg(F.collect_set("key").alias("drop"))
     joined = docs.join(drops, "doc_id", "left").select(*docs.columns, "drop")
     schema = T.StructType(list(docs.schema.fields))
