@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.storage import materialize
+from tickframe.llm.storage import broadcast_if_small, materialize
 
 #: Fixed patterns. Possessive repeats and the look-behinds only spare retries; they match what the plain forms match.
 _LOCAL, _HOST = "A-Za-z0-9._%+-", "A-Za-z0-9-"
@@ -30,8 +30,9 @@ MIN_CONTEXTS, MIN_LETTERS, MIN_SHARE = 3, 4, 0.25
 #: Normalised pointwise information from which a word is generalised, and from which it is removed.
 GENERALISE, REMOVE = 0.5, 0.8
 WORD = r"[\p{L}\p{N}]+"
-#: Telling words are broadcast to the texts' words if there are at most so many, else joined by shuffle.
-BROADCAST_TERMS = 200_000
+#: Telling words, and the keys of the texts that are read again, are broadcast if there are at most so many, else joined
+#: by shuffle.
+BROADCAST_TERMS, BROADCAST_KEYS = 200_000, 1_000_000
 
 
 def luhn(digits: Column) -> Column:
@@ -82,51 +83,68 @@ def base_spans(rows: DataFrame) -> DataFrame:
     return found
 
 
+def texts_of(rows: DataFrame, holders: DataFrame) -> DataFrame:
+    """One row of each (doc_id, th) that ``holders`` has."""
+    key = ["doc_id", "th"]
+    return rows.join(broadcast_if_small(holders.select(*key).distinct(), BROADCAST_KEYS), key, "left_semi").dropDuplicates(key)
+
+
 def with_context(spans: DataFrame, rows: DataFrame) -> DataFrame:
     """Adds the words on both sides of each mention, lower-cased."""
-    texts = rows.join(spans.select("doc_id", "th").distinct(), ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
+    texts = texts_of(rows, spans)
     left = F.substring("text", F.greatest(F.col("start") - NEAR, F.lit(0)) + 1, F.least(F.col("start"), F.lit(NEAR)))
     right = F.substring("text", F.col("end") + 1, F.lit(NEAR))
     words = F.regexp_extract_all(F.lower(F.concat_ws(" ", left, right)), F.lit(WORD), F.lit(0))
     return spans.join(texts, ["doc_id", "th"]).select("doc_id", "th", "kind", "value", words.alias("words"))
 
 
+def share() -> Column:
+    """The share of the texts with a term that mention the entity near it."""
+    return F.col("n_te") / F.col("n_t")
+
+
+def information(total: int) -> Column:
+    """Normalised pointwise information between term and entity."""
+    return F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e"))) / F.greatest(-F.log2(F.col("n_te") / F.lit(total)), F.lit(1e-9))
+
+
 def telling_terms(spans: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """(term, level) of the words that disclose an entity, and (doc_id, th, term) of the texts that hold candidates."""
     entity = F.when(F.col("kind") >= 2, F.regexp_replace("value", "[^0-9]", "")).otherwise(F.lower("value"))
     mentions = spans.select("doc_id", "th", F.concat_ws(":", "kind", entity).alias("entity"), "kind", "start", "end", "value")
     often = mentions.select("entity", "doc_id", "th").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= MIN_CONTEXTS)
-    known = materialize(mentions.join(often, "entity"), "mentions")
-    if known.isEmpty():
+    if often.isEmpty():
         return None
-    used = with_context(known, rows).join(known.select("doc_id", "th", "kind", "value", "entity", "n_e").distinct(), ["doc_id", "th", "kind", "value"])
-    near = used.select("entity", "n_e", "doc_id", "th", F.xxhash64("words").alias("context"), F.explode(F.array_distinct("words")).alias("term"))
-    near = near.where((F.length("term") >= MIN_LETTERS) & ~F.col("term").rlike("^[0-9]+$"))
+    words = F.explode(F.array_distinct("words")).alias("term")
+    used = with_context(mentions, rows).select("doc_id", "th", "kind", "value", F.xxhash64("words").alias("context"), words)
+    used = materialize(used.where((F.length("term") >= MIN_LETTERS) & ~F.col("term").rlike("^[0-9]+$")), "used")
+    near = used.join(mentions.join(often, "entity").select("doc_id", "th", "kind", "value", "entity", "n_e").distinct(), ["doc_id", "th", "kind", "value"])
     contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
     together = near.select("entity", "n_e", "term", "doc_id", "th").distinct().groupBy("entity", "n_e", "term").agg(F.count(F.lit(1)).alias("n_te"))
-    pairs = materialize(together.join(contexts, ["entity", "term"]), "pairs")
+    # A term is in no fewer texts than have it near any mention: this bounds its share and information from above, so
+    # that words common near mentions need not be counted over the corpus.
+    total = rows.count()
+    least = used.select("term", "doc_id", "th").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    bounded = together.join(contexts, ["entity", "term"]).join(least, "term").where((share() >= MIN_SHARE) & (information(total) >= GENERALISE))
+    pairs = materialize(bounded.drop("n_t", "contexts"), "pairs")
     candidates = pairs.select("term").distinct()
     size = candidates.limit(BROADCAST_TERMS + 1).count()
     if not size:
         return None
-    words = rows.select("doc_id", "th", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
+    words = rows.select("doc_id", "th", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
     held = words.join(F.broadcast(candidates) if size <= BROADCAST_TERMS else candidates, "term", "left_semi")
     holders = materialize(held.distinct(), "holders")
-    total = rows.count()
     frequency = holders.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     scored = pairs.join(frequency, "term")
-    share, joint = F.col("n_te") / F.col("n_t"), F.col("n_te") / F.lit(total)
-    information = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e"))) / F.greatest(-F.log2(joint), F.lit(1e-9))
-    level = F.when(information >= REMOVE, 5).when(information >= GENERALISE, 4)
-    terms = scored.where(share >= MIN_SHARE).select("term", level.alias("level")).where("level is not null").groupBy("term").agg(F.max("level").alias("level"))
+    level = F.when(information(total) >= REMOVE, 5).when(information(total) >= GENERALISE, 4)
+    terms = scored.where(share() >= MIN_SHARE).select("term", level.alias("level")).where("level is not null").groupBy("term").agg(F.max("level").alias("level"))
     return materialize(terms, "terms"), holders
 
 
 def term_spans(terms: DataFrame, holders: DataFrame, rows: DataFrame, base: DataFrame) -> DataFrame:
     """(doc_id, th, kind, start, end) of all occurrences of telling terms outside the base spans."""
     key = ["doc_id", "th"]
-    marked = holders.join(terms, "term").select(*key).distinct()
-    texts = rows.join(marked, key, "left_semi").dropDuplicates(key)
+    texts = texts_of(rows, holders.join(terms, "term"))
     words = matches(texts, key, WORD).withColumn("term", F.lower("value"))
     found = words.join(terms, "term").select(*key, F.col("level").alias("kind"), "start", "end")
     other = base.select(*key, F.col("start").alias("s"), F.col("end").alias("e"))
