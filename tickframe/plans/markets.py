@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.operators import market, nested, ohlc, stats, windows
-from tickframe.plans.base import DIMENSION, LAST, LISTINGS, TICKS, VALID, candles, pct, query, sql
+from tickframe.plans.base import DIMENSION, LAST, LINE_TICKS, LISTINGS, TICKS, VALID, candles, pct, query, sql
 from tickframe.plans.candles import hourly
-from tickframe.sources.ticks import event_ticks, symbol_dimension, table
+from tickframe.sources.schemas import LISTING_JSON
+from tickframe.sources.ticks import event_ticks, lineitem_ticks, symbol_dimension, table
 
 #: Sample conversion rates per US dollar.
 RATES = {"usd": 1.0, "eur": 0.92, "jpy": 151.5}
@@ -51,19 +50,11 @@ _CHANGES = f"g AS (SELECT symbol, close AS price, round({pct('close', 'open')},
 
 
 def _changes(spark, sf_dir) -> DataFrame:
-    last = windows.latest_by(ohlc.ohlc(ohlc.valid_ticks(_supplier_ticks(spark, sf_dir)), "365 days"), "symbol", ["window_start"])
+    last = windows.latest_by(ohlc.ohlc(ohlc.valid_ticks(lineitem_ticks(spark, sf_dir)), "365 days"), "symbol", ["window_start"])
     return last.select("symbol", F.col("close").alias("price"), F.round((F.col("close").cast("double") - F.col("open").cast("double")) / F.col("open").cast("double") * 100, 6).alias("change_pct"))
 
 
-def _supplier_ticks(spark, sf_dir) -> DataFrame:
-    from tickframe.sources.ticks import lineitem_ticks
-
-    return lineitem_ticks(spark, sf_dir)
-
-
 def _mover_query(by: str, order: str) -> None:
-    from tickframe.plans.base import LINE_TICKS
-
     @query(f"movers_{by}", sql(LINE_TICKS, candles("365 days"), LAST, _CHANGES, select=f"SELECT * FROM g WHERE change_pct IS NOT NULL ORDER BY {order}, symbol LIMIT 10"))
     def run(spark, sf_dir):
         return market.movers(_changes(spark, sf_dir), by)
@@ -170,8 +161,6 @@ def listing_scan(spark, sf_dir):
 
 @query("top_venues", sql(LISTINGS, "v AS (SELECT symbol AS id, 'venue' || i || '-' || category AS market, round(CASE WHEN i % 5 = 0 THEN 0 ELSE CAST(i AS DOUBLE) END * (CAST(volume AS DOUBLE) / i), 4) AS notional FROM li, generate_series(1, 12) AS s(i)), k AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY notional DESC, market) AS INTEGER) AS place FROM v)", select="SELECT * FROM k WHERE place <= 10"))
 def top_venues(spark, sf_dir):
-    from tickframe.sources.schemas import LISTING_JSON
-
     decoded = _listing_json(spark, sf_dir).select(F.from_json("value", LISTING_JSON).alias("l")).select("l.id", "l.tickers")
     return nested.top_venues(decoded)
 
