@@ -30,6 +30,10 @@ LEAST_BITS, MOST_BITS, GROUP_BYTES = 6, 14, 128
 BROADCAST_IDS = 1_000_000
 #: Members of a group compared by one task; a larger group is compared block by block.
 GROUP_BLOCK = 2048
+#: One document in so many is sampled for frequent keys; a key is one from so many sampled documents on; and at most so
+#: many are told to the tasks.
+SAMPLE_EVERY, OFTEN, MOST_FREQUENT = 16, 4, 500_000
+LOW_BITS = U64((1 << 40) - 1)
 STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -82,17 +86,24 @@ def blocks_of(shingles: np.ndarray, band: int) -> np.ndarray:
     return ((shingles >> U64(32)) * U64(block_count(band))) >> U64(32)
 
 
-def block_keys(shingles: np.ndarray, band: int, need: int) -> np.ndarray:
+def block_keys(shingles: np.ndarray, band: int, need: int, frequent: np.ndarray) -> np.ndarray:
     """The first ``need`` filled blocks of the set's sketch for a band, or all if there are fewer.
 
-    A key has the number of the block's shingles (more come first), then a hash of block and content.
+    A key has the number of the block's shingles (more come first), then a hash of block and content. Keys in
+    ``frequent`` (sorted, low 40 bits) come last. Any order that all sets share finds all pairs.
     """
     blocks = blocks_of(shingles, band)
     starts = np.flatnonzero(np.diff(blocks, prepend=U64(1 << 63)))
     content = np.bitwise_xor.reduceat(mix(shingles), starts)
     filled = np.diff(starts, append=len(shingles))
     keys = mix(content ^ mix(blocks[starts] + np.array([band], np.uint64) * STEP[1])) >> U64(8) | (U64(255) - np.minimum(filled, 255).astype(np.uint64)) << U64(56)
-    return np.partition(keys, need - 1)[:need] if len(keys) > need else keys
+    if len(keys) <= need:
+        return keys
+    order = keys >> U64(1)
+    if len(frequent):
+        low = keys & LOW_BITS
+        order |= (frequent[np.minimum(np.searchsorted(frequent, low), len(frequent) - 1)] == low).astype(np.uint64) << U64(63)
+    return keys[np.argpartition(order, need - 1)[:need]]
 
 
 def needs(n: int) -> list[tuple[int, int]]:
@@ -102,8 +113,8 @@ def needs(n: int) -> list[tuple[int, int]]:
     return own if not band else [*own, (band - 1, most_different(n, BANDS[band] - 1) + 1)]
 
 
-def sketch_keys(shingles: np.ndarray) -> list[np.ndarray]:
-    return [block_keys(shingles, band, need) for band, need in needs(len(shingles))]
+def sketch_keys(shingles: np.ndarray, frequent: np.ndarray) -> list[np.ndarray]:
+    return [block_keys(shingles, band, need, frequent) for band, need in needs(len(shingles))]
 
 
 def enough_blocks(shingles: np.ndarray) -> bool:
@@ -151,8 +162,8 @@ def meta_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def key_task(buckets: int):
-    """Task function: packed rows of (key, doc_id) by bucket."""
+def key_task(buckets: int, frequent=None):
+    """Task function: packed rows of (key, doc_id) by bucket. ``frequent`` is a broadcast of keys to use last."""
     shift = U64(buckets.bit_length() - 1)
 
     def flush(keys: list[np.ndarray], docs: list[int], counts: list[int]) -> pa.RecordBatch:
@@ -169,6 +180,7 @@ def key_task(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs, counts, held, seen = [], [], [], 0, set()
+        last = frequent.value if frequent else np.zeros(0, np.uint64)
         for part in batches:
             ids = iter(part.column("doc_id").to_pylist())
             for sets in shingle_sets(part.column("text")):
@@ -177,7 +189,7 @@ def key_task(buckets: int):
                     # Equal sets of a task need one entry.
                     if len(shingles) and doc_id is not None and (own := set_hash(shingles)) not in seen:
                         seen.add(own)
-                        for k in sketch_keys(shingles):
+                        for k in sketch_keys(shingles, last):
                             keys.append(k)
                             docs.append(doc_id)
                             counts.append(len(k))
@@ -191,6 +203,19 @@ def key_task(buckets: int):
     return run
 
 
+def frequent_keys(buckets: int):
+    """Group function: the low bits of a bucket's keys that OFTEN documents or more have, with their number."""
+    shift = U64(buckets.bit_length() - 1)
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.frombuffer(x, np.uint32) for batch in batches for x in batch.column("keys").to_pylist()]
+        found, n = np.unique(np.concatenate(parts), return_counts=True)
+        low = (found[n >= OFTEN].astype(np.uint64) << shift | U64(key[0].as_py())) & LOW_BITS
+        yield pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), pa.array(n[n >= OFTEN])], names=["key", "n"])
+
+    return run
+
+
 def bucket_groups(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of documents under one key of a bucket: pairs with the smallest member, and groups of three or more whole."""
     keys, docs = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
@@ -292,9 +317,9 @@ class _Join:
         self.buckets = bucket_count(corpus_size(docs)[1])
         self.meta = materialize(self.docs.mapInArrow(meta_task, META), "meta")
         filled = self.meta.where("n > 0 and doc_id is not null")
-        classes = filled.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-        #: Documents with the same set as a smaller doc_id.
-        self.copies = materialize(filled.join(classes.where("copies > 1"), ["n", "h1", "h2"]).where("doc_id <> rep").select("doc_id", "rep"), "copies")
+        classes = filled.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
+        #: Documents with the same set as a smaller doc_id. Written first, classes meet their members in a join that Spark can split.
+        self.copies = materialize(filled.join(materialize(classes, "classes"), ["n", "h1", "h2"]).where("doc_id <> rep").select("doc_id", "rep"), "copies")
         self.facts = filled.select(F.col("doc_id").alias("rep"), "n", "sketch")
 
     def to_reps(self, df: DataFrame, name: str) -> DataFrame:
@@ -337,8 +362,17 @@ class _Join:
         own = sets.join(rare, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), "shingle")
         return own.join(sets.withColumnRenamed("doc_id", "b"), "shingle").select("a", "b").distinct()
 
+    def frequent(self) -> np.ndarray:
+        """Keys seen often in a sample. They only come last in the order of blocks, so which they are decides how many
+        candidates there are, not which pairs are found."""
+        sample = self.docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SAMPLE_EVERY)) == 0)
+        counted = sample.mapInArrow(key_task(self.buckets), KEYS).groupBy("bucket").applyInArrow(frequent_keys(self.buckets), "key long, n long")
+        most = counted.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).toArrow()
+        return np.unique(most.column("key").to_numpy().view(np.uint64))
+
     def run(self) -> DataFrame:
-        packed = self.docs.mapInArrow(key_task(self.buckets), KEYS)
+        last = self.docs.sparkSession.sparkContext.broadcast(self.frequent())
+        packed = self.docs.mapInArrow(key_task(self.buckets, last), KEYS)
         found = materialize(packed.groupBy("bucket").applyInArrow(bucket_groups, "a long, b long, members array<long>"), "groups")
         pairs = found.where("a is not null").select("a", "b")
         if (rare := self.few_blocks()) is not None:
