@@ -17,12 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tickframe.llm.storage import in_small_batches
 from tickframe.llm.textbatch import WORD_CHARS, prefix_sums, slices, substring_hash, to_bytes_array, word_spans
 
 #: Benchmark words searched at once; a larger benchmark is searched in several blocks.
 BLOCK_WORDS = 1 << 20
 #: Words of a shard; a longer document makes a shard of its own.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 SAMPLE_EVERY = 8
 
 
@@ -294,7 +295,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     names of the added ones are replaced. Empty tables give no rows, or rows without hits.
     """
     names = ["n_words", "n_hit", "n_items", "items", "items_sha256", "spans", "contaminated"]
-    docs = docs.drop(*names)
+    docs = in_small_batches(docs.drop(*names))
     sc = docs.sparkSession.sparkContext
     blocks = [sc.broadcast(b) for b in benchmark_blocks(benchmark, window, block_words)]
     schema = T.StructType(list(docs.schema.fields))

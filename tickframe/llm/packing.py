@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.storage import materialize
+from tickframe.llm.storage import in_small_batches, materialize
 from tickframe.llm.textbatch import NOT_SPACE, prefix_sums, slices, substring_hash, to_bytes_array, word_spans
 
 CAPACITY = 2048
@@ -317,7 +317,7 @@ def pack_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACIT
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
-    pieces = materialize(docs.select("doc_id", "text").mapInArrow(tokenise(sc.broadcast(tokenizer_json), capacity, end_id), PIECES), "pieces")
+    pieces = materialize(in_small_batches(docs).select("doc_id", "text").mapInArrow(tokenise(sc.broadcast(tokenizer_json), capacity, end_id), PIECES), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return spark.createDataFrame([], PIECES + ", sequence_id long, offset long")

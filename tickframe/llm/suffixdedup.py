@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.storage import bucket_count, corpus_size, materialize
+from tickframe.llm.storage import bucket_count, corpus_size, in_small_batches, materialize
 from tickframe.llm.textbatch import U64, mix, pack_planes, prefix_sums, slices, substring_hash, to_bytes_array, unpack_planes
 
 LENGTH = 200
@@ -268,7 +268,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     remaining bytes). Texts shorter than ``length`` stay whole. Repeated rows repeat each other's strings. Other
     columns are not read; an empty table gives no rows.
     """
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"))
+    rows = in_small_batches(docs).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"))
     buckets = bucket_count(corpus_size(docs)[1])
     sampled = materialize(rows.select("rk", "text").mapInArrow(sample_task(buckets, length, gram), SAMPLES), "samples")
     keys = sampled.where("rid is not null").select("rid", "rk")

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text handled at once; a longer document is handled whole, alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 #: Byte tables: a word byte is anything but white space, or a digit, letter or non-ASCII byte.
