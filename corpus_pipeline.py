@@ -21,8 +21,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
-    scored = score_toxicity(docs.select(F.struct(*COLUMNS).alias("doc"), "doc_id", "text"), table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 0").select("doc.*")
+    scored = score_toxicity(docs.select(*COLUMNS), table(spark, sf_dir, "labels"), keep_text=True)
+    return scored.where("predicted = 0").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

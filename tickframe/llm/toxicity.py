@@ -19,7 +19,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.storage import materialize
+from tickframe.llm.storage import in_small_batches, materialize
 
 #: Fitting reads at most about so many labelled rows, chosen by a hash of the doc_id; counts for the lexicon read all.
 FIT_ROWS = 50_000
@@ -67,14 +67,14 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     ]
 
 
-def extract(lexicon):
-    """Task function: adds the features of ``text`` to the other columns."""
+def extract(lexicon, keep_text: bool = False):
+    """Task function: adds the features of ``text`` to the other columns, and to the text if asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lexicon.value
         for batch in batches:
             rows = np.array([features(t or "", known) for t in batch.column("text").to_pylist()], np.float64).reshape(-1, len(FEATURES))
-            keep = [n for n in batch.schema.names if n != "text"]
+            keep = [n for n in batch.schema.names if keep_text or n != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), *(pa.array(np.ascontiguousarray(rows[:, i])) for i in range(rows.shape[1]))], names=[*keep, *FEATURES])
 
     return run
@@ -112,15 +112,15 @@ def is_held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit_rows: int = FIT_ROWS, trees: int = 20) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit_rows: int = FIT_ROWS, trees: int = 20, keep_text: bool = False) -> DataFrame:
     """Score every row of ``docs(doc_id, text, ...)``, learning from ``labels(doc_id, toxic)``.
 
-    Returns the rows' columns but the text, with held_out, score (0 to 1, higher: toxic likelier) and predicted (score
+    Returns the rows' columns (the text only with ``keep_text``), with held_out, score (0 to 1, higher: toxic likelier) and predicted (score
     at least ``threshold``). Rows with crc32(doc_id) mod 3 = 1 are never learnt from. Null and empty texts have zero
     features and get a score. Rows without a label are only scored; of repeated labels the highest counts. Without
     labelled rows of both classes, to fit and to calibrate on, every score is 0. Columns of ``docs`` with the names of added ones are replaced.
     """
-    docs = docs.drop("held_out", "score", "predicted", *FEATURES)
+    docs = in_small_batches(docs).drop("held_out", "score", "predicted", *FEATURES)
     held = docs.withColumn("held_out", is_held_out())
     truth = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~is_held_out())
     n_labelled = truth.count()
@@ -128,7 +128,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, f
         labelled = docs.select("doc_id", "text").join(F.broadcast(truth), "doc_id")
     else:
         labelled = materialize(docs.select("doc_id", "text").join(truth, "doc_id"), "labelled")
-    others = [c for c in held.columns if c != "text"]
+    others = [c for c in held.columns if keep_text or c != "text"]
     lexicon = learn_lexicon(labelled)
     unscored = held.select(*others, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     if not n_labelled:
@@ -149,8 +149,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, f
     raw = lambda df: trees_model.transform(df).withColumn("raw", vector_to_array("probability")[1])
     isotonic = IsotonicRegression(labelCol="toxic", featuresCol="raw").fit(raw(calibrate).select("raw", "toxic"))
     learn.unpersist()
-    base_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema.fields if f.name != "text")
-    scored = isotonic.setPredictionCol("calibrated").transform(raw(assembler.transform(held.mapInArrow(extract(sent), f"{base_schema}, {types}"))))
+    base_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema.fields if f.name in others)
+    scored = isotonic.setPredictionCol("calibrated").transform(raw(assembler.transform(held.mapInArrow(extract(sent, keep_text), f"{base_schema}, {types}"))))
     # Calibration has steps; within a step the trees' own probability orders the rows.
     score = F.least(F.greatest(0.98 * F.col("calibrated") + 0.02 * F.col("raw"), F.lit(0.0)), F.lit(1.0))
     return scored.select(*others, score.alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
