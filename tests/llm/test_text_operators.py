@@ -149,6 +149,13 @@ def test_near_duplicates(spark, rows, monkeypatch, least_blocks):
     assert counted(paritysketch.near_duplicates(frame).collect()) == brute_components(every)
 
 
+def test_near_duplicates_with_frequent_keys_last(spark, monkeypatch):
+    monkeypatch.setattr(paritysketch, "SAMPLE_EVERY", 1)
+    monkeypatch.setattr(paritysketch, "OFTEN", 2)
+    every = near_rows()
+    assert counted(paritysketch.near_duplicates(spark.createDataFrame(every, "doc_id long, text string, lang string, source string, n_chars long")).collect()) == brute_components(every)
+
+
 def test_near_duplicates_in_large_groups(spark, monkeypatch):
     monkeypatch.setattr(paritysketch, "GROUP_BLOCK", 4)
     monkeypatch.setattr(paritysketch, "BROADCAST_IDS", 3)
