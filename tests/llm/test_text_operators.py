@@ -409,3 +409,20 @@ def test_disclosing_terms(spark):
     assert not any(marked[i] for i in range(10, 40))
     assert not any(w in ("common", "words", "corp", "boss") for spans in marked.values() for _, w in spans)
     assert found[0]["n_email"] == 1 and found[51]["spans"] == ""
+
+
+def test_terms_disclose_values_that_occur_once(spark):
+    """Values of one kind, and of one mail host, are pooled; one context, and copies of it, give nothing away."""
+    mails = [(i, f"note {i} from Zaphodine to a{i}@host{i}.example on day {i * i}, once only {chr(97 + i) * 5}") for i in range(5)]
+    hosts = [(20 + i, f"item {i} of Trillianne with b{i}@{'corp' if i < 4 else f'other{i}'}.example in week {i * 7}") for i in range(14)]
+    hosts = [(i, t if "@corp" in t else t.replace("Trillianne", "Marvinus" + "abcdefghijklmn"[i - 20])) for i, t in hosts]
+    copies = [(50 + i, "the same text of Slartibart has c@copy.example each time") for i in range(4)]
+    plain = [(100 + i, f"number {i} says nothing of anyone at all") for i in range(60)]
+    plain += [(200, "Once more ZAPHODINE, with no address."), (201, "and Trillianne, and Slartibart as well")]
+    rows = [*mails, *hosts, *copies, *plain]
+    found = {r["doc_id"]: r["span_list"] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    marked = {i: {text[s["start"] : s["end"]].lower() for s in found[i] if s["kind"] in ("generalise", "remove")} for i, text in rows}
+    assert all("zaphodine" in marked[i] for i in (*range(5), 200))
+    assert all("trillianne" in marked[i] for i in (*range(20, 24), 201))
+    assert not any(w.startswith(("slartibart", "marvinus")) or len(set(w)) == 1 for words in marked.values() for w in words)
+    assert not any(marked[100 + i] for i in range(60))

@@ -1,9 +1,10 @@
 """Personal data by pattern, and terms that give it away by how the corpus uses them.
 
-E-mail, IP, card and phone spans are found by pattern. Each value found is a protected entity. Words near an entity's
-mentions are counted over the corpus; the pointwise information between word and entity, with the probability of the
-entity given the word, says how much the word discloses. Words beyond a threshold are marked wherever they occur, to be
-generalised or, beyond a higher one, removed. DataFrame functions do all the work.
+E-mail, IP, card and phone spans are found by pattern. Each value found is a protected entity, and so are its kind and its
+group (mail host, network, issuer, exchange), which pool values that occur once or twice. Words near an entity's mentions
+are counted over the corpus; the pointwise information between word and entity as a share of the entity's own, smoothed by
+its support, with the probability of the entity given the word, says how much the word discloses. Words beyond a threshold
+are marked wherever they occur, to be generalised or, beyond a higher one, removed. DataFrame functions do all the work.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ KINDS = [*PATTERNS, "generalise", "remove"]
 _OCTET = "0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 #: Code points on each side of a mention whose words count as used with it.
 NEAR = 80
-#: A word must be seen with an entity in so many different contexts, have so many letters, and be so telling.
-MIN_CONTEXTS, MIN_LETTERS, MIN_SHARE = 3, 4, 0.25
-#: Normalised pointwise information from which a word is generalised, and from which it is removed.
+#: A word must have so many letters, and be so telling.
+MIN_LETTERS, MIN_SHARE = 4, 0.25
+#: Smoothed share of an entity's information from which a word is generalised, and from which it is removed.
 GENERALISE, REMOVE = 0.5, 0.8
 WORD = r"[\p{L}\p{N}]+"
 #: Telling words, and the keys of the texts that are read again, are broadcast if there are at most so many, else joined
@@ -103,48 +104,96 @@ def share() -> Column:
     return F.col("n_te") / F.col("n_t")
 
 
+def support() -> Column:
+    """The weight of what was seen in so many different contexts: a third for one, three fifths for two, towards one."""
+    return (2 * F.col("seen") - 1) / (2 * F.col("seen") + 1)
+
+
 def information(total: int) -> Column:
-    """Normalised pointwise information between term and entity."""
-    return F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e"))) / F.greatest(-F.log2(F.col("n_te") / F.lit(total)), F.lit(1e-9))
+    """The share of the entity's information that the term gives, smoothed by support."""
+    pointwise = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
+    return support() * pointwise / F.greatest(-F.log2(F.col("n_e") / F.lit(total)), F.lit(1e-9))
+
+
+def entities() -> Column:
+    """The protected entities of a mention: its value, the group of values that it is from, and its kind."""
+    digits = F.regexp_replace("value", "[^0-9]", "")
+    value = F.when(F.col("kind") >= 2, digits).otherwise(F.lower("value"))
+    group = (
+        F.when(F.col("kind") == 0, F.substring_index(value, "@", -1))
+        .when(F.col("kind") == 1, F.substring_index(value, ".", 3))
+        .when(F.col("kind") == 2, F.substring(digits, 1, 6))
+        .otherwise(F.substring(digits, F.lit(1), F.length(digits) - 4))
+    )
+    kind = F.col("kind").cast("string")
+    return F.array(F.concat_ws(":", kind, F.lit("value"), value), F.concat_ws(":", kind, F.lit("group"), group), kind)
+
+
+def with_sizes(pairs: DataFrame, mentions: DataFrame) -> DataFrame:
+    """Adds n_e, the documents that mention the entity. Entities in many are few and are broadcast; the others are joined by shuffle."""
+    each = mentions.select(F.explode(F.array_distinct(entities())).alias("entity"), "doc_id", "th").distinct()
+    sizes = materialize(each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")), "sizes")
+    # At most BROADCAST_TERMS entities have this share of all, by their sum.
+    many = -(-int(sizes.agg(F.coalesce(F.sum("n_e"), F.lit(0))).first()[0]) // BROADCAST_TERMS) + 1
+    left = pairs.join(F.broadcast(sizes.where(F.col("n_e") >= many)), "entity", "left")
+    rest = left.where("n_e is null").drop("n_e").join(sizes.where(F.col("n_e") < many), "entity")
+    return left.where("n_e is not null").unionByName(rest)
+
+
+def words_of(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row of each different word of a text, lower-cased, with the columns to keep."""
+    return rows.select(*keep, F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+
+
+def frequencies(rows: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
+    """(term, n_t), the documents with the term. Counted inside each task first: only its counts are shuffled, not its words."""
+    key = ["doc_id", "th"]
+    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    counted = words_of(rows.join(broadcast_if_small(materialize(repeated, "repeated"), BROADCAST_KEYS), key, "left"), "times")
+    if size <= BROADCAST_TERMS:
+        counted = counted.join(F.broadcast(candidates), "term", "left_semi")
+    # Rows that repeat ``times`` times all have the term, so the counts of each ``times`` divide without rest.
+    each = counted.groupBy("term", F.coalesce("times", F.lit(1)).alias("times")).agg(F.count(F.lit(1)).alias("n"))
+    each = each.groupBy("term").agg(F.sum(F.expr("n div times")).alias("n_t"))
+    return each if size <= BROADCAST_TERMS else each.join(candidates, "term", "left_semi")
 
 
 def telling_terms(spans: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame] | None:
-    """(term, level) of the words that disclose an entity, and (doc_id, th, term) of the texts that hold candidates."""
-    entity = F.when(F.col("kind") >= 2, F.regexp_replace("value", "[^0-9]", "")).otherwise(F.lower("value"))
-    mentions = spans.select("doc_id", "th", F.concat_ws(":", "kind", entity).alias("entity"), "kind", "start", "end", "value")
-    often = mentions.select("entity", "doc_id", "th").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= MIN_CONTEXTS)
-    if often.isEmpty():
-        return None
+    """(term, level) of the words that disclose an entity, and (doc_id, th) of the texts that hold them."""
+    mentions = spans.select("doc_id", "th", "kind", "start", "end", "value")
     words = F.explode(F.array_distinct("words")).alias("term")
-    used = with_context(mentions, rows).select("doc_id", "th", "kind", "value", F.xxhash64("words").alias("context"), words)
+    used = with_context(mentions, rows).select("doc_id", "th", entities().alias("entities"), F.xxhash64("words").alias("context"), words)
     used = materialize(used.where((F.length("term") >= MIN_LETTERS) & ~F.col("term").rlike("^[0-9]+$")), "used")
-    near = used.join(mentions.join(often, "entity").select("doc_id", "th", "kind", "value", "entity", "n_e").distinct(), ["doc_id", "th", "kind", "value"])
-    contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
-    together = near.select("entity", "n_e", "term", "doc_id", "th").distinct().groupBy("entity", "n_e", "term").agg(F.count(F.lit(1)).alias("n_te"))
+    near = used.select(F.explode("entities").alias("entity"), "term", "context", "doc_id", "th")
+    contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
+    together = near.select("entity", "term", "doc_id", "th").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"))
+    # Neither copies of a text nor mentions side by side in one are further evidence.
+    seen = F.least("contexts", "n_te").alias("seen")
+    # No term gives more than the whole of an entity's information, so support bounds the smoothed share from above.
+    supported = together.join(contexts, ["entity", "term"]).select("entity", "term", "n_te", seen).where(support() >= GENERALISE)
     # A term is in no fewer texts than have it near any mention: this bounds its share and information from above, so
     # that words common near mentions need not be counted over the corpus.
     total = rows.count()
     least = used.select("term", "doc_id", "th").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    bounded = together.join(contexts, ["entity", "term"]).join(least, "term").where((share() >= MIN_SHARE) & (information(total) >= GENERALISE))
-    pairs = materialize(bounded.drop("n_t", "contexts"), "pairs")
+    bounded = with_sizes(materialize(supported, "supported"), mentions).join(least, "term").where((share() >= MIN_SHARE) & (information(total) >= GENERALISE))
+    pairs = materialize(bounded.drop("n_t"), "pairs")
     candidates = pairs.select("term").distinct()
     size = candidates.limit(BROADCAST_TERMS + 1).count()
     if not size:
         return None
-    words = rows.select("doc_id", "th", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    held = words.join(F.broadcast(candidates) if size <= BROADCAST_TERMS else candidates, "term", "left_semi")
-    holders = materialize(held.distinct(), "holders")
-    frequency = holders.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    scored = pairs.join(frequency, "term")
+    scored = pairs.join(frequencies(rows, candidates, size), "term")
     level = F.when(information(total) >= REMOVE, 5).when(information(total) >= GENERALISE, 4)
     terms = scored.where(share() >= MIN_SHARE).select("term", level.alias("level")).where("level is not null").groupBy("term").agg(F.max("level").alias("level"))
-    return materialize(terms, "terms"), holders
+    terms = materialize(terms, "terms")
+    # A telling term is in a few times as many texts as mention its entity, so these are few beside the corpus.
+    holders = words_of(rows, "doc_id", "th").join(broadcast_if_small(terms.select("term"), BROADCAST_TERMS), "term", "left_semi")
+    return terms, materialize(holders.select("doc_id", "th").distinct(), "holders")
 
 
 def term_spans(terms: DataFrame, holders: DataFrame, rows: DataFrame, base: DataFrame) -> DataFrame:
     """(doc_id, th, kind, start, end) of all occurrences of telling terms outside the base spans."""
     key = ["doc_id", "th"]
-    texts = texts_of(rows, holders.join(terms, "term"))
+    texts = texts_of(rows, holders)
     words = matches(texts, key, WORD).withColumn("term", F.lower("value"))
     found = words.join(terms, "term").select(*key, F.col("level").alias("kind"), "start", "end")
     other = base.select(*key, F.col("start").alias("s"), F.col("end").alias("e"))
@@ -168,9 +217,9 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the pattern spans as kind:start:end, code points,
     by kind and start), spans (those and the disclosing terms', kinds generalise and remove, likewise), and span_list.
     Null and empty texts have none. Repeated rows get equal rows. Other columns are not read; an empty table gives no
-    rows. A term is disclosing when MIN_CONTEXTS different contexts of one entity hold it, at least MIN_SHARE of the
-    documents with the term mention the entity, and their normalised pointwise information reaches GENERALISE; copies
-    of a text are one context.
+    rows. A term is disclosing when at least MIN_SHARE of the documents with the term mention one entity (a value, its
+    group or its kind) near it, and the share of the entity's information that it gives, smoothed by the number of
+    different contexts, reaches GENERALISE; copies of a text are one context.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     rows = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "th", "text")
