@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tickframe.functions import scalars
 from tickframe.operators import market, ohlc, quality, tables, windows
+from tickframe.registry import QUERIES
 from tickframe.sources.ticks import decode_ticks, event_ticks, symbol_dimension
 
 SF = "/root/testdata/sf0.001"
@@ -110,6 +111,20 @@ def test_plans(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan(page) and "PushedFilters: [IsNotNull(window_start)" in plan(page)
 
 
+def test_days_are_dealt_apart(spark):
+    ticks = event_ticks(spark, SF)
+    previous = plan(windows.trend_detect(ticks))
+    assert "hashpartitioning(symbol#" in previous and "lag(price_usd" in previous
+    lagged = next(line for line in previous.splitlines() if "lag(price_usd" in line)
+    assert "day#" in lagged.split("windowspecdefinition(")[1].split(" ASC")[0]
+    rows = [("a", 1, "2024-01-01 10:00:00", 1), ("a", 2, "2024-01-01 11:00:00", None), ("a", 3, "2024-01-04 00:00:00", 3), ("a", 5, "2024-01-04 00:00:00", 5), ("a", 6, "2024-01-05 09:00:00", 6), ("b", 4, "2024-01-04 01:00:00", 4), (None, 7, "2024-01-04 02:00:00", 7), (None, 8, "2024-01-06 02:00:00", 8)]
+    frame = spark.createDataFrame(rows, "symbol string, tick_id long, ts string, p int").selectExpr("symbol", "tick_id", "CAST(ts AS TIMESTAMP_NTZ) AS ts", "CAST(p AS DECIMAL(20,8)) AS price_usd")
+    found = {r["tick_id"]: r["previous"] for r in windows.trend_detect(frame).collect()}
+    assert found == {1: None, 2: 1, 3: None, 5: 3, 6: 5, 4: None, 7: None, 8: 7}
+    first = plan(QUERIES["trending_slice"](spark, SF))
+    assert first.index("collect_list") < first.index("WindowGroupLimit") and first.count("WindowGroupLimit") >= 2
+
+
 def test_csv(spark, tmp_path):
     path = tables.write_csv(spark.range(3), str(tmp_path), "export", T0)
     assert path.endswith("export_20240101_000000") and spark.read.option("header", True).csv(path).count() == 3

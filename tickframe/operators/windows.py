@@ -28,10 +28,20 @@ def candle_sma(candles: DataFrame, periods: tuple[int, ...] = (20, 50)) -> DataF
     return out
 
 
+def with_previous(ticks: DataFrame) -> DataFrame:
+    """Ticks with the price before, as ``previous``. Each day is a partition of its own, led by the last tick before it."""
+    own = ticks.select("symbol", F.to_date("ts").alias("day"), "ts", "tick_id", "price_usd", F.lit(False).alias("carried"))
+    last = F.max_by(F.struct("ts", "tick_id", "price_usd"), F.struct("ts", "tick_id")).alias("last")
+    before = F.lag("last").over(Window.partitionBy("symbol").orderBy("day")).alias("before")
+    carried = own.groupBy("symbol", "day").agg(last).select("symbol", "day", before).where("before IS NOT NULL")
+    both = own.unionByName(carried.select("symbol", "day", "before.*", F.lit(True).alias("carried")))
+    by = Window.partitionBy("symbol", "day").orderBy("ts", "tick_id")
+    return both.withColumn("previous", F.lag("price_usd").over(by)).where("NOT carried").drop("day", "carried")
+
+
 def trend_detect(ticks: DataFrame, threshold: float = 5.0) -> DataFrame:
     """Change from the symbol's previous tick, classed up or down beyond the threshold, else flat."""
-    previous = F.lag("price_usd").over(Window.partitionBy("symbol").orderBy("ts", "tick_id"))
-    moved = ticks.withColumn("previous", previous).withColumn("change_pct", F.round(percent_change(F.col("price_usd"), F.col("previous")), 6))
+    moved = with_previous(ticks).withColumn("change_pct", F.round(percent_change(F.col("price_usd"), F.col("previous")), 6))
     trend = F.when(F.col("change_pct") > threshold, "up").when(F.col("change_pct") < -threshold, "down").otherwise("flat")
     return moved.select("symbol", "tick_id", "ts", "price_usd", "previous", "change_pct", trend.alias("trend"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators import market, nested, ohlc, stats, windows
@@ -167,5 +167,8 @@ def top_venues(spark, sf_dir):
 
 @query("trending_slice", sql(TICKS, "g AS (SELECT symbol AS key, CAST(ts AS DATE) AS day, id, row_number() OVER (PARTITION BY symbol, CAST(ts AS DATE) ORDER BY ts, id) - 1 AS pos FROM t)", select="SELECT key, CAST(pos AS INTEGER) AS pos, id AS item FROM g WHERE pos < 6"))
 def trending_slice(spark, sf_dir):
-    lists = event_ticks(spark, sf_dir).groupBy(F.col("symbol").alias("key"), F.to_date("ts").alias("day")).agg(F.transform(F.sort_array(F.collect_list(F.struct("ts", "tick_id"))), lambda s: s["tick_id"]).alias("items"))
+    # Only the first six of a day are collected; Spark limits them in each task before it sorts a day.
+    place = F.row_number().over(Window.partitionBy("symbol", "day").orderBy("ts", "tick_id"))
+    first = event_ticks(spark, sf_dir).withColumn("day", F.to_date("ts")).withColumn("place", place).where("place <= 6")
+    lists = first.groupBy(F.col("symbol").alias("key"), "day").agg(F.transform(F.sort_array(F.collect_list(F.struct("ts", "tick_id"))), lambda s: s["tick_id"]).alias("items"))
     return nested.trending_slice(lists).drop("day")
