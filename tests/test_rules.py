@@ -125,6 +125,14 @@ def test_days_are_dealt_apart(spark):
     assert first.index("collect_list") < first.index("WindowGroupLimit") and first.count("WindowGroupLimit") >= 2
 
 
+def test_seed_symbols_reads_every_tick(spark, tmp_path):
+    rows = [(1, "2024-01-01 10:00:00", "click"), (3, "2024-01-02 10:00:00", "click"), (2, "2024-01-02 11:00:00", "view")]
+    events = spark.createDataFrame(rows, "event_id long, ts string, event_type string")
+    events.selectExpr("event_id", "CAST(ts AS TIMESTAMP_NTZ) AS ts", "event_id AS user_id", "event_type", "1.5D AS value", "'{}' AS props").write.parquet(str(tmp_path / "events.parquet"))
+    missing = {r["symbol"] for r in QUERIES["seed_symbols"](spark, str(tmp_path)).collect()}
+    assert missing and not missing & {"click", "view"}
+
+
 def test_csv(spark, tmp_path):
     path = tables.write_csv(spark.range(3), str(tmp_path), "export", T0)
     assert path.endswith("export_20240101_000000") and spark.read.option("header", True).csv(path).count() == 3

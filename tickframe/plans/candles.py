@@ -284,7 +284,7 @@ def retention_keep(spark, sf_dir):
 
 @query("seed_symbols", sql(DIMENSION, select="SELECT crypto_id, symbol, name, slug, is_active FROM d WHERE symbol NOT IN (SELECT event_type FROM events WHERE event_id % 2 = 0 AND event_type IS NOT NULL)"))
 def seed_symbols(spark, sf_dir):
-    existing = event_ticks(spark, sf_dir).where("tick_id % 2 = 0").select("symbol").distinct()
+    existing = event_ticks(spark, sf_dir).select("symbol").distinct()
     return tables.seed_symbols(existing, symbol_dimension(spark, sf_dir))
 
 
