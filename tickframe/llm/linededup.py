@@ -1,8 +1,9 @@
 """Line deduplication with a once-seen and a twice-seen Bloom filter.
 
 Each task marks its documents' line hashes in a pair of filters: a hash already in the once-seen filter goes to the
-twice-seen one. The filters of two tasks merge by bits, (a1|b1, a2|b2|(a1&b1)), segment by segment. Only lines found in
-the merged twice-seen filter shuffle; they are counted exactly by their text.
+twice-seen one. The filters of two tasks merge by bits, (a1|b1, a2|b2|(a1&b1)), segment by segment; their number grows
+with the corpus. Filters up to a bound are broadcast to test the lines, larger ones meet the lines' hashes by segment.
+Only lines found in the twice-seen filter shuffle; they are counted exactly by their text.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ from tickframe.llm.textbatch import to_bytes_array
 
 SPACE = b" \t\n\x0b\x0c\r"
 SEGMENT_BITS = 1 << 20
-#: Bits of one filter: eight for each expected line, within these bounds. At the upper bound a filter is 32 MB; a larger
-#: corpus fills it further, so that more lines shuffle to the exact count, but none is missed.
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
+#: Fewest bits of a filter, and those for each expected line. A filter of more than BROADCAST_BITS (32 MB) stays in Spark.
+LEAST_BITS, BITS_A_LINE, BROADCAST_BITS = 1 << 20, 8, 1 << 28
+#: Repeated lines are broadcast to the texts if their texts have at most so many bytes; else texts that lose lines are
+#: joined with them, and a filter of this many bits at most tells which those are.
+BROADCAST_BYTES, ID_BITS = 32 << 20, 1 << 28
 #: Expected bytes of text for each long line.
 BYTES_A_LINE = 128
 PAIRS_A_FLUSH = 1 << 20
@@ -69,10 +72,11 @@ def mark(bits: int, min_chars: int):
         out: dict[int, list[bytes]] = {}
         for which, at in ((0, once), (1, twice)):
             segments = at // SEGMENT_BITS
-            edges = np.flatnonzero(np.diff(segments, prepend=-1))
-            for lo, hi in zip(edges, [*edges[1:], len(at)], strict=True):
+            edges = np.append(np.flatnonzero(np.diff(segments, prepend=-1)), len(at)) if len(at) else [0]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 out.setdefault(int(segments[lo]), [b"", b""])[which] = (at[lo:hi] % SEGMENT_BITS).astype(np.uint32).tobytes()
-        yield pa.RecordBatch.from_pydict({"segment": pa.array(list(out), pa.int32()), "once": pa.array([x[0] for x in out.values()], pa.binary()), "twice": pa.array([x[1] for x in out.values()], pa.binary())})
+        columns = [pa.array(list(out), pa.int32()), *(pa.array([x[k] for x in out.values()], pa.binary()) for k in (0, 1))]
+        yield pa.RecordBatch.from_arrays(columns, names=["segment", "once", "twice"])
 
     def flush(hashes: list[int]) -> tuple[np.ndarray, np.ndarray]:
         unique, count = np.unique(np.array(hashes, np.uint64), return_counts=True)
@@ -104,8 +108,17 @@ def merge_segment(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     yield pa.RecordBatch.from_pydict({"segment": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())})
 
 
+def held_at(held: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether all bit positions of each column are set."""
+    return (((held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1) == 1).all(axis=0)
+
+
+def suspect_rows(ids: list, keys: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([k.decode() for k in keys], pa.string())], names=["doc_id", "key"])
+
+
 def suspected(filters, bits: int, min_chars: int):
-    """Task function: (doc_id, key) of each document's distinct long lines that the twice-seen filter holds."""
+    """Task function: (doc_id, key) of each document's distinct long lines that the broadcast twice-seen filter holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(filters.value, np.uint8)
@@ -116,66 +129,198 @@ def suspected(filters, bits: int, min_chars: int):
                 ids.extend([doc_id] * len(own))
                 keys.extend(own)
                 hashes.extend(map(xxhash.xxh3_64_intdigest, own))
-            at = positions(np.array(hashes, np.uint64), bits)
-            hit = np.flatnonzero(((held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0))
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array([ids[i] for i in hit], pa.int64()), "key": pa.array([keys[i].decode() for i in hit], pa.string())})
+            hit = np.flatnonzero(held_at(held, positions(np.array(hashes, np.uint64), bits)))
+            yield suspect_rows([ids[i] for i in hit], [keys[i] for i in hit])
+
+    return run
+
+
+def line_hashes(bits: int, min_chars: int):
+    """Task function: every document's distinct long lines as packed (hash, doc_id) by segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, hashes = [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), strict=True):
+                own = long_keys(text, min_chars) if doc_id is not None else ()
+                ids.extend([doc_id] * len(own))
+                hashes.extend(map(xxhash.xxh3_64_intdigest, own))
+            doc, found = np.array(ids, np.int64), np.array(hashes, np.uint64)
+            segment = (found % np.uint64(bits // SEGMENT_BITS)).astype(np.int32)
+            order = np.argsort(segment, kind="stable")
+            doc, found, segment = doc[order], found[order], segment[order]
+            edges = np.append(np.flatnonzero(np.diff(segment, prepend=-1)), len(segment))
+            spans = list(zip(edges[:-1], edges[1:], strict=True))
+            columns = [
+                pa.array([segment[a] for a, _ in spans], pa.int32()),
+                pa.array([found[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([doc[a:b].tobytes() for a, b in spans], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["segment", "hashes", "docs"])
+
+    return run
+
+
+def suspects_of_segment(bits: int):
+    """Cogroup function: (doc_id, hash) of the lines that the segment's twice-seen filter holds."""
+
+    def run(lines: pa.Table, filters: pa.Table) -> pa.Table:
+        docs, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        if lines.num_rows:
+            held = np.frombuffer(filters.column("bits")[0].as_py(), np.uint8)
+            for raw, ids in zip(lines.column("hashes").to_pylist(), lines.column("docs").to_pylist(), strict=True):
+                found = np.frombuffer(raw, np.uint64)
+                hit = held_at(held, positions(found, bits) % np.uint64(SEGMENT_BITS))
+                hashes.append(found[hit])
+                docs.append(np.frombuffer(ids, np.int64)[hit])
+        return pa.table({"doc_id": np.concatenate(docs), "hash": np.concatenate(hashes).view(np.int64)})
+
+    return run
+
+
+def keys_of_hashes(min_chars: int):
+    """Task function over (doc_id, text, hashes): (doc_id, key) of the lines with these hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = [], []
+            for doc_id, text, hashes in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), batch.column("hashes").to_pylist(), strict=True):
+                wanted = {h % (1 << 64) for h in hashes}
+                own = [k for k in long_keys(text, min_chars) if xxhash.xxh3_64_intdigest(k) in wanted]
+                ids.extend([doc_id] * len(own))
+                keys.extend(own)
+            yield suspect_rows(ids, keys)
 
     return run
 
 
-def rewrite(min_chars: int):
-    """Task function over (doc_id, text, dropped keys' hashes): n_lines, n_dropped and the remaining text."""
+def rewrite(min_chars: int, repeated=None):
+    """Task function: the other columns, n_lines, n_dropped and the remaining text.
+
+    What goes is the keys of ``repeated`` (a broadcast of key to the document that keeps it), or else each row's
+    DROPPED keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = repeated.value if repeated else {}
         for batch in batches:
             lines, dropped, kept = [], [], []
-            for text, drop in zip(texts(batch.column("text")), batch.column("drop").to_pylist(), strict=True):
+            ids = batch.column("doc_id").to_pylist()
+            drops = [None] * len(ids) if repeated else batch.column(DROPPED).to_pylist()
+            for doc_id, text, drop in zip(ids, texts(batch.column("text")), drops, strict=True):
                 all_lines = text.split(b"\n")
-                out = all_lines
                 if drop:
                     gone = {x.encode() for x in drop}
                     out = [x for x in all_lines if line_key(x, min_chars) not in gone]
+                elif last and doc_id is not None:
+                    out = [x for x in all_lines if last.get(line_key(x, min_chars), doc_id) == doc_id]
+                else:
+                    out = all_lines
                 lines.append(len(all_lines))
                 dropped.append(len(all_lines) - len(out))
-                kept.append(text.decode() if out is all_lines else b"\n".join(out).decode())
-            names = [n for n in batch.schema.names if n != "drop"]
-            cols = {n: batch.column(n) for n in names}
-            yield pa.RecordBatch.from_pydict({**cols, "n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64()), "kept_text": pa.array(kept, pa.string())})
+                kept.append(text if len(out) == len(all_lines) else b"\n".join(out))
+            names = [n for n in batch.schema.names if n != DROPPED]
+            added = [pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *added], names=[*names, "n_lines", "n_dropped", "kept_text"])
 
     return run
 
 
-def twice_seen_filter(docs: DataFrame, bits: int, min_chars: int) -> bytes:
-    """The merged twice-seen filter: ``bits`` bits, whatever the corpus."""
+DROPPED = "__dropped_keys"
+
+
+def merged_filters(docs: DataFrame, bits: int, min_chars: int) -> DataFrame:
+    """(segment, bits) of the twice-seen filter over all documents."""
     marks = docs.select("text").mapInArrow(mark(bits, min_chars), "segment int, once binary, twice binary")
-    merged = marks.groupBy("segment").applyInArrow(merge_segment, "segment int, bits binary")
+    return marks.groupBy("segment").applyInArrow(merge_segment, "segment int, bits binary")
+
+
+def collected(filters: DataFrame, bits: int) -> bytes:
+    """A filter of at most BROADCAST_BITS as one run of bytes."""
     held = bytearray(bits // 8)
-    for row in merged.toLocalIterator():
+    for row in filters.toLocalIterator():
         held[row["segment"] * SEGMENT_BITS // 8 : (row["segment"] + 1) * SEGMENT_BITS // 8] = row["bits"]
     return bytes(held)
 
 
+def find_suspects(docs: DataFrame, bits: int, min_chars: int) -> DataFrame:
+    """(doc_id, key) of each row's distinct long lines that the twice-seen filter holds."""
+    filters = merged_filters(docs, bits, min_chars)
+    if bits <= BROADCAST_BITS:
+        sent = docs.sparkSession.sparkContext.broadcast(collected(filters, bits))
+        return materialize(docs.mapInArrow(suspected(sent, bits, min_chars), "doc_id long, key string"), "suspects")
+    lines = docs.mapInArrow(line_hashes(bits, min_chars), "segment int, hashes binary, docs binary")
+    found = lines.groupBy("segment").cogroup(filters.groupBy("segment")).applyInArrow(suspects_of_segment(bits), "doc_id long, hash long")
+    per_doc = found.groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
+    return materialize(docs.join(per_doc, "doc_id").mapInArrow(keys_of_hashes(min_chars), "doc_id long, key string"), "suspects")
+
+
+def set_bits(bits: int):
+    """Task function: bit positions of (hash), by segment, for the once-seen side of a filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(positions(batch.column("hash").to_numpy().view(np.uint64), bits)).astype(np.int64)
+            segments = at // SEGMENT_BITS
+            edges = np.append(np.flatnonzero(np.diff(segments, prepend=-1)), len(at))
+            raw = [(at[lo:hi] % SEGMENT_BITS).astype(np.uint32).tobytes() for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+            columns = [pa.array(segments[edges[:-1]].astype(np.int32)), pa.nulls(len(raw), pa.binary()).fill_null(b""), pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["segment", "once", "twice"])
+
+    return run
+
+
+def may_hold(filters, bits: int, flag: str):
+    """Task function: adds whether the filter may hold each row's hash, which it takes away."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(filters.value, np.uint8)
+        for batch in batches:
+            hit = held_at(held, positions(batch.column(flag).to_numpy().view(np.uint64), bits))
+            yield batch.set_column(batch.schema.names.index(flag), flag, pa.array(hit))
+
+    return run
+
+
+def lose_lines(docs: DataFrame, drops: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with its DROPPED keys: the rows that lose lines, which shuffle, and all others, which do not."""
+    n = drops.count()
+    bits = 1 << max(LEAST_BITS, min(ID_BITS, 16 * n)).bit_length() - 1
+    marks = drops.select(F.xxhash64("doc_id").alias("hash")).mapInArrow(set_bits(bits), "segment int, once binary, twice binary")
+    sent = docs.sparkSession.sparkContext.broadcast(collected(marks.groupBy("segment").applyInArrow(merge_segment, "segment int, bits binary"), bits))
+    schema = T.StructType([*docs.schema.fields, T.StructField(DROPPED, T.BooleanType())])
+    flagged = docs.withColumn(DROPPED, F.xxhash64("doc_id")).mapInArrow(may_hold(sent, bits, DROPPED), schema)
+    hit = flagged.where(F.col(DROPPED)).drop(DROPPED).join(drops, "doc_id", "left").select(*docs.columns, DROPPED)
+    return hit, flagged.where(~F.col(DROPPED)).withColumn(DROPPED, F.lit(None).cast("array<string>"))
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, bits: int | None = None) -> DataFrame:
     """Drop lines that many documents share from all but the largest doc_id that holds them.
 
     A line's key is the line without white space at both ends, A-Z lower-cased; keys of at least ``min_chars`` code
-    points in at least ``min_docs`` documents are dropped except in the largest doc_id. Returns every row of ``docs``
-    with its columns, plus n_lines, n_dropped and kept_text. A null or empty text is one empty line. A row counts as a
-    document; rows that repeat the largest doc_id all keep their lines. Columns of ``docs`` named like the added ones
-    are replaced. An empty table gives an empty result.
+    points in at least ``min_docs`` documents (different doc_ids) are dropped except in the largest doc_id. Returns every
+    row of ``docs`` with its columns, plus n_lines, n_dropped and kept_text. A null or empty text is one empty line. Rows
+    that repeat a doc_id are one document; those of the largest doc_id all keep their lines. Rows without a doc_id are in
+    no document: they keep their lines and count for none. Columns of ``docs`` named like the added ones are replaced. An
+    empty table gives an empty result. To the driver come a filter of at most BROADCAST_BITS bits, and repeated lines of
+    at most BROADCAST_BYTES.
     """
-    docs = in_small_batches(docs).drop("n_lines", "n_dropped", "kept_text", "drop")
+    docs = in_small_batches(docs).drop("n_lines", "n_dropped", "kept_text")
     if bits is None:
-        expected = 8 * (corpus_size(docs)[1] // BYTES_A_LINE)
-        bits = 1 << max(LEAST_BITS, min(MOST_BITS, expected)).bit_length() - 1
-    filters = docs.sparkSession.sparkContext.broadcast(twice_seen_filter(docs, bits, min_chars))
-    suspects = docs.select("doc_id", "text").mapInArrow(suspected(filters, bits, min_chars), "doc_id long, key string")
-    pairs = materialize(suspects, "suspects")
+        expected = BITS_A_LINE * (corpus_size(docs)[1] // BYTES_A_LINE)
+        bits = 1 << (max(LEAST_BITS, expected) - 1).bit_length()
+    pairs = find_suspects(docs.select("doc_id", "text"), bits, min_chars)
     # Written first, so that the join with a very common line is one that Spark can split.
-    repeated = materialize(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs), "repeated")
-    drops = pairs.join(repeated, "key").where("doc_id <> last").groupBy("doc_id").agg(F.collect_set("key").alias("drop"))
-    joined = docs.join(drops, "doc_id", "left").select(*docs.columns, "drop")
+    counts = pairs.where("doc_id is not null").groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("last"))
+    repeated = materialize(counts.where(F.col("n") >= min_docs).select("key", "last"), "repeated")
     schema = T.StructType(list(docs.schema.fields))
     for name in ("n_lines", "n_dropped"):
         schema = schema.add(name, "long")
-    return joined.mapInArrow(rewrite(min_chars), schema.add("kept_text", "string"))
+    schema = schema.add("kept_text", "string")
+    size = repeated.agg(F.coalesce(F.sum(F.octet_length("key") + 64), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        found = {r["key"].encode(): r["last"] for r in repeated.collect()}
+        return docs.mapInArrow(rewrite(min_chars, docs.sparkSession.sparkContext.broadcast(found)), schema)
+    drops = materialize(pairs.join(repeated, "key").where("doc_id <> last").groupBy("doc_id").agg(F.collect_set("key").alias(DROPPED)), "drops")
+    hit, rest = lose_lines(docs, drops)
+    return hit.unionByName(rest).mapInArrow(rewrite(min_chars), schema)
