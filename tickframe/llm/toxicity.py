@@ -18,10 +18,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickframe.llm.storage import in_small_batches, materialize
 
-#: Fitting reads at most about so many labelled rows, chosen by a hash of the doc_id; counts for the lexicon read all.
+#: Fitting reads at most about so many labelled rows, half of them for each class, chosen by a hash of the doc_id; counts
+#: for the lexicon read all.
 FIT_ROWS = 50_000
 LEXICON_WORDS = 500
 #: Labels are broadcast to the texts if there are at most so many, else joined by shuffle.
@@ -67,15 +69,16 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     ]
 
 
-def extract(lexicon, keep_text: bool = False):
-    """Task function: adds the features of ``text`` to the other columns, and to the text if asked."""
+def extract(lexicon):
+    """Task function: puts the features of ``text`` in its place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lexicon.value
         for batch in batches:
             rows = np.array([features(t or "", known) for t in batch.column("text").to_pylist()], np.float64).reshape(-1, len(FEATURES))
-            keep = [n for n in batch.schema.names if keep_text or n != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), *(pa.array(np.ascontiguousarray(rows[:, i])) for i in range(rows.shape[1]))], names=[*keep, *FEATURES])
+            keep = [n for n in batch.schema.names if n != "text"]
+            added = [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(rows.shape[1])]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), *added], names=[*keep, *FEATURES])
 
     return run
 
@@ -97,12 +100,12 @@ def _word_rows(counts: dict[str, list[int]]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.string()), "pos": pa.array([c[0] for c in counts.values()], pa.int64()), "neg": pa.array([c[1] for c in counts.values()], pa.int64())})
 
 
-def learn_lexicon(labelled: DataFrame, size: int = LEXICON_WORDS) -> dict[str, float]:
+def learn_lexicon(labelled: DataFrame, counts: dict[int, int], size: int = LEXICON_WORDS) -> dict[str, float]:
     """The ``size`` words most telling of toxic documents, with their log-odds; every labelled row is counted."""
-    totals = labelled.agg(F.count_if(F.col("toxic") == 1).alias("p"), F.count_if(F.col("toxic") != 1).alias("n")).first()
-    pos, neg = totals["p"], totals["n"]
-    least = max(5, pos // 200)
-    words = labelled.select("text", (F.col("toxic") == 1).alias("toxic")).mapInArrow(distinct_words, "word string, pos long, neg long").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    pos, neg = counts[1], counts[0]
+    least = max(min(5, pos), pos // 200)
+    rows = labelled.select("text", (F.col("toxic") == 1).alias("toxic")).mapInArrow(distinct_words, "word string, pos long, neg long")
+    words = rows.groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
     top = words.where(F.col("pos") >= least).withColumn("odds", odds).where("odds > 2.5").orderBy(F.desc("odds"), F.desc("pos"), "word").limit(size)
     return {r["word"]: r["odds"] for r in top.collect()}
@@ -112,45 +115,75 @@ def is_held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
+def fitting_sample(labelled: DataFrame, counts: dict[int, int], fit_rows: int) -> DataFrame:
+    """At most about ``fit_rows`` labelled rows, half of them for each class, or all rows of a class that has fewer.
+
+    Adds ``weight``, how many rows of its class a row stands for, and ``calibrates``, true for about a quarter of each
+    class; a class with fewer than eight rows both fits and calibrates.
+    """
+    shares = {k: min(1.0, max(fit_rows - min(fit_rows // 2, counts[1 - k]), 1) / counts[k]) for k in (0, 1)}
+    luck = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
+    share = F.when(F.col("toxic") == 1, shares[1]).otherwise(shares[0])
+    few = F.when(F.col("toxic") == 1, counts[1] < 8).otherwise(counts[0] < 8)
+    picked = labelled.where(luck < share).withColumn("weight", 1 / share)
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4))
+    return picked.withColumn("calibrates", few | (fold == 0)).withColumn("fits", few | (fold != 0))
+
+
+def fit(labelled: DataFrame, counts: dict[int, int], sent, fit_rows: int, trees: int):
+    """Trees and calibration fitted on a sample of ``labelled``; a function from features to ``calibrated`` and ``raw``."""
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    sample = fitting_sample(labelled, counts, fit_rows).select("text", F.col("toxic").cast("double").alias("toxic"), "weight", "calibrates", "fits")
+    rows = sample.mapInArrow(extract(sent), "toxic double, weight double, calibrates boolean, fits boolean, " + FEATURE_TYPES)
+    # Spark ML sums statistics a partition at a time; the sample is bounded by ``fit_rows``, so a few partitions hold it.
+    rows = assembler.transform(materialize(rows, "fit").coalesce(8)).select("toxic", "weight", "calibrates", "fits", "features")
+    learn, calibrate = rows.where("fits").cache(), rows.where("calibrates")
+    if calibrate.select("toxic").distinct().count() < 2:  # chance left a small class out
+        calibrate = rows
+    model = GBTClassifier(labelCol="toxic", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=3, stepSize=0.2, seed=17, minInstancesPerNode=5)
+    model = model.fit(learn if learn.select("toxic").distinct().count() == 2 else rows)
+
+    def raw(df: DataFrame) -> DataFrame:
+        return model.transform(df).withColumn("raw", vector_to_array("probability")[1])
+
+    isotonic = IsotonicRegression(labelCol="toxic", featuresCol="raw", weightCol="weight").fit(raw(calibrate).select("raw", "toxic", "weight"))
+    learn.unpersist()
+    return lambda df: isotonic.setPredictionCol("calibrated").transform(raw(assembler.transform(df)))
+
+
+FEATURE_TYPES = ", ".join(f"{f} double" for f in FEATURES)
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit_rows: int = FIT_ROWS, trees: int = 20, keep_text: bool = False) -> DataFrame:
     """Score every row of ``docs(doc_id, text, ...)``, learning from ``labels(doc_id, toxic)``.
 
-    Returns the rows' columns (the text only with ``keep_text``), with held_out, score (0 to 1, higher: toxic likelier) and predicted (score
-    at least ``threshold``). Rows with crc32(doc_id) mod 3 = 1 are never learnt from. Null and empty texts have zero
-    features and get a score. Rows without a label are only scored; of repeated labels the highest counts. Without
-    labelled rows of both classes, to fit and to calibrate on, every score is 0. Columns of ``docs`` with the names of added ones are replaced.
+    Returns the rows' columns (the text only with ``keep_text``), with held_out, score (0 to 1, higher: toxic likelier)
+    and predicted (score at least ``threshold``); columns of ``docs`` with these three names are replaced, all others
+    stay, whatever their names. Rows with crc32(doc_id) mod 3 = 1 are never learnt from. Null and empty texts have zero
+    features and get a score. Rows without a label, or without a doc_id, are only scored; of repeated labels the highest
+    counts. Where the labelled rows lack a class nothing can be told apart: every score is the share of toxic ones among
+    them, (toxic + 1) / (rows + 2). Fitting reads at most about ``fit_rows`` rows, half of them for each class.
     """
-    docs = in_small_batches(docs).drop("held_out", "score", "predicted", *FEATURES)
-    held = docs.withColumn("held_out", is_held_out())
+    docs = in_small_batches(docs).drop("held_out", "score", "predicted")
     truth = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~is_held_out())
     n_labelled = truth.count()
+    texts = docs.select("doc_id", "text")
     if n_labelled <= BROADCAST_LABELS:
-        labelled = docs.select("doc_id", "text").join(F.broadcast(truth), "doc_id")
+        labelled = texts.join(F.broadcast(truth), "doc_id")
     else:
-        labelled = materialize(docs.select("doc_id", "text").join(truth, "doc_id"), "labelled")
-    others = [c for c in held.columns if keep_text or c != "text"]
-    lexicon = learn_lexicon(labelled)
-    unscored = held.select(*others, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    if not n_labelled:
-        return unscored
-    sent = docs.sparkSession.sparkContext.broadcast(lexicon)
-    types = ", ".join(f"{f} double" for f in FEATURES)
-    share = min(1.0, fit_rows / max(1, n_labelled))
-    picked = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    fit = materialize(picked.select("doc_id", "text", F.col("toxic").cast("double").alias("toxic")).mapInArrow(extract(sent), f"doc_id long, toxic double, {types}"), "fit")
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0  # a quarter calibrates
-    found = {(r["fold"], r["toxic"]) for r in fit.select(fold.alias("fold"), "toxic").distinct().collect()}
-    if not {(False, 0.0), (False, 1.0), (True, 0.0), (True, 1.0)} <= found:
-        return unscored
-    rows = assembler.transform(fit.coalesce(8)).select("doc_id", "toxic", "features")
-    learn, calibrate = rows.where(~fold).cache(), rows.where(fold)
-    trees_model = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=trees, maxDepth=3, stepSize=0.2, seed=17, minInstancesPerNode=5).fit(learn)
-    raw = lambda df: trees_model.transform(df).withColumn("raw", vector_to_array("probability")[1])
-    isotonic = IsotonicRegression(labelCol="toxic", featuresCol="raw").fit(raw(calibrate).select("raw", "toxic"))
-    learn.unpersist()
-    base_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema.fields if f.name in others)
-    scored = isotonic.setPredictionCol("calibrated").transform(raw(assembler.transform(held.mapInArrow(extract(sent, keep_text), f"{base_schema}, {types}"))))
+        labelled = materialize(texts.join(truth, "doc_id"), "labelled")
+    labelled = labelled.withColumn("toxic", (F.col("toxic") == 1).cast("int"))
+    counts = {0: 0, 1: 0} | {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    others = [c for c in docs.columns if keep_text or c != "text"]
+    # The caller's columns go through the model as one struct, so that no name of theirs meets one of the model's.
+    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("given"), is_held_out().alias("held_out"), "text")
+    if not (counts[0] and counts[1]):
+        score = F.lit((counts[1] + 1) / (counts[0] + counts[1] + 2))
+        return given.select("given.*", "held_out", score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
+    sent = docs.sparkSession.sparkContext.broadcast(learn_lexicon(labelled, counts))
+    model = fit(labelled, counts, sent, fit_rows, trees)
+    schema = T.StructType([f for f in given.schema.fields if f.name != "text"] + [T.StructField(f, T.DoubleType()) for f in FEATURES])
+    scored = model(given.mapInArrow(extract(sent), schema))
     # Calibration has steps; within a step the trees' own probability orders the rows.
     score = F.least(F.greatest(0.98 * F.col("calibrated") + 0.02 * F.col("raw"), F.lit(0.0)), F.lit(1.0))
-    return scored.select(*others, score.alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return scored.select("given.*", "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
