@@ -1,10 +1,10 @@
 """Language-model scores from a subword lattice.
 
-The model draws pieces of an existing subword vocabulary independently, so a text's probability is the sum over all of
-its segmentations. White space is the piece vocabulary's word mark, hence a text's lattice falls apart into one lattice
-per word, and a word's marginal log-probability is computed once, by a log-space forward recursion over its bytes. The
-vocabulary's own scores weight the pieces at first; a few expectation steps over the training words' lattices
-re-weight them. Word counts are gathered from all training documents.
+The model draws pieces independently, so a text's probability is the sum over all of its segmentations. White space is
+the piece vocabulary's word mark, hence a text's lattice falls apart into one lattice per word, and a word's marginal
+log-probability is computed once, by a log-space forward recursion over its bytes. The pieces are those of an existing
+subword vocabulary, weighted by its own scores, and every word of the training documents as a piece of its own, weighted
+by its count; the words' share of all weight is that of tokens seen before (Witten-Bell).
 """
 
 from __future__ import annotations
@@ -21,30 +21,37 @@ from pyspark.sql import functions as F
 from tickframe.llm.linededup import texts
 from tickframe.llm.storage import bucket_count, corpus_size, in_small_batches, materialize
 from tickframe.llm.suffixdedup import _batch, _packed
-from tickframe.llm.textbatch import NOT_SPACE, U64, prefix_sums, slices, substring_hash, to_bytes_array, unpack_planes, word_spans
+from tickframe.llm.textbatch import (
+    NOT_SPACE,
+    U64,
+    prefix_sums,
+    slices,
+    substring_hash,
+    to_bytes_array,
+    unpack_planes,
+    word_hash,
+    word_spans,
+)
 
 MARK = "▁".encode()
-#: Weight of the vocabulary's own scores, in expected pieces, beside the corpus' expected counts.
-PRIOR_PIECES = 1000.0
-EXPECTATION_STEPS = 4
 #: The most frequent words, whose scores every task holds; all others are joined by shuffle.
 HEAD_WORDS = 200_000
 WORDS_A_FLUSH = 400_000
-#: Words handled at once by the lattice; bytes from which a word is walked alone.
-LATTICE_WORDS, LONG_WORD = 20_000, 64
+#: Words and bytes handled at once by the lattice; a longer word is walked window by window of so many bytes.
+LATTICE_WORDS, LATTICE_BYTES = 20_000, 1 << 18
 CHUNK_ROWS = 1 << 14
 LN10 = float(np.log(10.0))
 
 
 class Pieces:
-    """A piece vocabulary with log-weights; every byte is a piece, so that any word has a path."""
+    """A piece vocabulary; every byte is a piece, so that any word has a path."""
 
-    def __init__(self, pieces: list[bytes], log_weight: np.ndarray):
+    def __init__(self, pieces: list[bytes]):
         self.longest = max(map(len, pieces))
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         hashes = substring_hash(prefix_sums(np.frombuffer(b"".join(pieces), np.uint8), fold_case=False), offsets[:-1], offsets[1:])
         self.order = np.argsort(hashes)
-        self.hashes, self.log_weight = hashes[self.order], log_weight
+        self.hashes = hashes[self.order]
         #: For each 16-bit hash prefix, where its hashes begin.
         self.starts = np.searchsorted(self.hashes >> U64(48), np.arange(65537, dtype=np.uint64))
         self.deepest = int(np.diff(self.starts).max())
@@ -80,70 +87,79 @@ def read_pieces(model_path: str) -> tuple[list[bytes], np.ndarray]:
 
 
 class Lattice:
-    """Edges (start, end, piece) of the lattices of many words; node i of word w is flat place first[w] + i."""
+    """Edges (start, end, piece) of the lattices of many texts; node i of text w is flat place first[w] + i."""
 
-    def __init__(self, words: list[bytes], pieces: Pieces):
-        marked = [MARK + w for w in words]
-        sizes = np.array([len(m) for m in marked], np.int64)
-        data = np.frombuffer(b"".join(marked), np.uint8)
+    def __init__(self, texts: list[bytes], pieces: Pieces):
+        sizes = np.array([len(t) for t in texts], np.int64)
+        data = np.frombuffer(b"".join(texts), np.uint8)
         ends = np.cumsum(sizes)
         begin = ends - sizes
-        self.first = begin + np.arange(len(words))
+        self.first = begin + np.arange(len(texts))
         self.last = self.first + sizes
-        self.nodes = len(data) + len(words)
-        word = np.repeat(np.arange(len(words)), sizes)
+        self.nodes = len(data) + len(texts)
+        text = np.repeat(np.arange(len(texts)), sizes)
         places = np.arange(len(data))
         sums = prefix_sums(data, fold_case=False)
         start, end, piece, level = [], [], [], []
         for n in range(1, pieces.longest + 1):
-            at = places[places + n <= ends[word]] if len(places) else places
+            at = places[places + n <= ends[text]] if len(places) else places
             found = pieces.find(substring_hash(sums, at, at + n))
             at, found = at[found >= 0], found[found >= 0]
-            start.append(at + word[at])
-            end.append(at + word[at] + n)
+            start.append(at + text[at])
+            end.append(at + text[at] + n)
             piece.append(found)
-            level.append(at - begin[word[at]] + n)
+            level.append(at - begin[text[at]] + n)
         self.start, self.end, self.piece, self.level = (np.concatenate(x) for x in (start, end, piece, level))
-        self.owner = word
-
-    @staticmethod
-    def _sweep(level: np.ndarray, into: np.ndarray, out_of: np.ndarray, weight: np.ndarray, value: np.ndarray) -> None:
-        """Log-space sums into nodes, one level at a time."""
-        order = np.lexsort((into, level))
-        level, into, out_of, weight = level[order], into[order], out_of[order], weight[order]
-        cuts = np.append(np.flatnonzero(np.diff(level, prepend=-1 << 40)), len(level))
+
+    def forward(self, log_weight: np.ndarray, value: np.ndarray) -> None:
+        """Add the log-space sums over all paths into ``value``, one level of nodes at a time."""
+        order = np.lexsort((self.end, self.level))
+        level, into, out_of = self.level[order], self.end[order], self.start[order]
+        weight = log_weight[self.piece[order]]
+        cuts = np.append(np.flatnonzero(np.diff(level, prepend=-1)), len(level))
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             score = value[out_of[lo:hi]] + weight[lo:hi]
             edge = np.flatnonzero(np.diff(into[lo:hi], prepend=-1))
-            top = np.maximum.reduceat(score, edge)
+            top = np.maximum(np.maximum.reduceat(score, edge), -1e300)
             spread = np.repeat(top, np.diff(edge, append=hi - lo))
-            value[into[lo:hi][edge]] = top + np.log(np.add.reduceat(np.exp(score - spread), edge))
-
-    def forward(self, log_weight: np.ndarray) -> np.ndarray:
-        value = np.full(self.nodes, -np.inf)
-        value[self.first] = 0.0
-        self._sweep(self.level, self.end, self.start, log_weight[self.piece], value)
-        return value
-
-    def backward(self, log_weight: np.ndarray) -> np.ndarray:
-        value = np.full(self.nodes, -np.inf)
-        value[self.last] = 0.0
-        self._sweep(-(self.start - self._first_of_edge()), self.start, self.end, log_weight[self.piece], value)
-        return value
-
-    def _first_of_edge(self) -> np.ndarray:
-        return self.first[np.searchsorted(self.first, self.start, "right") - 1]
-
-    def marginal(self, log_weight: np.ndarray) -> np.ndarray:
-        """Natural log-probability of each word over all segmentations."""
-        return self.forward(log_weight)[self.last]
-
-    def expected(self, log_weight: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Expected number of each piece, words weighted by ``counts``."""
-        ahead, behind = self.forward(log_weight), self.backward(log_weight)
-        word = np.searchsorted(self.first, self.start, "right") - 1
-        share = np.exp(ahead[self.start] + log_weight[self.piece] + behind[self.end] - ahead[self.last][word])
-        return np.bincount(self.piece, share * counts[word], minlength=len(log_weight))
+            nodes = into[lo:hi][edge]
+            value[nodes] = np.logaddexp(value[nodes], top + np.log(np.add.reduceat(np.exp(score - spread), edge)))
+
+
+def long_marginal(text: bytes, pieces: Pieces, log_weight: np.ndarray, window: int = LATTICE_BYTES) -> float:
+    """Natural log-probability of one text of any length: windows of edges, of which only the last nodes are carried."""
+    carried = np.full(pieces.longest, -np.inf)
+    carried[0] = 0.0
+    for at in range(0, len(text), window):
+        part = text[at : at + window + pieces.longest - 1]
+        lattice = Lattice([part], pieces)
+        own = lattice.start < window
+        lattice.start, lattice.end, lattice.piece, lattice.level = (x[own] for x in (lattice.start, lattice.end, lattice.piece, lattice.level))
+        value = np.full(max(lattice.nodes, window + pieces.longest), -np.inf)
+        value[: len(carried)] = carried
+        with np.errstate(divide="ignore"):
+            lattice.forward(log_weight, value)
+        carried = value[window : window + pieces.longest]
+    return float(value[len(text) - at]) if text else 0.0
+
+
+def marginals(words: list[bytes], pieces: Pieces, log_weight: np.ndarray, window: int = LATTICE_BYTES) -> np.ndarray:
+    """Natural log-probability of each marked word over all segmentations."""
+    marked = [MARK + w for w in words]
+    sizes = np.array([len(m) for m in marked], np.int64)
+    out = np.empty(len(words))
+    long = sizes > window
+    for i in np.flatnonzero(long):
+        out[i] = long_marginal(marked[i], pieces, log_weight, window)
+    short = np.flatnonzero(~long)
+    turn = np.maximum(np.cumsum(sizes[short]) // window, np.arange(len(short)) // LATTICE_WORDS)
+    for own in np.split(short, np.flatnonzero(np.diff(turn)) + 1):
+        lattice = Lattice([marked[i] for i in own], pieces)
+        value = np.full(lattice.nodes, -np.inf)
+        value[lattice.first] = 0.0
+        lattice.forward(log_weight, value)
+        out[own] = value[lattice.last]
+    return out
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -167,40 +183,26 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(train, test)
 
 
-def expected_pieces(sent, log_weight):
-    """Task function: expected piece counts of a task's words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: Pieces = sent.value
-        weights = log_weight.value
-        total = np.zeros(len(weights))
-        for batch in batches:
-            for at in range(0, batch.num_rows, LATTICE_WORDS):
-                part = batch.slice(at, LATTICE_WORDS)
-                total += Lattice(part.column("word").to_pylist(), pieces).expected(weights, part.column("c").to_numpy())
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], names=["piece", "expected"])
-
-    return run
-
-
 LEXICON = "bucket int, hash long, c long, lp double"
 
 
-def score_words(sent, log_weight, buckets: int):
-    """Task function: (bucket, hash, c, log-probability) of each word."""
+def score_words(sent, buckets: int):
+    """Task function: (bucket, hash, c, log-probability) of each word, by its lattice and as a piece of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: Pieces = sent.value
+        pieces, log_weight, total = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, LATTICE_WORDS):
                 part = batch.slice(at, LATTICE_WORDS)
                 words = part.column("word").to_pylist()
-                lp = Lattice(words, pieces).marginal(log_weight.value)
+                with np.errstate(divide="ignore"):
+                    whole = np.log(part.column("c").to_numpy() / total)
+                lp = np.logaddexp(marginals(words, pieces, log_weight), whole)
                 offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-                hashes = substring_hash(prefix_sums(np.frombuffer(b"".join(words), np.uint8)), offsets[:-1], offsets[1:])
+                hashes = word_hash(np.frombuffer(b"".join(words), np.uint8), offsets[:-1], offsets[1:])
                 bucket = (hashes & U64(buckets - 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(hashes.view(np.int64)), part.column("c"), pa.array(lp)], names=["bucket", "hash", "c", "lp"])
+                columns = [pa.array(bucket), pa.array(hashes.view(np.int64)), part.column("c"), pa.array(lp)]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "hash", "c", "lp"])
 
     return run
 
@@ -229,7 +231,7 @@ def score_head(head, buckets: int, base_of):
             data, offsets = to_bytes_array(batch.column("text"))
             for first, end, chunk, at in slices(data, offsets):
                 starts, ends, before = word_spans(chunk, at, NOT_SPACE)
-                words = substring_hash(prefix_sums(chunk), starts, ends)
+                words = word_hash(chunk, starts, ends)
                 place = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
                 hit = known[place] == words if len(known) else np.zeros(len(words), bool)
                 rows = np.arange(rid + first, rid + end)
@@ -310,9 +312,10 @@ def score_documents(docs: DataFrame, model_path: str, head_words: int = HEAD_WOR
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probability of the text: its
     words' marginals and one end). Tokens are the words cut at ASCII white space, A-Z lower-cased, then one end; null
-    and empty texts are an end alone. Rows with crc32(doc_id) mod 5 = 1 are only scored. Repeated rows each count and
-    get their row. Other columns are not read; an empty table gives no rows. To the driver come the expected counts of
-    the vocabulary's pieces and the ``head_words`` most frequent words' numbers, whatever the corpus.
+    and empty texts are an end alone. Rows with crc32(doc_id) mod 5 = 1 are only scored; rows without a doc_id are
+    learnt from. Repeated rows each count and get their row. Other columns are not read; an empty table gives no rows.
+    To the driver come the ``head_words`` most frequent words' numbers, whatever the corpus; all other words' counts and
+    probabilities stay in Spark and meet the texts in a join.
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
@@ -324,20 +327,12 @@ def score_documents(docs: DataFrame, model_path: str, head_words: int = HEAD_WOR
     tokens, distinct = totals["n"] + ends, totals["v"] + (ends > 0)
     base = BaseScore(tokens, distinct)
 
-    texts_of, prior = read_pieces(model_path)
-    pieces = Pieces(texts_of, prior)
-    sent = sc.broadcast(pieces)
-    end_weight = ends + 1.0  # the end is a piece of its own
-    log_weight, train = prior, words.where("c > 0")
-    for _ in range(EXPECTATION_STEPS):
-        counts = PRIOR_PIECES * np.exp(prior)
-        found = train.mapInArrow(expected_pieces(sent, sc.broadcast(log_weight)), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("e"))
-        for r in found.collect():
-            counts[r["piece"]] += r["e"]
-        log_weight = np.log(counts / (counts.sum() + end_weight))
-    end_lp = float(np.log(end_weight / (counts.sum() + end_weight)))
-
-    lexicon = materialize(words.mapInArrow(score_words(sent, sc.broadcast(log_weight), buckets), LEXICON), "lexicon")
+    # A word piece weighs c / total, the vocabulary's pieces share a count of one for each distinct token.
+    pieces, prior = read_pieces(model_path)
+    total = tokens + distinct + 1.0
+    sent = sc.broadcast((Pieces(pieces), prior + np.log((distinct + 0.5) / total), total))
+    end_lp = float(np.log((ends + 0.5) / total))
+    lexicon = materialize(words.mapInArrow(score_words(sent, buckets), LEXICON), "lexicon")
     head = lexicon.select("hash", "c", "lp").orderBy(F.desc("c"), "hash").limit(head_words).toArrow()
     known = head.column("hash").to_numpy().view(np.uint64)
     order = np.argsort(known)
