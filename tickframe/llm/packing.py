@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.llm.storage import in_small_batches, materialize
-from tickframe.llm.textbatch import NOT_SPACE, prefix_sums, slices, substring_hash, to_bytes_array, word_spans
+from tickframe.llm.textbatch import NOT_SPACE, slices, to_bytes_array, word_hash, word_spans
 
 CAPACITY = 2048
 #: Words whose ids a worker remembers, in about 40 bytes each.
@@ -33,10 +33,18 @@ PIECES_A_SALT = 20_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+#: Texts on which a tokenizer shows what it does with case, white space and plain words.
+PROBES = ["ab", "The", "WORDS", "word.", "straße", "École", "naïve,", "don", "x1", "señor", "Über", "tokenisation", "façade!?", "hello", "zzyzx", "日本", "éé", "e\u0301"]
+
+
 class WordIds:
-    """Ids of white-space separated words by word hash, as flat arrays. White space always ends a token, so words stand
-    alone. New words are encoded by the tokenizer: lower-case letters with trailing punctuation are two of its words,
-    which need none of its normalising and splitting rules and are encoded without them, many at once."""
+    """Ids of white-space separated words by word hash, as flat arrays.
+
+    Words stand alone where white space ends a token (``splits``), and share ids across case where the tokenizer folds A-Z
+    (``folds``); both are told by PROBES, not by the data. New words are encoded by the tokenizer. Where the probes allow
+    it (``trusted``), lower-case letters with trailing punctuation are two of its words, which need none of its
+    normalising and splitting rules and are encoded without them, many at once.
+    """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -49,8 +57,16 @@ class WordIds:
         for token, number in vocabulary.items():
             self.ends_word[number] = token.endswith("</w>")
         self.tails: dict[str, list[int]] = {"": []}
-        self.trusted = True
         self.clear()
+        alone = [self.ids(p) for p in PROBES]
+        spaced = [(" ", "  ", "\n", "\t", " \n ")[i % 5].join(PROBES[i : i + 3]) for i in range(len(PROBES) - 2)]
+        self.splits = all(self.ids(t) == sum(alone[i : i + 3], []) for i, t in enumerate(spaced)) and not self.ids(" \n")
+        self.folds = all(self.ids(p.translate(ASCII_LOWER)) == ids and self.ids(p.upper() if p.isascii() else p) == ids for p, ids in zip(PROBES, alone, strict=True))
+        self.trusted = self.folds
+        self.trusted = self.trusted and self._encode(PROBES) == alone
+
+    def ids(self, text: str) -> list[int]:
+        return self.full.encode(text, add_special_tokens=False).ids
 
     def clear(self) -> None:
         none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -67,6 +83,16 @@ class WordIds:
                 place[hit], length[hit] = places[at[hit]], lengths[at[hit]]
         return place, length
 
+    def of_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows in one array, and where each row's begin and end."""
+        starts, ends, before = word_spans(data, offsets, NOT_SPACE)
+        # Special tokens are case-sensitive, whatever the rest is.
+        hashes = word_hash(data, starts, ends, fold_case=self.folds and b"<|" not in data.tobytes())
+        place, length = self.of(hashes, starts, ends, data)
+        total = np.concatenate([[0], np.cumsum(length)])
+        ids = self.flat[np.arange(total[-1]) + np.repeat(place - total[:-1], length)].astype("<u4")
+        return ids, total[before]
+
     def of(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place and length in ``flat`` of every word's ids."""
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
@@ -110,12 +136,10 @@ class WordIds:
                 split.append((i, core, tail))
                 cores[core] = []
                 if tail not in self.tails:
-                    self.tails[tail] = self.full.encode(tail, add_special_tokens=False).ids
+                    self.tails[tail] = self.ids(tail)
         self._encode_plain(list(cores), cores)
         for i, core, tail in split:
             found[i] = cores[core] + self.tails[tail] if tail else cores[core]
-        if any(found[i] != self.full.encode(words[i], add_special_tokens=False).ids for i, _, _ in split[:: max(1, len(split) // 32)]):
-            self.trusted, found = False, [None] * len(words)  # another kind of tokenizer: encode whole words only
         rest = [i for i, f in enumerate(found) if f is None]
         for i, e in zip(rest, self.full.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
             found[i] = e.ids
@@ -153,13 +177,11 @@ def tokenise(tokenizer, capacity: int, end_id: int):
             out: tuple[list, ...] = ([], [], [], [], [])
             doc_ids = batch.column("doc_id").to_pylist()
             for first, end, data, offsets in slices(*to_bytes_array(batch.column("text"))):
-                starts, ends, before = word_spans(data, offsets, NOT_SPACE)
-                # Special tokens are case-sensitive, all else is not.
-                hashes = substring_hash(prefix_sums(data, fold_case=b"<|" not in data.tobytes()), starts, ends)
-                place, length = words.of(hashes, starts, ends, data)
-                total = np.concatenate([[0], np.cumsum(length)])
-                ids = words.flat[np.arange(total[-1]) + np.repeat(place - total[:-1], length)].astype("<u4")
-                cuts = total[before]
+                if words.splits:
+                    ids, cuts = words.of_words(data, offsets)
+                else:
+                    found = [words.ids(data[a:b].tobytes().decode()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                    ids, cuts = np.fromiter(chain.from_iterable(found), "<u4"), np.concatenate([[0], np.cumsum(list(map(len, found)))])
                 for row in range(end - first):
                     own = np.append(ids[cuts[row] : cuts[row + 1]], np.array([end_id], "<u4")).astype("<u4")
                     for piece, start in enumerate(range(0, len(own), capacity)):
@@ -228,7 +250,8 @@ class Plan:
                     continue
                 three_least = self._least(3, length)
                 if (three_least is None or three_least > room) and best != length and self._best_pair(sizes, room, length) <= best:
-                    self._fix([length, best], 1)
+                    # What is taken away only leaves fewer pairs and larger sums: it holds for all pieces of both lengths.
+                    self._fix([length, best], min(self.left[length], self.left[best]))
                     continue
                 break
 
@@ -313,7 +336,9 @@ def pack_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACIT
     Returns one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. A document's ids are the
     tokenizer's without special tokens, then ``end_id``; null and empty texts are ``end_id`` alone. Rows that repeat a
     doc_id are packed as documents of their own. Other columns are not read; an empty table gives no rows. What reaches
-    the driver is the histogram of piece lengths, ``capacity`` numbers at most.
+    the driver is the histogram of piece lengths, ``capacity`` numbers at most, and the plan has a few slots for each
+    length. Any tokenizer of the ``tokenizers`` package will do: one that keeps case or joins words across white space is
+    given whole words or whole texts, which is slower. A row without a doc_id is packed like any other.
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
