@@ -9,19 +9,25 @@ whose spans are merged per document.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm.storage import in_small_batches
-from tickframe.llm.textbatch import WORD_CHARS, prefix_sums, slices, substring_hash, to_bytes_array, word_spans
+from tickframe.llm.storage import broadcast_if_small, in_small_batches, materialize
+from tickframe.llm.textbatch import WORD_CHARS, slices, to_bytes_array, word_hash, word_spans
 
-#: Benchmark words searched at once; a larger benchmark is searched in several blocks.
-BLOCK_WORDS = 1 << 20
+#: Benchmark words searched at once, of which the phrases are broadcast (about 60 bytes a word); a larger benchmark is
+#: searched in several passes, whose hits meet in a join.
+BLOCK_WORDS = 1 << 18
+#: Hits of several passes are broadcast to the texts if there are at most so many documents with any.
+BROADCAST_HITS = 100_000
 #: Words of a shard; a longer document makes a shard of its own.
 SHARD_WORDS = 1 << 19
 SAMPLE_EVERY = 8
@@ -34,7 +40,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     total = 0
     for _, _, chunk, at in slices(data, offsets):
         starts, ends, before = word_spans(chunk, at, WORD_CHARS)
-        parts.append(substring_hash(prefix_sums(chunk), starts, ends))
+        parts.append(word_hash(chunk, starts, ends))
         counts.append(before[1:] + total)
         total += len(starts)
     return np.concatenate(parts), np.concatenate(counts)
@@ -71,7 +77,7 @@ def build_phrases(items: list[str], hashes: np.ndarray, offsets: np.ndarray, win
             owners.add((number, item))
     owned = np.array(sorted(owners), np.int64).reshape(-1, 2)
     lengths = np.array([len(t) for t in texts], np.int64)
-    symbols = np.concatenate(texts) if texts else np.zeros(0, np.int64)
+    symbols = np.concatenate(texts) if texts else np.zeros(0, np.int64)  # windows overlap: one symbol stands in several
     starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
     inside = np.ones(max(0, len(symbols) - 1), bool)
     inside[starts[1:-1] - 1] = False
@@ -210,80 +216,135 @@ def search_shard(hashes: np.ndarray, offsets: np.ndarray, phrases: Phrases, delt
     return pair // len(phrases.items), pair % len(phrases.items)
 
 
-def scan(blocks: list, schema: pa.Schema):
-    """Task function: gathers shards and appends their n_words, n_hit, items and spans to every row."""
+@dataclass
+class Shard:
+    """Rows of a task whose texts are searched at once."""
 
-    def finish(shard: list[pa.RecordBatch], hashes: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(shard).combine_chunks()
-        words = np.concatenate(hashes)
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64)
-        delta = np.zeros(len(words) + 1, np.int64)
-        found: list[set[str]] = [set() for _ in range(rows.num_rows)]
-        for block in blocks:
-            for row, item in zip(*search_shard(words, offsets, block.value, delta), strict=True):
-                found[row].add(block.value.items[item])
-        hit = np.cumsum(delta[:-1]) > 0
-        total = np.concatenate([[0], np.cumsum(hit)])
-        n_hit = total[offsets[1:]] - total[offsets[:-1]]
+    rows: pa.Table
+    words: np.ndarray
+    offsets: np.ndarray
+
+    def search(self, phrases: Phrases | None) -> tuple[np.ndarray, list[set[str]]]:
+        """Which words are hit, and each row's items."""
+        delta = np.zeros(len(self.words) + 1, np.int64)
+        found: list[set[str]] = [set() for _ in range(self.rows.num_rows)]
+        if phrases is not None:
+            for row, item in zip(*search_shard(self.words, self.offsets, phrases, delta), strict=True):
+                found[row].add(phrases.items[item])
+        return np.cumsum(delta[:-1]) > 0, found
+
+    def spans(self, hit: np.ndarray) -> list[list[dict]]:
+        """Each row's merged runs of hit words."""
         edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-        spans: list[list[dict]] = [[] for _ in range(rows.num_rows)]
+        spans: list[list[dict]] = [[] for _ in range(self.rows.num_rows)]
         for lo, hi in zip(edge[::2], edge[1::2], strict=True):
-            first, last = np.searchsorted(offsets, lo, "right") - 1, np.searchsorted(offsets, hi - 1, "right") - 1
+            first, last = np.searchsorted(self.offsets, lo, "right") - 1, np.searchsorted(self.offsets, hi - 1, "right") - 1
             for r in range(first, last + 1):  # a run of hit words may touch the end of one row and the start of the next
-                a, b = max(lo, offsets[r]), min(hi, offsets[r + 1])
+                a, b = max(lo, self.offsets[r]), min(hi, self.offsets[r + 1])
                 if a < b:
-                    spans[r].append({"start": int(a - offsets[r]), "end": int(b - offsets[r])})
-        added = {
-            "n_words": pa.array(np.diff(offsets), pa.int64()), "n_hit": pa.array(n_hit, pa.int64()), "n_items": pa.array([len(x) for x in found], pa.int64()),
-            "items": pa.array([sorted(x) for x in found], pa.list_(pa.string())), "items_sha256": pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in found], pa.string()),
-            "spans": pa.array(spans, schema.field("spans").type),
-        }
-        columns = [added[n] if n in added else rows.column(n).combine_chunks() for n in schema.names]
-        return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], names=schema.names)
+                    spans[r].append({"start": int(a - self.offsets[r]), "end": int(b - self.offsets[r])})
+        return spans
+
+
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
+    """A task's rows in shards of about SHARD_WORDS words."""
+    rows, hashes, counts, size = [], [], [], 0
+
+    def shard() -> Shard:
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64)
+        return Shard(pa.Table.from_batches(rows), np.concatenate(hashes), offsets)
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2000):
+            part = batch.slice(at, 2000)
+            found, before = word_hashes(part.column("text"))
+            rows.append(part)
+            hashes.append(found)
+            counts.append(np.diff(before))
+            size += len(found)
+            if size >= SHARD_WORDS:
+                yield shard()
+                rows, hashes, counts, size = [], [], [], 0
+    if rows:
+        yield shard()
+
+
+SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+ADDED = ["n_words", "n_hit", "n_items", "items", "items_sha256", "spans"]
+
+
+def marked(shard: Shard, hit: np.ndarray, items: list[list[str]], drop: list[str]) -> pa.RecordBatch:
+    """The shard's rows without the columns in ``drop``, and the ADDED ones."""
+    total = np.concatenate([[0], np.cumsum(hit)])
+    joined = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+    added = [
+        pa.array(np.diff(shard.offsets), pa.int64()), pa.array(total[shard.offsets[1:]] - total[shard.offsets[:-1]], pa.int64()), pa.array([len(x) for x in items], pa.int64()),
+        pa.array(items, pa.list_(pa.string())), pa.array(joined, pa.string()), pa.array(shard.spans(hit), SPAN_TYPE),
+    ]
+    names = [n for n in shard.rows.schema.names if n not in drop]
+    given = [shard.rows.column(n).combine_chunks() for n in names]
+    given = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in given]
+    return pa.RecordBatch.from_arrays([*given, *added], names=[*names, *ADDED])
+
+
+def scan(sent):
+    """Task function: rows with their n_words, n_hit, items and spans, by the one block of phrases that was broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = pickle.loads(sent.value) if sent else None
+        for shard in shards(batches):
+            hit, found = shard.search(phrases)
+            yield marked(shard, hit, [sorted(x) for x in found], [])
+
+    return run
+
+
+def scan_hits(sent):
+    """Task function: of the rows with hits in the broadcast block, the key, spans and items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, hashes, counts, size = [], [], [], 0
-        for batch in batches:
-            step = max(1, min(batch.num_rows, 2000))
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                found, before = word_hashes(part.column("text"))
-                shard.append(part)
-                hashes.append(found)
-                counts.append(np.diff(before))
-                size += len(found)
-                if size >= SHARD_WORDS:
-                    yield finish(shard, hashes, counts)
-                    shard, hashes, counts, size = [], [], [], 0
-        if shard:
-            yield finish(shard, hashes, counts)
+        phrases = pickle.loads(sent.value)
+        for shard in shards(batches):
+            hit, found = shard.search(phrases)
+            spans = shard.spans(hit)
+            on = [i for i, x in enumerate(spans) if x]
+            key = shard.rows.column(KEY).combine_chunks().take(pa.array(on, pa.int64()))
+            key = key.combine_chunks() if isinstance(key, pa.ChunkedArray) else key
+            columns = [key, pa.array([spans[i] for i in on], SPAN_TYPE), pa.array([sorted(found[i]) for i in on], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[KEY, HIT_SPANS, HIT_ITEMS])
 
     return run
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int, block_words: int) -> list[Phrases]:
-    """The benchmark's phrases in blocks of about ``block_words`` words; rows without an id or text have none."""
-    blocks: list[Phrases] = []
-    ids: list[str] = []
-    texts: list[str] = []
+def merge_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the hits of all passes merged."""
+    for shard in shards(batches):
+        delta = np.zeros(len(shard.words) + 1, np.int64)
+        for row, spans in enumerate(shard.rows.column(HIT_SPANS).to_pylist()):
+            for span in spans or ():
+                delta[shard.offsets[row] + span["start"]] += 1
+                delta[shard.offsets[row] + span["end"]] -= 1
+        items = [sorted(x or ()) for x in shard.rows.column(HIT_ITEMS).to_pylist()]
+        yield marked(shard, np.cumsum(delta[:-1]) > 0, items, [KEY, HIT_SPANS, HIT_ITEMS])
+
+
+KEY, HIT_SPANS, HIT_ITEMS = "__row_key", "__hit_spans", "__hit_items"
+
+
+def phrase_blocks(benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+    """(block, phrases): the benchmark's phrases, pickled, in blocks of about ``block_words`` words, which tasks build."""
 
-    def close() -> None:
-        hashes, offsets = word_hashes(pa.array(texts, pa.large_string()))
-        blocks.append(build_phrases(list(ids), hashes, offsets, window))
-        ids.clear()
-        texts.clear()
+    def build(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        hashes, offsets = word_hashes(rows.column("text"))
+        raw = pickle.dumps(build_phrases(rows.column("item_id").to_pylist(), hashes, offsets, window), protocol=5)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([raw], pa.binary())], names=["block", "phrases"])
 
-    size = 0
-    for row in benchmark.selectExpr("cast(item_id as string) AS item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
-        ids.append(row["item_id"])
-        texts.append(row["text"])
-        size += len(row["text"]) // 5 + 1
-        if size >= block_words:
-            close()
-            size = 0
-    if ids:
-        close()
-    return blocks
+    items = benchmark.selectExpr("cast(item_id as string) AS item_id", "text").where("item_id is not null and text is not null")
+    words = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // 5
+    blocks = max(1, -(-words // block_words))
+    dealt = items.select(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block"), "item_id", "text")
+    return materialize(dealt.groupBy("block").applyInArrow(build, "block long, phrases binary"), "phrases")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -291,15 +352,30 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
 
     Returns every row with its columns plus n_words, n_hit, n_items, items (ids as sorted strings), items_sha256, spans
     (merged runs of hit words, end exclusive) and contaminated (n_hit > 0 and share * n_hit >= n_words). Null and empty
-    texts have no words. Repeated rows each get their result, repeated items count once. Columns of ``docs`` with the
-    names of the added ones are replaced. Empty tables give no rows, or rows without hits.
+    texts have no words. Repeated rows each get their result, repeated items count once; items without an id or text
+    have no phrases. A row without a doc_id is one like any other. Columns of ``docs`` with the names of the added ones
+    are replaced. Empty tables give no rows, or rows without hits. To the driver and the tasks comes one block of phrases
+    at a time, of ``block_words`` words or of one longer item.
     """
-    names = ["n_words", "n_hit", "n_items", "items", "items_sha256", "spans", "contaminated"]
-    docs = in_small_batches(docs.drop(*names))
+    docs = in_small_batches(docs.drop(*ADDED, "contaminated"))
     sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(b) for b in benchmark_blocks(benchmark, window, block_words)]
-    schema = T.StructType(list(docs.schema.fields))
-    for name, kind in zip(names, [T.LongType()] * 3 + [T.ArrayType(T.StringType()), T.StringType(), T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))], strict=False):
-        schema.add(name, kind)
-    arrow = pa.schema([pa.field(n, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])) if n == "spans" else pa.null()) for n in schema.names])
-    return docs.mapInArrow(scan(blocks, arrow), schema).selectExpr("*", f"n_hit > 0 AND {int(share)} * n_hit >= n_words AS contaminated")
+    blocks = phrase_blocks(benchmark, window, block_words)
+    numbers = [r["block"] for r in blocks.select("block").collect()]
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    kinds = [T.LongType()] * 3 + [T.ArrayType(T.StringType()), T.StringType(), T.ArrayType(span)]
+    schema = T.StructType(docs.schema.fields + [T.StructField(n, k) for n, k in zip(ADDED, kinds, strict=True)])
+
+    def sent(block: int):
+        return sc.broadcast(bytes(blocks.where(F.col("block") == block).first()["phrases"]))
+
+    if len(numbers) <= 1:
+        found = docs.mapInArrow(scan(sent(numbers[0]) if numbers else None), schema)
+    else:
+        # Rows with the same doc_id and text have the same hits.
+        keyed = docs.withColumn(KEY, F.concat_ws("-", F.xxhash64("doc_id", "text"), F.xxhash64("text", F.lit(1), "doc_id")))
+        passes = [keyed.select(KEY, "text").mapInArrow(scan_hits(sent(b)), f"{KEY} string, {HIT_SPANS} array<struct<start:int,end:int>>, {HIT_ITEMS} array<string>") for b in numbers]
+        hits = reduce(DataFrame.unionByName, [materialize(p, "hits").dropDuplicates([KEY]) for p in passes])
+        hits = hits.groupBy(KEY).agg(F.flatten(F.collect_list(HIT_SPANS)).alias(HIT_SPANS), F.array_distinct(F.flatten(F.collect_list(HIT_ITEMS))).alias(HIT_ITEMS))
+        hits = materialize(hits, "merged")
+        found = keyed.join(broadcast_if_small(hits, BROADCAST_HITS), KEY, "left").mapInArrow(merge_hits, schema)
+    return found.selectExpr("*", f"n_hit > 0 AND {int(share)} * n_hit >= n_words AS contaminated")
