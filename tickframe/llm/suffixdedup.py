@@ -1,17 +1,20 @@
-"""Removal of byte strings that occur more than once, by sampled suffixes sorted out of core.
-
-Of every ``length``-byte window one position is sampled, by its content alone, so that equal windows sample the same
-place (as reduced suffixes are chosen by local content in induced sorting). The sampled suffixes' tuples (name of the
-first bytes, name of all bytes that decide the windows induced by it, place) are dealt over buckets and sorted there.
-Suffixes whose first name is unique induce no repeat. Suffixes that share the second name have a common prefix over all
-windows they induce, which all repeat. What is left recurses one level down, with a tuple for every single window.
-Nothing but the tuples of one bucket is in memory at a time.
+"""Removal of byte strings that occur more than once, by external induced sorting of suffixes.
+
+Of every ``length``-byte window one suffix is sampled, by its content alone, so that equal windows sample the same place
+(as reduced suffixes are chosen by local content in induced sorting). The sampled suffixes' tuples (name of the first
+bytes, name of all bytes that decide the windows induced by it, place) are dealt over buckets. Suffixes whose first name
+is unique induce no repeat; those that share the second name have a common prefix over all windows they induce, which all
+repeat. What is left goes down one level with its bytes: the sampled suffixes of a bucket are sorted, with the lengths of
+their neighbours' common prefixes, and from their order that of the suffixes one byte to the left is induced, step by
+step: each queue of suffix tuples leaves in order of (byte before, rank), and common prefixes grow by one where the byte
+is the same. A window repeats where a common prefix reaches its length. Spark's shuffle is the disk behind the queues.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ LENGTH = 200
 #: Bytes of a sampled suffix's first name.
 GRAM = 100
 TUPLES_A_FLUSH = 1 << 20
+#: Bytes of regions that a task gathers before it hands them on.
+REGION_BYTES = 16 << 20
 #: Rows of a task that form one chunk; their results meet again by chunk.
 CHUNK_ROWS = 1 << 14
 #: Results of documents are broadcast to the texts if they are smaller than so many bytes, else joined by shuffle.
@@ -80,19 +85,26 @@ def _batch(schema: str, columns: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns.get(k, [None] * n), kinds[t]) for k, t in fields], names=[k for k, _ in fields])
 
 
-SAMPLES = "rid long, rk long, bucket int, name binary, context binary, rids binary, places binary, near binary, far binary"
-GROUPED = "chunk long, status int, rids binary, starts binary, ends binary"
-WINDOWS = "bucket int, low binary, high binary, rids binary, starts binary, wants binary"
+SAMPLES = "rid long, rk long, bucket int, name binary, context binary, rids binary, places binary, near binary, far binary, many binary, chunk long, starts binary, ends binary"
+SPANS = "chunk long, rids binary, starts binary, ends binary"
+#: Sampled suffixes to go on with: near and far are the least and most distance from a window's start to the suffix.
+GROUPED = SPANS + ", names binary, near binary, far binary, wants binary"
+PLACES = "rid long, names binary, places binary, near binary, far binary, wants binary"
+REGIONS = "bucket int, keys binary, rids binary, places binary, low binary, high binary, wants binary, regions binary, chunk long, starts binary, ends binary"
 
 
 def sample_task(buckets: int, length: int, gram: int):
     """Task function: (rid, rk) of each row, and the tuples of sampled suffixes packed by bucket."""
     shift = U64(buckets.bit_length() - 1)
 
-    def flush(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    def flush(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         rid, place, near, far, name, context = (np.concatenate(x) for x in zip(*parts, strict=True))
-        bucket = (name & U64(buckets - 1)).astype(np.int64)
-        return _batch(SAMPLES, _packed(bucket, buckets, {"name": (name >> shift).astype(np.uint32), "context": context, "rids": rid, "places": place, "near": near.astype(np.uint16), "far": far.astype(np.uint16)}))
+        # Of equal contexts one goes on, and says that there are many; the bytes of all of them go.
+        first, many = one_of_each(name, context)
+        yield _spans(SAMPLES, rid[many], (place - far)[many], (place - near + length)[many])
+        rid, place, near, far, name, context, many = (x[first] for x in (rid, place, near, far, name, context, many))
+        columns = {"name": (name >> shift).astype(np.uint32), "context": context, "rids": rid, "places": place, "near": near.astype(np.uint16), "far": far.astype(np.uint16), "many": many.astype(np.uint8)}
+        yield _batch(SAMPLES, _packed((name & U64(buckets - 1)).astype(np.int64), buckets, columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid, parts, held = TaskContext.get().partitionId() << 36, [], 0
@@ -105,11 +117,11 @@ def sample_task(buckets: int, length: int, gram: int):
                 parts.append((row + first + rid, *rest))
                 held += len(row)
                 if held >= TUPLES_A_FLUSH:
-                    yield flush(parts)
+                    yield from flush(parts)
                     parts, held = [], 0
             rid += n
         if held:
-            yield flush(parts)
+            yield from flush(parts)
 
     return run
 
@@ -122,114 +134,205 @@ def _columns(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> list[
     return [np.concatenate(x) for x in parts.values()]
 
 
-def _by_chunk(rid: np.ndarray, start: np.ndarray, end: np.ndarray, status: int) -> pa.RecordBatch:
-    order = np.lexsort((start, rid))
-    rid, start, end = rid[order], start[order], end[order]
-    chunk = rid // CHUNK_ROWS
+def one_of_each(*names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The index of one row for each distinct tuple of names, and for every row whether others have its tuple."""
+    order = np.lexsort(names)
+    new = np.zeros(len(order), bool)
+    for x in names:
+        new |= np.diff(x[order], prepend=~x[order][:1]) != 0
+    kind = np.cumsum(new) - 1
+    many = np.empty(len(order), bool)
+    many[order] = np.bincount(kind, minlength=1)[kind] > 1
+    return np.sort(order[new]), many
+
+
+def _cut(chunk: np.ndarray) -> list[tuple[int, int]]:
     edges = np.append(np.flatnonzero(np.diff(chunk, prepend=-1)), len(chunk))
-    spans = list(zip(edges[:-1], edges[1:], strict=True))
-    return _batch(GROUPED, {"chunk": [int(chunk[a]) for a, _ in spans], "status": [status] * len(spans), **{k: [pack_planes(v[a:b]) for a, b in spans] for k, v in (("rids", rid), ("starts", start), ("ends", end))}})
+    return list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
 
 
-#: What a row of places means: bytes to remove; window starts still to decide; window starts to compare with.
-REMOVE, DECIDE, WITNESS = 0, 1, 2
+def _by_chunk(schema: str, rid: np.ndarray, order: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Columns packed by chunk of rows, in the given order, which sorts by row."""
+    spans = _cut(rid[order] // CHUNK_ROWS)
+    out: dict[str, list] = {"chunk": [int(rid[order[a]] // CHUNK_ROWS) for a, _ in spans]}
+    for name, values in ({"rids": rid} | columns).items():
+        values = values[order]
+        out[name] = [pack_planes(values[a:b]) if values.dtype == np.int64 else values[a:b].tobytes() for a, b in spans]
+    return _batch(schema, out)
+
 
+def _spans(schema: str, rid: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    return _by_chunk(schema, rid, np.lexsort((start, rid)), {"starts": start, "ends": end})
 
-def sorted_bucket(length: int):
-    """Group function: sorts a bucket's suffix tuples and says what each group of equal first names induces."""
+
+def named_bucket(length: int):
+    """Group function: of a bucket's tuples, the spans to remove, and the sampled suffixes to go on with."""
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, context, rid, place, near, far = _columns(batches, {"name": np.uint32, "context": np.uint64, "rids": np.int64, "places": np.int64, "near": np.uint16, "far": np.uint16})
+        name, context, rid, place, near, far, many = _columns(batches, {"name": np.uint32, "context": np.uint64, "rids": np.int64, "places": np.int64, "near": np.uint16, "far": np.uint16, "many": np.uint8})
         order = np.lexsort((context, name))
-        name, context, rid, place, near, far = (x[order] for x in (name, context, rid, place, near.astype(np.int64), far.astype(np.int64)))
+        name, context, rid, place, near, far, many = (x[order] for x in (name, context, rid, place, near.astype(np.int64), far.astype(np.int64), many))
         if not len(name):
             return
-        new_name = np.concatenate([[True], np.diff(name) != 0])
-        new_context = new_name | np.concatenate([[True], np.diff(context) != 0])
+        new_name = np.diff(name, prepend=~name[:1]) != 0
+        new_context = new_name | (np.diff(context, prepend=~context[:1]) != 0)
         group, kind = np.cumsum(new_name) - 1, np.cumsum(new_context) - 1
-        shared = np.bincount(kind)[kind] > 1
-        kinds_in_group = np.bincount(group[new_context])[group]
-        yield _by_chunk(rid[shared], (place - far)[shared], (place - near + length)[shared], REMOVE)
-        decide = ~shared & (kinds_in_group > 1)
-        yield _by_chunk(rid[decide], (place - far)[decide], (place - near)[decide], DECIDE)
-        witness = shared & new_context & (kinds_in_group > 1)
-        yield _by_chunk(rid[witness], (place - far)[witness], (place - near)[witness], WITNESS)
+        shared = np.bincount(kind, 1 + many)[kind] > 1
+        yield _spans(GROUPED, rid[shared], (place - far)[shared], (place - near + length)[shared])
+        # Other contexts under the same name may have windows in common; of a shared context one suffix is the witness.
+        on = (np.bincount(group[new_context])[group] > 1) & (~shared | new_context)
+        rid, place, near, far, wants = rid[on], place[on], near[on].astype(np.uint16), far[on].astype(np.uint16), (~shared[on]).astype(np.uint8)
+        full = name[on].astype(np.int64) << 24 | key[0].as_py()
+        yield _by_chunk(GROUPED, rid, np.lexsort((place, rid)), {"starts": place, "ends": place, "names": full, "near": near, "far": far, "wants": wants})
 
     return run
 
 
 def rows_of_chunk(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per document with all its places, those to remove merged."""
-    status, rid, start, end = [], [], [], []
-    for batch in batches:
-        for s, r, a, b in zip(*(batch.column(c).to_pylist() for c in ("status", "rids", "starts", "ends")), strict=True):
-            rid.append(unpack_planes(r))
-            start.append(unpack_planes(a))
-            end.append(unpack_planes(b))
-            status.append(np.full(len(rid[-1]), s))
-    s, r, a, b = (np.concatenate(x) for x in (status, rid, start, end))
-    order = np.lexsort((a, s, r))
-    s, r, a, b = s[order], r[order], a[order], b[order]
-    edges = np.append(np.flatnonzero(np.diff(r, prepend=-1)), len(r))
-    out: dict[str, list] = {"rid": [], "status": [], "starts": [], "ends": []}
-    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-        x, y, z = a[lo:hi], b[lo:hi], s[lo:hi]
-        gone = z == REMOVE
-        p, q = x[gone], np.maximum.accumulate(y[gone]) if gone.any() else y[gone]
-        fresh = np.concatenate([[True], p[1:] > q[:-1]]) if len(p) else np.zeros(0, bool)
-        p, q = p[fresh], q[np.append(np.flatnonzero(fresh)[1:], len(q)) - 1] if len(p) else q
+    """One row per document with its merged spans."""
+    r, a, b = _columns(batches, {"rids": np.int64, "starts": np.int64, "ends": np.int64})
+    order = np.lexsort((a, r))
+    r, a, b = r[order], a[order], b[order]
+    out: dict[str, list] = {"rid": [], "starts": [], "ends": []}
+    for lo, hi in _cut(r):
+        p, q = a[lo:hi], np.maximum.accumulate(b[lo:hi])
+        fresh = np.concatenate([[True], p[1:] > q[:-1]])
         out["rid"].append(int(r[lo]))
-        out["status"].append(np.concatenate([np.zeros(len(p)), z[~gone]]).astype(np.uint8).tobytes())
-        out["starts"].append(pack_planes(np.concatenate([p, x[~gone]])))
-        out["ends"].append(pack_planes(np.concatenate([q, y[~gone]])))
-    yield _batch("rid long, status binary, starts binary, ends binary", out)
+        out["starts"].append(pack_planes(p[fresh]))
+        out["ends"].append(pack_planes(q[np.append(np.flatnonzero(fresh)[1:], len(q)) - 1]))
+    yield _batch("rid long, starts binary, ends binary", out)
 
 
-def window_task(buckets: int, length: int):
-    """Task function: a tuple for every window that is to be decided or compared with, packed by bucket."""
-    shift = U64(buckets.bit_length() - 1)
+def places_of_chunk(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document with its sampled suffixes to go on with."""
+    kinds = {"rids": np.int64, "names": np.int64, "starts": np.int64, "near": np.uint16, "far": np.uint16, "wants": np.uint8}
+    rid, name, place, near, far, wants = _columns(batches, kinds)
+    order = np.lexsort((place, rid))
+    rid, name, place, near, far, wants = (x[order] for x in (rid, name, place, near, far, wants))
+    spans = _cut(rid)
+    packed = {"names": name, "places": place, "near": near, "far": far, "wants": wants}
+    yield _batch(PLACES, {"rid": [int(rid[a]) for a, _ in spans], **{k: [pack_planes(v[a:b]) if v.dtype == np.int64 else v[a:b].tobytes() for a, b in spans] for k, v in packed.items()}})
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All numbers of the runs that begin at ``first``, run after run."""
+    return np.arange(count.sum()) + np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
 
-    def flush(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        name, rid, start, wants = (np.concatenate(x) for x in zip(*parts, strict=True))
-        rest = name >> shift
-        return _batch(WINDOWS, _packed((name & U64(buckets - 1)).astype(np.int64), buckets, {"low": rest.astype(np.uint32), "high": (rest >> U64(32)).astype(np.uint16), "rids": rid, "starts": start, "wants": wants.astype(np.uint8)}))
+
+def region_task(buckets: int, length: int, gram: int):
+    """Task function: sampled suffixes with the bytes of the windows they induce, packed by bucket.
+
+    A window whose start is up to ``half`` before the suffix holds so many bytes of it that suffixes equal in these alone
+    need to meet; a window that starts earlier, so many bytes before it. So a name that many documents hold falls apart
+    by what stands around it. Of equal regions one goes on, as with equal contexts.
+    """
+    half = (length - gram) // 2
+
+    def flush(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, own, rid, place, low, high, wants = (np.concatenate([p[k] for p in parts]) for k in range(7))
+        raw = np.concatenate([p[7] for p in parts])
+        size = high - low + length
+        at = np.cumsum(size) - size
+        first, many = one_of_each(key, own)
+        gone = many & (wants == 1)
+        yield _spans(REGIONS, rid[gone], (place - high)[gone], (place - low + length)[gone])
+        wants = np.where(many, 0, wants)
+        bucket = (mix(key) & U64(buckets - 1)).astype(np.int64)
+        order = first[np.argsort(bucket[first], kind="stable")]
+        spans = _cut(bucket[order])
+        columns = {"keys": key, "rids": rid, "places": place, "low": low.astype(np.uint16), "high": high.astype(np.uint16), "wants": wants.astype(np.uint8)}
+        out: dict[str, list] = {"bucket": [int(bucket[order[a]]) for a, _ in spans]}
+        for name, values in columns.items():
+            out[name] = [pack_planes(values[order[a:b]]) if values.dtype == np.int64 else values[order[a:b]].tobytes() for a, b in spans]
+        out["regions"] = [raw[_ranges(at[order[a:b]], size[order[a:b]])].tobytes() for a, b in spans]
+        yield _batch(REGIONS, out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
             data, offsets = to_bytes_array(batch.column("text"))
-            for i, (rid, status, starts, ends) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("rid", "status", "starts", "ends")), strict=True)):
-                s, a, b = np.frombuffer(status, np.uint8), unpack_planes(starts), unpack_planes(ends)
-                a, b, s = a[s != REMOVE], b[s != REMOVE], s[s != REMOVE]
-                if not len(a):
-                    continue
-                n = b - a + 1
-                start = np.arange(n.sum()) + np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-                sums = prefix_sums(data[offsets[i] : offsets[i + 1]], fold_case=False)
-                parts.append((substring_hash(sums, start, start + length), np.full(len(start), rid), start, np.repeat(s == DECIDE, n)))
-                held += len(start)
-                if held >= TUPLES_A_FLUSH:
-                    yield flush(parts)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("rid", "names", "places", "near", "far", "wants")), strict=True)
+            for i, (rid, names, places, near, far, wants) in enumerate(rows):
+                own = data[offsets[i] : offsets[i + 1]]
+                sums = prefix_sums(own, fold_case=False)
+                name, place = unpack_planes(names).astype(np.uint64), unpack_planes(places)
+                near, far, wants = np.frombuffer(near, np.uint16).astype(np.int64), np.frombuffer(far, np.uint16).astype(np.int64), np.frombuffer(wants, np.uint8)
+                for left in (False, True):
+                    on = far > half if left else near <= half
+                    p, lo, hi = place[on], np.maximum(near[on], half + 1) if left else near[on], far[on] if left else np.minimum(far[on], half)
+                    around = substring_hash(sums, p - half - 1, p) if left else substring_hash(sums, p, p + length - half)
+                    key = mix(around ^ mix(name[on] << U64(1) | U64(left)))
+                    same = mix(substring_hash(sums, p - hi, p - lo + length) ^ mix(lo.astype(np.uint64) << U64(16) | hi.astype(np.uint64)))
+                    raw = own[_ranges(p - hi, hi - lo + length)]
+                    parts.append((key, same, np.full(len(p), rid), p, lo, hi, wants[on], raw))
+                    held += len(raw)
+                if held >= REGION_BYTES:
+                    yield from flush(parts)
                     parts, held = [], 0
-        if held:
-            yield flush(parts)
+        if parts:
+            yield from flush(parts)
 
     return run
 
 
-def repeated_windows(length: int):
-    """Group function: the bytes of a bucket's undecided windows that occur twice."""
+def lowest_between(lcp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of lcp[a + 1 .. b] for each pair a < b."""
+    if not len(a):
+        return np.zeros(0, np.int64)
+    return np.minimum.reduceat(np.append(lcp, 0), np.stack([a + 1, b + 1], axis=1).ravel())[::2]
+
+
+def sorted_suffixes(group: np.ndarray, raw: np.ndarray, at: np.ndarray, extent: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes raw[at : at + extent] by (group, bytes), and each one's common prefix with the one before."""
+    table = np.zeros((len(at), most), np.uint8)
+    table[np.repeat(np.arange(len(at)), extent), _ranges(np.zeros_like(extent), extent)] = raw[_ranges(at, extent)]
+    order = np.argsort(table.view(f"S{most}").ravel(), kind="stable")
+    order = order[np.argsort(group[order], kind="stable")]
+    lcp = np.zeros(len(at), np.int64)
+    for lo in range(1, len(at), 1 << 14):  # in parts, as a table of comparisons is large
+        a, b = order[lo - 1 : lo + (1 << 14) - 1], order[lo : lo + (1 << 14)]
+        a = a[: len(b)]
+        differ = table[a] != table[b]
+        same = np.where(differ.any(axis=1), differ.argmax(axis=1), most)
+        lcp[lo : lo + len(b)] = np.where(group[a] == group[b], np.minimum(same, np.minimum(extent[a], extent[b])), 0)
+    return order, lcp
+
+
+def induced_bucket(length: int):
+    """Group function: sorts a bucket's sampled suffixes and induces the order of all suffixes to the left of them that
+    start a window; the bytes of those windows whose common prefix with a neighbour reaches ``length`` are to go."""
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low, high, rid, start, wants = _columns(batches, {"low": np.uint32, "high": np.uint16, "rids": np.int64, "starts": np.int64, "wants": np.uint8})
-        name = high.astype(np.uint64) << U64(32) | low
-        order = np.argsort(name)
-        name = name[order]
-        new = np.concatenate([[True], np.diff(name) != 0]) if len(name) else np.zeros(0, bool)
-        again = np.zeros(len(name), bool)
-        again[order] = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1 if len(name) else False
-        found = again & (wants == 1)
-        yield _by_chunk(rid[found], start[found], start[found] + length, REMOVE)
+        kinds = {"keys": np.uint64, "rids": np.int64, "places": np.int64, "low": np.uint16, "high": np.uint16, "wants": np.uint8, "regions": np.uint8}
+        group, rid, place, low, high, wants, raw = _columns(batches, kinds)
+        low, high = low.astype(np.int64), high.astype(np.int64)
+        size = high - low + length
+        suffix = np.cumsum(size) - size + high  # where the sampled suffix begins
+        members = np.unique(group, return_inverse=True, return_counts=True)
+        group, on = members[1], np.flatnonzero(members[2][members[1]] > 1)
+        if not len(on):
+            return
+        order, lcp = sorted_suffixes(group[on], raw, suffix[on], length - low[on], length)
+        order = on[order]
+        found = []
+        for step in range(int(high[on].max()) + 1):
+            best = np.maximum(lcp, np.append(lcp[1:], 0))
+            hit = order[(best >= length) & (low[order] <= step) & (wants[order] == 1)]
+            found.append((rid[hit], place[hit] - step))
+            # A suffix goes on while it has a byte before, and while its common prefix can still reach the length.
+            stay = np.flatnonzero((high[order] > step) & (best + high[order] - step >= length))
+            if not len(stay):
+                break
+            lcp = np.append(0, lowest_between(lcp, stay[:-1], stay[1:]))
+            order = order[stay]
+            before = group[order] << 8 | raw[suffix[order] - step - 1]
+            rank = np.argsort(before, kind="stable")
+            joined = np.flatnonzero(np.diff(before[rank]) == 0)
+            grown = np.zeros(len(rank), np.int64)
+            grown[joined + 1] = 1 + lowest_between(lcp, rank[joined], rank[joined + 1])
+            order, lcp = order[rank], grown
+        r, start = (np.concatenate(x) for x in zip(*found, strict=True))
+        yield _spans(SPANS, r, start, start + length)
 
     return run
 
@@ -256,7 +359,8 @@ def removal_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_texts(rows: DataFrame, per_row: DataFrame, columns: list[str], how: str) -> DataFrame:
     """Texts joined with their results on the row key; results below a measured size are broadcast."""
-    size = per_row.agg(F.coalesce(F.sum(F.octet_length("starts") + 64), F.lit(0))).first()[0]
+    sizes = [F.octet_length(c) for c, kind in per_row.dtypes if kind == "binary"]
+    size = per_row.agg(F.coalesce(F.sum(sum(sizes, F.lit(64))), F.lit(0))).first()[0]
     return rows.join(F.broadcast(per_row) if size <= BROADCAST_BYTES else per_row, "rk", how).select("doc_id", "text", *columns)
 
 
@@ -265,24 +369,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     Texts are UTF-8 bytes, null is empty, strings stay within a row, and overlaps within a row count. Returns one row
     per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, spans (start, end) and kept (the
-    remaining bytes). Texts shorter than ``length`` stay whole. Repeated rows repeat each other's strings. Other
-    columns are not read; an empty table gives no rows.
+    remaining bytes). Texts shorter than ``length`` stay whole. Repeated rows repeat each other's strings; a row without
+    a doc_id is one like any other. Other columns are not read; an empty table gives no rows.
     """
     rows = in_small_batches(docs).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"))
     buckets = bucket_count(corpus_size(docs)[1])
     sampled = materialize(rows.select("rk", "text").mapInArrow(sample_task(buckets, length, gram), SAMPLES), "samples")
     keys = sampled.where("rid is not null").select("rid", "rk")
-    tuples = sampled.where("bucket is not null").select("bucket", "name", "context", "rids", "places", "near", "far")
-    induced = materialize(tuples.groupBy("bucket").applyInArrow(sorted_bucket(length), GROUPED), "induced")
-    per_row = "rid long, status binary, starts binary, ends binary"
+    tuples = sampled.where("bucket is not null").select("bucket", "name", "context", "rids", "places", "near", "far", "many")
+    named = materialize(tuples.groupBy("bucket").applyInArrow(named_bucket(length), GROUPED), "named")
     # Rows that repeat doc_id and text share a key but are places of their own; each key is joined with its texts once.
-    undecided = induced.where(F.col("status") != REMOVE).groupBy("chunk").applyInArrow(rows_of_chunk, per_row).join(keys, "rid")
+    undecided = named.where("names is not null").groupBy("chunk").applyInArrow(places_of_chunk, PLACES).join(keys, "rid")
     undecided = materialize(undecided, "undecided")
     texts = rows.dropDuplicates(["rk"]) if keys.groupBy("rk").count().where("count > 1").limit(1).count() else rows
-    windows = _with_texts(texts, undecided, ["rid", "status", "starts", "ends"], "inner").mapInArrow(window_task(buckets, length), WINDOWS)
-    decided = windows.groupBy("bucket").applyInArrow(repeated_windows(length), GROUPED)
-    removed = induced.where(F.col("status") == REMOVE).unionByName(decided)
-    spans = removed.groupBy("chunk").applyInArrow(rows_of_chunk, per_row).join(keys, "rid").groupBy("rk").agg(F.min_by(F.struct("starts", "ends"), "rid").alias("s"))
-    spans = materialize(spans.select("rk", "s.starts", "s.ends"), "spans")
-    out = _with_texts(rows, spans, ["starts", "ends"], "left")
+    regions = _with_texts(texts, undecided, PLACES.replace(" long", "").replace(" binary", "").split(", "), "inner")
+    regions = materialize(regions.mapInArrow(region_task(buckets, length, gram), REGIONS), "regions")
+    meeting = regions.where("bucket is not null").select("bucket", "keys", "rids", "places", "low", "high", "wants", "regions")
+    induced = meeting.groupBy("bucket").applyInArrow(induced_bucket(length), SPANS)
+    spans = ["chunk", "rids", "starts", "ends"]
+    known = [sampled.where("chunk is not null"), named.where("names is null"), regions.where("chunk is not null")]
+    removed = reduce(DataFrame.unionByName, [x.select(*spans) for x in known], induced)
+    per_row = removed.groupBy("chunk").applyInArrow(rows_of_chunk, "rid long, starts binary, ends binary").join(keys, "rid")
+    per_row = materialize(per_row.groupBy("rk").agg(F.min_by(F.struct("starts", "ends"), "rid").alias("s")).select("rk", "s.starts", "s.ends"), "spans")
+    out = _with_texts(rows, per_row, ["starts", "ends"], "left")
     return out.mapInArrow(removal_task, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept binary")
