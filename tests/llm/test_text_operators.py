@@ -1,5 +1,6 @@
 """The operators against brute force, over the smallest corpus and edge cases."""
 
+import functools
 import hashlib
 import math
 import re
@@ -7,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,8 +45,9 @@ def hits(text, windows):
     return len(words), len(hit), len(items), sha(",".join(sorted(items)).encode()), bool(hit) and 20 * len(hit) >= len(words)
 
 
-@pytest.mark.parametrize("block_words", [1 << 20, 50])
-def test_decontaminate(spark, docs, rows, block_words):
+@pytest.mark.parametrize(("block_words", "most_hits"), [(1 << 20, 10), (400, 100_000), (400, 0)])
+def test_decontaminate(spark, docs, rows, block_words, most_hits, monkeypatch):
+    monkeypatch.setattr(fmindex, "BROADCAST_HITS", most_hits)
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     items += [(900, "one two three four"), (901, "lambda"), (902, None), (903, "..."), (None, "alpha"), (900, "gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi"), (904, "école")]
     windows = defaultdict(set)
@@ -156,7 +159,28 @@ def test_near_duplicates_with_frequent_keys_last(spark, monkeypatch):
     assert counted(paritysketch.near_duplicates(spark.createDataFrame(every, "doc_id long, text string, lang string, source string, n_chars long")).collect()) == brute_components(every)
 
 
-def test_near_duplicates_in_large_groups(spark, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_near_duplicates_with_hot_keys(spark, rows, monkeypatch, rounds):
+    for name, value in (("SAMPLE_EVERY", 1), ("OFTEN", 2), ("HOT", 3), ("SALTS", 3), ("CENTER_ROUNDS", rounds)):
+        monkeypatch.setattr(paritysketch, name, value)
+    every = rows + near_rows()
+    frame = spark.createDataFrame(every, "doc_id long, text string, a string, b string, g string").repartition(3)
+    assert counted(paritysketch.near_duplicates(frame).collect()) == brute_components(every)
+
+
+def test_long_words_are_told_apart():
+    """Two words that the polynomial hash cannot tell apart, whatever its base."""
+    thue = [bin(i).count("1") % 2 for i in range(2048)]
+    one, two = (bytes(97 + (x ^ flip) for x in thue) for flip in (0, 1))
+    column = pa.array([one.decode(), two.decode(), (one + b" x").decode()])
+    sets = [s for part in paritysketch.shingle_sets(column) for s in part]
+    assert sets[0][0] != sets[1][0]
+    assert len(set(fmindex.word_hashes(column)[0])) == 3
+
+
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_near_duplicates_in_large_groups(spark, monkeypatch, rounds):
+    monkeypatch.setattr(paritysketch, "CENTER_ROUNDS", rounds)
     monkeypatch.setattr(paritysketch, "GROUP_BLOCK", 4)
     monkeypatch.setattr(paritysketch, "BROADCAST_IDS", 3)
     every = near_rows()
@@ -191,10 +215,40 @@ def test_toxicity(spark, docs, rows, empty):
     good, bad = (held[[truth[i] == k for i in held.doc_id]].score.to_numpy() for k in (0, 1))
     assert (bad[:, None] > good[None, :]).mean() > 0.8
     none = toxicity.score_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
-    assert none.count() == len(texts) and none.where("score <> 0").count() == 0
+    assert none.count() == len(texts) and none.where("score <> 0.5 or predicted <> 0").count() == 0
     assert toxicity.score_toxicity(empty, labels).count() == 0
 
 
+@pytest.mark.parametrize("fit_rows", [100, 50_000])
+def test_toxicity_of_a_rare_class(spark, fit_rows):
+    """A few toxic rows among thousands are all fitted on, whatever the bound; columns with the model's names stay."""
+    rng = np.random.default_rng(1)
+    words = [f"word{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(words, 30)) + (" vile filthy scum you rotten" if i % 300 == 7 else "")) for i in range(4000)]
+    frame = spark.createDataFrame([*rows, (None, "vile filthy scum you rotten"), (9000, None), (9001, "")], "doc_id long, text string").repartition(4)
+    names = ["features", "probability", "prediction", "rawPrediction", "calibrated", "raw", "caps_rate", "toxic", "weight", "given"]
+    for name in [*names, "score"]:
+        frame = frame.withColumn(name, F.lit("mine"))
+    labels = spark.createDataFrame([(i, int(i % 300 == 7)) for i, _ in rows], "doc_id long, toxic int")
+    scored = toxicity.score_toxicity(frame, labels, fit_rows=fit_rows)
+    assert scored.columns == ["doc_id", *names, "held_out", "score", "predicted"]
+    assert all(scored.where(f"{n} <> 'mine'").count() == 0 for n in names)
+    found = {r["doc_id"]: r["score"] for r in scored.collect()}
+    assert len(found) == 4003
+    toxic = [found[i] for i, _ in rows if i % 300 == 7]
+    clean = [found[i] for i, _ in rows if i % 300 != 7]
+    assert min(toxic) > max(clean) and min(toxic) >= 0.7 and max(clean) < 0.7 and found[None] >= 0.7
+
+
+def test_toxicity_with_one_class(spark):
+    frame = spark.createDataFrame([(i, f"text {i}") for i in range(8)], "doc_id long, text string")
+    ids = [i for i in range(8) if zlib.crc32(str(i).encode()) % 3 != 1]
+    for toxic in (0, 1):
+        labels = spark.createDataFrame([(i, toxic) for i in range(8)], "doc_id long, toxic int")
+        want = (len(ids) * toxic + 1) / (len(ids) + 2)
+        assert {r["score"] for r in toxicity.score_toxicity(frame, labels).collect()} == {want}
+
+
 def test_toxicity_never_learns_from_held_out(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     corpus = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
@@ -278,7 +332,7 @@ def test_dominance_keeps_the_optimum():
 # exact duplicates
 
 
-@pytest.mark.parametrize("digest", [lsm.sha256, lambda text: F.substring(F.sha2(text, 256), 1, 1)])
+@pytest.mark.parametrize("digest", [lsm.sha256, lambda text: F.substring(F.unhex(F.sha2(text, 256)), 1, 1)])
 def test_exact_dedup(docs, rows, digest):
     norm = [re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "") for r in rows]
     ids, sizes = {}, Counter(norm)
@@ -290,17 +344,41 @@ def test_exact_dedup(docs, rows, digest):
 
 def test_exact_dedup_shuffled_filter(docs, empty, monkeypatch):
     before = counted(lsm.exact_dedup(docs).collect())
-    monkeypatch.setattr(lsm, "BROADCAST_KEYS", 0)
+    for name, value in (("BROADCAST_KEYS", 0), ("BROADCAST_BITMAPS", 0), ("BITS_A_KEY", 4096)):
+        monkeypatch.setattr(lsm, name, value)
     assert counted(lsm.exact_dedup(docs).collect()) == before
     assert lsm.exact_dedup(empty).count() == 0
 
 
+def test_exact_dedup_without_doc_ids(spark):
+    rows = [(None, "alone"), (None, "pair"), (None, "pair"), (3, "with"), (None, "with"), (5, None), (None, ""), (7, "x"), (7, "x"), (None, None)]
+    found = lsm.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    keep = {"alone": (None, 1), "pair": (None, 2), "with": (3, 2), "": (5, 3), "x": (7, 2)}
+    want = counted((i, *keep[t or ""], i == keep[t or ""][0], sha(utf8(t))) for i, t in rows)
+    assert counted(found.collect()) == want
+
+
 def test_index_compacts_in_steps(spark):
     index = lsm.DigestIndex(spark)
-    for part in ([("a", 5), ("b", 2)], [("a", 3), ("a", 9), ("c", 1)]):
-        index.flush(spark.createDataFrame(part, "digest string, doc_id long"))
-        index.compact()
-    assert counted(index.table().collect()) == counted([("a", 3, 3), ("b", 2, 1), ("c", 1, 1)])
+    parts = [[("a", 5), ("b", 2)], [("a", 3), ("a", 9), ("c", 1)], *([(f"d{i}", i), ("c", 50 - i)] for i in range(2, 18))]
+    for part in parts:
+        index.flush(spark.createDataFrame(part, "digest string, doc_id long").select(F.encode("digest", "utf-8").alias("digest"), "doc_id"))
+    assert [len(x) for x in index.levels] == [2, 0, 1]  # 18 runs, four merged at a time
+    digests = Counter(d for part in parts for d, _ in part)
+    want = counted((d.encode(), min(i for part in parts for e, i in part if e == d), n) for d, n in digests.items())
+    before = counted((bytes(r[0]), *r[1:]) for r in index.table().collect())
+    index.compact()
+    assert before == want == counted((bytes(r[0]), *r[1:]) for r in index.table().collect())
+    assert [len(x) for x in index.levels] == [0, 0, 0, 1]
+
+
+def test_filter_misses_no_digest(spark):
+    keys = spark.range(5000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    tested = lsm.BitmapFilter(keys.where("hex(digest) < '80'")).test(keys)
+    right = F.expr("hex(digest) < '80'")
+    assert tested.count() == 5000 and tested.where(right & ~F.col("maybe")).count() == 0
+    assert tested.where(~right & F.col("maybe")).count() < 400
+    assert lsm.BitmapFilter(keys.where("false")).test(keys).where("maybe").count() == 0
 
 
 # language model
@@ -317,7 +395,27 @@ def test_lm_scores(docs, rows, empty):
         base = sum(math.log10((counts[t] + 0.5) / (n + 0.5 * (v + 1))) for t in ts)
         want[r[0], held(r[0]), len(ts), sum(counts[t] > 0 for t in ts), n, round(base, 4)] += 1
     assert Counter((*r[:5], round(r["base_score"], 4)) for r in found) == want
-    assert all(r["score"] < 0 for r in found)
+    pieces, prior = latticelm.read_pieces(vocabulary_path("piece_bpe_32k.model"))
+    weights = dict(zip(pieces, np.exp(prior) * (v + 0.5) / (n + v + 1), strict=True))
+    longest = max(map(len, pieces))
+
+    @functools.cache
+    def log_p(word):
+        text = latticelm.MARK + word
+        paths = [(1.0, 0)]  # mantissa and exponent, as long words underflow
+        for end in range(1, len(text) + 1):
+            found = [(paths[at], weights.get(text[at:end], 0)) for at in range(max(0, end - longest), end)]
+            top = max(e for (_, e), w in found if w)
+            mantissa, shift = math.frexp(sum(math.ldexp(m * w, e - top) for (m, e), w in found if w))
+            paths.append((mantissa, shift + top))
+        m, e = paths[-1]
+        return np.logaddexp(math.log(m) + e * math.log(2), math.log(counts[word] / (n + v + 1)) if counts[word] else -math.inf)
+
+    end = math.log((counts[b""] + 0.5) / (n + v + 1))
+    scores = Counter()
+    for r, ts in zip(rows, tokens, strict=True):
+        scores[r[0], round((sum(map(log_p, ts[:-1])) + end) / math.log(10), 4)] += 1
+    assert Counter((r["doc_id"], round(r["score"], 4)) for r in found) == scores
     other = {r["doc_id"]: r["score"] for r in latticelm.score_documents(docs, vocabulary_path("piece_bpe_32k.model")).collect()}
     assert all(math.isclose(r["score"], other[r["doc_id"]], rel_tol=1e-9) for r in found)
     assert latticelm.score_documents(empty, vocabulary_path("piece_bpe_32k.model")).count() == 0
@@ -326,44 +424,71 @@ def test_lm_scores(docs, rows, empty):
 def test_lattice_sums_all_segmentations():
     texts = [latticelm.MARK, b"a", b"b", b"ab", b"aba", latticelm.MARK + b"a", *(bytes([x]) for x in latticelm.MARK)]
     weights = np.log(np.linspace(0.05, 0.2, len(texts)))
-    pieces = latticelm.Pieces(texts, weights)
+    pieces = latticelm.Pieces(texts)
 
     def total(word):
         if not word:
             return 1.0
         return sum(math.exp(w) * total(word[len(t) :]) for t, w in zip(texts, weights, strict=True) if word.startswith(t))
 
-    words = [b"a", b"abab", b"bbaba", b"", b"abaabaab" * 3]
-    lattice = latticelm.Lattice(words, pieces)
-    assert np.allclose(np.exp(lattice.marginal(weights)), [total(latticelm.MARK + w) for w in words])
-    expected = lattice.expected(weights, np.ones(len(words)))
-    lengths = np.array([len(t) for t in texts])
-    assert math.isclose((expected * lengths).sum(), sum(len(w) + 3 for w in words))
+    words = [b"a", b"abab", b"bbaba", b"", b"abaabaab" * 3, b"ab" * 500, b"abaab" * 300]
+    for window in (1 << 18, 64, 5):
+        found = latticelm.marginals(words, pieces, weights, window)
+        assert np.allclose(np.exp(found[:5]), [total(latticelm.MARK + w) for w in words[:5]])
+        assert np.allclose(found, latticelm.marginals(words, pieces, weights))
 
 
 # lines
 
 
-@pytest.mark.parametrize("bits", [None, 1 << 20])
-def test_line_dedup(docs, rows, empty, bits):
+def brute_lines(rows, min_docs):
     strip = b" \t\n\x0b\x0c\r"
-    holders = defaultdict(list)
-    for n, r in enumerate(rows):
+    holders = defaultdict(set)
+    for r in rows:
         for key in {x.strip(strip).lower() for x in utf8(r[1]).split(b"\n")}:
-            if len(key.decode()) >= 40:
-                holders[key].append(n)
-    dropped = {k: max(rows[n][0] for n in ns) for k, ns in holders.items() if len(ns) >= 3}
+            if len(key.decode()) >= 40 and r[0] is not None:
+                holders[key].add(r[0])
+    dropped = {k: max(ids) for k, ids in holders.items() if len(ids) >= min_docs}
     want = []
     for r in rows:
         lines = utf8(r[1]).split(b"\n")
-        kept = [x for x in lines if dropped.get(x.strip(strip).lower(), r[0]) == r[0]]
+        kept = [x for x in lines if r[0] is None or dropped.get(x.strip(strip).lower(), r[0]) == r[0]]
         want.append((r[0], len(lines), len(lines) - len(kept), sha(b"\n".join(kept))))
-    found = linededup.dedup_lines(docs, min_docs=3, bits=bits)
-    assert counted(found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256)).collect()) == counted(want)
-    assert any(w[2] for w in want)
+    return counted(want)
+
+
+def line_rows(found):
+    return counted(found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256)).collect())
+
+
+@pytest.mark.parametrize("way", ["broadcast", "small filter", "filter by segment", "joined"])
+def test_line_dedup(docs, rows, empty, way, monkeypatch):
+    if way == "filter by segment":
+        monkeypatch.setattr(linededup, "BROADCAST_BITS", 1)
+    if way == "joined":
+        monkeypatch.setattr(linededup, "BROADCAST_BYTES", -1)
+    want = brute_lines(rows, 3)
+    found = linededup.dedup_lines(docs, min_docs=3, bits=1 << 22 if way == "filter by segment" else 1 << 20 if way == "small filter" else None)
+    assert line_rows(found) == want
+    assert found.where("drop <> 'clash'").count() == 0 and any(w[2] for w in want)
     assert linededup.dedup_lines(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [None, -1])
+def test_line_dedup_without_repeats_and_of_repeated_documents(spark, monkeypatch, most):
+    """Tasks without a repeat, of one row or of none; a doc_id counts once however many rows it has; null counts never."""
+    if most:
+        monkeypatch.setattr(linededup, "BROADCAST_BYTES", most)
+    schema = "doc_id long, text string"
+    plain = [(i, f"a line of {i} that is long enough to count, and differs\nshort") for i in range(6)]
+    assert line_rows(linededup.dedup_lines(spark.createDataFrame(plain, schema).repartition(12), min_docs=3)) == brute_lines(plain, 3)
+    common = "this very line is long enough and stands in many documents"
+    one_short = [(1, common), (1, common), (2, common), (3, common), (4, common), (None, common), (None, common)]
+    for rows in (one_short, [*one_short, (5, common + "\nmore"), (5, common)]):
+        found = linededup.dedup_lines(spark.createDataFrame(rows, schema).repartition(3))
+        assert line_rows(found) == brute_lines(rows, 5)
+
+
 # personal data
 
 
