@@ -103,7 +103,10 @@ def test_plans(spark, tmp_path):
     ticks = event_ticks(spark, SF)
     candles = plan(ohlc.ohlc(ticks, "1 hour"))
     assert "SortAggregate" not in candles and candles.count("Exchange hashpartitioning") == 1 and "partial_min_by" in candles
-    assert "BroadcastHashJoin" in plan(ohlc.candle_records(ohlc.ohlc(ticks, "1 hour"), symbol_dimension(spark, SF)))
+    # A small dimension is broadcast by Spark when it has seen its size, a large one is not.
+    records = ohlc.candle_records(ohlc.ohlc(ticks, "1 hour"), symbol_dimension(spark, SF))
+    records.collect()
+    assert "BroadcastHashJoin" in plan(records)
     assert "TakeOrderedAndProject" in plan(market.movers(spark.range(500).selectExpr("id AS symbol", "id AS change_pct"), "abs"))
     path = str(tmp_path / "candles")
     tables.write_by_date(ohlc.candle_records(ohlc.ohlc(ticks, "1 hour"), symbol_dimension(spark, SF)), path, "window_start", "crypto_id")
@@ -111,12 +114,26 @@ def test_plans(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan(page) and "PushedFilters: [IsNotNull(window_start)" in plan(page)
 
 
+def sorted_windows(df) -> list[str]:
+    """The keys of the plan's windows that are fed from ticks or candles, not from one row a day."""
+    keys = []
+    for line in plan(df).splitlines():
+        if "Window [" in line and "windowspecdefinition(" in line:
+            keys.append(line.split("windowspecdefinition(")[1].split(" ASC")[0].split(" DESC")[0])
+    return keys
+
+
+def test_no_window_sorts_a_whole_symbol(spark):
+    """All windows go by symbol and day, but for those over one row a day."""
+    ticks = ohlc.valid_ticks(event_ticks(spark, SF))
+    candles = ohlc.ohlc(ticks, "1 hour")
+    for df in (windows.multi_change(ticks), windows.candle_sma(candles), windows.moving_average(ticks, "price_usd", 10, ["ts", "tick_id"], "m"), windows.trend_detect(ticks), ohlc.candle_change(candles)):
+        by_symbol = [k for k in sorted_windows(df) if "day#" not in k.split(",")[1] and "_w" not in k]
+        assert all("day#" in k for k in by_symbol) and len(by_symbol) <= 1
+        assert sorted_windows(df)
+
+
 def test_days_are_dealt_apart(spark):
-    ticks = event_ticks(spark, SF)
-    previous = plan(windows.trend_detect(ticks))
-    assert "hashpartitioning(symbol#" in previous and "lag(price_usd" in previous
-    lagged = next(line for line in previous.splitlines() if "lag(price_usd" in line)
-    assert "day#" in lagged.split("windowspecdefinition(")[1].split(" ASC")[0]
     rows = [("a", 1, "2024-01-01 10:00:00", 1), ("a", 2, "2024-01-01 11:00:00", None), ("a", 3, "2024-01-04 00:00:00", 3), ("a", 5, "2024-01-04 00:00:00", 5), ("a", 6, "2024-01-05 09:00:00", 6), ("b", 4, "2024-01-04 01:00:00", 4), (None, 7, "2024-01-04 02:00:00", 7), (None, 8, "2024-01-06 02:00:00", 8)]
     frame = spark.createDataFrame(rows, "symbol string, tick_id long, ts string, p int").selectExpr("symbol", "tick_id", "CAST(ts AS TIMESTAMP_NTZ) AS ts", "CAST(p AS DECIMAL(20,8)) AS price_usd")
     found = {r["tick_id"]: r["previous"] for r in windows.trend_detect(frame).collect()}

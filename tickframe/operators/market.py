@@ -64,7 +64,7 @@ def candle_history(records: DataFrame, dimension: DataFrame, symbols: list[str]
     names = dimension.select("crypto_id", "symbol")
     if symbols:
         names = names.where(F.upper("symbol").isin([s.upper() for s in symbols]))
-    rows = rows.join(F.broadcast(names), "crypto_id")
+    rows = rows.join(names, "crypto_id")
     time = F.desc("window_start") if descending else F.asc("window_start")
     return page(rows, [time, F.asc("symbol")], limit, offset)
 
@@ -74,13 +74,13 @@ def recent_alerts(alerts: DataFrame, dimension: DataFrame, hours: int = 24, limi
     if not 1 <= hours <= MOST_HOURS or not 1 <= limit <= MOST_ALERTS:
         raise ValueError("hours must be 1 to 168 and limit 1 to 100")
     end = end or as_of(alerts, "window_start")
-    rows = alerts.where(F.col("window_start") >= timestamp(end - timedelta(hours=hours))).join(F.broadcast(dimension.select("symbol", "crypto_id")), "symbol")
+    rows = alerts.where(F.col("window_start") >= timestamp(end - timedelta(hours=hours))).join(dimension.select("symbol", "crypto_id"), "symbol")
     return rows.orderBy(F.desc("window_start"), "symbol").limit(limit)
 
 
 def latest_ticks(ticks: DataFrame, dimension: DataFrame) -> DataFrame:
     """Last tick of every active symbol."""
-    active = F.broadcast(dimension.where("is_active").select("symbol", "crypto_id"))
+    active = dimension.where("is_active").select("symbol", "crypto_id")
     return latest_by(ticks.join(active, "symbol"), "symbol", ["ts", "tick_id"])
 
 
@@ -111,7 +111,7 @@ def live_ticker(mover_rows: DataFrame, live: DataFrame) -> DataFrame:
 
 def tracked_match(listings: DataFrame, dimension: DataFrame, live: DataFrame) -> DataFrame:
     """Listings with the tracked symbol of their slug, if any, and the live price where there is one."""
-    tracked = F.broadcast(dimension.where("slug IS NOT NULL").select(F.col("slug").alias("id"), F.col("symbol").alias("tracked")))
+    tracked = dimension.where("slug IS NOT NULL").select(F.col("slug").alias("id"), F.col("symbol").alias("tracked"))
     prices = live.select(F.col("symbol").alias("tracked"), F.col("close").alias("live_price"))
     out = listings.join(tracked, "id", "left").join(prices, "tracked", "left")
     return out.select("id", "tracked", F.coalesce("live_price", "current_price").alias("price"), F.col("live_price").isNotNull().alias("is_live"))

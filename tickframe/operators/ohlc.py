@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.functions.scalars import anomaly_percent, alert_type, direction, percent_change, severity, tick_order, trend_class, typical_price
+from tickframe.functions.scalars import (
+    alert_type,
+    anomaly_percent,
+    direction,
+    percent_change,
+    severity,
+    tick_order,
+    trend_class,
+    typical_price,
+)
+from tickframe.operators.windows import with_previous
 
 #: An alert needs more than so many percent.
 ALERT_PERCENT = 5
@@ -41,7 +51,7 @@ def rollup(candles: DataFrame, width: str) -> DataFrame:
 
 def candle_records(candles: DataFrame, dimension: DataFrame) -> DataFrame:
     """Candles as table records: crypto_id (-1 for an unknown symbol, which is dropped), typical price, trade count."""
-    ids = F.broadcast(dimension.select("symbol", "crypto_id"))
+    ids = dimension.select("symbol", "crypto_id")
     records = candles.join(ids, "symbol", "left").withColumn("crypto_id", F.coalesce("crypto_id", F.lit(-1)))
     records = records.withColumn("avg_price", typical_price(*(F.col(c) for c in ("open", "high", "low", "close"))))
     valid = F.col("crypto_id") > 0
@@ -59,8 +69,8 @@ def price_alerts(candles: DataFrame) -> DataFrame:
 
 def candle_change(candles: DataFrame) -> DataFrame:
     """Change from the previous candle's close, direction and trend."""
-    previous = F.lag("close").over(Window.partitionBy("symbol").orderBy("window_start"))
-    changed = candles.withColumn("previous_close", previous).withColumn("change_pct", F.round(percent_change(F.col("close"), F.col("previous_close")), 6))
+    changed = with_previous(candles.select("symbol", "window_start", "open", "close"), "close", ["window_start"], "previous_close")
+    changed = changed.withColumn("change_pct", F.round(percent_change(F.col("close"), F.col("previous_close")), 6))
     return changed.select("symbol", "window_start", "close", "previous_close", "change_pct", direction(F.col("open"), F.col("close")).alias("direction"), trend_class(F.col("change_pct")).alias("trend"))
 
 

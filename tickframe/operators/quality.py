@@ -28,7 +28,7 @@ def reject_reasons(ticks: DataFrame) -> DataFrame:
 
 def lenient_ticks(raw: DataFrame, symbols: DataFrame) -> DataFrame:
     """Ticks of known symbols with a price that can be read; an unreadable volume is 0. ``raw`` has text columns."""
-    known = F.broadcast(symbols.select("symbol").distinct())
+    known = symbols.select("symbol").distinct()
     read = raw.withColumns({"price_usd": F.expr("try_cast(price AS decimal(20,8))"), "volume_24h": F.coalesce(F.expr("try_cast(volume AS decimal(20,2))"), F.lit(0).cast("decimal(20,2)"))})
     return read.where("price_usd IS NOT NULL").join(known, "symbol", "left_semi")
 
@@ -38,7 +38,7 @@ def known_symbols(df: DataFrame, dimension: DataFrame, requested: list[str] | No
     allowed = dimension.select(F.upper("symbol").alias("known"))
     if requested and "ALL" not in (names := [r.upper() for r in requested]):
         allowed = allowed.where(F.col("known").isin(names))
-    return df.join(F.broadcast(allowed), F.upper("symbol") == F.col("known"), "left_semi")
+    return df.join(allowed, F.upper("symbol") == F.col("known"), "left_semi")
 
 
 def with_event_time(ticks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -49,7 +49,7 @@ def with_event_time(ticks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def violations(candles: DataFrame, alerts: DataFrame, dimension: DataFrame) -> DataFrame:
     """Broken table constraints, one row each with how often: not-null, foreign key, uniqueness, allowed values."""
-    ids = F.broadcast(dimension.select("crypto_id"))
+    ids = dimension.select("crypto_id")
     count = F.count(F.lit(1)).alias("n")
     checks = [
         ("candle_null", candles.where("crypto_id IS NULL OR window_start IS NULL OR close IS NULL").agg(count)),

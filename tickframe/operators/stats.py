@@ -30,7 +30,7 @@ def range_stats(candles: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def price_stats(ticks: DataFrame, dimension: DataFrame, since: Column) -> DataFrame:
     """Ticks of active symbols since a time: count, low, high, mean, exact median, sample deviation."""
-    active = F.broadcast(dimension.where("is_active").select("symbol", "crypto_id"))
+    active = dimension.where("is_active").select("symbol", "crypto_id")
     price = _double("price_usd")
     stats = ticks.where(F.col("ts") >= since).join(active, "symbol").groupBy("crypto_id", "symbol").agg(
         F.count(F.lit(1)).alias("n"), F.min("price_usd").alias("min_price"), F.max("price_usd").alias("max_price"), F.round(F.avg(price), 6).alias("avg_price"),

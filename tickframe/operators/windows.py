@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickframe.functions.scalars import percent_change
@@ -11,37 +11,54 @@ HOUR = 3600
 SPANS = {"1h": HOUR, "24h": 24 * HOUR, "7d": 7 * 24 * HOUR, "30d": 30 * 24 * HOUR}
 
 
-def moving_average(df: DataFrame, value: str, rows: int, order: list[str], name: str, full_only: bool = False) -> DataFrame:
-    """Mean of the last ``rows`` values per symbol. ``full_only``: null until there are so many."""
-    by = Window.partitionBy("symbol").orderBy(*order)
-    mean = F.avg(F.col(value).cast("double")).over(by.rowsBetween(-(rows - 1), 0))
-    if full_only:
-        mean = F.when(F.row_number().over(by) >= rows, mean)
-    return df.withColumn(name, F.round(mean, 6))
+def with_halo(df: DataFrame, order: list[str], rows: int) -> DataFrame:
+    """Each day of a symbol as a partition of its own, led by the last ``rows`` rows before it, marked ``carried``.
+
+    ``order`` begins with the time. Adds ``day``. Of a day only its last rows are gathered; as every day has at least
+    one, those of the ``rows`` days before suffice.
+    """
+    own = df.withColumn("day", F.to_date(order[0]))
+    back = Window.partitionBy("symbol", "day").orderBy(*(F.desc(c) for c in order))
+    last = own.withColumn("back", F.row_number().over(back)).where(F.col("back") <= rows)
+    last = last.groupBy("symbol", "day").agg(F.collect_list(F.struct("back", *df.columns)).alias("last"))
+    days = Window.partitionBy("symbol").orderBy("day").rowsBetween(-rows, -1)
+    ordered = last.select("symbol", "day", F.sort_array("last", asc=False).alias("last"))
+    halo = ordered.select("day", F.flatten(F.collect_list("last").over(days)).alias("before"))
+    halo = halo.select("day", F.explode(F.slice("before", F.greatest(F.size("before") - rows + 1, F.lit(1)), rows)).alias("b"))
+    halo = halo.select("day", *(F.col(f"b.{c}").alias(c) for c in df.columns), F.lit(True).alias("carried"))
+    return own.withColumn("carried", F.lit(False)).unionByName(halo)
+
+
+def _daily(order: list[str]) -> WindowSpec:
+    return Window.partitionBy("symbol", "day").orderBy(*order)
+
+
+def moving_average(df: DataFrame, value: str, rows: int | dict[str, int], order: list[str], name: str = "", full_only: bool = False) -> DataFrame:
+    """Mean of the last ``rows`` values per symbol, or several such means by name. ``full_only``: null until there are so
+    many. Each day is averaged apart, led by as many rows before it as the mean needs."""
+    means = rows if isinstance(rows, dict) else {name: rows}
+    out, by = with_halo(df, order, max(means.values()) - 1), _daily(order)
+    for alias, n in means.items():
+        mean = F.avg(F.col(value).cast("double")).over(by.rowsBetween(-(n - 1), 0))
+        out = out.withColumn(alias, F.round(F.when(F.row_number().over(by) >= n, mean) if full_only else mean, 6))
+    return out.where("NOT carried").drop("carried", "day")
 
 
 def candle_sma(candles: DataFrame, periods: tuple[int, ...] = (20, 50)) -> DataFrame:
     """Simple moving averages of closes; a symbol with fewer candles than a period has none."""
-    out = candles.select("symbol", "window_start", "close")
-    for n in periods:
-        out = moving_average(out, "close", n, ["window_start"], f"sma_{n}", full_only=True)
-    return out
+    return moving_average(candles.select("symbol", "window_start", "close"), "close", {f"sma_{n}": n for n in periods}, ["window_start"], full_only=True)
 
 
-def with_previous(ticks: DataFrame) -> DataFrame:
-    """Ticks with the price before, as ``previous``. Each day is a partition of its own, led by the last tick before it."""
-    own = ticks.select("symbol", F.to_date("ts").alias("day"), "ts", "tick_id", "price_usd", F.lit(False).alias("carried"))
-    last = F.max_by(F.struct("ts", "tick_id", "price_usd"), F.struct("ts", "tick_id")).alias("last")
-    before = F.lag("last").over(Window.partitionBy("symbol").orderBy("day")).alias("before")
-    carried = own.groupBy("symbol", "day").agg(last).select("symbol", "day", before).where("before IS NOT NULL")
-    both = own.unionByName(carried.select("symbol", "day", "before.*", F.lit(True).alias("carried")))
-    by = Window.partitionBy("symbol", "day").orderBy("ts", "tick_id")
-    return both.withColumn("previous", F.lag("price_usd").over(by)).where("NOT carried").drop("day", "carried")
+def with_previous(df: DataFrame, value: str, order: list[str], name: str = "previous") -> DataFrame:
+    """Rows with the symbol's value before, as ``name``; each day is a partition of its own, led by the last row before it."""
+    out = with_halo(df, order, 1).withColumn(name, F.lag(value).over(_daily(order)))
+    return out.where("NOT carried").drop("carried", "day")
 
 
 def trend_detect(ticks: DataFrame, threshold: float = 5.0) -> DataFrame:
     """Change from the symbol's previous tick, classed up or down beyond the threshold, else flat."""
-    moved = with_previous(ticks).withColumn("change_pct", F.round(percent_change(F.col("price_usd"), F.col("previous")), 6))
+    ticks = ticks.select("symbol", "ts", "tick_id", "price_usd")
+    moved = with_previous(ticks, "price_usd", ["ts", "tick_id"]).withColumn("change_pct", F.round(percent_change(F.col("price_usd"), F.col("previous")), 6))
     trend = F.when(F.col("change_pct") > threshold, "up").when(F.col("change_pct") < -threshold, "down").otherwise("flat")
     return moved.select("symbol", "tick_id", "ts", "price_usd", "previous", "change_pct", trend.alias("trend"))
 
@@ -55,29 +72,34 @@ def _micros(ts: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
 
 
-def first_since(ticks: DataFrame, spans: dict[str, int]) -> DataFrame:
-    """For each tick the price of the earliest tick at most so many seconds older, one column a span.
+def look_back(ticks: DataFrame, spans: dict[str, int], extremes: str) -> DataFrame:
+    """For each tick what the last so many seconds hold: the price of the earliest tick inside a span as base_<span>, and
+    the high and low of the span ``extremes``, which is a day.
 
-    Ticks and their look-back points are sorted together, latest first; the last tick passed is a point's answer. That
-    is one running frame, whatever the span holds, where a range frame would be summed anew for every row.
+    Look-back points are sorted together with the ticks of their own day, latest first: the last tick passed is a point's
+    base, or the first tick of the next day with any if none is passed. The highest tick passed is the high of the
+    earlier day's part of the last 24 hours, a running one from the start of the day is that of the later day's part. So
+    every frame runs, whatever a span holds, and no symbol is sorted whole.
     """
-    timed = ticks.select("symbol", "tick_id", "price_usd", _micros("ts").alias("at"))
-    own = timed.select("symbol", "tick_id", "at", F.lit(None).cast("string").alias("span"), "price_usd")
-    points = timed.select("symbol", "tick_id", F.explode(F.array(*[F.struct((F.col("at") - n * 1_000_000).alias("at"), F.lit(k).alias("span")) for k, n in spans.items()])).alias("p"))
-    points = points.select("symbol", "tick_id", "p.at", "p.span", F.lit(None).cast("decimal(20,8)").alias("price_usd"))
+    timed = ticks.select("symbol", "tick_id", "ts", "price_usd", _micros("ts").alias("at"), F.to_date("ts").alias("day"))
+    today = Window.partitionBy("symbol", "day").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    own = timed.select("*", F.max("price_usd").over(today).alias("high"), F.min("price_usd").over(today).alias("low"))
+    points = F.array(*[F.struct((F.col("at") - n * 1_000_000).alias("at"), F.lit(k).alias("span")) for k, n in spans.items()])
+    points = timed.select("symbol", "tick_id", F.explode(points).alias("p"))
+    points = points.select("symbol", "tick_id", "p.at", "p.span", F.to_date(F.expr("timestampadd(MICROSECOND, p.at, TIMESTAMP_NTZ'1970-01-01 00:00:00')")).alias("day"), F.lit(None).cast("decimal(20,8)").alias("price_usd"))
+    both = timed.select("symbol", "tick_id", "at", F.lit(None).cast("string").alias("span"), "day", "price_usd").unionByName(points)
+    # The first tick of the next day that has one, for each day with ticks or points.
+    firsts = both.groupBy("symbol", "day").agg(F.min_by("price_usd", F.when(F.col("span").isNull(), F.struct("at", "tick_id"))).alias("first"))
+    later = Window.partitionBy("symbol").orderBy("day").rowsBetween(1, Window.unboundedFollowing)
+    firsts = firsts.select("symbol", "day", F.first("first", ignorenulls=True).over(later).alias("next"))
     # At equal times ticks come before points, and of ticks the smallest id last.
-    running = Window.partitionBy("symbol").orderBy(F.desc("at"), F.col("span").isNotNull(), F.desc("tick_id")).rowsBetween(Window.unboundedPreceding, 0)
-    passed = own.unionByName(points).withColumn("base", F.last("price_usd", ignorenulls=True).over(running)).where("span IS NOT NULL")
-    return passed.groupBy("symbol", "tick_id").agg(*[F.max(F.when(F.col("span") == k, F.col("base"))).alias(f"base_{k}") for k in spans])
-
-
-def day_range(ticks: DataFrame) -> DataFrame:
-    """High and low of the 24 hours up to each tick. Each day is a partition of its own, with the day before as context."""
-    day = F.to_date("ts")
-    dealt = ticks.select("symbol", "tick_id", "ts", "price_usd", _micros("ts").alias("at"), day.alias("own"), F.explode(F.array(day, F.date_add(day, 1))).alias("day"))
-    last = Window.partitionBy("symbol", "day").orderBy("at").rangeBetween(-SPANS["24h"] * 1_000_000, 0)
-    ranged = dealt.select("symbol", "tick_id", "ts", "price_usd", "own", "day", F.max("price_usd").over(last).alias("high_24h"), F.min("price_usd").over(last).alias("low_24h"))
-    return ranged.where("own = day").drop("own", "day")
+    passed = Window.partitionBy("symbol", "day").orderBy(F.desc("at"), F.col("span").isNotNull(), F.desc("tick_id")).rowsBetween(Window.unboundedPreceding, 0)
+    answers = both.select("symbol", "day", "tick_id", "span", F.last("price_usd", ignorenulls=True).over(passed).alias("base"), F.max("price_usd").over(passed).alias("high"), F.min("price_usd").over(passed).alias("low"))
+    answers = answers.where("span IS NOT NULL").join(firsts, ["symbol", "day"]).withColumn("base", F.coalesce("base", "next"))
+    wide = answers.select("symbol", "tick_id", F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("decimal(20,8)").alias("price_usd"), "span", "base", F.when(F.col("span") == extremes, F.col("high")).alias("high"), F.when(F.col("span") == extremes, F.col("low")).alias("low"))
+    mine = own.select("symbol", "tick_id", "ts", "price_usd", F.lit(None).cast("string").alias("span"), F.lit(None).cast("decimal(20,8)").alias("base"), "high", "low")
+    bases = [F.max(F.when(F.col("span") == k, F.col("base"))).alias(f"base_{k}") for k in spans]
+    return mine.unionByName(wide).groupBy("symbol", "tick_id").agg(F.max("ts").alias("ts"), F.max("price_usd").alias("price_usd"), *bases, F.max("high").alias("high"), F.min("low").alias("low"))
 
 
 def multi_change(ticks: DataFrame) -> DataFrame:
@@ -85,9 +107,10 @@ def multi_change(ticks: DataFrame) -> DataFrame:
 
     A span's base is the earliest tick inside it.
     """
-    out = day_range(ticks).join(first_since(ticks, SPANS), ["symbol", "tick_id"])
-    price = F.col("price_usd")
-    return out.select("symbol", "tick_id", "ts", "price_usd", *(F.round(percent_change(price, F.col(f"base_{k}")), 6).alias(f"change_{k}") for k in SPANS), (price - F.col("base_24h")).cast("decimal(20,8)").alias("change_abs_24h"), "high_24h", "low_24h")
+    out, price = look_back(ticks, SPANS, "24h"), F.col("price_usd")
+    changes = [F.round(percent_change(price, F.col(f"base_{k}")), 6).alias(f"change_{k}") for k in SPANS]
+    day = (price - F.col("base_24h")).cast("decimal(20,8)").alias("change_abs_24h")
+    return out.select("symbol", "tick_id", "ts", "price_usd", *changes, day, F.col("high").alias("high_24h"), F.col("low").alias("low_24h"))
 
 
 def latest_by(df: DataFrame, key: str, order: list[str]) -> DataFrame:
