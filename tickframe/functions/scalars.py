@@ -15,6 +15,21 @@ def event_time(timestamp: Column, last_updated: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(timestamp), F.timestamp_seconds(last_updated))
 
 
+def iso_text(ts: str) -> Column:
+    """ISO form of a time in whole seconds, as messages carry it."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def clock_text(ts: Column) -> Column:
+    """HH:mm:ss; ``Unknown`` where there is no time."""
+    return F.coalesce(F.date_format(ts, "HH:mm:ss"), F.lit("Unknown"))
+
+
+def two_digits(value: Column) -> Column:
+    """A number with two digits, halves away from zero; null is 0.00."""
+    return F.coalesce(F.round(value.cast("decimal(38,8)"), 2).cast("decimal(36,2)"), F.lit(0).cast("decimal(36,2)")).cast("string")
+
+
 def tick_order(ts: str, tick_id: str) -> Column:
     """One number that orders ticks by time, then id: cheaper to aggregate by than a struct."""
     micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast({ts} as timestamp_ntz))").cast("decimal(38,0)")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickframe.functions.scalars import (
     adaptive_price_text,
     amount_text,
+    clock_text,
     count_text,
     percent_change,
     price_text,
@@ -18,6 +19,7 @@ from tickframe.functions.scalars import (
     title_words,
     trend_class,
 )
+from tickframe.operators.nested import recent_series
 from tickframe.operators.windows import latest_by
 
 #: Limits of the query parameters.
@@ -42,10 +44,11 @@ def check_range(start: datetime, end: datetime) -> None:
 
 
 def page(df: DataFrame, order: list[Column], limit: int = 100, offset: int = 0) -> DataFrame:
-    """One page in order, each row with the total and whether more follow."""
+    """One page in order, each row with the total, the rows returned and whether more follow."""
     if not 1 <= limit <= MOST_ROWS or offset < 0:
         raise ValueError(f"limit must be 1 to {MOST_ROWS} and offset not negative")
-    counted = df.withColumn("total", F.lit(df.count()))
+    total = df.count()
+    counted = df.withColumns({"total": F.lit(total).cast("long"), "returned": F.lit(min(limit, max(0, total - offset))).cast("long")})
     return counted.orderBy(*order).offset(offset).limit(limit).withColumn("has_more", F.col("total") > offset + limit)
 
 
@@ -131,12 +134,28 @@ def screener(listings: DataFrame, page_number: int = 1, page_size: int = 10) ->
     return ranked.withColumn("has_next", F.count(F.lit(1)).over(Window.partitionBy()) == page_size)
 
 
+def screener_table(ticks: DataFrame, candles: DataFrame, page_number: int = 1, page_size: int = 10) -> DataFrame:
+    """The screener's page as shown: rank, price, change over 1 h, 24 h and 7 d, capitalisation, volume, and the closes of
+    the last 7 days as a line's points. Only ticks and candles of the page's symbols are read for these."""
+    latest = latest_by(ticks.select("symbol", "price_usd", "market_cap", "volume_24h", "ts", "tick_id"), "symbol", ["ts", "tick_id"])
+    rows = screener(latest, page_number, page_size)
+    near = ticks.select("symbol", "price_usd", "ts", "tick_id").join(rows.select("symbol", F.col("ts").alias("end")), "symbol")
+    near = near.where(F.col("ts") >= F.col("end") - F.expr("INTERVAL '7' DAY"))
+    spans = {"1h": "INTERVAL '1' HOUR", "24h": "INTERVAL '1' DAY", "7d": "INTERVAL '7' DAY"}
+    first = {k: F.min_by("price_usd", F.when(F.col("ts") >= F.col("end") - F.expr(v), F.struct("ts", "tick_id"))) for k, v in spans.items()}
+    bases = near.groupBy("symbol").agg(*[v.alias(f"base_{k}") for k, v in first.items()])
+    series = recent_series(candles.join(rows.select("symbol"), "symbol", "left_semi"), 7 * 24).withColumnRenamed("prices", "sparkline")
+    out = rows.join(bases, "symbol", "left").join(series, "symbol", "left")
+    changes = [F.round(percent_change(F.col("price_usd"), F.col(f"base_{k}")), 6).alias(f"change_{k}") for k in spans]
+    return out.select("rank", "symbol", F.col("price_usd").alias("price"), *changes, "market_cap", F.col("volume_24h").alias("volume"), "sparkline", "has_next")
+
+
 def market_report(latest: DataFrame, end: datetime) -> DataFrame:
     """Each symbol's numbers as text."""
     pct, price = F.col("change_pct"), F.col("price").cast("double")
     return latest.select(
         "symbol", price_text(price).alias("price"), adaptive_price_text(F.col("price")).alias("adaptive_price"), signed_percent_text(pct).alias("change"), signed_percent_text(pct, sign_zero=False).alias("web_change"), amount_text(F.col("volume")).alias("volume"),
-        amount_text(F.col("market_cap"), trillions=True).alias("market_cap"), count_text(F.col("volume").cast("long")).alias("volume_count"), title_words(trend_class(pct)).alias("trend"), relative_age(F.col("age_seconds")).alias("age"),
+        amount_text(F.col("market_cap"), trillions=True).alias("market_cap"), count_text(F.col("volume").cast("long")).alias("volume_count"), title_words(trend_class(pct)).alias("trend"), relative_age(F.col("age_seconds")).alias("age"), clock_text(F.col("window_end")).alias("clock"),
     )
 
 

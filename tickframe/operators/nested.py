@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.sources.schemas import FRAME_JSON, FRAME_TYPES, LISTING_JSON, SNAPSHOT_JSON
+from tickframe.sources.schemas import (
+    CATEGORY_JSON,
+    COIN_JSON,
+    FRAME_JSON,
+    FRAME_TYPES,
+    GLOBAL_JSON,
+    LISTING_JSON,
+    SNAPSHOT_JSON,
+    TRENDING_JSON,
+)
 from tickframe.sources.ticks import message_id
 
 
 def snapshot_flatten(snapshots: DataFrame, dimension: DataFrame) -> DataFrame:
     """A tick per tracked symbol and snapshot (ts, payload); a coin the payload lacks has a null price."""
-    coins = F.broadcast(dimension.select(F.coalesce("slug", F.lower("symbol")).alias("coin_id"), "symbol"))
+    coins = dimension.select(F.coalesce("slug", F.lower("symbol")).alias("coin_id"), "symbol")
     numbers = snapshots.select("ts", F.from_json("payload", SNAPSHOT_JSON).alias("coins"))
     rows = numbers.crossJoin(coins).withColumn("n", F.try_element_at("coins", F.col("coin_id")))  # every snapshot carries all tracked symbols
     return rows.select("symbol", "coin_id", "ts", F.col("n.usd").alias("price_usd"), F.col("n.usd_24h_vol").alias("volume_24h"), message_id(F.col("symbol"), "ts").alias("message_id"))
@@ -63,6 +72,37 @@ def listing_scan(raw: DataFrame) -> DataFrame:
     return rows.select("id", "symbol", F.coalesce("current_price", F.lit(0.0)).alias("current_price"), F.coalesce("market_cap", F.lit(0.0)).alias("market_cap"), F.get("links.homepage", 0).alias("homepage"), F.size(F.coalesce("categories", F.array().cast("array<string>"))).alias("n_categories"))
 
 
+def category_scan(raw: DataFrame) -> DataFrame:
+    """Categories from JSON (value), with their first member; missing numbers are zero."""
+    rows = raw.select(F.from_json("value", CATEGORY_JSON).alias("c")).select("c.*")
+    numbers = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("market_cap", "market_cap_change_24h", "volume_24h")]
+    return rows.select("id", "name", *numbers, F.get("top_3_coins", 0).alias("top_coin"), F.size(F.coalesce("top_3_coins", F.array().cast("array<string>"))).alias("n_top"))
+
+
+def coin_detail_scan(raw: DataFrame, currency: str = "usd") -> DataFrame:
+    """Coin details from JSON (value) in one currency; what a currency map lacks is null."""
+    rows = raw.select(F.from_json("value", COIN_JSON).alias("c")).select("c.*")
+    of = lambda name: F.try_element_at(f"market_data.{name}", F.lit(currency))
+    return rows.select(
+        "id", "symbol", "name", "market_cap_rank", of("current_price").alias("price"), of("price_change_percentage_24h_in_currency").alias("change_24h"), of("market_cap").alias("market_cap"),
+        of("total_volume").alias("volume"), F.get("links.homepage", 0).alias("homepage"), F.coalesce("description.en", F.lit("")).alias("description"),
+    )
+
+
+def trending_scan(raw: DataFrame) -> DataFrame:
+    """Trending coins from JSON (value), one row each, in their order."""
+    rows = raw.select(F.posexplode(F.from_json("value", TRENDING_JSON)["coins"]).alias("pos", "coin")).select("pos", "coin.item.*")
+    return rows.select("pos", "id", "symbol", "market_cap_rank", F.col("data.price").alias("price"), F.col("data.price_change_percentage_24h.usd").alias("change_24h"))
+
+
+def global_scan(raw: DataFrame) -> DataFrame:
+    """The global payload from JSON (value): a row for each coin's share, with the totals in USD and the counts."""
+    rows = raw.select(F.from_json("value", GLOBAL_JSON)["data"].alias("d")).select("d.*")
+    usd = lambda name: F.try_element_at(name, F.lit("usd"))
+    totals = [usd("total_market_cap").alias("total_cap"), usd("total_volume").alias("total_volume"), "active_cryptocurrencies", "markets"]
+    return rows.select(F.explode("market_cap_percentage").alias("symbol", "dominance_pct"), *totals)
+
+
 def top_venues(listings: DataFrame, most: int = 10) -> DataFrame:
     """Per coin the venues with the largest USD notional, missing numbers as 0. Listings (id, tickers)."""
     rows = listings.select("id", F.explode("tickers").alias("t"))

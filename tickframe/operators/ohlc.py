@@ -9,10 +9,12 @@ from tickframe.functions.scalars import (
     alert_type,
     anomaly_percent,
     direction,
+    iso_text,
     percent_change,
     severity,
     tick_order,
     trend_class,
+    two_digits,
     typical_price,
 )
 from tickframe.operators.windows import with_previous
@@ -76,10 +78,26 @@ def candle_change(candles: DataFrame) -> DataFrame:
 
 def candle_lines(candles: DataFrame) -> DataFrame:
     """One readable line per candle."""
-    text = F.format_string("%s [%s - %s] O:%.8f H:%.8f L:%.8f C:%.8f V:%.2f N:%d", "symbol", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"), F.date_format("window_end", "HH:mm:ss"), *(F.col(c).cast("double") for c in ("open", "high", "low", "close", "volume_sum")), "event_count")
+    numbers = [two_digits(F.col(c)) for c in ("open", "high", "low", "close", "volume_sum")]
+    text = F.format_string("[%s] %s OHLC | Open: %s | High: %s | Low: %s | Close: %s | Volume: %s | Events: %d", iso_text("window_start"), "symbol", *numbers, "event_count")
     return candles.select("symbol", "window_start", text.alias("line"))
 
 
+def record_lines(records: DataFrame) -> DataFrame:
+    """One readable line per candle record."""
+    numbers = [two_digits(F.col(c)) for c in ("open", "high", "low", "close", "avg_price", "volume_sum")]
+    text = F.format_string("DB Record[crypto_id=%d, window=%s, OHLC=(%s/%s/%s/%s), avg=%s, vol=%s, trades=%d]", "crypto_id", iso_text("window_start"), *numbers, "trade_count")
+    return records.select("crypto_id", "window_start", text.alias("line"))
+
+
+def alert_lines(alerts: DataFrame) -> DataFrame:
+    """One readable line per alert; what is missing is UNKNOWN, or 0."""
+    known = [F.coalesce(F.col(c), F.lit("UNKNOWN")) for c in ("severity", "symbol", "alert_type")]
+    numbers = [two_digits(F.col(c)) for c in ("price_change_pct", "old_price", "new_price")]
+    text = F.format_string("🚨 ALERT [%s] %s | Type: %s | Change: %s%% | Open: %s → Close: %s | Window: %s", *known, *numbers, F.coalesce(iso_text("window_start"), F.lit("UNKNOWN")))
+    return alerts.select("symbol", "window_start", text.alias("line"))
+
+
 def candle_json(candles: DataFrame) -> DataFrame:
     """Candles as JSON messages: camel case, epoch seconds, keyed by symbol."""
     epoch = lambda c: F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast({c} as timestamp_ntz))")
@@ -88,6 +106,7 @@ def candle_json(candles: DataFrame) -> DataFrame:
 
 
 def alert_json(alerts: DataFrame) -> DataFrame:
-    """Alerts as JSON messages: snake case, keyed by symbol."""
-    body = F.struct("symbol", "alert_type", F.col("price_change_pct").alias("price_change_percent"), F.col("old_price").alias("open_price"), F.col("new_price").alias("close_price"), "window_start", "window_end", "severity")
-    return alerts.select(F.col("symbol").alias("key"), F.to_json(body).alias("value"))
+    """Alerts as JSON messages: snake case, keyed by symbol; an alert's own time is the end of its window."""
+    prices = [F.col("price_change_pct").alias("price_change_percent"), F.col("old_price").alias("open_price"), F.col("new_price").alias("close_price")]
+    times = [iso_text("window_start").alias("window_start"), iso_text("window_end").alias("window_end"), iso_text("window_end").alias("timestamp")]
+    return alerts.select(F.col("symbol").alias("key"), F.to_json(F.struct("symbol", "alert_type", *prices, *times, "severity")).alias("value"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.functions.scalars import typical_price
+from tickframe.functions.scalars import percent_change, typical_price
 
 
 def _double(c: str | Column) -> Column:
@@ -45,25 +45,30 @@ def alert_summary(alerts: DataFrame, keys: list[str] | None = None) -> DataFrame
 
 
 def market_global(latest: DataFrame) -> DataFrame:
-    """Each symbol's share of the market's capitalisation, with the market's totals."""
-    everything = Window.partitionBy()
+    """Each symbol's share of the market's capitalisation, with the market's totals: capitalisation, volume, symbols, those
+    with volume, and markets. ``latest`` has a row for each symbol, with the market that it traded on last."""
     cap = _double("market_cap")
-    return latest.select(
-        "symbol", "market_cap", F.round(cap / F.sum(cap).over(everything) * 100, 6).alias("dominance_pct"), F.sum("market_cap").over(everything).cast("decimal(38,2)").alias("total_cap"),
-        F.sum("volume_24h").over(everything).cast("decimal(38,2)").alias("total_volume"), F.count(F.lit(1)).over(everything).alias("symbols"),
+    totals = latest.agg(
+        F.sum(cap).alias("all_caps"), F.sum("market_cap").cast("decimal(38,2)").alias("total_cap"), F.sum("volume_24h").cast("decimal(38,2)").alias("total_volume"),
+        F.count(F.lit(1)).alias("symbols"), F.count_if(F.col("volume_24h") > 0).alias("active_symbols"), F.count_distinct("market").alias("markets"),
     )
+    joined = latest.join(F.broadcast(totals))  # one row
+    return joined.select("symbol", "market_cap", F.round(cap / F.col("all_caps") * 100, 6).alias("dominance_pct"), "total_cap", "total_volume", "symbols", "active_symbols", "markets")
 
 
 def category_stats(listings: DataFrame, top: int = 3) -> DataFrame:
-    """Per category: capitalisation, volume and its ``top`` members by capitalisation.
+    """Per category: capitalisation and its change in percent, volume and the ``top`` members by capitalisation.
 
-    Listings (category, symbol, market_cap, volume); members are ranked before they are collected, so that no group is
-    gathered whole.
+    Listings (category, symbol, market_cap, previous_cap, volume), where previous_cap is the capitalisation a day before;
+    members are ranked before they are collected, so that no group is gathered whole.
     """
-    totals = listings.groupBy("category").agg(F.sum("market_cap").cast("decimal(38,2)").alias("market_cap"), F.sum("volume").cast("decimal(38,2)").alias("volume"), F.count(F.lit(1)).alias("members"))
+    amounts = [F.sum(c).cast("decimal(38,2)").alias(c) for c in ("market_cap", "previous_cap", "volume")]
+    totals = listings.groupBy("category").agg(*amounts, F.count(F.lit(1)).alias("members"))
+    change = F.round(percent_change(F.col("market_cap"), F.col("previous_cap")), 6)
+    totals = totals.withColumn("cap_change_24h_pct", change)
     rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc_nulls_last("market_cap"), "symbol"))
     best = listings.withColumn("rank", rank).where(F.col("rank") <= top).groupBy("category").agg(F.sort_array(F.collect_list(F.struct("rank", "symbol"))).alias("best"))
-    return totals.join(best, "category").select("category", "market_cap", "volume", "members", F.array_join(F.transform("best", lambda s: s["symbol"]), ",").alias("top_members"))
+    return totals.join(best, "category").select("category", "market_cap", "cap_change_24h_pct", "volume", "members", F.array_join(F.transform("best", lambda s: s["symbol"]), ",").alias("top_members"))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -87,5 +92,13 @@ def symbol_coverage(dimension: DataFrame, latest: DataFrame) -> DataFrame:
     """Every symbol with whether it has a latest state, and the hit rate in percent."""
     state = latest.select("symbol", F.lit(True).alias("hit"))
     joined = dimension.join(state, "symbol", "left").select("symbol", F.coalesce("hit", F.lit(False)).alias("hit"))
-    rate = F.round(F.avg(F.col("hit").cast("double")).over(Window.partitionBy()) * 100, 1)
-    return joined.withColumn("hit_rate_pct", rate)
+    rate = joined.agg(F.round(F.avg(F.col("hit").cast("double")) * 100, 1).alias("hit_rate_pct"))
+    return joined.join(F.broadcast(rate))  # one row
+
+
+def run_counters(decoded: DataFrame, coverage: DataFrame) -> DataFrame:
+    """A run in one row: messages produced, errors, and of the symbols asked for the hits, misses and hit rate in percent."""
+    valid = F.expr("coalesce(symbol, '') <> '' AND price_usd > 0")
+    runs = decoded.agg(F.count_if(F.coalesce(valid, F.lit(False))).alias("produced"), F.count_if(~F.coalesce(valid, F.lit(False))).alias("errors"))
+    hits = coverage.agg(F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("misses"), F.max("hit_rate_pct").alias("hit_rate_pct"))
+    return runs.join(F.broadcast(hits))  # one row

@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from tickframe.functions.scalars import period_width, relative_age
 from tickframe.operators import market, ohlc, quality, stats, tables, windows
 from tickframe.plans.base import ALERTS, DIMENSION, EPOCH, LAST, LINE_TICKS, RECORDS, TICKS, TYPICAL, VALID, candles, pct, query, sql
-from tickframe.sources.ticks import decode_ticks, event_ticks, lineitem_ticks, message_id, symbol_dimension, symbol_list, table
+from tickframe.sources.ticks import (
+    decode_alerts,
+    decode_ticks,
+    event_ticks,
+    lineitem_ticks,
+    message_id,
+    symbol_dimension,
+    symbol_list,
+    table,
+)
 
 COLUMNS = ["symbol", "window_start", "window_end", "open", "high", "low", "close", "volume_sum", "event_count"]
 C = ", ".join(COLUMNS)
@@ -116,7 +125,7 @@ def candle_records(spark, sf_dir):
 _HISTORY = "h AS (SELECT r.*, symbol FROM r JOIN d USING (crypto_id) WHERE window_start BETWEEN (SELECT max(window_start) FROM r) - INTERVAL '1 day' AND (SELECT max(window_start) FROM r))"
 
 
-@query("candle_history", sql(TICKS, VALID, candles("1 hour"), DIMENSION, RECORDS, _HISTORY, select="SELECT *, (SELECT count(*) FROM h) AS total, (SELECT count(*) FROM h) > 40 AS has_more FROM h ORDER BY window_start DESC, symbol LIMIT 30 OFFSET 10"))
+@query("candle_history", sql(TICKS, VALID, candles("1 hour"), DIMENSION, RECORDS, _HISTORY, select="SELECT *, (SELECT count(*) FROM h) AS total, least(30, greatest((SELECT count(*) FROM h) - 10, 0)) AS returned, (SELECT count(*) FROM h) > 40 AS has_more FROM h ORDER BY window_start DESC, symbol LIMIT 30 OFFSET 10"))
 def candle_history(spark, sf_dir):
     dimension = symbol_dimension(spark, sf_dir)
     return market.candle_history(ohlc.candle_records(hourly(spark, sf_dir), dimension), dimension, limit=30, offset=10)
@@ -153,11 +162,55 @@ def candle_change(spark, sf_dir):
     return ohlc.candle_change(hourly(spark, sf_dir))
 
 
-@query("candle_lines", sql(TICKS, VALID, candles("1 hour"), select="SELECT symbol, window_start, printf('%s [%s - %s] O:%.8f H:%.8f L:%.8f C:%.8f V:%.2f N:%d', symbol, strftime(window_start, '%Y-%m-%d %H:%M:%S'), strftime(window_end, '%H:%M:%S'), CAST(open AS DOUBLE), CAST(high AS DOUBLE), CAST(low AS DOUBLE), CAST(close AS DOUBLE), CAST(volume_sum AS DOUBLE), event_count) AS line FROM c"))
+def two(column: str) -> str:
+    return f"CAST(CAST(round({column}, 2) AS DECIMAL(36,2)) AS VARCHAR)"
+
+
+def iso(column: str) -> str:
+    return f"strftime({column}, '%Y-%m-%dT%H:%M:%SZ')"
+
+
+@query("candle_lines", sql(TICKS, VALID, candles("1 hour"), select=f"""
+SELECT symbol, window_start, '[' || {iso("window_start")} || '] ' || symbol || ' OHLC | Open: ' || {two("open")} || ' | High: ' || {two("high")} || ' | Low: ' || {two("low")} || ' | Close: ' || {two("close")}
+       || ' | Volume: ' || {two("volume_sum")} || ' | Events: ' || event_count AS line FROM c"""))
 def candle_lines(spark, sf_dir):
     return ohlc.candle_lines(hourly(spark, sf_dir))
 
 
+@query("record_lines", sql(TICKS, VALID, candles("1 hour"), DIMENSION, RECORDS, select=f"""
+SELECT crypto_id, window_start, 'DB Record[crypto_id=' || crypto_id || ', window=' || {iso("window_start")} || ', OHLC=(' || {two("open")} || '/' || {two("high")} || '/' || {two("low")} || '/' || {two("close")}
+       || '), avg=' || {two("avg_price")} || ', vol=' || {two("volume_sum")} || ', trades=' || trade_count || ']' AS line FROM r"""))
+def record_lines(spark, sf_dir):
+    return ohlc.record_lines(ohlc.candle_records(hourly(spark, sf_dir), symbol_dimension(spark, sf_dir)))
+
+
+@query("alert_lines", sql(TICKS, VALID, candles("1 hour"), ALERTS, select=f"""
+SELECT symbol, window_start, '🚨 ALERT [' || severity || '] ' || symbol || ' | Type: ' || alert_type || ' | Change: ' || {two("price_change_pct")} || '% | Open: ' || {two("old_price")} || ' → Close: ' || {two("new_price")}
+       || ' | Window: ' || {iso("window_start")} AS line FROM a"""))
+def alert_lines(spark, sf_dir):
+    return ohlc.alert_lines(alerts_of(spark, sf_dir))
+
+
+_ALERT_JSON = f"""'{{"symbol":"' || symbol || '","alert_type":"' || alert_type || '","price_change_percent":' || price_change_pct || ',"open_price":' || old_price || ',"close_price":' || new_price
+       || ',"window_start":"' || {iso("window_start")} || '","window_end":"' || {iso("window_end")} || '","timestamp":"' || {iso("window_end")} || '","severity":"' || severity || '"}}'"""
+
+
+@query("alert_json", sql(TICKS, VALID, candles("1 hour"), ALERTS, select=f"SELECT symbol AS key, {_ALERT_JSON} AS value FROM a"))
+def alert_json(spark, sf_dir):
+    return ohlc.alert_json(alerts_of(spark, sf_dir))
+
+
+@query("alert_decode", sql(TICKS, VALID, candles("1 hour"), ALERTS, select=f"""
+SELECT symbol, alert_type, CAST(price_change_pct AS DECIMAL(10,4)) AS price_change_percent, old_price AS open_price, new_price AS close_price, {iso("window_start")} AS window_start, {iso("window_end")} AS window_end,
+       {iso("window_end")} AS "timestamp", severity FROM a WHERE severity <> 'HIGH'"""))
+def alert_decode(spark, sf_dir):
+    # High alerts arrive broken, or without their symbol.
+    messages = ohlc.alert_json(alerts_of(spark, sf_dir))
+    high = F.col("value").contains('"severity":"HIGH"')
+    broken = F.when(high & (F.length("value") % 2 == 0), F.lit("{oops")).when(high, F.replace("value", F.lit('"symbol"'), F.lit('"name"'))).otherwise(F.col("value"))
+    return decode_alerts(messages.select(broken.alias("value")))
+
+
 @query("candle_json", sql(TICKS, VALID, candles("1 hour"), select="SELECT symbol AS key, '{\"symbol\":\"' || symbol || '\",\"windowStart\":' || CAST(epoch(window_start) AS BIGINT) || ',\"windowEnd\":' || CAST(epoch(window_end) AS BIGINT) || ',\"open\":' || open || ',\"high\":' || high || ',\"low\":' || low || ',\"close\":' || close || ',\"volumeSum\":' || volume_sum || ',\"eventCount\":' || event_count || '}' AS value FROM c"))
 def candle_json(spark, sf_dir):
     return ohlc.candle_json(hourly(spark, sf_dir))
@@ -282,7 +335,7 @@ def retention_keep(spark, sf_dir):
     return tables.retention_keep(ticks, "ts", tables.TICK_DAYS, market.as_of(ticks)).select("tick_id", "ts")
 
 
-@query("seed_symbols", sql(DIMENSION, select="SELECT crypto_id, symbol, name, slug, is_active FROM d WHERE symbol NOT IN (SELECT event_type FROM events WHERE event_id % 2 = 0 AND event_type IS NOT NULL)"))
+@query("seed_symbols", sql(DIMENSION, select="SELECT crypto_id, symbol, name, slug, is_active FROM d WHERE symbol NOT IN (SELECT event_type FROM events WHERE event_type IS NOT NULL)"))
 def seed_symbols(spark, sf_dir):
     existing = event_ticks(spark, sf_dir).select("symbol").distinct()
     return tables.seed_symbols(existing, symbol_dimension(spark, sf_dir))
@@ -311,3 +364,11 @@ def compare_symbols(spark, sf_dir):
 @query("snapshot_ids", sql(TICKS, select="SELECT id AS tick_id, symbol || '-' || CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS message_id FROM t"))
 def snapshot_ids(spark, sf_dir):
     return event_ticks(spark, sf_dir).select("tick_id", message_id(F.col("symbol"), "ts").alias("message_id"))
+
+
+@query("run_counters", sql(TICKS, VALID, DIMENSION, "s AS (SELECT symbol IN (SELECT symbol FROM v) AS hit FROM d)", select="""
+SELECT count(*) FILTER (id % 10 <> 0 AND symbol <> '' AND price > 0) AS produced, count(*) FILTER (NOT (id % 10 <> 0 AND coalesce(symbol <> '' AND price > 0, false))) AS errors,
+       (SELECT count(*) FROM s WHERE hit) AS hits, (SELECT count(*) FROM s WHERE NOT hit) AS misses, (SELECT round(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END) * 100, 1) FROM s) AS hit_rate_pct FROM t"""))
+def run_counters(spark, sf_dir):
+    latest = windows.latest_by(ohlc.valid_ticks(event_ticks(spark, sf_dir)).select("symbol", "ts", "tick_id"), "symbol", ["ts", "tick_id"])
+    return stats.run_counters(decode_ticks(_tick_json(spark, sf_dir)), stats.symbol_coverage(symbol_dimension(spark, sf_dir), latest))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,28 +19,51 @@ RATES = {"usd": 1.0, "eur": 0.92, "jpy": 151.5}
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category, symbol, market_cap and volume of every part sold."""
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum(F.col("l_extendedprice").cast("decimal(20,2)")).alias("market_cap"), F.sum(F.col("l_quantity").cast("decimal(20,2)")).alias("volume"))
+    return _listings(spark, sf_dir).drop("previous_cap")
+
+
+def _listings(spark: SparkSession, sf_dir: str, before: datetime | None = None) -> DataFrame:
+    """Listings with previous_cap, the capitalisation of what was shipped up to ``before``."""
+    cap = F.col("l_extendedprice").cast("decimal(20,2)")
+    earlier = F.when(F.col("l_shipdate") <= market.timestamp(before), cap) if before else F.lit(None).cast("decimal(20,2)")
+    sums = [F.sum(v).cast("decimal(38,2)").alias(k) for k, v in (("market_cap", cap), ("previous_cap", earlier), ("volume", F.col("l_quantity").cast("decimal(20,2)")))]
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(*sums)
     joined = lines.join(table(spark, sf_dir, "part"), "p_partkey")
-    return joined.select(F.col("p_brand").alias("category"), F.concat(F.lit("p"), "p_partkey").alias("symbol"), F.col("market_cap").cast("decimal(38,2)"), F.col("volume").cast("decimal(38,2)"))
+    return joined.select(F.col("p_brand").alias("category"), F.concat(F.lit("p"), "p_partkey").alias("symbol"), "market_cap", "previous_cap", "volume")
+
+
+def _categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = market.as_of(table(spark, sf_dir, "lineitem"), "l_shipdate")
+    return stats.category_stats(_listings(spark, sf_dir, last - timedelta(days=1)))
 
 
-_LATEST = "x AS (SELECT symbol, CAST(price * 1000000 AS DECIMAL(20,2)) AS market_cap, vol FROM v QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, id DESC) = 1)"
+_LATEST = "x AS (SELECT symbol, CAST(price * 1000000 AS DECIMAL(20,2)) AS market_cap, vol, ts, id, price FROM v QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, id DESC) = 1)"
+_GLOBAL = """gl AS (SELECT symbol, market_cap, round(CAST(market_cap AS DOUBLE) / sum(CAST(market_cap AS DOUBLE)) OVER () * 100, 6) AS dominance_pct, CAST(sum(market_cap) OVER () AS DECIMAL(38,2)) AS total_cap,
+       CAST(sum(vol) OVER () AS DECIMAL(38,2)) AS total_volume, count(*) OVER () AS symbols, count(*) FILTER (vol > 0) OVER () AS active_symbols, (SELECT count(DISTINCT id % 4) FROM x) AS markets FROM x)"""
 
 
-@query("market_global", sql(TICKS, VALID, _LATEST, select="SELECT symbol, market_cap, round(CAST(market_cap AS DOUBLE) / sum(CAST(market_cap AS DOUBLE)) OVER () * 100, 6) AS dominance_pct, CAST(sum(market_cap) OVER () AS DECIMAL(38,2)) AS total_cap, CAST(sum(vol) OVER () AS DECIMAL(38,2)) AS total_volume, count(*) OVER () AS symbols FROM x"))
+@query("market_global", sql(TICKS, VALID, _LATEST, _GLOBAL, select="SELECT * FROM gl"))
 def market_global(spark, sf_dir):
-    ticks = ohlc.valid_ticks(event_ticks(spark, sf_dir)).select("symbol", "market_cap", "volume_24h", "ts", "tick_id")
+    ticks = ohlc.valid_ticks(event_ticks(spark, sf_dir)).select("symbol", "market_cap", "volume_24h", "ts", "tick_id", F.col("kafka_partition").alias("market"))
     return stats.market_global(windows.latest_by(ticks, "symbol", ["ts", "tick_id"]))
 
 
-@query("category_stats", sql(LISTINGS, "k AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY market_cap DESC NULLS LAST, symbol) AS n FROM li)", select="SELECT category, CAST(sum(market_cap) AS DECIMAL(38,2)) AS market_cap, CAST(sum(volume) AS DECIMAL(38,2)) AS volume, count(*) AS members, string_agg(symbol, ',' ORDER BY n) FILTER (n <= 3) AS top_members FROM k GROUP BY 1"))
+_CATEGORIES = (
+    "li2 AS (SELECT p_brand AS category, 'p' || p_partkey AS symbol, sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS market_cap, sum(CAST(l_extendedprice AS DECIMAL(20,2))) FILTER (l_shipdate <= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL '1 day') AS previous_cap, "
+    "sum(CAST(l_quantity AS DECIMAL(20,2))) AS volume FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand, p_partkey)",
+    "k AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY market_cap DESC NULLS LAST, symbol) AS n FROM li2)",
+    f"ca AS (SELECT category, CAST(sum(market_cap) AS DECIMAL(38,2)) AS market_cap, round({pct('sum(market_cap)', 'sum(previous_cap)')}, 6) AS cap_change_24h_pct, CAST(sum(volume) AS DECIMAL(38,2)) AS volume, count(*) AS members, string_agg(symbol, ',' ORDER BY n) FILTER (n <= 3) AS top_members FROM k GROUP BY 1)",
+)
+
+
+@query("category_stats", sql(*_CATEGORIES, select="SELECT * FROM ca"))
 def category_stats(spark, sf_dir):
-    return stats.category_stats(listings(spark, sf_dir))
+    return _categories(spark, sf_dir)
 
 
 @query("top_categories", sql(LISTINGS, select="SELECT category, CAST(sum(market_cap) AS DECIMAL(38,2)) AS market_cap FROM li GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8"))
 def top_categories(spark, sf_dir):
-    return stats.category_stats(listings(spark, sf_dir)).orderBy(F.desc("market_cap"), "category").limit(8).select("category", "market_cap")
+    return stats.category_stats(_listings(spark, sf_dir)).orderBy(F.desc("market_cap"), "category").limit(8).select("category", "market_cap")
 
 
 @query("market_screener", sql(LISTINGS, select="SELECT *, CAST(row_number() OVER (ORDER BY market_cap DESC NULLS LAST, symbol) AS INTEGER) AS rank, true AS has_next FROM li ORDER BY rank LIMIT 10 OFFSET 10"))
@@ -46,6 +71,19 @@ def market_screener(spark, sf_dir):
     return market.screener(listings(spark, sf_dir), page_number=2)
 
 
+_BASES = "b AS (SELECT v.symbol, " + ", ".join(f"arg_min(v.price, (v.ts, v.id)) FILTER (v.ts >= x.ts - INTERVAL '{i}') AS b_{k}" for k, i in (("1h", "1 hour"), ("24h", "1 day"), ("7d", "7 days"))) + " FROM v JOIN x USING (symbol) GROUP BY v.symbol)"
+_LINE = "sl AS (SELECT symbol, string_agg(printf('%.2f', CAST(close AS DOUBLE)), ',' ORDER BY window_start) AS sparkline FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS back FROM c) WHERE back <= 168 GROUP BY symbol)"
+
+
+@query("screener_table", sql(TICKS, VALID, candles("1 hour"), _LATEST, _BASES, _LINE, select=f"""
+SELECT CAST(row_number() OVER (ORDER BY market_cap DESC NULLS LAST, symbol) AS INTEGER) AS rank, symbol, price, round({pct("price", "b_1h")}, 6) AS change_1h, round({pct("price", "b_24h")}, 6) AS change_24h,
+       round({pct("price", "b_7d")}, 6) AS change_7d, market_cap, vol AS volume, sparkline, false AS has_next FROM x JOIN b USING (symbol) JOIN sl USING (symbol)"""))
+def screener_table(spark, sf_dir):
+    ticks = ohlc.valid_ticks(event_ticks(spark, sf_dir))
+    shown = market.screener_table(ticks, ohlc.ohlc(ticks, "1 hour"))
+    return shown.withColumn("sparkline", F.array_join(F.transform("sparkline", lambda v: F.format_string("%.2f", v)), ","))
+
+
 _CHANGES = f"g AS (SELECT symbol, close AS price, round({pct('close', 'open')}, 6) AS change_pct FROM l)"
 
 
@@ -99,10 +137,10 @@ def _amount(value: str, trillions: bool) -> str:
     return f"CASE {t}WHEN {value} >= 1e9 THEN printf('$%.2fB', {value} / 1e9) WHEN {value} >= 1e6 THEN printf('$%.2fM', {value} / 1e6) WHEN {value} >= 1e3 THEN printf('$%.2fK', {value} / 1e3) ELSE printf('$%.2f', {value}) END"
 
 
-_REPORT = f"o AS (SELECT symbol, CAST(close AS DOUBLE) AS p, round({pct('close', 'open')}, 2) AS ch, CAST(volume_sum AS DOUBLE) AS vo, CAST(close AS DOUBLE) * 1e7 AS cap, greatest(date_diff('second', window_end, (SELECT max(window_end) FROM c)), 0) AS s FROM l)"
+_REPORT = f"o AS (SELECT symbol, window_end, CAST(close AS DOUBLE) AS p, round({pct('close', 'open')}, 2) AS ch, CAST(volume_sum AS DOUBLE) AS vo, CAST(close AS DOUBLE) * 1e7 AS cap, greatest(date_diff('second', window_end, (SELECT max(window_end) FROM c)), 0) AS s FROM l)"
 
 
-@query("market_report", sql(TICKS, VALID, candles("1 hour"), LAST, _REPORT, select=f"SELECT symbol, '$' || format('{{:,.2f}}', p) AS price, CASE WHEN p >= 1000 THEN format('{{:,.2f}}', p) WHEN p >= 1 THEN format('{{:,.4f}}', p) ELSE format('{{:,.6f}}', p) END AS adaptive_price, printf('%+.2f%%', ch) AS change, CASE WHEN ch = 0 THEN '0.00%' ELSE printf('%+.2f%%', ch) END AS web_change, {_amount('vo', False)} AS volume, {_amount('cap', True)} AS market_cap, format('{{:,}}', CAST(vo AS BIGINT)) AS volume_count, CASE WHEN ch > 2 THEN 'Strong Up' WHEN ch > 0 THEN 'Up' WHEN ch < -2 THEN 'Strong Down' WHEN ch < 0 THEN 'Down' ELSE 'Flat' END AS trend, CASE WHEN s < 60 THEN 'just now' WHEN s < 3600 THEN (s // 60) || ' min' WHEN s < 86400 THEN (s // 3600) || CASE WHEN s // 3600 = 1 THEN ' hour' ELSE ' hours' END END AS age FROM o"))
+@query("market_report", sql(TICKS, VALID, candles("1 hour"), LAST, _REPORT, select=f"SELECT symbol, '$' || format('{{:,.2f}}', p) AS price, CASE WHEN p >= 1000 THEN format('{{:,.2f}}', p) WHEN p >= 1 THEN format('{{:,.4f}}', p) ELSE format('{{:,.6f}}', p) END AS adaptive_price, printf('%+.2f%%', ch) AS change, CASE WHEN ch = 0 THEN '0.00%' ELSE printf('%+.2f%%', ch) END AS web_change, {_amount('vo', False)} AS volume, {_amount('cap', True)} AS market_cap, format('{{:,}}', CAST(vo AS BIGINT)) AS volume_count, CASE WHEN ch > 2 THEN 'Strong Up' WHEN ch > 0 THEN 'Up' WHEN ch < -2 THEN 'Strong Down' WHEN ch < 0 THEN 'Down' ELSE 'Flat' END AS trend, CASE WHEN s < 60 THEN 'just now' WHEN s < 3600 THEN (s // 60) || ' min' WHEN s < 86400 THEN (s // 3600) || CASE WHEN s // 3600 = 1 THEN ' hour' ELSE ' hours' END END AS age, strftime(window_end, '%H:%M:%S') AS clock FROM o"))
 def market_report(spark, sf_dir):
     candles_ = hourly(spark, sf_dir)
     end = market.as_of(candles_, "window_end")
@@ -159,6 +197,57 @@ def listing_scan(spark, sf_dir):
     return nested.listing_scan(_listing_json(spark, sf_dir))
 
 
+_CATEGORY_ROWS = "SELECT category AS id, 'Category ' || category AS name, CAST(market_cap AS DOUBLE) AS market_cap, coalesce(cap_change_24h_pct, 0.0) AS market_cap_change_24h, CASE WHEN members > 50 THEN CAST(volume AS DOUBLE) ELSE 0.0 END AS volume_24h, split_part(top_members, ',', 1) AS top_coin, CAST(least(members, 3) AS INTEGER) AS n_top FROM ca"
+
+
+@query("category_scan", sql(*_CATEGORIES, select=_CATEGORY_ROWS))
+def category_scan(spark, sf_dir):
+    # Small categories come without a volume.
+    rows = _categories(spark, sf_dir)
+    body = F.struct(
+        F.col("category").alias("id"), F.concat(F.lit("Category "), "category").alias("name"), F.col("market_cap").cast("double").alias("market_cap"), F.col("cap_change_24h_pct").alias("market_cap_change_24h"),
+        F.split("top_members", ",").alias("top_3_coins"), F.when(F.col("members") > 50, F.col("volume").cast("double")).alias("volume_24h"), F.lit("2024-01-01T00:00:00Z").alias("updated_at"),
+    )
+    return nested.category_scan(rows.select(F.to_json(body).alias("value")))
+
+
+@query("coin_detail_scan", sql(LISTINGS, select="""
+SELECT symbol AS id, symbol, upper(symbol) AS name, CAST(NULL AS BIGINT) AS market_cap_rank, CASE WHEN volume > 300 THEN CAST(volume AS DOUBLE) END AS price, CAST(NULL AS DOUBLE) AS change_24h, CAST(market_cap AS DOUBLE) AS market_cap, CAST(volume AS DOUBLE) AS volume,
+       CASE WHEN volume > 200 THEN 'https://' || symbol END AS homepage, CASE WHEN volume > 250 THEN 'of ' || category ELSE '' END AS description FROM li"""))
+def coin_detail_scan(spark, sf_dir):
+    volume = F.col("volume").cast("double")
+    numbers = F.struct(
+        F.when(volume > 300, F.create_map(F.lit("usd"), volume, F.lit("eur"), volume / 2)).otherwise(F.create_map(F.lit("eur"), volume)).alias("current_price"),
+        F.create_map(F.lit("usd"), F.col("market_cap").cast("double")).alias("market_cap"), F.create_map(F.lit("usd"), volume).alias("total_volume"),
+    )
+    links = F.struct(F.when(volume > 200, F.array(F.concat(F.lit("https://"), "symbol"))).otherwise(F.array().cast("array<string>")).alias("homepage"))
+    text = F.struct(F.when(volume > 250, F.concat(F.lit("of "), "category")).alias("en"))
+    body = F.struct(F.col("symbol").alias("id"), "symbol", F.upper("symbol").alias("name"), numbers.alias("market_data"), links.alias("links"), text.alias("description"))
+    return nested.coin_detail_scan(listings(spark, sf_dir).select(F.to_json(body).alias("value")))
+
+
+@query("trending_scan", sql(LISTINGS, "k AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY market_cap DESC, symbol) AS n FROM li)", select="""
+SELECT CAST(n - 1 AS INTEGER) AS pos, symbol AS id, symbol, CAST(n AS BIGINT) AS market_cap_rank, CAST(volume AS DOUBLE) AS price, CASE WHEN n % 2 = 1 THEN CAST(n AS DOUBLE) / 4 END AS change_24h FROM k WHERE n <= 7"""))
+def trending_scan(spark, sf_dir):
+    rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("market_cap"), "symbol"))
+    first = listings(spark, sf_dir).withColumn("n", rank).where("n <= 7")
+    n = F.col("n")
+    data = F.struct(F.col("volume").cast("double").alias("price"), F.when(n % 2 == 1, F.struct((n / 4).alias("usd"))).alias("price_change_percentage_24h"))
+    item = F.struct(F.col("symbol").alias("id"), F.upper("symbol").alias("name"), "symbol", n.alias("market_cap_rank"), data.alias("data"))
+    payloads = first.groupBy("category").agg(F.sort_array(F.collect_list(F.struct("n", item.alias("item")))).alias("coins"))
+    coins = F.transform("coins", lambda c: F.struct(c["item"].alias("item")))
+    return nested.trending_scan(payloads.select(F.to_json(F.struct(coins.alias("coins"))).alias("value")))
+
+
+@query("global_scan", sql(TICKS, VALID, _LATEST, _GLOBAL, select="SELECT symbol, dominance_pct, CAST(total_cap AS DOUBLE) AS total_cap, CAST(total_volume AS DOUBLE) AS total_volume, active_symbols AS active_cryptocurrencies, markets FROM gl"))
+def global_scan(spark, sf_dir):
+    rows = market_global(spark, sf_dir)
+    one = rows.groupBy("total_cap", "total_volume", "active_symbols", "markets").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "dominance_pct"))).alias("shares"))
+    usd = lambda c: F.create_map(F.lit("usd"), F.col(c).cast("double"))
+    data = F.struct(F.col("active_symbols").alias("active_cryptocurrencies"), "markets", usd("total_cap").alias("total_market_cap"), usd("total_volume").alias("total_volume"), F.col("shares").alias("market_cap_percentage"))
+    return nested.global_scan(one.select(F.to_json(F.struct(data.alias("data"))).alias("value")))
+
+
 @query("top_venues", sql(LISTINGS, "v AS (SELECT symbol AS id, 'venue' || i || '-' || category AS market, round(CASE WHEN i % 5 = 0 THEN 0 ELSE CAST(i AS DOUBLE) END * (CAST(volume AS DOUBLE) / i), 4) AS notional FROM li, generate_series(1, 12) AS s(i)), k AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY notional DESC, market) AS INTEGER) AS place FROM v)", select="SELECT * FROM k WHERE place <= 10"))
 def top_venues(spark, sf_dir):
     decoded = _listing_json(spark, sf_dir).select(F.from_json("value", LISTING_JSON).alias("l")).select("l.id", "l.tickers")

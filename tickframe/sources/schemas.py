@@ -27,4 +27,12 @@ LISTING_JSON = _struct(
     categories=T.ArrayType(_S), sparkline_in_7d=_struct(price=T.ArrayType(_D)), links=_struct(homepage=T.ArrayType(_S)),
     tickers=T.ArrayType(_struct(market=_S, base=_S, target=_S, last=_D, volume=_D, converted_last=T.MapType(_S, _D))),
 )
+CATEGORY_JSON = _struct(id=_S, name=_S, market_cap=_D, market_cap_change_24h=_D, content=_S, top_3_coins=T.ArrayType(_S), volume_24h=_D, updated_at=_S)
+_BY_CURRENCY = T.MapType(_S, _D)
+COIN_JSON = _struct(
+    id=_S, symbol=_S, name=_S, market_cap_rank=_L, description=_struct(en=_S), links=_struct(homepage=T.ArrayType(_S)),
+    market_data=_struct(current_price=_BY_CURRENCY, price_change_percentage_24h_in_currency=_BY_CURRENCY, market_cap=_BY_CURRENCY, total_volume=_BY_CURRENCY),
+)
+TRENDING_JSON = _struct(coins=T.ArrayType(_struct(item=_struct(id=_S, name=_S, symbol=_S, market_cap_rank=_L, score=_L, data=_struct(price=_D, price_change_percentage_24h=_struct(usd=_D))))))
+GLOBAL_JSON = _struct(data=_struct(active_cryptocurrencies=_L, markets=_L, total_market_cap=_BY_CURRENCY, total_volume=_BY_CURRENCY, market_cap_percentage=_BY_CURRENCY, updated_at=_L))
 ALERT_TYPES = ["PRICE_SPIKE", "PRICE_DROP"]

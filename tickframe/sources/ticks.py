@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickframe.sources.schemas import TICK_JSON
+from tickframe.functions.scalars import iso_text
+from tickframe.sources.schemas import ALERT_JSON, TICK_JSON
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +74,23 @@ def jdbc_table(spark: SparkSession, url: str, name: str, partition_column: str |
     return reader.load()
 
 
+def kafka_alerts(spark: SparkSession, servers: str, topic: str = "crypto-alerts", **options: str) -> DataFrame:
+    """New alerts of a topic, decoded. Needs Spark's Kafka package on the cluster."""
+    return decode_alerts(kafka_ticks(spark, servers, topic, "latest", **options))
+
+
+def decode_alerts(raw: DataFrame, column: str = "value") -> DataFrame:
+    """JSON alerts to columns, from a table or a stream; broken ones, and those without symbol or type, go."""
+    alerts = raw.withColumn("alert", F.from_json(column, ALERT_JSON)).select(*[c for c in raw.columns if c != column], "alert.*")
+    return alerts.where("symbol IS NOT NULL AND alert_type IS NOT NULL")
+
+
+def tick_messages(ticks: DataFrame) -> DataFrame:
+    """Ticks (symbol, price_usd, volume_24h, ts) as messages to publish: JSON, keyed by symbol."""
+    body = F.struct("symbol", "price_usd", "volume_24h", iso_text("ts").alias("timestamp"), message_id(F.col("symbol"), "cast(ts as timestamp_ntz)").alias("message_id"))
+    return ticks.select(F.col("symbol").alias("key"), F.to_json(body).alias("value"))
+
+
 def decode_ticks(raw: DataFrame, column: str = "value") -> DataFrame:
     """JSON records to tick columns; a broken record has nulls throughout, unknown fields are ignored."""
     return raw.withColumn("tick", F.from_json(column, TICK_JSON)).select(*[c for c in raw.columns if c != column], "tick.*")

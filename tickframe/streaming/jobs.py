@@ -15,10 +15,13 @@ VALUES = ["open", "high", "low", "close", "volume_sum", "event_count"]
 
 
 def tick_stream(raw: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Valid ticks with event time and watermark from a stream of JSON values; unreadable ones go."""
+    """Valid ticks with event time and watermark from a stream of JSON values; unreadable ones go.
+
+    Ticks of equal time are ordered by their offset, as in batch; a source without offsets has a hash of the message.
+    """
     ticks = decode_ticks(raw)
     timed = ticks.withColumn("ts", event_time(F.col("timestamp"), F.col("last_updated")))
-    keyed = timed.withColumn("tick_id", F.xxhash64("message_id", "timestamp", "price_usd"))
+    keyed = timed.withColumn("tick_id", F.col("kafka_offset") if "kafka_offset" in raw.columns else F.xxhash64("message_id", "timestamp", "price_usd"))
     return valid_ticks(keyed).withWatermark("ts", watermark)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickframe.operators.market import timestamp
-from tickframe.operators.ohlc import alert_json, candle_json, candle_lines
+from tickframe.operators.ohlc import alert_json, candle_json
 from tickframe.operators.windows import latest_by
 
 #: Seconds that a latest state counts, and the time between checkpoints.
@@ -23,56 +23,86 @@ def start(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int],
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str) -> tuple:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop = _file_system(spark, path)
+    return files.exists(hadoop)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, hadoop = _file_system(spark, path)
+    files.delete(hadoop, True)
+
+
+def _run(df: DataFrame) -> str:
+    """The streaming query that a batch belongs to: its restarts share it, a query with another checkpoint has another."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
 def upsert_by_date(path: str, keys: list[str], time: str) -> Callable[[DataFrame, int], None]:
-    """Merge rows into date partitions by key; the newest batch wins, and only touched dates are rewritten.
+    """Merge rows into date partitions by key; rows of the batch at hand win, and only touched dates are rewritten.
 
-    The merged dates are staged first, so that a crash leaves either the old or the new partition.
+    A replayed batch brings the same rows again, so the table stays as it is; and whatever is in the table stays, also
+    under a query with a fresh checkpoint, which counts its batches from 0 again. The merged dates are staged first, so
+    that a crash leaves either the old or the new partition.
     """
 
     def batch(df: DataFrame, number: int) -> None:
         spark = df.sparkSession
-        new = df.withColumn("date", F.to_date(time)).withColumn("batch_id", F.lit(number).cast("long")).persist()
+        new = df.withColumn("date", F.to_date(time)).withColumns({"run_id": F.lit(_run(df)), "batch_id": F.lit(number).cast("long")}).persist()
         dates = [r["date"] for r in new.select("date").distinct().collect()]
         if dates:
-            merged = new
+            merged = new.withColumn("at_hand", F.lit(True))
             if _exists(spark, path):
                 old = spark.read.parquet(path).where(F.col("date").isin(dates))
-                merged = new.unionByName(old.where(F.col("batch_id") <= number))
-            newest = Window.partitionBy(*keys, "date").orderBy(F.desc("batch_id"))
-            staged = f"{path}__staged/{number}"
-            merged.withColumn("n", F.row_number().over(newest)).where("n = 1").drop("n").write.mode("overwrite").parquet(staged)
+                merged = merged.unionByName(old.withColumn("at_hand", F.lit(False)))
+            newest = Window.partitionBy(*keys, "date").orderBy(F.desc("at_hand"))
+            staged = f"{path}__staged/{_run(df)}-{number}"
+            merged.withColumn("n", F.row_number().over(newest)).where("n = 1").drop("n", "at_hand").write.mode("overwrite").parquet(staged)
             ready = spark.read.parquet(staged).repartition("date").sortWithinPartitions("date", *keys)
             ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+            _remove(spark, staged)
         new.unpersist()
 
     return batch
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of a latest table's whole versions, ascending."""
+    files, hadoop = _file_system(spark, path)
+    if not files.exists(hadoop):
+        return []
+    names = [x.getPath().getName() for x in files.listStatus(hadoop)]
+    numbers = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+    return [n for n in numbers if _exists(spark, f"{path}/version={n}/_SUCCESS")]
+
+
 def latest_table(path: str) -> Callable[[DataFrame, int], None]:
-    """Keep each symbol's last candle: every batch writes the whole small table under its number."""
+    """Keep each symbol's last candle: every batch writes the whole small table as a new version, and the two last stay.
+
+    Merging keeps the later window, so a replayed batch, or one of a query with a fresh checkpoint, changes nothing that
+    is newer.
+    """
 
     def batch(df: DataFrame, number: int) -> None:
-        spark = df.sparkSession
-        rows = df
-        if number and _exists(spark, path):
-            before = spark.read.parquet(path).where(F.col("batch") < number)
-            last = before.agg(F.max("batch")).first()[0]
-            if last is not None:
-                rows = df.unionByName(before.where(F.col("batch") == last).drop("batch").select(*df.columns))
-        latest_by(rows, "symbol", ["window_start"]).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spark, rows = df.sparkSession, df
+        done = _versions(spark, path)
+        if done:
+            rows = df.unionByName(spark.read.parquet(f"{path}/version={done[-1]}").select(*df.columns))
+        latest_by(rows, "symbol", ["window_start"]).write.mode("overwrite").parquet(f"{path}/version={done[-1] + 1 if done else 0}")
+        for old in done[:-1]:
+            _remove(spark, f"{path}/version={old}")
 
     return batch
 
 
 def read_latest(spark: SparkSession, path: str, now: datetime | None = None) -> DataFrame:
     """The latest table; with ``now``, rows whose window ended over STATE_SECONDS ago are gone."""
-    table = spark.read.parquet(path)
-    rows = table.where(F.col("batch") == table.agg(F.max("batch")).first()[0]).drop("batch")
+    rows = spark.read.parquet(f"{path}/version={_versions(spark, path)[-1]}")
     return rows if now is None else rows.where(F.expr(f"timestampdiff(SECOND, cast(window_end AS timestamp_ntz), {_literal(now)})") <= STATE_SECONDS)
 
 
@@ -92,18 +122,19 @@ def raw_tick_sink(ticks: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return dated.writeStream.format("parquet").partitionBy("date").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def publish_candles(path: str, symbols: list[str] | None = None) -> Callable[[DataFrame, int], None]:
-    """Candles as keyed JSON files, for the given symbols or all; a batch's folder is rewritten on replay."""
+def _publish(path: str, messages: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Keyed JSON files in a folder for each batch of each query, which a replay rewrites: exactly once."""
+    return lambda df, number: messages(df).write.mode("overwrite").json(f"{path}/run={_run(df)}/batch={number}")
 
-    def batch(df: DataFrame, number: int) -> None:
-        wanted = df.where(F.col("symbol").isin(symbols)) if symbols and "ALL" not in symbols else df
-        candle_json(wanted).write.mode("overwrite").json(f"{path}/batch={number}")
 
-    return batch
+def publish_candles(path: str, symbols: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """Candles as keyed JSON files, for the given symbols or all."""
+    return _publish(path, lambda df: candle_json(df.where(F.col("symbol").isin(symbols)) if symbols and "ALL" not in symbols else df))
 
 
 def publish_alerts(path: str) -> Callable[[DataFrame, int], None]:
-    return lambda df, number: alert_json(df).write.mode("overwrite").json(f"{path}/batch={number}")
+    """Alerts as keyed JSON files."""
+    return _publish(path, alert_json)
 
 
 def kafka_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
@@ -111,8 +142,10 @@ def kafka_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str) -
     return messages.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("checkpointLocation", checkpoint).trigger(processingTime=CHECKPOINT_EVERY).start()
 
 
-def print_candles(candles: DataFrame) -> StreamingQuery:
-    return candle_lines(candles).writeStream.format("console").option("truncate", False).start()
+def print_lines(lines: DataFrame, **options: str) -> StreamingQuery:
+    """Print a stream of text lines, such as ``candle_lines`` or ``alert_lines``."""
+    writer = lines.writeStream.format("console").option("truncate", False).options(**options)
+    return writer.trigger(availableNow=True).start()
 
 
 def expired(rows: DataFrame, now: datetime) -> DataFrame:
