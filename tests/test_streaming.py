@@ -7,8 +7,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tickframe.operators import ohlc
-from tickframe.sources.ticks import file_ticks
+from tickframe.operators import ohlc, tables
+from tickframe.sources.ticks import decode_alerts, decode_ticks, file_ticks, tick_messages
 from tickframe.streaming import jobs, sinks
 
 START = datetime.datetime(2024, 1, 1, 10, 0, 0)
@@ -106,13 +106,100 @@ def test_upsert_is_idempotent_and_restarts(spark, feed, tmp_path):
     read = lambda: sorted(map(tuple, spark.read.parquet(path).select("symbol", "window_start", "close").collect()))
     want = sorted(map(tuple, batch_candles(spark, "1 minute", 880).select("symbol", "window_start", "close").collect()))
     assert read() == want
-    one = spark.read.parquet(path).drop("date", "batch_id").limit(1).collect()
-    again = spark.createDataFrame(one, spark.read.parquet(path).drop("date", "batch_id").schema).withColumn("close", F.lit(5).cast("decimal(20,8)"))
+    one = spark.read.parquet(path).drop("date", "run_id", "batch_id").limit(1).collect()
+    again = spark.createDataFrame(one, spark.read.parquet(path).drop("date", "run_id", "batch_id").schema).withColumn("close", F.lit(5).cast("decimal(20,8)"))
     for _ in range(2):
         merge(again, 99)
     assert len(read()) == len(want) and sum(r[2] == 5 for r in read()) == 1
 
 
+def test_fresh_checkpoint_loses_nothing(spark, feed, tmp_path):
+    """A query that starts anew counts its batches from 0; what earlier ones wrote stays, and so do their files."""
+    write, stream = feed
+    candles = lambda: jobs.flat(jobs.candle_stream(stream()))
+    targets = [sinks.upsert_by_date(str(tmp_path / "table"), ["symbol", "window_start"], "window_start"), sinks.latest_table(str(tmp_path / "latest")), sinks.publish_candles(str(tmp_path / "json"))]
+
+    def run(name):
+        for i, batch in enumerate(targets):
+            sinks.start(candles(), str(tmp_path / f"{name}-{i}"), batch, every=None).awaitTermination(120)
+
+    for b in BATCHES:
+        write(*b)
+    run("one")
+    rows = lambda: {(r["symbol"], r["window_start"]): r["close"] for r in spark.read.parquet(str(tmp_path / "table")).collect()}
+    before, latest = rows(), {r["symbol"]: r["window_start"] for r in sinks.read_latest(spark, str(tmp_path / "latest")).collect()}
+    files = spark.read.json(str(tmp_path / "json")).count()
+    assert before and files == len(before)
+    for path in (tmp_path / "in").iterdir():
+        path.unlink()
+    write(tick(3, 50, "NEW"))
+    write(tick(901, 1, "NEW"))
+    write(tick(902, 1, "NEW"))
+    run("two")
+    after = rows()
+    assert {k: v for k, v in after.items() if k[0] != "NEW"} == before and ("NEW", START) in {(k[0], k[1].replace(tzinfo=None)) for k in after}
+    now = {r["symbol"]: r["window_start"] for r in sinks.read_latest(spark, str(tmp_path / "latest")).collect()}
+    assert {k: v for k, v in now.items() if k != "NEW"} == latest and "NEW" in now
+    assert spark.read.json(str(tmp_path / "json")).count() == files + 1
+    assert not any((tmp_path / "table__staged").iterdir())
+    assert len([x for x in (tmp_path / "latest").iterdir() if x.name.startswith("version=")]) <= 3
+
+
+def test_early_candles_by_update_mode(spark, feed, tmp_path):
+    """Open windows show after every batch, and later ticks change them; the table holds each window once."""
+    write, stream = feed
+    path, check = str(tmp_path / "table"), str(tmp_path / "check")
+    merge = sinks.upsert_by_date(path, ["symbol", "window_start"], "window_start")
+    run = lambda: sinks.start(jobs.flat(jobs.candle_stream(stream())), check, merge, "update", None).awaitTermination(120)
+    first = lambda: [(float(r["close"]), r["event_count"]) for r in spark.read.parquet(path).where("symbol = 'BTC'").orderBy("window_start").collect()]
+    write(tick(1, 100), tick(30, 103))
+    run()
+    assert first() == [(103.0, 2)]
+    write(tick(40, 104), tick(70, 7))
+    run()
+    assert first() == [(104.0, 3), (7.0, 1)]
+
+
+def test_alerts_are_published_read_again_and_printed(spark, feed, tmp_path):
+    write, stream = feed
+    for b in BATCHES:
+        write(*b)
+    path = tmp_path / "alerts"
+    alerts = lambda: jobs.alert_stream(jobs.candle_stream(stream()))
+    sinks.start(alerts(), str(tmp_path / "c1"), sinks.publish_alerts(str(path)), every=None).awaitTermination(120)
+    want, _ = collected(spark, alerts(), tmp_path)
+    published = spark.read.json(str(path))
+    assert want and published.count() == len(want)
+    published.select("value").unionByName(spark.createDataFrame([("{bad",), ('{"alert_type":"PRICE_DROP"}',)], "value string")).write.text(str(tmp_path / "topic"))
+    read, _ = collected(spark, decode_alerts(spark.readStream.text(str(tmp_path / "topic"))), tmp_path, name="read")
+    key = lambda r, pct: (r["symbol"], r["alert_type"], float(r[pct]), r["severity"])
+    assert sorted(key(r, "price_change_percent") for r in read) == sorted(key(r, "price_change_pct") for r in want)
+    printed = sinks.print_lines(ohlc.alert_lines(alerts()))
+    printed.awaitTermination(120)
+    assert printed.exception() is None and sum(p["sink"]["numOutputRows"] for p in printed.recentProgress) == len(want)
+
+
+def test_tick_messages_are_published_by_key(spark, tmp_path):
+    ticks = spark.createDataFrame([("BTC", 1.5, 2.0, START), ("ETH", 2.5, None, START)], "symbol string, p double, v double, ts timestamp_ntz")
+    ticks = ticks.select("symbol", F.col("p").cast("decimal(20,8)").alias("price_usd"), F.col("v").cast("decimal(20,2)").alias("volume_24h"), "ts")
+    tables.publish(tick_messages(ticks), str(tmp_path / "topic"))
+    tables.publish(tick_messages(ticks), str(tmp_path / "topic"))
+    sent = spark.read.json(str(tmp_path / "topic"))
+    assert {r["key"] for r in sent.collect()} == {"BTC", "ETH"} and sent.count() == 4
+    back = decode_ticks(sent.select("value")).distinct().orderBy("symbol").collect()
+    assert [(r["symbol"], float(r["price_usd"]), r["timestamp"]) for r in back] == [("BTC", 1.5, "2024-01-01T10:00:00Z"), ("ETH", 2.5, "2024-01-01T10:00:00Z")]
+    assert back[0]["message_id"] == f"BTC-{int(START.replace(tzinfo=datetime.timezone.utc).timestamp() * 1000)}"
+
+
+def test_ties_go_by_offset(spark, tmp_path):
+    """Ticks of one time are in the order of their offsets, as in batch."""
+    rows = [(json.dumps(tick(1, p)), n) for n, p in ((7, 10), (9, 30), (8, 20))] + [(json.dumps(tick(s, 1)), s) for s in (600, 1200)]
+    spark.createDataFrame(rows, "value string, kafka_offset long").write.parquet(str(tmp_path / "in"))
+    raw = spark.readStream.schema("value string, kafka_offset long").parquet(str(tmp_path / "in"))
+    out, _ = collected(spark, jobs.flat(jobs.candle_stream(jobs.tick_stream(raw))), tmp_path, "update")
+    assert [(float(r["open"]), float(r["close"])) for r in out if r["event_count"] == 3] == [(10.0, 30.0)]
+
+
 def test_latest_table_expires(spark, feed, tmp_path):
     write, stream = feed
     for b in BATCHES:
