@@ -38,7 +38,7 @@ MARK = "▁".encode()
 HEAD_WORDS = 200_000
 WORDS_A_FLUSH = 400_000
 #: Words and bytes handled at once by the lattice; a longer word is walked window by window of so many bytes.
-LATTICE_WORDS, LATTICE_BYTES = 20_000, 1 << 18
+LATTICE_WORDS, LATTICE_BYTES = 10_000, 1 << 17
 CHUNK_ROWS = 1 << 14
 LN10 = float(np.log(10.0))
 

@@ -21,6 +21,7 @@ from tickframe.llm.urlfilter import apply_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: host, path, verdict
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
@@ -70,7 +71,8 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rows = ", ".join(str(rule) for rule in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {rows} AS rules(host, path, verdict)")
     return apply_rules(table(spark, sf_dir, "pages"), rules)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,10 +11,16 @@ from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the session's ``spark.checkpoint.dir``; where that is unset (tests), a temporary one is set."""
+    """A new folder under the session's ``spark.checkpoint.dir``.
+
+    Where that is unset, a session within one process (as in tests) gets a temporary folder; on a cluster it is an error,
+    as each executor would write to a disk of its own.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 

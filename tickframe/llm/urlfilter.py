@@ -48,16 +48,17 @@ def prepare_rules(rules: DataFrame) -> DataFrame:
 def apply_rules(pages: DataFrame, rules: DataFrame, default: str = "allow", broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
     """Judge ``pages(page_id, url, ...)`` by ``rules(host, path, verdict)``.
 
-    Returns one row per input row: page_id, url, host, path, rule, verdict. Among the rules whose host equals the URL's
+    Returns one row per input row: page_id, host, path, rule, verdict, url. Among the rules whose host equals the URL's
     host or one of its parent domains, and whose path starts the URL's path, the longest text decides (then the longer
     host). Without a rule, ``rule`` is null and the verdict is ``default``. A null URL, or one without ``://``, has an
-    empty host and path and fits no rule; repeated rows each get their row; other columns are not read; empty tables
-    give an empty result.
+    empty host and path and fits no rule; repeated rows, and rows without a page_id, each get their row; other columns
+    are not read; empty tables give an empty result.
     """
     shape = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length(F.coalesce("path", F.lit("")))).alias("lengths")).first()
+    order = ["page_id", "host", "path", "rule", "verdict", "url"]
     base = pages.select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     if not shape["lengths"]:
-        return base.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return base.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)}).select(*order)
     table = prepare_rules(rules)
     exploded = base.select("*", F.posexplode(expressions(F.col("host"), F.col("path"), shape["labels"], sorted(shape["lengths"]))).alias("pos", "expr"))
     exploded = exploded.withColumn("digest", F.sha2("expr", 256)).withColumn("prefix", F.substring("digest", 1, 8))
@@ -68,6 +69,5 @@ def apply_rules(pages: DataFrame, rules: DataFrame, default: str = "allow", broa
         hits = exploded.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["prefix", "salt"], "left")
     confirmed = F.array_max(F.transform(F.filter("candidates", lambda r: r["digest"] == F.col("digest")), lambda r: F.struct(r["len"].alias("len"), r["host_len"].alias("host_len"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
     best = hits.groupBy("page_id", "url", "host", "path").agg(F.max(confirmed).alias("best"), F.count_if(F.col("pos") == 0).alias("copies"))
-    return best.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(
-        "page_id", "url", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
-    )
+    best = best.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+    return best.withColumns({"rule": F.col("best.rule"), "verdict": F.coalesce("best.verdict", F.lit(default))}).select(*order)
