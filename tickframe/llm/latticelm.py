@@ -291,7 +291,7 @@ def add_parts(end_base: float, end_lp: float, end_known: int, train_tokens: int)
         n = rows.column("n").to_numpy() + 1
         return pa.table({
             "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(sums[0].astype(np.int64) + end_known), "train_tokens": pa.array(np.full(len(n), train_tokens)),
-            "base_score": pa.array(sums[1] + end_base), "score": pa.array((sums[2] + end_lp) / LN10),
+            "base_score": pa.array(sums[1] + end_base), "score": pa.array((sums[2] + end_lp) / LN10), "score_per_token": pa.array((sums[2] + end_lp) / LN10 / n),
         })
 
     return run
@@ -310,8 +310,8 @@ class BaseScore:
 def score_documents(docs: DataFrame, model_path: str, head_words: int = HEAD_WORDS) -> DataFrame:
     """Score every row of ``docs(doc_id, text, ...)`` by the lattice model and by the word-count base.
 
-    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probability of the text: its
-    words' marginals and one end). Tokens are the words cut at ASCII white space, A-Z lower-cased, then one end; null
+    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text: its
+    words' marginals and one end) and score_per_token. Tokens are the words cut at ASCII white space, A-Z lower-cased, then one end; null
     and empty texts are an end alone. Rows with crc32(doc_id) mod 5 = 1 are only scored; rows without a doc_id are
     learnt from. Repeated rows each count and get their row. Other columns are not read; an empty table gives no rows.
     To the driver come the ``head_words`` most frequent words' numbers, whatever the corpus; all other words' counts and
@@ -342,4 +342,4 @@ def score_documents(docs: DataFrame, model_path: str, head_words: int = HEAD_WOR
     tail = rare.groupBy("bucket").cogroup(lexicon.groupBy("bucket")).applyInArrow(score_tail(base), TAIL)
     own = parts.where("rid is not null").select("chunk", "rid", "doc_id", "held_out", "n", "known", "base", "lp")
     end = add_parts(float(base(np.array([ends]))[0]), end_lp, int(ends > 0), tokens)
-    return own.groupBy("chunk").cogroup(tail.groupBy("chunk")).applyInArrow(end, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return own.groupBy("chunk").cogroup(tail.groupBy("chunk")).applyInArrow(end, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, score_per_token double")

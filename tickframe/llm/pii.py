@@ -215,7 +215,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """Personal data of every row of ``docs(doc_id, text, ...)``.
 
     Returns doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the pattern spans as kind:start:end, code points,
-    by kind and start), spans (those and the disclosing terms', kinds generalise and remove, likewise), and span_list.
+    by kind and start), spans (those and the disclosing terms', kinds generalise and remove, likewise), n_spans and
+    span_list. A row without a doc_id is one like any other.
     Null and empty texts have none. Repeated rows get equal rows. Other columns are not read; an empty table gives no
     rows. A term is disclosing when at least MIN_SHARE of the documents with the term mention one entity (a value, its
     group or its kind) near it, and the share of the entity's information that it gives, smoothed by the number of
@@ -235,4 +236,6 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     kinds = F.array(*[F.lit(k) for k in KINDS])
     listed = F.transform(F.sort_array("all"), lambda s: F.struct(F.element_at(kinds, s["kind"] + 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     doc_id = F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")).alias("doc_id")
-    return out.select(doc_id, *counts, F.sha2(joined_spans(pattern_spans), 256).alias("base_sha256"), joined_spans(F.col("all")).alias("spans"), listed.alias("span_list"))
+    base_sha256 = F.sha2(joined_spans(pattern_spans), 256).alias("base_sha256")
+    n_spans = F.size("all").cast("long").alias("n_spans")
+    return out.select(doc_id, *counts, base_sha256, joined_spans(F.col("all")).alias("spans"), n_spans, listed.alias("span_list"))
