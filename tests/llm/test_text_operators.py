@@ -396,7 +396,7 @@ def test_lm_scores(docs, rows, empty):
         want[r[0], held(r[0]), len(ts), sum(counts[t] > 0 for t in ts), n, round(base, 4)] += 1
     assert Counter((*r[:5], round(r["base_score"], 4)) for r in found) == want
     pieces, prior = latticelm.read_pieces(vocabulary_path("piece_bpe_32k.model"))
-    weights = dict(zip(pieces, np.exp(prior) * (v + 0.5) / (n + v + 1), strict=True))
+    weights, spelled = dict(zip(pieces, np.exp(prior), strict=True)), math.log((v + 0.5) / (n + v + 1))
     longest = max(map(len, pieces))
 
     @functools.cache
@@ -409,7 +409,7 @@ def test_lm_scores(docs, rows, empty):
             mantissa, shift = math.frexp(sum(math.ldexp(m * w, e - top) for (m, e), w in found if w))
             paths.append((mantissa, shift + top))
         m, e = paths[-1]
-        return np.logaddexp(math.log(m) + e * math.log(2), math.log(counts[word] / (n + v + 1)) if counts[word] else -math.inf)
+        return np.logaddexp(spelled + math.log(m) + e * math.log(2), math.log(counts[word] / (n + v + 1)) if counts[word] else -math.inf)
 
     end = math.log((counts[b""] + 0.5) / (n + v + 1))
     scores = Counter()

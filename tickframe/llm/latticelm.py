@@ -4,7 +4,8 @@ The model draws pieces independently, so a text's probability is the sum over al
 the piece vocabulary's word mark, hence a text's lattice falls apart into one lattice per word, and a word's marginal
 log-probability is computed once, by a log-space forward recursion over its bytes. The pieces are those of an existing
 subword vocabulary, weighted by its own scores, and every word of the training documents as a piece of its own, weighted
-by its count; the words' share of all weight is that of tokens seen before (Witten-Bell).
+by its count. A word is one such piece or spelled by the vocabulary's; the share of words to be spelled is that of tokens
+that were new when they came (Witten-Bell).
 """
 
 from __future__ import annotations
@@ -190,14 +191,14 @@ def score_words(sent, buckets: int):
     """Task function: (bucket, hash, c, log-probability) of each word, by its lattice and as a piece of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, log_weight, total = sent.value
+        pieces, log_weight, log_spelled, total = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, LATTICE_WORDS):
                 part = batch.slice(at, LATTICE_WORDS)
                 words = part.column("word").to_pylist()
                 with np.errstate(divide="ignore"):
                     whole = np.log(part.column("c").to_numpy() / total)
-                lp = np.logaddexp(marginals(words, pieces, log_weight), whole)
+                lp = np.logaddexp(log_spelled + marginals(words, pieces, log_weight), whole)
                 offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])])
                 hashes = word_hash(np.frombuffer(b"".join(words), np.uint8), offsets[:-1], offsets[1:])
                 bucket = (hashes & U64(buckets - 1)).astype(np.int32)
@@ -327,10 +328,10 @@ def score_documents(docs: DataFrame, model_path: str, head_words: int = HEAD_WOR
     tokens, distinct = totals["n"] + ends, totals["v"] + (ends > 0)
     base = BaseScore(tokens, distinct)
 
-    # A word piece weighs c / total, the vocabulary's pieces share a count of one for each distinct token.
+    # A word piece weighs c / total, and spelled words share a count of one for each distinct token.
     pieces, prior = read_pieces(model_path)
     total = tokens + distinct + 1.0
-    sent = sc.broadcast((Pieces(pieces), prior + np.log((distinct + 0.5) / total), total))
+    sent = sc.broadcast((Pieces(pieces), prior, np.log((distinct + 0.5) / total), total))
     end_lp = float(np.log((ends + 0.5) / total))
     lexicon = materialize(words.mapInArrow(score_words(sent, buckets), LEXICON), "lexicon")
     head = lexicon.select("hash", "c", "lp").orderBy(F.desc("c"), "hash").limit(head_words).toArrow()
