@@ -4,11 +4,13 @@ Each shingle is hashed into one of K blocks of a sketch and XORed into it, so ev
 holds changes at most one block: the number of differing blocks is a lower bound of the symmetric difference. Two sets
 that reach the similarity differ in at most d shingles, so of any d + 1 filled blocks of one at least one is the same
 in the other. Sets are sketched per size band, with K growing with the band, and joined on d + 1 blocks each, those
-with most shingles first. Pairs pass a bitwise parity filter and an exact comparison of their shingle sets.
+with most shingles first. Pairs pass a bitwise parity filter and an exact comparison of their shingle sets. The members
+of one key's group meet its smallest one first; only what that leaves unconnected is compared by sketches.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,22 +19,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.components import connected_components
-from tickframe.llm.storage import bucket_count, corpus_size, in_small_batches, materialize
-from tickframe.llm.textbatch import NOT_SPACE, U64, mix, pack_planes, prefix_sums, slices, substring_hash, to_bytes_array, unpack_planes, word_spans
+from tickframe.llm.storage import broadcast_if_small, bucket_count, corpus_size, in_small_batches, materialize
+from tickframe.llm.textbatch import (
+    NOT_SPACE,
+    U64,
+    mix,
+    pack_planes,
+    slices,
+    to_bytes_array,
+    unpack_planes,
+    word_hash,
+    word_spans,
+)
 
 SHINGLE = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 KEYS_A_FLUSH = 1 << 21
-#: Logarithms of the fewest and most bits of a parity sketch, and the bytes of one within a group.
-LEAST_BITS, MOST_BITS, GROUP_BYTES = 6, 14, 128
+#: Logarithms of the fewest and most bits of a parity sketch, its bits for each shingle, and the bytes of one in a group.
+LEAST_BITS, MOST_BITS, BITS_A_SHINGLE, GROUP_BYTES = 6, 16, 4, 256
 #: Ids of documents in candidate pairs are broadcast, to filter the read of their texts, if there are at most so many.
 BROADCAST_IDS = 1_000_000
-#: Members of a group compared by one task; a larger group is compared block by block.
-GROUP_BLOCK = 2048
+#: Members of a group compared by one task; a larger group falls apart by size, then into blocks. Linked sets are in the
+#: same or a neighbouring size class; its factor is a little more than the similarity needs, for rounding.
+GROUP_BLOCK, SIZE_FACTOR = 2048, 1.34
 #: One document in so many is sampled for frequent keys; a key is one from so many sampled documents on; and at most so
-#: many are told to the tasks.
-SAMPLE_EVERY, OFTEN, MOST_FREQUENT = 16, 4, 500_000
+#: many are told to the tasks. Keys of HOT sampled documents or more are dealt over SALTS tasks.
+SAMPLE_EVERY, OFTEN, MOST_FREQUENT, HOT, SALTS = 16, 4, 500_000, 10_000, 64
+#: Rounds in which the members of a group meet one more of them before they are compared with each other.
+CENTER_ROUNDS = 1
 LOW_BITS = U64((1 << 40) - 1)
 STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -42,7 +57,7 @@ def shingle_sets(column: pa.Array) -> Iterator[list[np.ndarray]]:
     data, offsets = to_bytes_array(column)
     for _, _, chunk, at in slices(data, offsets):
         starts, ends, before = word_spans(chunk, at, NOT_SPACE)
-        words = substring_hash(prefix_sums(chunk), starts, ends)
+        words = word_hash(chunk, starts, ends)
         long = np.zeros(max(0, len(words) - SHINGLE + 1), np.uint64)
         for k in range(SHINGLE):
             long += words[k : k + len(long)] * STEP[k]
@@ -123,9 +138,9 @@ def enough_blocks(shingles: np.ndarray) -> bool:
 
 
 def parity_bits(shingles: np.ndarray) -> bytes:
-    """A parity bit per shingle hash, XORed, in about as many bits as shingles; the Hamming distance of two such
+    """A parity bit per shingle hash, XORed, in some bits for each shingle; the Hamming distance of two such
     sketches is at most the sets' symmetric difference. Bits are dealt by low hash bits, so that a sketch folds."""
-    bits = 1 << max(LEAST_BITS, min(MOST_BITS, (len(shingles) - 1).bit_length()))
+    bits = 1 << max(LEAST_BITS, min(MOST_BITS, (BITS_A_SHINGLE * len(shingles) - 1).bit_length()))
     odd = np.bincount((mix(shingles + STEP[2]) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -162,32 +177,55 @@ def meta_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def key_task(buckets: int, frequent=None):
-    """Task function: packed rows of (key, doc_id) by bucket. ``frequent`` is a broadcast of keys to use last."""
+def within(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(x), bool)
+    return sorted_values[np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)] == x
+
+
+def copy_key(doc_id: int, own: tuple[int, int]) -> int:
+    return (doc_id * int(STEP[0]) ^ own[0]) & (1 << 64) - 1
+
+
+def is_copy(doc_id: int, own: tuple[int, int], keys: np.ndarray = (), check: np.ndarray = ()) -> bool:
+    """Whether the document with this set is told as a copy of an earlier one."""
+    if not len(keys):
+        return False
+    at = min(int(np.searchsorted(keys, np.uint64(copy_key(doc_id, own)))), len(keys) - 1)
+    return int(keys[at]) == copy_key(doc_id, own) and int(check[at]) == own[1]
+
+
+def key_task(buckets: int, told=None):
+    """Task function: packed rows of (key, doc_id) by bucket. ``told`` broadcasts the keys to use last, and the hot ones
+    among them: those have SALTS buckets of their own each, numbered from ``buckets`` on, dealt by document."""
     shift = U64(buckets.bit_length() - 1)
 
-    def flush(keys: list[np.ndarray], docs: list[int], counts: list[int]) -> pa.RecordBatch:
+    def flush(keys: list[np.ndarray], docs: list[int], counts: list[int], hot: np.ndarray) -> pa.RecordBatch:
         key, doc = np.concatenate(keys), np.repeat(np.array(docs, np.int64), counts)
         bucket = (key & U64(buckets - 1)).astype(np.int64)
+        salted = within(hot, key & LOW_BITS)
+        bucket[salted] += buckets * (1 + (mix(doc[salted].view(np.uint64)) % U64(SALTS)).astype(np.int64))
         order = np.argsort(bucket, kind="stable")
         key, doc, bucket = (key[order] >> shift).astype(np.uint32), doc[order], bucket[order]
-        edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
+        edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
         spans = list(zip(edges[:-1], edges[1:], strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([int(bucket[a]) for a, _ in spans], pa.int32()), pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([pack_planes(doc[a:b]) for a, b in spans], pa.binary())],
-            names=["bucket", "keys", "docs"],
-        )
+        columns = [
+            pa.array([int(bucket[a]) for a, _ in spans], pa.int32()),
+            pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()),
+            pa.array([pack_planes(doc[a:b]) for a, b in spans], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "keys", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs, counts, held, seen = [], [], [], 0, set()
-        last = frequent.value if frequent else np.zeros(0, np.uint64)
+        last, hot, *known = told.value if told else (np.zeros(0, np.uint64),) * 2
         for part in batches:
             ids = iter(part.column("doc_id").to_pylist())
             for sets in shingle_sets(part.column("text")):
                 for shingles in sets:
                     doc_id = next(ids)
                     # Equal sets of a task need one entry.
-                    if len(shingles) and doc_id is not None and (own := set_hash(shingles)) not in seen:
+                    if len(shingles) and doc_id is not None and (own := set_hash(shingles)) not in seen and not is_copy(doc_id, own, *known):
                         seen.add(own)
                         for k in sketch_keys(shingles, last):
                             keys.append(k)
@@ -195,10 +233,10 @@ def key_task(buckets: int, frequent=None):
                             counts.append(len(k))
                             held += len(k)
                 if held >= KEYS_A_FLUSH:
-                    yield flush(keys, docs, counts)
+                    yield flush(keys, docs, counts, hot)
                     keys, docs, counts, held, seen = [], [], [], 0, set()
         if keys:
-            yield flush(keys, docs, counts)
+            yield flush(keys, docs, counts, hot)
 
     return run
 
@@ -216,24 +254,53 @@ def frequent_keys(buckets: int):
     return run
 
 
-def bucket_groups(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of documents under one key of a bucket: pairs with the smallest member, and groups of three or more whole."""
-    keys, docs = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-    for batch in batches:
-        keys.extend(np.frombuffer(x, np.uint32) for x in batch.column("keys").to_pylist())
-        docs.extend(unpack_planes(x) for x in batch.column("docs").to_pylist())
-    key_of, doc = np.concatenate(keys), np.concatenate(docs)
-    order = np.lexsort((doc, key_of))
-    key_of, doc = key_of[order], doc[order]
-    first = np.concatenate([[True], (np.diff(key_of) != 0) | (np.diff(doc) != 0)]) if len(doc) else np.zeros(0, bool)
-    key_of, doc = key_of[first], doc[first]
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(key_of) != 0])) if len(doc) else np.zeros(0, np.int64)
-    sizes = np.diff(starts, append=len(doc))
-    center = np.repeat(doc[starts], sizes)
-    pairs = np.unique(np.stack([center[center != doc], doc[center != doc]], axis=1), axis=0)
-    groups = {doc[a : a + n].tobytes() for a, n in zip(starts[sizes > 2], sizes[sizes > 2], strict=True)}
-    n, m = len(pairs), len(groups)
-    yield pa.RecordBatch.from_arrays([pa.array([*pairs[:, 0], *[None] * m], pa.int64()), pa.array([*pairs[:, 1], *[None] * m], pa.int64()), pa.array([*[None] * n, *[np.frombuffer(g, np.int64) for g in groups]], pa.list_(pa.int64()))], names=["a", "b", "members"])
+GROUPS = "a long, b long, g long, hot boolean"
+MEMBERS_A_BATCH = 1 << 16
+
+
+def bucket_groups(buckets: int):
+    """Group function: the groups of documents under one key of a bucket.
+
+    Pairs (a, b) of a group's smallest member with each other one; and for groups of three or more a row (g, a) for each
+    member, where g is equal for equal groups. A bucket that holds a salt of hot keys gives rows (g, a) alone.
+    """
+    shift = buckets.bit_length() - 1
+
+    def rows(a: np.ndarray, b: np.ndarray | None, g: np.ndarray | None, hot: bool) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(a), MEMBERS_A_BATCH):
+            part = slice(at, at + MEMBERS_A_BATCH)
+            n = len(a[part])
+            columns = [a[part], *(pa.nulls(n, pa.int64()) if x is None else x[part] for x in (b, g))]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(np.full(n, hot))], names=["a", "b", "g", "hot"])
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, docs = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            keys.extend(np.frombuffer(x, np.uint32) for x in batch.column("keys").to_pylist())
+            docs.extend(unpack_planes(x) for x in batch.column("docs").to_pylist())
+        key_of, doc = np.concatenate(keys), np.concatenate(docs)
+        order = np.lexsort((doc, key_of))
+        key_of, doc = key_of[order], doc[order]
+        first = (np.diff(key_of, prepend=~key_of[:1]) != 0) | (np.diff(doc, prepend=doc[:1] - 1) != 0)
+        key_of, doc = key_of[first], doc[first]
+        bucket = key[0].as_py()
+        if bucket >= buckets:
+            yield from rows(doc, None, (key_of.astype(np.int64) << shift | bucket % buckets) + (1 << 48), True)
+            return
+        starts = np.flatnonzero(np.diff(key_of, prepend=~key_of[:1]) != 0)
+        sizes = np.diff(starts, append=len(doc))
+        center = np.repeat(doc[starts], sizes)
+        pairs = np.unique(np.stack([center[center != doc], doc[center != doc]], axis=1), axis=0)
+        yield from rows(pairs[:, 0], pairs[:, 1], None, False)
+        # Equal groups of a bucket are told once; a group's number is a sum over its members.
+        number = mix(np.add.reduceat(mix(doc.view(np.uint64) + STEP[3]), starts) ^ mix(sizes.astype(np.uint64))) if len(doc) else np.zeros(0, np.uint64)
+        large = np.flatnonzero(sizes > 2)
+        large = large[np.unique(number[large], return_index=True)[1]]
+        at = np.repeat(starts[large], sizes[large])
+        at += np.arange(len(at)) - np.repeat(np.cumsum(sizes[large]) - sizes[large], sizes[large])
+        yield from rows(doc[at], None, np.repeat(number[large].view(np.int64), sizes[large]), False)
+
+    return run
 
 
 def set_rows(bits: int):
@@ -295,17 +362,28 @@ def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def close_in_group(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a group in different components that sizes and parity sketches allow."""
     rows = pa.Table.from_batches(list(batches))
-    node, label, n, side = (rows.column(c).to_numpy() for c in ("rep", "label", "n", "side"))
+    node, label, n, side, guest = (rows.column(c).to_numpy() for c in ("rep", "label", "n", "side", "guest"))
     sketches = [np.frombuffer(s, np.uint8) for s in rows.column("sketch").to_pylist()]
     size = min(map(len, sketches))
-    bits = np.stack([fold(s, size) for s in sketches])
+    bits = np.stack([fold(s, size) for s in sketches]).view(np.uint64)
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     a, b = [], []
-    for i in left:
-        j = right[(label[right] != label[i]) & (100 * np.minimum(n[right], n[i]) >= PERCENT * np.maximum(n[right], n[i]))]
+
+    def compare(i: int, others: np.ndarray) -> None:
+        fits = (label[others] != label[i]) & (100 * np.minimum(n[others], n[i]) >= PERCENT * np.maximum(n[others], n[i]))
+        j = others[fits & ~(guest[others] & guest[i])]
         j = j[(100 + PERCENT) * np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= (100 - PERCENT) * (n[j] + n[i])]
         a.extend(np.minimum(node[i], node[j]))
         b.extend(np.maximum(node[i], node[j]))
+
+    # Most members are in one component, within which nothing is compared: the others meet all.
+    labels, counts = np.unique(label, return_counts=True)
+    most = label == labels[counts.argmax()]
+    for i in left[~most[left]]:
+        compare(i, right)
+    if (side != 2).any():
+        for i in right[~most[right]]:
+            compare(i, left[most[left]])
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
@@ -319,7 +397,7 @@ class _Join:
         filled = self.meta.where("n > 0 and doc_id is not null")
         classes = filled.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
         #: Documents with the same set as a smaller doc_id. Written first, classes meet their members in a join that Spark can split.
-        self.copies = materialize(filled.join(materialize(classes, "classes"), ["n", "h1", "h2"]).where("doc_id <> rep").select("doc_id", "rep"), "copies")
+        self.copies = materialize(filled.join(materialize(classes, "classes"), ["n", "h1", "h2"]).where("doc_id <> rep").select("doc_id", "rep", "h1", "h2"), "copies")
         self.facts = filled.select(F.col("doc_id").alias("rep"), "n", "sketch")
 
     def to_reps(self, df: DataFrame, name: str) -> DataFrame:
@@ -354,54 +432,124 @@ class _Join:
         return materialize(pairs.mapInArrow(close_pairs, "a long, b long, n_a long, n_b long"), "pairs")
 
     def few_blocks(self) -> DataFrame | None:
-        """Pairs of the rare sets with too few filled blocks with any set that shares a shingle, or None."""
+        """Pairs of the rare sets with too few filled blocks with any set that shares one of their first shingles, or
+        None. Of the shingles that a linked set may lack plus one, at least one is shared."""
         rare = self.meta.where("not enough").select("doc_id")
         if rare.isEmpty():
             return None
-        sets = self.docs.mapInArrow(exploded_sets, "doc_id long, shingle long")
-        own = sets.join(rare, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), "shingle")
-        return own.join(sets.withColumnRenamed("doc_id", "b"), "shingle").select("a", "b").distinct()
-
-    def frequent(self) -> np.ndarray:
-        """Keys seen often in a sample. They only come last in the order of blocks, so which they are decides how many
-        candidates there are, not which pairs are found."""
+        first = self.docs.join(broadcast_if_small(rare, BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(exploded_sets(True), SHINGLES)
+        first = materialize(first.select(F.col("doc_id").alias("a"), "shingle"), "first")
+        every = self.docs.mapInArrow(exploded_sets(False), SHINGLES)
+        return every.withColumnRenamed("doc_id", "b").join(broadcast_if_small(first, BROADCAST_IDS), "shingle").select("a", "b").distinct()
+
+    def frequent(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys seen often in a sample, and the hot ones among them. They come last in the order of blocks, and hot ones
+        are dealt over salts, so which they are decides how many candidates there are, not which pairs are found."""
         sample = self.docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SAMPLE_EVERY)) == 0)
-        counted = sample.mapInArrow(key_task(self.buckets), KEYS).groupBy("bucket").applyInArrow(frequent_keys(self.buckets), "key long, n long")
+        packed = sample.mapInArrow(key_task(self.buckets), KEYS)
+        counted = packed.groupBy("bucket").applyInArrow(frequent_keys(self.buckets), "key long, n long")
         most = counted.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).toArrow()
-        return np.unique(most.column("key").to_numpy().view(np.uint64))
+        keys, n = most.column("key").to_numpy().view(np.uint64), most.column("n").to_numpy()
+        return np.unique(keys), np.unique(keys[n >= HOT])
+
+    def known_copies(self) -> tuple[np.ndarray, np.ndarray]:
+        """What tells copies apart in a task, which then need no keys; none if there are over BROADCAST_IDS."""
+        if self.copies.count() > BROADCAST_IDS:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        found = self.copies.select("doc_id", "h1", "h2").distinct().toArrow()
+        doc, h1 = (found.column(c).to_numpy().view(np.uint64) for c in ("doc_id", "h1"))
+        keys = doc * STEP[0] ^ h1
+        order = np.argsort(keys)
+        return keys[order], found.column("h2").to_numpy()[order]
+
+    def candidates(self) -> tuple[DataFrame, DataFrame]:
+        """Pairs (a, b) of each group's smallest member with the others, and members (g, rep) of groups of three or more."""
+        last, hot = self.frequent()
+        told = self.docs.sparkSession.sparkContext.broadcast((last, hot, *self.known_copies()))
+        packed = self.docs.mapInArrow(key_task(self.buckets, told), KEYS)
+        found = materialize(packed.groupBy("bucket").applyInArrow(bucket_groups(self.buckets), GROUPS), "groups")
+        pairs = found.where("b is not null").select("a", "b")
+        if len(hot):
+            own = found.where("hot").select("g", "a")
+            centers = materialize(own.groupBy("g").agg(F.min("a").alias("center")), "centers")
+            pairs = pairs.unionByName(own.join(centers, "g").where("a <> center").select(F.col("center").alias("a"), F.col("a").alias("b")))
+        members = self.to_reps(found.where("g is not null").select("g", F.col("a").alias("rep0")), "rep0")
+        return pairs, materialize(members.select("g", F.col("rep0").alias("rep")).distinct(), "members")
+
+    def labelled(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of the groups that are not connected throughout, with their components."""
+        tagged = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        tagged = tagged.select("g", "rep", F.coalesce("component", "rep").alias("label"))
+        apart = tagged.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("g")
+        return materialize(tagged.join(apart, "g"), "open")
+
+    def centered(self, members: DataFrame, turn: int) -> DataFrame:
+        """Pairs of one member of each group, mostly one of many groups, with the members of other components."""
+        degree = members.groupBy("rep").agg(F.count(F.lit(1)).alias("groups"))
+        luck = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(1000)) / 1000
+        order = F.struct((F.col("groups") * (1 + luck * min(turn, 1))).alias("o"), "rep")
+        centers = members.join(degree, "rep").groupBy("g").agg(F.max_by(F.struct("rep", "label"), order).alias("c"))
+        met = members.join(materialize(centers, "centers"), "g").where("label <> c.label")
+        return met.select(F.col("c.rep").alias("a"), F.col("rep").alias("b")).distinct()
+
+    def across(self, members: DataFrame) -> DataFrame:
+        """Pairs of members in different components that sizes and folded sketches allow.
+
+        A group of at most GROUP_BLOCK members is compared in one task. Those of a larger one are hosts of their size
+        class and guests of the next one, and classes are compared block against block.
+        """
+        sizes = members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("blocks"))
+        short = self.facts.dropDuplicates(["rep"]).mapInArrow(folded, "rep long, n long, sketch binary")
+        rest = members.join(sizes, "g").join(short, "rep").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        home = F.when(F.col("blocks") > 1, F.floor(F.log("n") / math.log(SIZE_FACTOR))).otherwise(0).cast("int")
+        rest = rest.withColumn("home", home)
+        rest = rest.withColumn("size", F.explode(F.when(F.col("blocks") > 1, F.array("home", F.col("home") + 1)).otherwise(F.array("home"))))
+        dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+        dealt = dealt.select(
+            "g", "size", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            "rep", "label", "n", "sketch", side.alias("side"), (F.col("size") > F.col("home")).alias("guest"),
+        )
+        return dealt.groupBy("g", "size", "i", "j").applyInArrow(close_in_group, "a long, b long").where("a <> b").distinct()
+
+    def merged(self, labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return connected_components(edges.unionByName(self.verified(self.close(pairs))))
 
     def run(self) -> DataFrame:
-        last = self.docs.sparkSession.sparkContext.broadcast(self.frequent())
-        packed = self.docs.mapInArrow(key_task(self.buckets, last), KEYS)
-        found = materialize(packed.groupBy("bucket").applyInArrow(bucket_groups, "a long, b long, members array<long>"), "groups")
-        pairs = found.where("a is not null").select("a", "b")
+        """(node, component) of every linked document."""
+        pairs, members = self.candidates()
         if (rare := self.few_blocks()) is not None:
             pairs = pairs.unionByName(rare)
         links = self.verified(self.close(pairs)).unionByName(self.copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
         labels = connected_components(links)
-        # Members of a group that are not connected through its smallest one are compared with each other.
-        groups = found.where("members is not null").select(F.xxhash64("members").alias("g"), "members").dropDuplicates(["g"])
-        members = self.to_reps(groups.select("g", F.explode("members").alias("rep0")), "rep0").select("g", F.col("rep0").alias("rep")).distinct()
-        members = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
-        members = materialize(members, "members")
-        open_groups = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("g", F.ceil(F.col("size") / GROUP_BLOCK).cast("int").alias("blocks"))
-        short = self.facts.dropDuplicates(["rep"]).mapInArrow(folded, "rep long, n long, sketch binary")
-        rest = members.join(open_groups, "g").join(short, "rep")
-        block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-        dealt = rest.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select("g", "rep", "label", "n", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-        more = materialize(dealt.groupBy("g", "i", "j").applyInArrow(close_in_group, "a long, b long").where("a <> b").distinct(), "more")
-        if more.isEmpty():
-            return labels
-        return connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(self.verified(self.close(more))))
+        # What its smallest member does not connect, other members of a group may; only then all are compared.
+        for turn in range(CENTER_ROUNDS):
+            members = self.labelled(members, labels)
+            if members.isEmpty():
+                return labels
+            labels = self.merged(labels, self.centered(members, turn))
+        members = self.labelled(members, labels)
+        return labels if members.isEmpty() else self.merged(labels, materialize(self.across(members), "more"))
 
 
-def exploded_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = iter(batch.column("doc_id").to_pylist())
-        for sets in shingle_sets(batch.column("text")):
-            owners = [next(ids) for _ in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array([o if o is not None else -1 for o in owners]), [len(s) for s in sets]), pa.int64()), pa.array(np.concatenate(sets).view(np.int64))], names=["doc_id", "shingle"])
+SHINGLES = "doc_id long, shingle long"
+
+
+def exploded_sets(first: bool):
+    """Task function: a row for each shingle of each document; with ``first`` only so many that a linked set has one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = iter(batch.column("doc_id").to_pylist())
+            for sets in shingle_sets(batch.column("text")):
+                owners = [next(ids) for _ in sets]
+                if first:
+                    sets = [s[: most_different(len(s), 100 * len(s) // PERCENT) + 1] for s in sets]
+                owner = np.repeat(np.array([-1 if o is None else o for o in owners], np.int64), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate(sets).view(np.int64))], names=["doc_id", "shingle"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
