@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickframe.functions import scalars
-from tickframe.operators import market, ohlc, quality, tables, windows
+from tickframe.operators import market, ohlc, quality, stats, tables, windows
 from tickframe.registry import QUERIES
 from tickframe.sources.ticks import decode_ticks, event_ticks, symbol_dimension
 
@@ -87,6 +87,15 @@ def test_short_series_has_no_average(spark):
     assert windows.candle_sma(frame).where("sma_20 IS NOT NULL").count() == 0
 
 
+def test_exact_median(spark):
+    values = {"odd": [3, 1, 2], "even": [4, 1, 3, 2], "ties": [5, 5, 5, 1, 9], "far": [1, 1000000], "sign": [-5, -1, 0, 2], "one": [7], "null": [None], "some": [None, 4, 8]}
+    rows = [(k, None if v is None else Decimal(v)) for k, vs in values.items() for v in vs] + [("many", Decimal(i * i % 997) / 8) for i in range(5000)]
+    frame = spark.createDataFrame(rows, "symbol string, p decimal(20,8)")
+    found = {r["symbol"]: r["median"] for r in stats.exact_median(frame, ["symbol"], "p").collect()}
+    want = {r["symbol"]: r["m"] for r in frame.groupBy("symbol").agg(F.percentile("p", 0.5).alias("m")).collect() if r["m"] is not None}
+    assert found == want and len(found) == len(values)
+
+
 def test_rollup_and_invariants(spark):
     ticks = event_ticks(spark, SF)
     direct, rolled = ohlc.ohlc(ticks, "15 minutes"), ohlc.rollup(ohlc.ohlc(ticks, "1 minute"), "15 minutes")
