@@ -108,7 +108,7 @@ _LIVE = "live AS (SELECT symbol, close FROM l WHERE symbol <> 'click'), mv AS (S
 @query("live_ticker", sql(TICKS, VALID, candles("1 hour"), LAST, _LIVE, "j AS (SELECT coalesce(mv.symbol, live.symbol) AS symbol, coalesce(live.close, mv.price) AS price, change_pct, live.close IS NOT NULL AS is_live, CASE WHEN mv.symbol IS NULL THEN 1 ELSE 0 END AS part FROM mv FULL JOIN live ON mv.symbol = live.symbol)", select="SELECT CAST(row_number() OVER (ORDER BY part, abs(change_pct) DESC NULLS LAST, symbol) AS INTEGER) AS place, symbol, price, change_pct, is_live FROM j"))
 def live_ticker(spark, sf_dir):
     last = windows.latest_by(hourly(spark, sf_dir), "symbol", ["window_start"])
-    prices = market.latest_prices(hourly(spark, sf_dir), market.as_of(hourly(spark, sf_dir), "window_end"))
+    prices = market.latest_prices(last, market.as_of(last, "window_end"))
     return market.live_ticker(prices.where("symbol <> 'view'").select("symbol", "price", "change_pct"), last.where("symbol <> 'click'"))
 
 
