@@ -288,6 +288,30 @@ def test_packing(docs, rows, empty):
     assert packing.pack_documents(empty, text).count() == 0
 
 
+def test_packing_with_a_tokenizer_that_keeps_case(spark):
+    from pathlib import Path
+
+    from conftest import edge_rows
+    from tokenizers import Tokenizer
+
+    text = Path(vocabulary_path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    tokenizer, rows = Tokenizer.from_str(text), edge_rows(1)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = counted(packing.pack_documents(frame, text).select("doc_id", "piece", "ids_crc32").collect())
+    want = Counter()
+    for r in rows:
+        ids = np.array([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 0], "<u4")
+        want.update((r[0], k, zlib.crc32(ids[at : at + 2048].tobytes())) for k, at in enumerate(range(0, len(ids), 2048)))
+    assert found == want
+
+
+def test_plans_have_few_slots():
+    for counts in ({1000: 20_000, 900: 20_000, 500: 60_000}, {n: 10**9 + n * 7919 % 1000 for n in range(1, 2049)}):
+        plan = packing.Plan(counts, 2048)
+        assert len(plan.slots) < 3 * 2048
+        assert plan.sequences >= -(-sum(k * n for k, n in counts.items()) // 2048)
+
+
 def best_possible(sizes, capacity):
     """Fewest bins, by trying everything."""
     best = [len(sizes)]
