@@ -80,6 +80,44 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents")).drop("span_list")
 
 
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+     q AS (SELECT DISTINCT item, n, p FROM (SELECT item, least(len(w), 13) AS n, unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS p FROM b WHERE len(w) > 0)),
+     o AS (SELECT r, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS p, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM q) WHERE len(w) >= n),
+     h AS (SELECT r, i, n, item FROM o JOIN q USING (n, p)),
+     k AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM h) GROUP BY r),
+     t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN k USING (r) LEFT JOIN t USING (r)
+"""
+
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, encode(coalesce(text, '')) AS b FROM documents),
+     w AS (SELECT r, unnest(range(1, octet_length(b) - 198)) AS i, unnest(list_transform(range(1, octet_length(b) - 198), lambda i: md5(b[i:i + 199]))) AS h FROM d WHERE octet_length(b) >= 200),
+     g AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+     s AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS step FROM w SEMI JOIN g USING (h)),
+     n AS (SELECT r, sum(least(coalesce(step, 200), 200)) AS n_removed, count(*) FILTER (step IS NULL OR step > 200) AS n_spans FROM s GROUP BY r),
+     u AS (SELECT r, i, sum(CASE WHEN step IS NULL OR step > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS k FROM s),
+     x AS (SELECT r, k, min(i) AS lo, max(i) + 200 AS hi FROM u GROUP BY r, k),
+     y AS (SELECT r, k, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY k), 1) AS a, lo AS e FROM x UNION ALL SELECT r, max(k) + 1, max(hi), NULL FROM x GROUP BY r),
+     z AS (SELECT r, string_agg(hex(b[a:coalesce(e, octet_length(b) + 1) - 1]), '' ORDER BY k) AS kept FROM y JOIN d USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(CASE WHEN kept IS NULL THEN b ELSE unhex(kept) END) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN z USING (r)
+"""
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE len(w) > 0),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+     l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+     e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+     r AS (SELECT a AS node, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
+     m AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON node = d.doc_id
+"""
+
 OP6_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
      g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
@@ -118,4 +156,7 @@ QUERIES: dict[str, Query] = {
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,
 }
-ORACLES: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL}
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": OP1_SQL, "op2_suffix_dedup": OP2_SQL, "op3_ngram_jaccard": OP3_SQL,
+    "op6_exact_dedup": OP6_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL,
+}
