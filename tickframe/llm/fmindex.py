@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.llm.storage import broadcast_if_small, in_small_batches, materialize
-from tickframe.llm.textbatch import WORD_CHARS, slices, to_bytes_array, word_hash, word_spans
+from tickframe.llm.textbatch import WORD_CHARS, lean, slices, to_bytes_array, word_hash, word_spans
 
 #: Benchmark words searched at once, of which the phrases are broadcast (about 60 bytes a word); a larger benchmark is
 #: searched in several passes, whose hits meet in a join.
@@ -369,7 +369,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
         return sc.broadcast(bytes(blocks.where(F.col("block") == block).first()["phrases"]))
 
     if len(numbers) <= 1:
-        found = docs.mapInArrow(scan(sent(numbers[0]) if numbers else None), schema)
+        found = docs.mapInArrow(lean(scan(sent(numbers[0]) if numbers else None)), schema)
     else:
         # Rows with the same doc_id and text have the same hits.
         keyed = docs.withColumn(KEY, F.concat_ws("-", F.xxhash64("doc_id", "text"), F.xxhash64("text", F.lit(1), "doc_id")))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.llm.storage import corpus_size, in_small_batches, materialize
-from tickframe.llm.textbatch import to_bytes_array
+from tickframe.llm.textbatch import lean, to_bytes_array
 
 SPACE = b" \t\n\x0b\x0c\r"
 SEGMENT_BITS = 1 << 20
@@ -231,7 +231,7 @@ DROPPED = "__dropped_keys"
 
 def merged_filters(docs: DataFrame, bits: int, min_chars: int) -> DataFrame:
     """(segment, bits) of the twice-seen filter over all documents."""
-    marks = docs.select("text").mapInArrow(mark(bits, min_chars), "segment int, once binary, twice binary")
+    marks = docs.select("text").mapInArrow(lean(mark(bits, min_chars)), "segment int, once binary, twice binary")
     return marks.groupBy("segment").applyInArrow(merge_segment, "segment int, bits binary")
 
 
@@ -248,7 +248,7 @@ def find_suspects(docs: DataFrame, bits: int, min_chars: int) -> DataFrame:
     filters = merged_filters(docs, bits, min_chars)
     if bits <= BROADCAST_BITS:
         sent = docs.sparkSession.sparkContext.broadcast(collected(filters, bits))
-        return materialize(docs.mapInArrow(suspected(sent, bits, min_chars), "doc_id long, key string"), "suspects")
+        return materialize(docs.mapInArrow(lean(suspected(sent, bits, min_chars)), "doc_id long, key string"), "suspects")
     lines = docs.mapInArrow(line_hashes(bits, min_chars), "segment int, hashes binary, docs binary")
     found = lines.groupBy("segment").cogroup(filters.groupBy("segment")).applyInArrow(suspects_of_segment(bits), "doc_id long, hash long")
     per_doc = found.groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
@@ -320,7 +320,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, bits: i
     size = repeated.agg(F.coalesce(F.sum(F.octet_length("key") + 64), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
         found = {r["key"].encode(): r["last"] for r in repeated.collect()}
-        return docs.mapInArrow(rewrite(min_chars, docs.sparkSession.sparkContext.broadcast(found)), schema)
+        return docs.mapInArrow(lean(rewrite(min_chars, docs.sparkSession.sparkContext.broadcast(found))), schema)
     drops = materialize(pairs.join(repeated, "key").where("doc_id <> last").groupBy("doc_id").agg(F.collect_set("key").alias(DROPPED)), "drops")
     hit, rest = lose_lines(docs, drops)
-    return hit.unionByName(rest).mapInArrow(rewrite(min_chars), schema)
+    return hit.unionByName(rest).mapInArrow(lean(rewrite(min_chars)), schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.llm.storage import in_small_batches, materialize
-from tickframe.llm.textbatch import NOT_SPACE, slices, to_bytes_array, word_hash, word_spans
+from tickframe.llm.textbatch import NOT_SPACE, lean, slices, to_bytes_array, word_hash, word_spans
 
 CAPACITY = 2048
 #: Words whose ids a worker remembers, in about 40 bytes each.
@@ -342,7 +342,7 @@ def pack_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACIT
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
-    pieces = materialize(in_small_batches(docs).select("doc_id", "text").mapInArrow(tokenise(sc.broadcast(tokenizer_json), capacity, end_id), PIECES), "pieces")
+    pieces = materialize(in_small_batches(docs).select("doc_id", "text").mapInArrow(lean(tokenise(sc.broadcast(tokenizer_json), capacity, end_id)), PIECES), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return spark.createDataFrame([], PIECES + ", sequence_id long, offset long")
@@ -356,4 +356,4 @@ def pack_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACIT
     bases = sizes.withColumn("base", F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).drop("n")
     own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32"))
     ranked = salted.withColumn("own", own).join(bases, ["length", "salt"]).withColumn("rank", F.col("base") + F.col("own") - 1)
-    return ranked.mapInArrow(place(sent), PIECES + ", sequence_id long, offset long")
+    return ranked.mapInArrow(lean(place(sent)), PIECES + ", sequence_id long, offset long")

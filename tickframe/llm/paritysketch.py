@@ -23,6 +23,7 @@ from tickframe.llm.storage import broadcast_if_small, bucket_count, corpus_size,
 from tickframe.llm.textbatch import (
     NOT_SPACE,
     U64,
+    lean,
     mix,
     pack_planes,
     slices,
@@ -393,7 +394,7 @@ class _Join:
     def __init__(self, docs: DataFrame):
         self.docs = in_small_batches(docs).select("doc_id", "text")
         self.buckets = bucket_count(corpus_size(docs)[1])
-        self.meta = materialize(self.docs.mapInArrow(meta_task, META), "meta")
+        self.meta = materialize(self.docs.mapInArrow(lean(meta_task), META), "meta")
         filled = self.meta.where("n > 0 and doc_id is not null")
         classes = filled.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
         #: Documents with the same set as a smaller doc_id. Written first, classes meet their members in a join that Spark can split.
@@ -409,13 +410,13 @@ class _Join:
         ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
         if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
             ids = F.broadcast(ids)
-        return self.docs.join(ids, "doc_id", "left_semi").mapInArrow(set_rows(bits), "doc_id long, shingles binary")
+        return self.docs.join(ids, "doc_id", "left_semi").mapInArrow(lean(set_rows(bits)), "doc_id long, shingles binary")
 
     def compared(self, pairs: DataFrame, bits: int) -> DataFrame:
         """Pairs (a, b, n_a, n_b) with the outcome of comparing their sets."""
         sets = materialize(self.sets_of(pairs, bits), "sets")
         joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-        return materialize(joined.mapInArrow(compare_sets(bits), "a long, b long, n_a long, n_b long, outcome int"), "compared")
+        return materialize(joined.mapInArrow(lean(compare_sets(bits)), "a long, b long, n_a long, n_b long, outcome int"), "compared")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Links (a, b) among candidate pairs, by their sets: short hashes first, whole ones near the threshold."""
@@ -429,7 +430,7 @@ class _Join:
         facts = self.facts.dropDuplicates(["rep"])
         for side in "ab":
             pairs = pairs.join(facts.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
-        return materialize(pairs.mapInArrow(close_pairs, "a long, b long, n_a long, n_b long"), "pairs")
+        return materialize(pairs.mapInArrow(lean(close_pairs), "a long, b long, n_a long, n_b long"), "pairs")
 
     def few_blocks(self) -> DataFrame | None:
         """Pairs of the rare sets with too few filled blocks with any set that shares one of their first shingles, or
@@ -446,7 +447,7 @@ class _Join:
         """Keys seen often in a sample, and the hot ones among them. They come last in the order of blocks, and hot ones
         are dealt over salts, so which they are decides how many candidates there are, not which pairs are found."""
         sample = self.docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SAMPLE_EVERY)) == 0)
-        packed = sample.mapInArrow(key_task(self.buckets), KEYS)
+        packed = sample.mapInArrow(lean(key_task(self.buckets)), KEYS)
         counted = packed.groupBy("bucket").applyInArrow(frequent_keys(self.buckets), "key long, n long")
         most = counted.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).toArrow()
         keys, n = most.column("key").to_numpy().view(np.uint64), most.column("n").to_numpy()
@@ -466,7 +467,7 @@ class _Join:
         """Pairs (a, b) of each group's smallest member with the others, and members (g, rep) of groups of three or more."""
         last, hot = self.frequent()
         told = self.docs.sparkSession.sparkContext.broadcast((last, hot, *self.known_copies()))
-        packed = self.docs.mapInArrow(key_task(self.buckets, told), KEYS)
+        packed = self.docs.mapInArrow(lean(key_task(self.buckets, told)), KEYS)
         found = materialize(packed.groupBy("bucket").applyInArrow(bucket_groups(self.buckets), GROUPS), "groups")
         pairs = found.where("b is not null").select("a", "b")
         if len(hot):
@@ -499,7 +500,7 @@ class _Join:
         class and guests of the next one, and classes are compared block against block.
         """
         sizes = members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("blocks"))
-        short = self.facts.dropDuplicates(["rep"]).mapInArrow(folded, "rep long, n long, sketch binary")
+        short = self.facts.dropDuplicates(["rep"]).mapInArrow(lean(folded), "rep long, n long, sketch binary")
         rest = members.join(sizes, "g").join(short, "rep").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         home = F.when(F.col("blocks") > 1, F.floor(F.log("n") / math.log(SIZE_FACTOR))).otherwise(0).cast("int")
         rest = rest.withColumn("home", home)

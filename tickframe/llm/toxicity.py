@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.llm.storage import in_small_batches, materialize
+from tickframe.llm.textbatch import lean
 
 #: Fitting reads at most about so many labelled rows, half of them for each class, chosen by a hash of the doc_id; counts
 #: for the lexicon read all.
@@ -104,7 +105,7 @@ def learn_lexicon(labelled: DataFrame, counts: dict[int, int], size: int = LEXIC
     """The ``size`` words most telling of toxic documents, with their log-odds; every labelled row is counted."""
     pos, neg = counts[1], counts[0]
     least = max(min(5, pos), pos // 200)
-    rows = labelled.select("text", (F.col("toxic") == 1).alias("toxic")).mapInArrow(distinct_words, "word string, pos long, neg long")
+    rows = labelled.select("text", (F.col("toxic") == 1).alias("toxic")).mapInArrow(lean(distinct_words), "word string, pos long, neg long")
     words = rows.groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
     top = words.where(F.col("pos") >= least).withColumn("odds", odds).where("odds > 2.5").orderBy(F.desc("odds"), F.desc("pos"), "word").limit(size)
@@ -134,7 +135,7 @@ def fit(labelled: DataFrame, counts: dict[int, int], sent, fit_rows: int, trees:
     """Trees and calibration fitted on a sample of ``labelled``; a function from features to ``calibrated`` and ``raw``."""
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     sample = fitting_sample(labelled, counts, fit_rows).select("text", F.col("toxic").cast("double").alias("toxic"), "weight", "calibrates", "fits")
-    rows = sample.mapInArrow(extract(sent), "toxic double, weight double, calibrates boolean, fits boolean, " + FEATURE_TYPES)
+    rows = sample.mapInArrow(lean(extract(sent)), "toxic double, weight double, calibrates boolean, fits boolean, " + FEATURE_TYPES)
     # Spark ML sums statistics a partition at a time; the sample is bounded by ``fit_rows``, so a few partitions hold it.
     rows = assembler.transform(materialize(rows, "fit").coalesce(8)).select("toxic", "weight", "calibrates", "fits", "features")
     learn, calibrate = rows.where("fits").cache(), rows.where("calibrates")
@@ -183,7 +184,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, f
     sent = docs.sparkSession.sparkContext.broadcast(learn_lexicon(labelled, counts))
     model = fit(labelled, counts, sent, fit_rows, trees)
     schema = T.StructType([f for f in given.schema.fields if f.name != "text"] + [T.StructField(f, T.DoubleType()) for f in FEATURES])
-    scored = model(given.mapInArrow(extract(sent), schema))
+    scored = model(given.mapInArrow(lean(extract(sent)), schema))
     # Calibration has steps; within a step the trees' own probability orders the rows.
     score = F.least(F.greatest(0.98 * F.col("calibrated") + 0.02 * F.col("raw"), F.lit(0.0)), F.lit(1.0))
     return scored.select("given.*", "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
