@@ -51,7 +51,7 @@ def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
 
 
 #: Rows in a batch that goes to Python. Spark's default of 10,000 suits short rows; texts are long.
-TEXTS_A_BATCH = 2000
+TEXTS_A_BATCH = 1000
 
 
 def in_small_batches(docs: DataFrame) -> DataFrame:
