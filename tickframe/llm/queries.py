@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickframe.llm.bytebpe import decode_documents, encode_documents
+from tickframe.llm.collocations import mine_collocations
 from tickframe.llm.fmindex import decontaminate
 from tickframe.llm.latticelm import score_documents
 from tickframe.llm.linededup import dedup_lines
@@ -16,6 +20,7 @@ from tickframe.llm.packing import pack_documents
 from tickframe.llm.paritysketch import near_duplicates
 from tickframe.llm.pii import find_personal_data
 from tickframe.llm.suffixdedup import remove_repeats
+from tickframe.llm.textbatch import lean
 from tickframe.llm.toxicity import score_toxicity
 from tickframe.llm.urlfilter import apply_rules
 
@@ -80,6 +85,31 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents")).drop("span_list")
 
 
+def id_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: SHA-256 of each row's ids as decimals joined by spaces, in slices, as a text may have millions."""
+    for batch in batches:
+        digests = []
+        for row in batch.column("ids"):
+            ids, digest = row.values.to_numpy(), hashlib.sha256()
+            for i in range(0, len(ids), 1 << 16):
+                digest.update((" " if i else "").encode() + " ".join(map(str, ids[i : i + (1 << 16)].tolist())).encode())
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(r.values) for r in batch.column("ids")], pa.int64()), pa.array(digests, pa.string()), batch.column("decoded_sha256")], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = vocabulary_path("byte_bpe_50k.tiktoken")
+    decoded = decode_documents(encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    digested = decoded.select("doc_id", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return digested.mapInArrow(lean(id_digests), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
      b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
@@ -144,6 +174,20 @@ WITH p AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url
 SELECT page_id, url, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
 """
 
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     f AS (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k) GROUP BY ALL),
+     n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+     c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+     u AS (SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y FROM c, (VALUES (1), (2)) t(j) WHERE j < k),
+     s AS (SELECT u.lang, u.phrase, a, x.f AS l, y.f AS r, j, CAST(a AS HUGEINT) * a * 1000000 // (CAST(x.f AS HUGEINT) * y.f) AS score FROM u JOIN f x ON x.lang = u.lang AND x.phrase = u.x JOIN f y ON y.lang = u.lang AND y.phrase = u.y),
+     b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+     o AS (SELECT lang, array_to_string(w[j:j + 1], ' ') AS phrase, max(a) AS longest FROM c, (VALUES (1), (2)) t(j) WHERE k = 3 GROUP BY ALL),
+     k AS (SELECT b.* FROM b LEFT JOIN o USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 50 * a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM k JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -155,8 +199,11 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_collocations": op13_collocations,
 }
 ORACLES: dict[str, str] = {
     "op1_decontaminate": OP1_SQL, "op2_suffix_dedup": OP2_SQL, "op3_ngram_jaccard": OP3_SQL,
     "op6_exact_dedup": OP6_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL,
+    "op13_collocations": OP13_SQL,
 }
