@@ -23,6 +23,7 @@ from tickframe.llm.suffixdedup import remove_repeats
 from tickframe.llm.textbatch import lean
 from tickframe.llm.toxicity import score_toxicity
 from tickframe.llm.urlfilter import apply_rules
+from tickframe.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +86,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents")).drop("span_list")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def id_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task function: SHA-256 of each row's ids as decimals joined by spaces, in slices, as a text may have millions."""
     for batch in batches:
@@ -199,6 +204,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,
+    "op11_whitening": op11_whitening,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_collocations": op13_collocations,
 }
