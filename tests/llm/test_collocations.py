@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,35 +67,50 @@ def test_against_brute_force(spark, monkeypatch, seed, most, least, top, spacing
 
 
 @pytest.mark.parametrize("overlap", [1, 2, 3])
-def test_each_phrase_start_lies_in_one_chunk(overlap):
-    """Chunks overlap by the window, end with their piece, and are short in stretches without triggers."""
-    text = np.frombuffer((" ".join(f"w{i * i % 911}" for i in range(4000)) + "\nshort, one two. " + "same " * 2000).encode(), np.uint8)
+def test_chunks_end_with_their_row_and_are_short(overlap):
+    text = np.frombuffer((" ".join(f"w{i * i % 911}" for i in range(4000)) + "\nshort one two\n" + "same " * 2000).encode(), np.uint8)
     starts, ends = collocations.edges(~collocations.WORD_END[text])
-    first, piece = collocations.cuts(text, starts, ends, overlap)
-    assert first[0] == 0 and (np.diff(first) > 0).all() and set(np.flatnonzero(np.diff(piece, prepend=0) > 0)) <= set(first)
+    row = np.cumsum(text == 10)[starts]
+    first = collocations.cuts(collocations.word_hash(text, starts, ends), row, overlap)
+    assert first[0] == 0 and (np.diff(first) > 0).all() and set(np.flatnonzero(np.diff(row) > 0) + 1) <= set(first)
     assert np.diff(np.append(first, len(starts))).max() < collocations.LONGEST + overlap
-    inner = first[1:][piece[first[1:]] == piece[first[1:] - 1]]
-    assert all(piece[c] == piece[c + overlap - 1] for c in inner)
+    assert all(row[c] == row[c + overlap - 1] for c in first if c and row[c] == row[c - 1])
 
 
-def test_exact_arithmetic_and_ties(spark):
+def test_exact_arithmetic_and_ties(spark, monkeypatch):
     """Products past 64 bits, and the lower of two equal cuts."""
     big = 3_000_000_000
     rows = [("en", 1, "a", big), ("en", 1, "b", big + 1), ("en", 2, "a b", big - 1), ("en", 1, "c", 40), ("en", 2, "b c", 40), ("en", 3, "a b c", 12)]
-    counts = spark.createDataFrame(rows, collocations.COUNTS)
-    docs = spark.createDataFrame([], "lang string, text string")
-    saved = collocations.phrase_table
-    try:
-        collocations.phrase_table = lambda *_: counts
-        got = {r["phrase"]: (r["a"], r["l"], r["r"], r["n"], r["score"]) for r in collocations.mine_collocations(docs).collect()}
-    finally:
-        collocations.phrase_table = saved
+    often = spark.createDataFrame(rows, "lang string, words int, phrase string, f long")
     n = 2 * big + 41
+    monkeypatch.setattr(collocations, "phrase_tables", lambda *_: (spark.createDataFrame([("en", n)], "lang string, n long"), often))
+    got = {r["phrase"]: (r["a"], r["l"], r["r"], r["n"], r["score"]) for r in collocations.mine_collocations(often).collect()}
     assert got["a b"] == (big - 1, big, big + 1, n, 10**6 * (big - 1) ** 2 // (big * (big + 1)))
     # Both cuts of "a b c" score 0: the earliest counts.
     assert got["a b c"] == (12, big, 40, n, 10**6 * 144 // (big * 40))
 
 
+def test_full_filter_and_its_segments(spark, monkeypatch):
+    rows = made(6)
+    want = sorted(brute(rows, 3, 4))
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    for name, value in (("MOST_BITS", 8), ("SEGMENT_BITS", 64)):
+        with monkeypatch.context() as patch:
+            patch.setattr(collocations, name, value)
+            assert found(collocations.mine_collocations(df, 3, 4)) == want
+    often = spark.createDataFrame([("en", f"w{i} w{i + 1}") for i in range(500)], "lang string, phrase string")
+    monkeypatch.setattr(collocations, "SEGMENT_BITS", 1024)
+    known = collocations.frequent_filter(often, 2)
+
+    def hashes(words):
+        data, _ = collocations.lines(pa.array([words]))
+        starts, ends = collocations.edges((data != 32) & (data != 10))
+        return collocations.phrase_hash(collocations.word_hash(data, starts, ends), np.repeat(collocations.seeds(["en"]), len(starts)), 2)
+
+    assert known.has(hashes(" ".join(f"w{i}" for i in range(501)))).all()
+    assert known.has(hashes(" ".join(f"v{i}" for i in range(501)))).mean() < 0.1
+
+
 def test_no_words(spark):
     empty = spark.createDataFrame([], "lang string, text string")
     assert collocations.mine_collocations(empty).count() == 0

@@ -1,19 +1,25 @@
 """Phrase collocations from a prefix-free parse of the corpus.
 
-Every piece of text between separators is cut by content: a window of as many words as the longest phrase has, less one,
-whose hash is divisible by ``SPACING`` ends one chunk and starts the next, so that neighbours overlap by that window. Equal
-passages give equal chunks wherever they lie. The chunks form a dictionary with the number of times that the parse uses each;
-phrases are counted inside distinct chunks only, times that number. A phrase belongs to the chunk in which it starts before
-the last window, or anywhere in a piece's last chunk, so an overlap counts once.
+Every text is cut by content: a window of as many words as the longest phrase has, less one, whose hash is divisible by
+``SPACING`` ends one chunk and starts the next, so that neighbours overlap by that window. Equal passages give equal chunks
+wherever they lie. The chunks form a dictionary with the number of times that the parse uses each; phrases are counted inside
+distinct chunks only, times that number. A phrase belongs to the chunk in which it starts before the last window, or anywhere
+in a text's last chunk, so an overlap counts once.
+
+Phrases are counted by length. One of k words can be frequent only where both its parts of k - 1 words are, so a Bloom filter
+of the frequent ones spares the shuffle most of the rare; what passes it wrongly is told by its exact count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,10 +28,13 @@ from tickframe.llm.textbatch import lean, mix, slices, to_bytes_array, word_hash
 
 U64 = np.uint64
 #: A window of words is a trigger once in so many times; chunks have at most ``LONGEST`` words of their own.
-SPACING, LONGEST = 16, 256
+SPACING, LONGEST = 32, 512
 #: Bytes of chunks whose phrases are counted together in a task before they go to the shuffle, and rows that it sends at once.
-BATCH_BYTES, SLICE_ROWS = 1 << 23, 1 << 16
-#: Rows of the first round of a ranking that one group keeps apart.
+BATCH_BYTES, SLICE_ROWS = 1 << 22, 1 << 16
+#: Bits of a filter for each frequent phrase, and at most; a fuller filter lets more rare phrases into the shuffle. It is kept,
+#: sent and collected in segments.
+BITS_EACH, MOST_BITS, SEGMENT_BITS = 16, 1 << 29, 1 << 20
+#: Parts of a language that are ranked apart in the first round.
 RANK_SALTS = 32
 
 #: Bytes that end a piece, and bytes that end a word.
@@ -35,7 +44,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 CHUNKS = "lang string, chunk string, last boolean"
-COUNTS = "lang string, words int, phrase string, f long"
+COUNTS = "lang string, phrase string, f long"
 
 
 def edges(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,91 +61,161 @@ def substrings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arr
     return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[places])).cast(pa.string())
 
 
-def cuts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, overlap: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words of all chunks, and the piece of each word; words of one piece are neighbours."""
-    n, marks = len(starts), np.cumsum(PIECE_END[data])[starts]
-    fresh = np.diff(marks, prepend=-1) > 0
-    piece = np.cumsum(fresh)
-    words = word_hash(data, starts, ends, fold_case=False)
+def cuts(words: np.ndarray, row: np.ndarray, overlap: int) -> np.ndarray:
+    """First words of all chunks, from the words' hashes and rows."""
+    n, fresh = len(words), np.diff(row, prepend=-1) > 0
     windows = words.copy()
     for k in range(1, overlap):
         windows[: n - k] = mix(windows[: n - k] * U64(31) + words[k:])
-    whole = np.zeros(n, bool)  # windows that end in the piece in which they start
-    whole[: n - overlap + 1] = piece[: n - overlap + 1] == piece[overlap - 1 :]
+    whole = np.zeros(n, bool)  # windows that end in the row in which they start
+    whole[: n - overlap + 1] = row[: n - overlap + 1] == row[overlap - 1 :]
     again = np.append(False, windows[1:] == windows[:-1])  # a run of one word is no trigger after trigger
     first = fresh | (whole & ~again & (mix(windows) % U64(SPACING) == 0))
     # A stretch without triggers is cut by length.
     at = np.flatnonzero(first)
     since = np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))
-    return np.flatnonzero(first | (whole & (since % LONGEST == 0))), piece
+    return np.flatnonzero(first | (whole & (since % LONGEST == 0)))
 
 
 def parse_task(overlap: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.binary_join_element_wise(pc.fill_null(batch.column("text").cast(pa.large_string()), ""), pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string()))
-            lang = batch.column("lang")
-            data, offsets = to_bytes_array(texts)
+            data, offsets = lines(batch.column("text"))
             for first_row, _, raw, rows in slices(data, offsets):
                 low = LOWER[raw]
-                starts, ends = edges(~WORD_END[low])
+                ended = WORD_END[low]
+                starts, ends = edges(~ended)
                 if not len(starts):
                     continue
-                first, piece = cuts(low, starts, ends, overlap)
-                own = np.concatenate([first[1:], [len(starts)]])
-                last = np.append(piece[own[:-1]] != piece[own[:-1] - 1], True)
+                row = np.searchsorted(rows, starts, "right") - 1
+                first = cuts(word_hash(low, starts, ends, fold_case=False), row, overlap)
+                own = np.append(first[1:], len(starts))
+                last = np.append(row[own[:-1]] != row[own[:-1] - 1], True)
                 upto = np.where(last, own, own + overlap)
-                # Words with one space between them.
-                spaced = ~WORD_END[low]
-                spaced[ends] = True
-                flat = np.where(WORD_END[low], 0x20, low).astype(np.uint8)[spaced]
-                place = np.concatenate([[0], np.cumsum(ends - starts + 1)])
-                row = np.searchsorted(rows, starts[first], "right") - 1 + first_row
-                yield pa.RecordBatch.from_arrays([lang.take(pa.array(row)), substrings(flat, place[first], place[upto] - 1), pa.array(last)], names=["lang", "chunk", "last"])
+                # Words with one byte between them: a space, or a line end where a piece ends.
+                marks = np.cumsum(PIECE_END[low])[starts]
+                flat, kept = np.where(ended, 0x20, low).astype(np.uint8), ~ended
+                flat[ends[:-1][np.diff(marks) > 0]] = 0x0A
+                kept[ends] = True
+                place = np.append(0, np.cumsum(ends - starts + 1))
+                lang = batch.column("lang").take(pa.array(row[first] + first_row))
+                yield pa.RecordBatch.from_arrays([lang, substrings(flat[kept], place[first], place[upto] - 1), pa.array(last)], names=["lang", "chunk", "last"])
 
     return run
 
 
-def phrase_counts(lang: np.ndarray, chunks: pa.Array, last: np.ndarray, times: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
-    """(words, languages, phrases, counts) of distinct chunks, phrases of one to ``most`` words, in slices."""
-    joined = pc.binary_join_element_wise(chunks.cast(pa.large_string()), pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string()))
-    data, offsets = to_bytes_array(joined)
-    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+def lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(data, offsets) of the texts, each with a line end after it."""
+    whole = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string()))
+    data, offsets = to_bytes_array(whole)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def seeds(names: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(n) for n in names], np.uint64)
+
+
+def phrase_hash(words: np.ndarray, seed: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k words from each place on, from their hashes and the seeds of their languages."""
+    n = max(0, len(words) - k + 1)
+    found = mix(words[:n] ^ seed[:n])
+    for j in range(1, k):
+        found = mix(found * U64(31) + words[j : n + j])
+    return found
+
+
+class Filter:
+    """Bloom filter with two hashes, each within the same segment; no bits let everything pass."""
+
+    def __init__(self, bits: int, segments: dict[int, bytes] | None):
+        self.bits, size = bits, min(bits, SEGMENT_BITS) // 8
+        self.data = None if segments is None else np.frombuffer(b"".join(segments.get(i, bytes(size)) for i in range(max(1, bits // SEGMENT_BITS))), np.uint8)
+
+    @staticmethod
+    def places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        return (hashes % U64(bits)).astype(np.int64), (mix(hashes) % U64(bits)).astype(np.int64)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        if self.data is None:
+            return np.ones(len(hashes), bool)
+        one, two = self.places(hashes, self.bits)
+        return ((self.data[one >> 3] >> (one & 7).astype(np.uint8)) & (self.data[two >> 3] >> (two & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def filter_places(k: int, bits: int) -> Callable:
+    """Task function: the filter's bits of phrases of k words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data, offsets = lines(batch.column("phrase"))
+            starts, ends = edges((data != 0x20) & (data != 0x0A))
+            names = batch.column("lang").dictionary_encode()
+            seed = np.repeat(seeds(names.dictionary.to_pylist())[names.indices.to_numpy()], k)
+            hashes = phrase_hash(word_hash(data, starts, ends, fold_case=False), seed, k)[::k]
+            both = np.concatenate(Filter.places(hashes, bits))
+            yield pa.RecordBatch.from_arrays([pa.array((both // SEGMENT_BITS).astype(np.int32)), pa.array((both % SEGMENT_BITS).astype(np.int32))], names=["segment", "place"])
+
+    return run
+
+
+def segment_bits(bits: int) -> Callable:
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        marks = np.zeros(min(bits, SEGMENT_BITS), np.uint8)
+        marks[rows.column("place").to_numpy()] = 1
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(marks, bitorder="little").tobytes()])})
+
+    return run
+
+
+def frequent_filter(often: DataFrame, k: int) -> Filter:
+    """The filter of the phrases of k words in ``often``: at most MOST_BITS reach the driver."""
+    bits = min(MOST_BITS, 1 << (max(8, BITS_EACH * often.count()) - 1).bit_length())
+    places = often.select("lang", "phrase").mapInArrow(lean(filter_places(k, bits)), "segment int, place int").distinct()
+    return Filter(bits, {r["segment"]: bytes(r["bits"]) for r in places.groupBy("segment").applyInArrow(segment_bits(bits), "segment int, bits binary").collect()})
+
+
+def phrase_counts(langs: list[str], lang: np.ndarray, chunks: pa.Array, last: np.ndarray, times: np.ndarray, k: int, most: int, known: Filter) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
+    """(languages, phrases, counts) of the phrases of k words in distinct chunks whose parts ``known`` may hold, in slices."""
+    data, offsets = lines(chunks)
     starts, ends = edges((data != 0x20) & (data != 0x0A))
     n, chunk = len(starts), np.searchsorted(offsets, starts, "right") - 1
-    words = substrings(data, starts, ends).dictionary_encode()
-    code, width = words.indices.to_numpy().astype(np.int64), len(words.dictionary)
     final = np.searchsorted(chunk, np.arange(len(offsets) - 1), "right")  # where a chunk's words end
     own = np.arange(n) < final[chunk] - np.where(last[chunk], 0, most - 1)
-    # A phrase has the code of its beginning and that of its last word, both below 2**31, so codes are exact.
-    base = code + width * lang[chunk].astype(np.int64)
-    for k in range(1, most + 1):
-        if n < k:
-            return
-        if k > 1:
-            base = base[:-1] * width + code[k - 1 :]
-        counts = own[: n - k + 1] & (chunk[: n - k + 1] == chunk[k - 1 :])
-        order = np.argsort(base * 2 + ~counts)  # of equal phrases one that counts comes first
-        new = np.diff(base[order], prepend=-1) != 0
-        head = np.flatnonzero(new)
-        sums = np.add.reduceat(np.where(counts, times[chunk[: n - k + 1]], 0)[order], head)
-        some, sums = order[head][sums > 0], sums[sums > 0]
-        for i in range(0, len(some), SLICE_ROWS):
-            at = some[i : i + SLICE_ROWS]
-            yield k, lang[chunk[at]], substrings(data, starts[at], ends[at + k - 1]), sums[i : i + SLICE_ROWS]
-        dense = np.empty_like(base)
-        dense[order] = np.cumsum(new) - 1
-        base = dense
-
-
-def count_task(most: int) -> Callable:
+    if n < k:
+        return
+    piece = np.cumsum(data == 0x0A)[starts]
+    good = own[: n - k + 1] & (piece[: n - k + 1] == piece[k - 1 :])
+    if k > 1:
+        parts = known.has(phrase_hash(word_hash(data, starts, ends, fold_case=False), seeds(langs)[lang[chunk]], k - 1))
+        good &= parts[:-1] & parts[1:]
+    at = np.flatnonzero(good)
+    if not len(at):
+        return
+    words = substrings(data, starts, ends).dictionary_encode()
+    code, width = words.indices.to_numpy().astype(np.int64), len(words.dictionary)
+    # A phrase has the dense code of its beginning, then its last word's, both below 2**31: equal codes are equal phrases.
+    base = code[at] + width * lang[chunk[at]].astype(np.int64)
+    for j in range(1, k):
+        base = np.unique(base, return_inverse=True)[1].astype(np.int64) * width + code[at + j]
+    order = np.argsort(base)
+    head = np.flatnonzero(np.diff(base[order], prepend=-1))
+    sums = np.add.reduceat(times[chunk[at]][order], head)
+    some = at[order[head]]
+    for i in range(0, len(some), SLICE_ROWS):
+        few = some[i : i + SLICE_ROWS]
+        yield lang[chunk[few]], substrings(data, starts[few], ends[few + k - 1]), sums[i : i + SLICE_ROWS]
+
+
+def count_task(k: int, most: int, known: Broadcast) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held).combine_chunks()
             names = table.column("lang").combine_chunks().dictionary_encode()
             arrays = names.indices.to_numpy(), table.column("chunk").combine_chunks(), table.column("last").to_numpy(), table.column("f").to_numpy()
-            for k, lang, phrases, sums in phrase_counts(*arrays, most):
-                yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(lang)), pa.array(np.full(len(sums), k, np.int32)), phrases, pa.array(sums)], names=["lang", "words", "phrase", "f"])
+            for lang, phrases, sums in phrase_counts(names.dictionary.to_pylist(), *arrays, k, most, known.value):
+                yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(lang)), phrases, pa.array(sums)], names=["lang", "phrase", "f"])
 
         held, size = [], 0
         for batch in batches:
@@ -151,12 +230,21 @@ def count_task(most: int) -> Callable:
     return run
 
 
-def phrase_table(docs: DataFrame, most: int) -> DataFrame:
-    """(lang, words, phrase, f) of every phrase of one to ``most`` words."""
+def phrase_tables(docs: DataFrame, most: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, n) with the words of each language, and (lang, words, phrase, f) of the phrases that occur ``least`` times."""
+    sc = docs.sparkSession.sparkContext
     lang = F.coalesce(F.col("lang"), F.lit("und")).alias("lang")
     parsed = in_small_batches(docs).select(lang, "text").mapInArrow(lean(parse_task(most - 1)), CHUNKS)
-    dictionary = parsed.groupBy("lang", "chunk", "last").agg(F.count(F.lit(1)).alias("f"))
-    return dictionary.mapInArrow(lean(count_task(most)), COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    dictionary = materialize(parsed.groupBy("lang", "chunk", "last").agg(F.count(F.lit(1)).alias("f")), "dictionary")
+    totals, tables, known = None, [], Filter(8, None)
+    for k in range(1, most + 1):
+        counted = dictionary.mapInArrow(lean(count_task(k, most, sc.broadcast(known))), COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        counts = materialize(counted if k == 1 else counted.where(F.col("f") >= least), f"words{k}")
+        totals = counts.groupBy("lang").agg(F.sum("f").alias("n")) if k == 1 else totals
+        often = counts.where(F.col("f") >= least)
+        tables.append(often.select("lang", F.lit(k).alias("words"), "phrase", "f"))
+        known = frequent_filter(often, k) if k < most else known
+    return totals, reduce(DataFrame.unionByName, tables)
 
 
 def mine_collocations(docs: DataFrame, most_words: int = 3, least: int = 10, top: int = 2000, cover: int = 50) -> DataFrame:
@@ -170,13 +258,12 @@ def mine_collocations(docs: DataFrame, most_words: int = 3, least: int = 10, top
 
     A null lang is ``und``; null and empty texts have no words; repeated rows count each time; other columns are not read, and
     rows need no doc_id; an empty table, or one without candidates, gives no rows. All arithmetic is in 38-digit decimals:
-    counts up to 10^16 are exact. Very long pieces are cut by length, very long words are words.
+    counts up to 10^16 are exact. Texts of any length are cut into
+    chunks of at most ``LONGEST`` words and the overlap; very long words are words.
     """
     if most_words < 2:
         raise ValueError("phrases have two words at least")
-    counts = materialize(phrase_table(docs, most_words).where((F.col("words") == 1) | (F.col("f") >= least)), "counts")
-    n = counts.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    often = counts.where(F.col("f") >= least)
+    n, often = phrase_tables(docs, most_words, least)
     candidates = often.where("words > 1").select("lang", "words", "phrase", F.col("f").alias("a"))
     listed = candidates.withColumn("w", F.split("phrase", " "))
     part = lambda a, b: F.array_join(F.slice("w", a, b), " ")
@@ -192,7 +279,7 @@ def mine_collocations(docs: DataFrame, most_words: int = 3, least: int = 10, top
     kept = best.join(covered, ["lang", "phrase"], "left").where(F.coalesce(F.col("longest") * 100 < F.col("a") * cover, F.lit(True)))
     rows = kept.select("lang", "phrase", "a", "best.*")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    # Two rounds, so that no task ranks a whole language.
+    # Two rounds, so that no task ranks a whole language: at most RANK_SALTS * top rows of one meet in a task.
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SALTS)))
     few = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
     ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
