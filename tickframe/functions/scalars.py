@@ -30,10 +30,19 @@ def two_digits(value: Column) -> Column:
     return F.coalesce(F.round(value.cast("decimal(38,8)"), 2).cast("decimal(36,2)"), F.lit(0).cast("decimal(36,2)")).cast("string")
 
 
+def epoch_micros(ts: str) -> Column:
+    """Microseconds since 1970 of a time with or without zone, by the session's zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST({ts} AS TIMESTAMP_NTZ))")
+
+
+def ordinal(micros: Column, number: Column) -> Column:
+    """One number that orders by time, then by a long, which may be negative: cheaper to aggregate by than a struct."""
+    return (micros.cast("decimal(38,0)") * F.lit("2" + "0" * 19).cast("decimal(20,0)") + number).cast("decimal(38,0)")
+
+
 def tick_order(ts: str, tick_id: str) -> Column:
-    """One number that orders ticks by time, then id: cheaper to aggregate by than a struct."""
-    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast({ts} as timestamp_ntz))").cast("decimal(38,0)")
-    return (micros * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col(tick_id)).cast("decimal(38,0)")
+    """One number that orders ticks by time, then id."""
+    return ordinal(epoch_micros(ts), F.col(tick_id))
 
 
 def percent_change(current: Column, previous: Column) -> Column:

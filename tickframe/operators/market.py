@@ -19,6 +19,7 @@ from tickframe.functions.scalars import (
     title_words,
     trend_class,
 )
+from tickframe.operators.lineage import checkpointed
 from tickframe.operators.nested import recent_series
 from tickframe.operators.windows import latest_by
 
@@ -44,32 +45,52 @@ def check_range(start: datetime, end: datetime) -> None:
 
 
 def page(df: DataFrame, order: list[Column], limit: int = 100, offset: int = 0) -> DataFrame:
-    """One page in order, each row with the total, the rows returned and whether more follow."""
+    """One page in order, each row with the total, the rows returned and whether more follow.
+
+    The rows are dealt into ranges of the order once and kept; the ranges' counts give the total and tell which range, or
+    few neighbouring ones, hold the page. Only these are looked into, so a late page costs what the first one does and no
+    task sorts all rows.
+    """
     if not 1 <= limit <= MOST_ROWS or offset < 0:
         raise ValueError(f"limit must be 1 to {MOST_ROWS} and offset not negative")
-    total = df.count()
-    counted = df.withColumns({"total": F.lit(total).cast("long"), "returned": F.lit(min(limit, max(0, total - offset))).cast("long")})
-    return counted.orderBy(*order).offset(offset).limit(limit).withColumn("has_more", F.col("total") > offset + limit)
+    ranged = checkpointed(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    counts = ranged.groupBy("__range").count().orderBy("__range").collect()  # a row for each range
+    held, first, total = [], None, 0
+    for r in counts:
+        if total < offset + limit and total + r["count"] > offset:
+            held, first = [*held, r["__range"]], total if first is None else first
+        total += r["count"]
+    rows = ranged.where(F.col("__range").isin(held)).drop("__range").orderBy(*order).offset(offset - (first or 0)).limit(limit)
+    return rows.withColumns({"total": F.lit(total).cast("long"), "returned": F.lit(min(limit, max(0, total - offset))).cast("long"), "has_more": F.lit(total > offset + limit)})
 
 
-def candle_history(records: DataFrame, dimension: DataFrame, symbols: list[str] | None = None, start: datetime | None = None, end: datetime | None = None, descending: bool = True, limit: int = 100, offset: int = 0, date_column: str | None = None) -> DataFrame:
-    """Candle records of a time range, both ends included, one page.
+def history_rows(records: DataFrame, dimension: DataFrame, symbols: list[str] | None = None, start: datetime | None = None, end: datetime | None = None, date_column: str | None = None) -> DataFrame:
+    """Candle records of a time range, both ends included, with their symbols.
 
     ``end`` defaults to the last window, ``start`` to a day before. ``date_column`` names a partition column of dates:
     the range is then also put on it, so that partitions are pruned.
     """
-    end = end or as_of(records, "window_start")
-    start = start or end - timedelta(days=1)
-    check_range(start, end)
-    rows = records.where(F.col("window_start").between(timestamp(start), timestamp(end)))
+    if end or start or date_column:
+        end = end or as_of(records, "window_start")
+        start = start or end - timedelta(days=1)
+        check_range(start, end)
+        rows = records.where(F.col("window_start").between(timestamp(start), timestamp(end)))
+    else:
+        # The last window comes from the same aggregation as the rows, as one row beside them.
+        last = F.broadcast(records.agg(F.max("window_start").alias("__end")))
+        rows = records.join(last).where(F.col("window_start").between(F.col("__end") - F.expr("INTERVAL '1' DAY"), F.col("__end"))).drop("__end")
     if date_column:
         rows = rows.where(F.col(date_column).between(F.lit(start.date()), F.lit(end.date())))
     names = dimension.select("crypto_id", "symbol")
     if symbols:
         names = names.where(F.upper("symbol").isin([s.upper() for s in symbols]))
-    rows = rows.join(names, "crypto_id")
+    return rows.join(names, "crypto_id")
+
+
+def candle_history(records: DataFrame, dimension: DataFrame, symbols: list[str] | None = None, start: datetime | None = None, end: datetime | None = None, descending: bool = True, limit: int = 100, offset: int = 0, date_column: str | None = None) -> DataFrame:
+    """One page of the candle records of a time range, as ``history_rows`` gives them, by time and symbol."""
     time = F.desc("window_start") if descending else F.asc("window_start")
-    return page(rows, [time, F.asc("symbol")], limit, offset)
+    return page(history_rows(records, dimension, symbols, start, end, date_column), [time, F.asc("symbol")], limit, offset)
 
 
 def recent_alerts(alerts: DataFrame, dimension: DataFrame, hours: int = 24, limit: int = 20, end: datetime | None = None) -> DataFrame:
@@ -82,9 +103,9 @@ def recent_alerts(alerts: DataFrame, dimension: DataFrame, hours: int = 24, limi
 
 
 def latest_ticks(ticks: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Last tick of every active symbol."""
+    """Last tick of every active symbol; the dimension meets one row of each symbol, not its ticks."""
     active = dimension.where("is_active").select("symbol", "crypto_id")
-    return latest_by(ticks.join(active, "symbol"), "symbol", ["ts", "tick_id"])
+    return latest_by(ticks, "symbol", ["ts", "tick_id"]).join(active, "symbol")
 
 
 def latest_prices(candles: DataFrame, end: datetime) -> DataFrame:
@@ -108,6 +129,7 @@ def live_ticker(mover_rows: DataFrame, live: DataFrame) -> DataFrame:
     m = mover_rows.select("symbol", F.col("price").alias("mover_price"), "change_pct")
     joined = m.join(live.select("symbol", F.col("close").alias("live_price")), "symbol", "full_outer")
     group = F.when(F.col("mover_price").isNull(), 1).otherwise(0)
+    # All in one task: a row for each symbol, as many as the strip shows.
     place = F.row_number().over(Window.orderBy("part", F.desc_nulls_last(F.abs("change_pct")), "symbol"))
     return joined.withColumn("part", group).withColumn("place", place).select("place", "symbol", F.coalesce("live_price", "mover_price").alias("price"), "change_pct", F.col("live_price").isNotNull().alias("is_live"))
 
@@ -162,8 +184,7 @@ def market_report(latest: DataFrame, end: datetime) -> DataFrame:
 def live_tail_merge(history: DataFrame, live: DataFrame) -> DataFrame:
     """History with live rows: a live row replaces history of the same symbol and time, else it is added."""
     both = history.withColumn("is_live", F.lit(False)).unionByName(live.withColumn("is_live", F.lit(True)))
-    rest = [c for c in both.columns if c not in ("symbol", "window_start")]
-    return both.groupBy("symbol", "window_start").agg(F.max_by(F.struct(*rest), "is_live").alias("row")).select("symbol", "window_start", "row.*")
+    return latest_by(both, ["symbol", "window_start"], ["is_live"])
 
 
 def last_minutes(candles: DataFrame, minutes: int, end: datetime) -> DataFrame:

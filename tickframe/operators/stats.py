@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.scalars import percent_change, typical_price
+from tickframe.operators.lineage import checkpointed
 
 
 def _double(c: str | Column) -> Column:
@@ -28,24 +29,48 @@ def range_stats(candles: DataFrame, keys: list[str] | None = None) -> DataFrame:
     )
 
 
-def exact_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """The exact median of ``value`` per key, as ``median``; nulls do not count.
+#: Ranges into which a round of the median counts each key's values.
+MEDIAN_RANGES = 4096
 
-    Distinct values are counted, then classes of near values, which are few; only the one or two classes that hold the
-    middle are looked into. So no key's values meet in one task.
+
+def median_bounds(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Per key the bounds of its values and the places of the lower and upper middle among them."""
+    n = F.count(F.lit(1))
+    return rows.groupBy(*keys).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.floor((n - 1) / 2).alias("lower"), F.floor(n / 2).alias("upper"))
+
+
+def median_ranges(rows: DataFrame, bounds: DataFrame, keys: list[str], value: str, ranges: int) -> DataFrame:
+    """Values between the bounds counted in at most ``ranges`` ranges per key: range, n, first, last; and the places sought."""
+    renamed = bounds.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys] + [F.col(value).between(F.col("low"), F.col("high"))])
+    share = (F.col(value) - F.col("low")).cast("double") / (F.col("high") - F.col("low")).cast("double")
+    inside = rows.join(renamed, same).withColumn("range", F.least(F.floor(share * ranges), F.lit(ranges - 1)))
+    return inside.groupBy(*keys, "range").agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("first"), F.max(value).alias("last"), F.max("lower").alias("lower"), F.max("upper").alias("upper"))
+
+
+def exact_median(rows: DataFrame, keys: list[str], value: str, ranges: int = MEDIAN_RANGES) -> DataFrame:
+    """The exact median of the decimals or finite numbers ``value`` per key, as ``median``; nulls do not count.
+
+    Selection by narrowing: each round counts a key's values in ``ranges`` equal ranges between its bounds, and keeps the
+    range with the middle, whose first and last values are the next bounds. A key is done when its bounds meet, or when its
+    two middles lie in two ranges, as the end of one and the start of the other. Each round is a pass over the rows with
+    partial sums and a job; it divides the bounds by ``ranges``, so prices of 20 digits take six rounds at most. A task gets
+    at most ``ranges`` rows of a key from each task before it, never its values.
     """
-    size = F.signum(value) * F.log1p(F.abs(F.col(value).cast("double")))
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")).withColumn("class", F.floor(size * 64))
-    ordered, whole = Window.partitionBy(*keys).orderBy("class"), Window.partitionBy(*keys)
-    classes = counted.groupBy(*keys, "class").agg(F.sum("n").alias("m"))
-    classes = classes.withColumns({"before": F.sum("m").over(ordered) - F.col("m"), "total": F.sum("m").over(whole)})
-    lower, upper = F.expr("(total - 1) div 2"), F.expr("total div 2")
-    middle = classes.where((F.col("before") <= upper) & (F.col("before") + F.col("m") > lower)).drop("m")
-    near = counted.join(middle, [*keys, "class"])
-    end = F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "class").orderBy(value))
-    near = near.withColumn("end", end)
-    at = [F.max(F.when((F.col("end") - F.col("n") <= rank) & (rank < F.col("end")), F.col(value))).cast("double") for rank in (lower, upper)]
-    return near.groupBy(*keys).agg(((at[0] + at[1]) / 2).alias("median"))
+    rows = rows.where(F.col(value).isNotNull()).select(*keys, value)
+    bounds, done = checkpointed(median_bounds(rows, keys, value)), []
+    while True:
+        done.append(bounds.where("low = high").select(*keys, F.col("low").cast("double").alias("median")))
+        bounds = bounds.where("low < high")
+        if bounds.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        counted = median_ranges(rows, bounds, keys, value, ranges)
+        before = F.sum("n").over(Window.partitionBy(*keys).orderBy("range")) - F.col("n")
+        middle = counted.withColumn("before", before).where("before <= upper AND before + n > lower")
+        # One range holds both middles, or one holds each.
+        found = checkpointed(middle.groupBy(*keys).agg(F.min("last").alias("end"), F.max("first").alias("start"), F.min("first").alias("low"), F.max("last").alias("high"), F.max(F.col("lower") - F.col("before")).alias("lower"), F.min(F.col("upper") - F.col("before")).alias("upper"), F.count(F.lit(1)).alias("held")))
+        done.append(found.where("held = 2").select(*keys, ((F.col("end").cast("double") + F.col("start").cast("double")) / 2).alias("median")))
+        bounds = found.where("held = 1").select(*bounds.columns)
 
 
 def price_stats(ticks: DataFrame, dimension: DataFrame, since: Column) -> DataFrame:
@@ -117,9 +142,25 @@ def symbol_coverage(dimension: DataFrame, latest: DataFrame) -> DataFrame:
     return joined.join(F.broadcast(rate))  # one row
 
 
+def is_produced() -> Column:
+    """Whether a decoded message is a tick that a producer would send."""
+    return F.coalesce(F.expr("coalesce(symbol, '') <> '' AND price_usd > 0"), F.lit(False))
+
+
+def counters() -> list[Column]:
+    """Messages produced and errors, as aggregates."""
+    return [F.count_if(is_produced()).alias("produced"), F.count_if(~is_produced()).alias("errors")]
+
+
+def observed(decoded: DataFrame) -> tuple[DataFrame, Observation]:
+    """Decoded messages, and their counters as an observation: it is filled by the first action on them, as a write, so
+    that counting takes no pass of its own. ``observation.get`` then has ``produced`` and ``errors``."""
+    watch = Observation("run_counters")
+    return decoded.observe(watch, *counters()), watch
+
+
 def run_counters(decoded: DataFrame, coverage: DataFrame) -> DataFrame:
     """A run in one row: messages produced, errors, and of the symbols asked for the hits, misses and hit rate in percent."""
-    valid = F.expr("coalesce(symbol, '') <> '' AND price_usd > 0")
-    runs = decoded.agg(F.count_if(F.coalesce(valid, F.lit(False))).alias("produced"), F.count_if(~F.coalesce(valid, F.lit(False))).alias("errors"))
+    runs = decoded.agg(*counters())
     hits = coverage.agg(F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("misses"), F.max("hit_rate_pct").alias("hit_rate_pct"))
     return runs.join(F.broadcast(hits))  # one row

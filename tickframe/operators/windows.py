@@ -4,44 +4,86 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickframe.functions.scalars import percent_change
+from tickframe.functions.scalars import epoch_micros, ordinal, percent_change
+from tickframe.operators.lineage import checkpointed
 
 HOUR = 3600
 SPANS = {"1h": HOUR, "24h": 24 * HOUR, "7d": 7 * 24 * HOUR, "30d": 30 * 24 * HOUR}
+#: Rows of a symbol that one task sorts, and the cells, in microseconds, into which a span of time with more is split: days,
+#: hours, minutes, seconds, milliseconds and microseconds.
+MOST_ROWS = 1 << 20
+CELLS = [86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
 
 
-def with_halo(df: DataFrame, order: list[str], rows: int) -> DataFrame:
-    """Each day of a symbol as a partition of its own, led by the last ``rows`` rows before it, marked ``carried``.
+def _cell(at: str, width: int) -> Column:
+    return F.col(at) - F.pmod(F.col(at), F.lit(width))
 
-    ``order`` begins with the time. Adds ``day``. Of a day only its last rows are gathered; as every day has at least
-    one, those of the ``rows`` days before suffice.
+
+def hot_cells(df: DataFrame, most: int = MOST_ROWS) -> list[DataFrame]:
+    """For each width of ``CELLS``, the cells (symbol, cell) of ``df(symbol, at)`` with more than ``most`` rows.
+
+    A narrower width is only counted inside the hot cells of the one before; the list ends with the first width that has no
+    hot cell. Each step is a job; the tables have at most one row for each ``most`` rows of ``df``.
+    """
+    hot: list[DataFrame] = []
+    rows = df.select("symbol", "at")
+    for width in CELLS[:-1]:
+        celled = rows.withColumn("cell", _cell("at", width))
+        found = checkpointed(celled.groupBy("symbol", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("symbol", "cell"))
+        if found.isEmpty():
+            break
+        hot.append(found)
+        rows = celled.join(found, ["symbol", "cell"], "left_semi").drop("cell")
+    return hot
+
+
+def with_bucket(df: DataFrame, hot: list[DataFrame]) -> DataFrame:
+    """``df(symbol, at, ...)`` with ``bucket``, the start of the widest cell around ``at`` that is not hot.
+
+    Buckets of a symbol are disjoint, in the order of their starts, and lie within days. None has more rows than ``hot`` was
+    made for, but for those of one symbol in one microsecond.
+    """
+    bucket = _cell("at", CELLS[0])
+    for k, cells in enumerate(hot):
+        df = df.withColumn("cell", _cell("at", CELLS[k])).join(cells.withColumn(f"hot{k}", F.lit(True)), ["symbol", "cell"], "left").drop("cell")
+        bucket = F.when(F.col(f"hot{k}"), _cell("at", CELLS[k + 1])).otherwise(bucket)
+    return df.withColumn("bucket", bucket).drop(*(f"hot{k}" for k in range(len(hot))))
+
+
+def with_halo(df: DataFrame, order: list[str], rows: int, most: int = MOST_ROWS) -> DataFrame:
+    """Each bucket of a symbol as a partition of its own, led by the last ``rows`` rows before it, marked ``carried``.
+
+    ``order`` begins with the time. Adds ``bucket``: a day, or less where a day has over ``most`` rows. Of a bucket only its
+    last rows are gathered; as every bucket has at least one, those of the ``rows`` buckets before suffice.
     """
-    own = df.withColumn("day", F.to_date(order[0]))
-    back = Window.partitionBy("symbol", "day").orderBy(*(F.desc(c) for c in order))
+    timed = df.withColumn("at", epoch_micros(order[0]))
+    own = with_bucket(timed, hot_cells(timed, most)).drop("at").select(*df.columns, "bucket")
+    back = Window.partitionBy("symbol", "bucket").orderBy(*(F.desc(c) for c in order))
     last = own.withColumn("back", F.row_number().over(back)).where(F.col("back") <= rows)
-    last = last.groupBy("symbol", "day").agg(F.collect_list(F.struct("back", *df.columns)).alias("last"))
-    days = Window.partitionBy("symbol").orderBy("day").rowsBetween(-rows, -1)
-    ordered = last.select("symbol", "day", F.sort_array("last", asc=False).alias("last"))
-    halo = ordered.select("day", F.flatten(F.collect_list("last").over(days)).alias("before"))
-    halo = halo.select("day", F.explode(F.slice("before", F.greatest(F.size("before") - rows + 1, F.lit(1)), rows)).alias("b"))
-    halo = halo.select("day", *(F.col(f"b.{c}").alias(c) for c in df.columns), F.lit(True).alias("carried"))
+    last = last.groupBy("symbol", "bucket").agg(F.collect_list(F.struct("back", *df.columns)).alias("last"))
+    buckets = Window.partitionBy("symbol").orderBy("bucket").rowsBetween(-rows, -1)
+    ordered = last.select("symbol", "bucket", F.sort_array("last", asc=False).alias("last"))
+    halo = ordered.select("bucket", F.flatten(F.collect_list("last").over(buckets)).alias("before"))
+    halo = halo.select("bucket", F.explode(F.slice("before", F.greatest(F.size("before") - rows + 1, F.lit(1)), rows)).alias("b"))
+    halo = halo.select("bucket", *(F.col(f"b.{c}").alias(c) for c in df.columns), F.lit(True).alias("carried"))
     return own.withColumn("carried", F.lit(False)).unionByName(halo)
 
 
-def _daily(order: list[str]) -> WindowSpec:
-    return Window.partitionBy("symbol", "day").orderBy(*order)
+def _bucketed(order: list[str]) -> WindowSpec:
+    return Window.partitionBy("symbol", "bucket").orderBy(*order)
 
 
-def moving_average(df: DataFrame, value: str, rows: int | dict[str, int], order: list[str], name: str = "", full_only: bool = False) -> DataFrame:
+def moving_average(df: DataFrame, value: str, rows: int | dict[str, int], order: list[str], name: str = "", full_only: bool = False, most: int = MOST_ROWS) -> DataFrame:
     """Mean of the last ``rows`` values per symbol, or several such means by name. ``full_only``: null until there are so
-    many. Each day is averaged apart, led by as many rows before it as the mean needs."""
+    many. Each bucket is averaged apart, led by as many rows before it as the mean needs."""
     means = rows if isinstance(rows, dict) else {name: rows}
-    out, by = with_halo(df, order, max(means.values()) - 1), _daily(order)
+    out, by = with_halo(df, order, max(means.values()) - 1, most), _bucketed(order)
     for alias, n in means.items():
         mean = F.avg(F.col(value).cast("double")).over(by.rowsBetween(-(n - 1), 0))
         out = out.withColumn(alias, F.round(F.when(F.row_number().over(by) >= n, mean) if full_only else mean, 6))
-    return out.where("NOT carried").drop("carried", "day")
+    return out.where("NOT carried").drop("carried", "bucket")
 
 
 def candle_sma(candles: DataFrame, periods: tuple[int, ...] = (20, 50)) -> DataFrame:
@@ -49,10 +91,10 @@ def candle_sma(candles: DataFrame, periods: tuple[int, ...] = (20, 50)) -> DataF
     return moving_average(candles.select("symbol", "window_start", "close"), "close", {f"sma_{n}": n for n in periods}, ["window_start"], full_only=True)
 
 
-def with_previous(df: DataFrame, value: str, order: list[str], name: str = "previous") -> DataFrame:
-    """Rows with the symbol's value before, as ``name``; each day is a partition of its own, led by the last row before it."""
-    out = with_halo(df, order, 1).withColumn(name, F.lag(value).over(_daily(order)))
-    return out.where("NOT carried").drop("carried", "day")
+def with_previous(df: DataFrame, value: str, order: list[str], name: str = "previous", most: int = MOST_ROWS) -> DataFrame:
+    """Rows with the symbol's value before, as ``name``; each bucket is a partition of its own, led by the last row before it."""
+    out = with_halo(df, order, 1, most).withColumn(name, F.lag(value).over(_bucketed(order)))
+    return out.where("NOT carried").drop("carried", "bucket")
 
 
 def trend_detect(ticks: DataFrame, threshold: float = 5.0) -> DataFrame:
@@ -68,52 +110,98 @@ def tick_jumps(ticks: DataFrame, percent: float = 50.0) -> DataFrame:
     return trend_detect(ticks, percent).where(F.abs("change_pct") > percent).drop("trend")
 
 
-def _micros(ts: str) -> Column:
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
-
-
-def look_back(ticks: DataFrame, spans: dict[str, int], extremes: str) -> DataFrame:
+def look_back(ticks: DataFrame, spans: dict[str, int], extremes: str, most: int = MOST_ROWS) -> DataFrame:
     """For each tick what the last so many seconds hold: the price of the earliest tick inside a span as base_<span>, and
-    the high and low of the span ``extremes``, which is a day.
-
-    Look-back points are sorted together with the ticks of their own day, latest first: the last tick passed is a point's
-    base, or the first tick of the next day with any if none is passed. The highest tick passed is the high of the
-    earlier day's part of the last 24 hours, a running one from the start of the day is that of the later day's part. So
-    every frame runs, whatever a span holds, and no symbol is sorted whole.
+    the high and low of the span ``extremes``, which is a day. Every row comes out again, also one that repeats another's
+    tick_id, or all of it, or has no tick_id.
+
+    Look-back points are sorted together with the ticks of their own bucket, latest first: the last tick passed is a point's
+    base. Before its own rows a bucket passes a carried one with what lies behind it: the first tick of the next bucket that
+    has any, and the high and low of the later buckets of its day. So a point sees its day from itself to the end. A tick
+    sees its own day from the start in the same way, by a running frame led by the high and low of the day's earlier
+    buckets; both together are the last 24 hours. Points count when buckets are sized, so that neither a hot day nor the
+    quiet one before it, on which its points lie, is sorted whole.
     """
-    timed = ticks.select("symbol", "tick_id", "ts", "price_usd", _micros("ts").alias("at"), F.to_date("ts").alias("day"))
-    today = Window.partitionBy("symbol", "day").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    own = timed.select("*", F.max("price_usd").over(today).alias("high"), F.min("price_usd").over(today).alias("low"))
+    own = ["symbol", "tick_id", "ts", "price_usd"]
+    price, none = F.col("price_usd"), F.lit(None).cast("decimal(20,8)")
+    timed = ticks.select(*own, epoch_micros("ts").alias("at"))
     points = F.array(*[F.struct((F.col("at") - n * 1_000_000).alias("at"), F.lit(k).alias("span")) for k, n in spans.items()])
-    points = timed.select("symbol", "tick_id", F.explode(points).alias("p"))
-    points = points.select("symbol", "tick_id", "p.at", "p.span", F.to_date(F.expr("timestampadd(MICROSECOND, p.at, TIMESTAMP_NTZ'1970-01-01 00:00:00')")).alias("day"), F.lit(None).cast("decimal(20,8)").alias("price_usd"))
-    both = timed.select("symbol", "tick_id", "at", F.lit(None).cast("string").alias("span"), "day", "price_usd").unionByName(points)
-    # The first tick of the next day that has one, for each day with ticks or points.
-    firsts = both.groupBy("symbol", "day").agg(F.min_by("price_usd", F.when(F.col("span").isNull(), F.struct("at", "tick_id"))).alias("first"))
-    later = Window.partitionBy("symbol").orderBy("day").rowsBetween(1, Window.unboundedFollowing)
-    firsts = firsts.select("symbol", "day", F.first("first", ignorenulls=True).over(later).alias("next"))
+    points = timed.select(*own, F.explode(points).alias("p")).select(*own, "p.at", "p.span", none.alias("base"))
+    both = timed.select(*own, "at", F.lit(None).cast("string").alias("span"), price.alias("base")).unionByName(points)
+    both = with_bucket(both, hot_cells(both, most))
+    order = ordinal(F.col("at"), F.coalesce(F.col("tick_id").cast("long"), F.lit(-(1 << 63))))
+    table = both.groupBy("symbol", "bucket").agg(F.max("base").alias("high"), F.min("base").alias("low"), F.min_by("base", F.when(F.col("span").isNull(), order)).alias("first"))
+    table = table.withColumn("day", _cell("bucket", CELLS[0]))
+    up = Window.partitionBy("symbol", "day").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("symbol", "day").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy("symbol").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = lambda at, base, high, low: table.select("symbol", "bucket", F.lit(at).cast("long").alias("at"), base.alias("base"), high.alias("high"), low.alias("low"))
+    ahead = carried((1 << 63) - 1, F.last("first", ignorenulls=True).over(behind), F.max("high").over(down), F.min("low").over(down))
+    before = carried(-(1 << 63), none, F.max("high").over(up), F.min("low").over(up))
+    rows = both.withColumns({"high": F.col("base"), "low": F.col("base")})
+
     # At equal times ticks come before points, and of ticks the smallest id last.
-    passed = Window.partitionBy("symbol", "day").orderBy(F.desc("at"), F.col("span").isNotNull(), F.desc("tick_id")).rowsBetween(Window.unboundedPreceding, 0)
-    answers = both.select("symbol", "day", "tick_id", "span", F.last("price_usd", ignorenulls=True).over(passed).alias("base"), F.max("price_usd").over(passed).alias("high"), F.min("price_usd").over(passed).alias("low"))
-    answers = answers.where("span IS NOT NULL").join(firsts, ["symbol", "day"]).withColumn("base", F.coalesce("base", "next"))
-    wide = answers.select("symbol", "tick_id", F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("decimal(20,8)").alias("price_usd"), "span", "base", F.when(F.col("span") == extremes, F.col("high")).alias("high"), F.when(F.col("span") == extremes, F.col("low")).alias("low"))
-    mine = own.select("symbol", "tick_id", "ts", "price_usd", F.lit(None).cast("string").alias("span"), F.lit(None).cast("decimal(20,8)").alias("base"), "high", "low")
+    passed = Window.partitionBy("symbol", "bucket").orderBy(F.desc("at"), F.col("span").isNotNull(), F.desc("tick_id")).rowsBetween(Window.unboundedPreceding, 0)
+    seen = rows.unionByName(ahead, allowMissingColumns=True)
+    answers = seen.select(*own, "span", F.last("base", ignorenulls=True).over(passed).alias("base"), F.max("high").over(passed).alias("high"), F.min("low").over(passed).alias("low")).where("span IS NOT NULL")
+    today = Window.partitionBy("symbol", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    mine = rows.where("span IS NULL").unionByName(before, allowMissingColumns=True)
+    mine = mine.select(*own, "span", none.alias("base"), F.max("high").over(today).alias("high"), F.min("low").over(today).alias("low"), "at").where(F.col("at") > -(1 << 63)).drop("at")
+
+    day = F.col("span").isNull() | (F.col("span") == extremes)
     bases = [F.max(F.when(F.col("span") == k, F.col("base"))).alias(f"base_{k}") for k in spans]
-    return mine.unionByName(wide).groupBy("symbol", "tick_id").agg(F.max("ts").alias("ts"), F.max("price_usd").alias("price_usd"), *bases, F.max("high").alias("high"), F.min("low").alias("low"))
+    found = mine.unionByName(answers).groupBy(*own).agg(*bases, F.max(F.when(day, F.col("high"))).alias("high"), F.min(F.when(day, F.col("low"))).alias("low"), F.count_if(F.col("span").isNull()).alias("copies"))
+    return found.withColumn("copies", F.explode(F.expr("array_repeat(0, int(copies))"))).drop("copies")
 
 
-def multi_change(ticks: DataFrame) -> DataFrame:
+def multi_change(ticks: DataFrame, most: int = MOST_ROWS) -> DataFrame:
     """For each tick: percent change over 1 h, 24 h, 7 d and 30 d, 24 h absolute change, 24 h high and low.
 
-    A span's base is the earliest tick inside it.
+    A span's base is the earliest tick inside it. Rows that repeat a tick_id, or have none, each get their row.
     """
-    out, price = look_back(ticks, SPANS, "24h"), F.col("price_usd")
+    out, price = look_back(ticks, SPANS, "24h", most), F.col("price_usd")
     changes = [F.round(percent_change(price, F.col(f"base_{k}")), 6).alias(f"change_{k}") for k in SPANS]
     day = (price - F.col("base_24h")).cast("decimal(20,8)").alias("change_abs_24h")
     return out.select("symbol", "tick_id", "ts", "price_usd", *changes, day, F.col("high").alias("high_24h"), F.col("low").alias("low_24h"))
 
 
-def latest_by(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The last row of each key: an aggregation with partial results, no sort."""
-    rest = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("last")).select(key, "last.*")
+#: Types that a hash aggregation can carry: their values have a fixed width.
+CARRIED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _ordering(df: DataFrame, order: list[str]) -> Column:
+    """One number that sorts as ``order`` does, nulls first: a time, a whole number or a flag, or a time and then a number."""
+
+    def number(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return F.coalesce(epoch_micros(c), F.lit(-(10**18)))
+        if isinstance(kind, (T.IntegralType, T.BooleanType)):
+            return F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63)))
+        raise ValueError(f"{c}: order by times, whole numbers or flags")
+
+    if len(order) == 1:
+        return number(order[0])
+    if len(order) != 2 or not isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+        raise ValueError("order by one column, or by a time and a whole number")
+    return ordinal(number(order[0]), number(order[1]))
+
+
+def latest_by(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
+    """The last row of each key: hash aggregations with partial results; no row is sorted, and of a task only one row for each
+    key goes to the shuffle.
+
+    Columns of fixed width ride along with the largest ordering. Others, such as texts, have no place in a hash table: then
+    the largest ordering is found in a first pass, and the rows that have it in a second. A row without an ordering counts
+    when its key has no others; of equal orderings one row is kept.
+    """
+    keys, name = [key] if isinstance(key, str) else key, "__order"
+    ordered = df.withColumn(name, _ordering(df, order))
+    rest = [c for c in df.columns if c not in keys]
+    if all(isinstance(df.schema[c].dataType, CARRIED) for c in rest):
+        return ordered.groupBy(*keys).agg(*[F.max_by(c, name).alias(c) for c in rest]).select(*df.columns)
+    top = ordered.groupBy(*keys).agg(F.max(name).alias("__top")).withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = F.col(name) == F.col("__top")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return ordered.join(top, same, "left_semi").dropDuplicates(keys).select(*df.columns)
