@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,11 +69,33 @@ def file_ticks(spark: SparkSession, path: str, files_a_batch: int = 1) -> DataFr
 
 
 def jdbc_table(spark: SparkSession, url: str, name: str, partition_column: str | None = None, bounds: tuple[str, str] | None = None, partitions: int = 8, **options: str) -> DataFrame:
-    """A database table; with a partition column and bounds it is read in parallel ranges. Filters are pushed down."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", name).options(**options)
-    if partition_column and bounds:
-        reader = reader.option("partitionColumn", partition_column).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", partitions)
-    return reader.load()
+    """A database table. With a partition column it is read in parallel ranges of that column, a number, date or time; its
+    lowest and highest values, which the database looks up, are the bounds where none are given. Columns and filters are
+    pushed down to the database."""
+    reader = spark.read.format("jdbc").option("url", url).options(**options)
+    if partition_column:
+        if not bounds:
+            ends = reader.option("query", f"SELECT min({partition_column}) AS low, max({partition_column}) AS high FROM {name}").load().first()
+            bounds = (str(ends[0]), str(ends[1])) if ends[0] is not None else None
+        if bounds:
+            # The upper bound ends the last range but one; rows beyond either bound are read too.
+            ranges = {"partitionColumn": partition_column, "lowerBound": bounds[0], "upperBound": bounds[1], "numPartitions": str(partitions)}
+            return spark.read.format("jdbc").option("url", url).options(**options).option("dbtable", name).options(**ranges).load()
+    return spark.read.format("jdbc").option("url", url).options(**options).option("dbtable", name).load()
+
+
+def jdbc_catalog(spark: SparkSession, catalog: str, url: str, **options: str) -> Callable[[str], DataFrame]:
+    """Names a database as a catalog of the session and gives a reader of its tables, as ``read("schema.table")``.
+
+    Through it limits, top rows and aggregates are pushed down as well as filters: the database counts, and only the result
+    comes over.
+    """
+    key = f"spark.sql.catalog.{catalog}"
+    pushed = {"pushDownAggregate": "true", "pushDownLimit": "true", "pushDownTableSample": "true", "pushDownOffset": "true"}
+    for k, v in ({"url": url} | pushed | options).items():
+        spark.conf.set(f"{key}.{k}", v)
+    spark.conf.set(key, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+    return lambda name: spark.table(f"{catalog}.{name}")
 
 
 def kafka_alerts(spark: SparkSession, servers: str, topic: str = "crypto-alerts", **options: str) -> DataFrame:
