@@ -174,7 +174,7 @@ def test_alerts_are_published_read_again_and_printed(spark, feed, tmp_path):
     read, _ = collected(spark, decode_alerts(spark.readStream.text(str(tmp_path / "topic"))), tmp_path, name="read")
     key = lambda r, pct: (r["symbol"], r["alert_type"], float(r[pct]), r["severity"])
     assert sorted(key(r, "price_change_percent") for r in read) == sorted(key(r, "price_change_pct") for r in want)
-    printed = sinks.print_lines(ohlc.alert_lines(alerts()))
+    printed = sinks.print_lines(ohlc.alert_lines(alerts()), every=None)
     printed.awaitTermination(120)
     assert printed.exception() is None and sum(p["sink"]["numOutputRows"] for p in printed.recentProgress) == len(want)
 
@@ -217,7 +217,7 @@ def test_sinks_write_files(spark, feed, tmp_path):
     write, stream = feed
     for b in BATCHES:
         write(*b)
-    sinks.raw_tick_sink(stream(), str(tmp_path / "raw"), str(tmp_path / "c1")).awaitTermination(120)
+    sinks.raw_tick_sink(stream(), str(tmp_path / "raw"), str(tmp_path / "c1"), every=None).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "raw")).count() == sum(map(len, BATCHES))
     sinks.start(jobs.flat(jobs.candle_stream(stream())), str(tmp_path / "c2"), sinks.publish_candles(str(tmp_path / "json"), ["ETH"]), every=None).awaitTermination(120)
     assert {r["key"] for r in spark.read.json(str(tmp_path / "json")).collect()} == {"ETH"}
@@ -267,3 +267,115 @@ def test_stateful_alerts_once_per_window(spark, tmp_path):
             query.stop()
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert sorted((r["symbol"], float(r["price_change_pct"])) for r in rows) == [("BTC", 10.0), ("ETH", -10.0)]
+
+
+@pytest.fixture
+def rocksdb(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield
+    spark.conf.unset(name)
+
+
+def until(ready, query, seconds=90):
+    end = time.time() + seconds
+    while not ready() and time.time() < end and query.isActive:
+        time.sleep(0.3)
+    assert query.exception() is None
+
+
+def test_candles_close_by_the_clock_and_at_shutdown(spark, feed, tmp_path, rocksdb):
+    """No later tick comes: the candle appears once its window ended 5 s ago. What is open at shutdown is flushed, and a
+    restart goes on with it."""
+    from tickframe.streaming.stateful import clock_candles, open_candles, stop_and_flush
+
+    write, stream = feed
+    path, check, seen = str(tmp_path / "table"), str(tmp_path / "check"), []
+    merge = sinks.upsert_by_date(path, ["symbol", "window_start"], "window_start")
+
+    def batch(df, number):
+        seen.extend((r["symbol"], r["window_start"], float(r["open"]), float(r["high"]), float(r["low"]), float(r["close"]), float(r["volume_sum"]), r["event_count"]) for r in df.collect())
+        merge(df, number)
+
+    run = lambda: sinks.start(clock_candles(stream()), check, batch, "update", "1 second")
+    ahead = 365 * 86_400 * 40  # windows that end long after this test
+    write(tick(1, 100), tick(30, 103), tick(20, 90, volume=None), tick(59, 110), tick(62, 7, "ETH"), tick(ahead, 5, "SOL"), tick(ahead + 1, 6, "SOL"))
+    query, began = run(), time.time()
+    until(lambda: len(seen) >= 2, query)
+    assert time.time() - began >= 5
+    assert sorted(r[0:1] + r[2:] for r in seen) == [("BTC", 100.0, 110.0, 90.0, 110.0, 3.0, 4), ("ETH", 7.0, 7.0, 7.0, 7.0, 1.0, 1)]
+    write(tick(40, 500), tick(ahead + 2, 4, "SOL"))  # late for a closed window; and more for an open one
+    until(lambda: any(p["numInputRows"] == 2 for p in query.recentProgress), query)
+    stop_and_flush(query, check, merge)
+    rows = {(r["symbol"]): (float(r["open"]), float(r["close"]), r["event_count"]) for r in spark.read.parquet(path).collect()}
+    assert rows == {"BTC": (100.0, 110.0, 4), "ETH": (7.0, 7.0, 1), "SOL": (5.0, 4.0, 3)}
+    assert len(seen) == 2 and open_candles(spark, check).count() == 1
+    write(tick(ahead + 3, 8, "SOL"))
+    query = run()
+    until(lambda: any(p["numInputRows"] == 1 for p in query.recentProgress), query)
+    stop_and_flush(query, check, merge)
+    last = spark.read.parquet(path).where("symbol = 'SOL'").collect()
+    assert [(float(r["open"]), float(r["close"]), r["event_count"]) for r in last] == [(5.0, 8.0, 4)] and len(seen) == 2
+
+
+def test_counters_are_observed_while_data_is_written(spark, feed, tmp_path):
+    """One pass writes and counts, in a batch and in a stream, and both give what run_counters gives."""
+    from tickframe.operators import stats
+
+    write, _ = feed
+    for b in BATCHES:
+        write(*b, raw=["{bad", json.dumps({"symbol": "", "price_usd": 1}), json.dumps({**tick(5, -1)})])
+    folder = str(tmp_path / "in")
+    decoded = decode_ticks(spark.read.text(folder))
+    coverage = spark.createDataFrame([("BTC", True, 50.0), ("X", False, 50.0)], "symbol string, hit boolean, hit_rate_pct double")
+    want = stats.run_counters(decoded, coverage).first()
+    assert want["produced"] == sum(map(len, BATCHES)) and want["errors"] == 3 * len(BATCHES)
+    watched, counts = stats.observed(decoded)
+    watched.write.parquet(str(tmp_path / "out"))
+    assert counts.get == {"produced": want["produced"], "errors": want["errors"]}
+    listener = jobs.RunCounters()
+    spark.streams.addListener(listener)
+    try:
+        stream = jobs.counted_stream(decode_ticks(file_ticks(spark, folder)))
+        rows, query = collected(spark, stream, tmp_path)
+        until(lambda: sum(listener.totals(str(query.id)).values()) >= len(rows), query, 30) if query.isActive else time.sleep(2)
+        assert listener.totals(str(query.id)) == counts.get and len(rows) == sum(counts.get.values())
+        write(*BATCHES[0])
+        collected(spark, jobs.counted_stream(decode_ticks(file_ticks(spark, folder))), tmp_path)  # a restart from the checkpoint
+        time.sleep(2)
+        assert listener.totals(str(query.id))["produced"] == want["produced"] + len(BATCHES[0])
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def test_replayed_alerts_are_read_once(spark, tmp_path):
+    """A topic with messages sent twice, within a run and again before a restart."""
+    alerts = ohlc.price_alerts(batch_candles(spark, "1 minute", 880))
+    messages = ohlc.alert_messages(alerts)
+    assert messages.columns == ["key", "value", "dedupe_key", "headers"]
+    one = messages.orderBy("dedupe_key").first()
+    assert one["dedupe_key"] == bytes(one["headers"][0]["value"]).decode() and one["dedupe_key"].count("|") == 2
+    n, topic = alerts.count(), str(tmp_path / "topic")
+    assert n and messages.select("dedupe_key").distinct().count() == n
+    send = lambda df: df.select("value").coalesce(1).write.mode("append").text(topic)
+    send(messages.unionByName(messages))
+    read = lambda: collected(spark, jobs.alerts_once(decode_alerts(spark.readStream.text(topic))), tmp_path)[0]
+    first = read()
+    assert sorted(r["dedupe_key"] for r in first) == sorted(r["dedupe_key"] for r in messages.collect())
+    send(messages)
+    assert read() == []
+
+
+def test_raw_ticks_run_on(spark, feed, tmp_path):
+    """With a trigger the sink goes on with what comes later."""
+    write, stream = feed
+    write(tick(1, 100))
+    query = sinks.raw_tick_sink(stream(), str(tmp_path / "raw"), str(tmp_path / "check"), every="1 second")
+    try:
+        count = lambda: sum(p["numInputRows"] for p in query.recentProgress)
+        until(lambda: count() == 1, query)
+        write(tick(2, 100))
+        until(lambda: count() == 2, query)
+        assert query.isActive and spark.read.parquet(str(tmp_path / "raw")).count() == 2
+    finally:
+        query.stop()

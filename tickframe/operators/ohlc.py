@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.functions.scalars import (
@@ -110,3 +110,15 @@ def alert_json(alerts: DataFrame) -> DataFrame:
     prices = [F.col("price_change_pct").alias("price_change_percent"), F.col("old_price").alias("open_price"), F.col("new_price").alias("close_price")]
     times = [iso_text("window_start").alias("window_start"), iso_text("window_end").alias("window_end"), iso_text("window_end").alias("timestamp")]
     return alerts.select(F.col("symbol").alias("key"), F.to_json(F.struct("symbol", "alert_type", *prices, *times, "severity")).alias("value"))
+
+
+def dedupe_key(symbol: str, window_start: str, alert_type: str) -> Column:
+    """What makes an alert the same one when it is sent again."""
+    return F.concat_ws("|", symbol, window_start, alert_type)
+
+
+def alert_messages(alerts: DataFrame) -> DataFrame:
+    """Alerts as JSON messages with their dedupe key, also as a message header for topics."""
+    sent = alert_json(alerts).withColumn("alert", F.from_json("value", "symbol string, window_start string, alert_type string"))
+    told = dedupe_key("alert.symbol", "alert.window_start", "alert.alert_type")
+    return sent.select("key", "value", told.alias("dedupe_key"), F.array(F.struct(F.lit("dedupe_key").alias("key"), told.cast("binary").alias("value"))).alias("headers"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
-from tickframe.functions.scalars import event_time
-from tickframe.operators.ohlc import price_alerts, valid_ticks
+from tickframe.functions.scalars import event_time, ordinal
+from tickframe.operators.ohlc import dedupe_key, price_alerts, valid_ticks
+from tickframe.operators.stats import counters
 from tickframe.sources.ticks import decode_ticks
 
 #: How far event times may be out of order.
@@ -30,14 +32,9 @@ def without_repeats(ticks: DataFrame) -> DataFrame:
     return ticks.dropDuplicatesWithinWatermark(["message_id"])
 
 
-def _order() -> Column:
-    """Event time, then tick id, as one number that aggregates by hash."""
-    return (F.unix_micros("ts").cast("decimal(38,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col("tick_id")).cast("decimal(38,0)")
-
-
 def candle_stream(ticks: DataFrame, width: str = "1 minute") -> DataFrame:
     """Candles with their ``window``; in append mode each is emitted once, when the watermark passes its end."""
-    ordered = ticks.withColumn("order", _order())
+    ordered = ticks.withColumn("order", ordinal(F.unix_micros("ts"), F.col("tick_id")))
     return ordered.groupBy("symbol", F.window("ts", width)).agg(
         F.min_by("price_usd", "order").alias("open"), F.max("price_usd").alias("high"), F.min("price_usd").alias("low"), F.max_by("price_usd", "order").alias("close"),
         F.coalesce(F.sum("volume_24h"), F.lit(0)).cast("decimal(38,2)").alias("volume_sum"), F.count(F.lit(1)).alias("event_count"), F.min("order").alias("first_order"), F.max("order").alias("last_order"),
@@ -63,6 +60,47 @@ def alert_stream(candles: DataFrame, replayed: bool = False) -> DataFrame:
     return price_alerts(flat(once))
 
 
+def counted_stream(decoded: DataFrame, name: str = "run_counters") -> DataFrame:
+    """Decoded messages whose counters each micro-batch observes under ``name``; a RunCounters listener adds them up."""
+    return decoded.observe(name, *counters())
+
+
+class RunCounters(StreamingQueryListener):
+    """Totals of produced messages and errors of each streaming query by id, over its micro-batches and restarts.
+
+    Register with ``spark.streams.addListener``. A micro-batch that is run again after a failure counts once.
+    """
+
+    def __init__(self, name: str = "run_counters"):
+        self.name, self._batches = name, {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        row = progress.observedMetrics.get(self.name)
+        if row is not None:
+            self._batches[str(progress.id), progress.batchId] = (row["produced"], row["errors"])
+
+    def totals(self, query_id: str) -> dict[str, int]:
+        rows = [v for (q, _), v in self._batches.items() if q == query_id]
+        return {"produced": sum(r[0] for r in rows), "errors": sum(r[1] for r in rows)}
+
+
+def alerts_once(alerts: DataFrame, within: str = "1 hour") -> DataFrame:
+    """Decoded alerts of a topic that delivers at least once, each once: repeats of symbol, window and type go, as long as
+    they come within that much event time. What was seen lies in the query's checkpoint, so restarts know it."""
+    keyed = alerts.withColumns({"dedupe_key": dedupe_key("symbol", "window_start", "alert_type"), "alert_at": F.to_timestamp("window_start")})
+    return keyed.withWatermark("alert_at", within).dropDuplicatesWithinWatermark(["dedupe_key"])
+
+
 def latest_stream(candles: DataFrame) -> DataFrame:
     """The last candle of each symbol from a stream of finished candles, for update or complete mode."""
-    return candles.groupBy("symbol").agg(F.max_by(F.struct("window_start", *VALUES), "window_start").alias("last")).select("symbol", "last.*")
+    return candles.groupBy("symbol").agg(F.max("window_start").alias("newest"), *[F.max_by(c, "window_start").alias(c) for c in VALUES]).withColumnRenamed("newest", "window_start")

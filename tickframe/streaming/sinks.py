@@ -8,9 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tickframe.operators.market import timestamp
-from tickframe.operators.ohlc import alert_json, candle_json
+from tickframe.operators.ohlc import alert_messages, candle_json
+from tickframe.operators.tables import write_clustered
 from tickframe.operators.windows import latest_by
 
 #: Seconds that a latest state counts, and the time between checkpoints.
@@ -19,8 +21,7 @@ STATE_SECONDS, CHECKPOINT_EVERY = 300, "60 seconds"
 
 def start(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None], mode: str = "append", every: str | None = CHECKPOINT_EVERY) -> StreamingQuery:
     """Run ``batch`` on each micro-batch; ``every`` None takes what is there and ends. Restarts go on from the checkpoint."""
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(batch)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    return triggered(stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(batch), every)
 
 
 def _file_system(spark: SparkSession, path: str) -> tuple:
@@ -63,8 +64,7 @@ def upsert_by_date(path: str, keys: list[str], time: str) -> Callable[[DataFrame
             newest = Window.partitionBy(*keys, "date").orderBy(F.desc("at_hand"))
             staged = f"{path}__staged/{_run(df)}-{number}"
             merged.withColumn("n", F.row_number().over(newest)).where("n = 1").drop("n", "at_hand").write.mode("overwrite").parquet(staged)
-            ready = spark.read.parquet(staged).repartition("date").sortWithinPartitions("date", *keys)
-            ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+            write_clustered(spark.read.parquet(staged), path, "date", keys, mode="overwrite", partitionOverwriteMode="dynamic")
             _remove(spark, staged)
         new.unpersist()
 
@@ -116,10 +116,15 @@ def alert_table(path: str) -> Callable[[DataFrame, int], None]:
     return lambda df, number: merge(df.withColumn("created_at", F.col("window_end")), number)
 
 
-def raw_tick_sink(ticks: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def triggered(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
+    """Started with a micro-batch every so often, without end; None takes what is there and ends."""
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def raw_tick_sink(ticks: DataFrame, path: str, checkpoint: str, every: str | None = CHECKPOINT_EVERY) -> StreamingQuery:
     """Ticks with offset and partition into date partitions, exactly once by the file sink's log."""
     dated = ticks.withColumn("date", F.to_date("ts"))
-    return dated.writeStream.format("parquet").partitionBy("date").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return triggered(dated.writeStream.format("parquet").partitionBy("date").option("path", path).option("checkpointLocation", checkpoint), every)
 
 
 def _publish(path: str, messages: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -133,19 +138,21 @@ def publish_candles(path: str, symbols: list[str] | None = None) -> Callable[[Da
 
 
 def publish_alerts(path: str) -> Callable[[DataFrame, int], None]:
-    """Alerts as keyed JSON files."""
-    return _publish(path, alert_json)
+    """Alerts as keyed JSON files, with their dedupe keys."""
+    return _publish(path, lambda df: alert_messages(df).drop("headers"))
 
 
 def kafka_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
-    """Key and value to a topic, at least once; readers drop repeats by key and window. Needs Spark's Kafka package."""
-    return messages.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("checkpointLocation", checkpoint).trigger(processingTime=CHECKPOINT_EVERY).start()
+    """Messages, as of ``alert_messages``, to a topic, at least once; ``jobs.alerts_once`` drops repeats by the dedupe key on
+    the reader's side. Needs Spark's Kafka package."""
+    columns = [c for c in ("key", "value", "headers") if c in messages.columns]
+    writer = messages.select(*columns).writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("includeHeaders", "true")
+    return triggered(writer.option("checkpointLocation", checkpoint), CHECKPOINT_EVERY)
 
 
-def print_lines(lines: DataFrame, **options: str) -> StreamingQuery:
+def print_lines(lines: DataFrame, every: str | None = CHECKPOINT_EVERY, **options: str) -> StreamingQuery:
     """Print a stream of text lines, such as ``candle_lines`` or ``alert_lines``."""
-    writer = lines.writeStream.format("console").option("truncate", False).options(**options)
-    return writer.trigger(availableNow=True).start()
+    return triggered(lines.writeStream.format("console").option("truncate", False).options(**options), every)
 
 
 def expired(rows: DataFrame, now: datetime) -> DataFrame:
