@@ -75,7 +75,7 @@ def exact_median(rows: DataFrame, keys: list[str], value: str, ranges: int = MED
 
 def price_stats(ticks: DataFrame, dimension: DataFrame, since: Column) -> DataFrame:
     """Ticks of active symbols since a time: count, low, high, mean, exact median, sample deviation."""
-    active = dimension.where("is_active").select("symbol", "crypto_id")
+    active = checkpointed(dimension.where("is_active").select("symbol", "crypto_id"))
     price = _double("price_usd")
     rows, keys = ticks.where(F.col("ts") >= since).join(active, "symbol"), ["crypto_id", "symbol"]
     stats = rows.groupBy(*keys).agg(
