@@ -484,14 +484,14 @@ def line_rows(found):
     return counted(found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256)).collect())
 
 
-@pytest.mark.parametrize("way", ["broadcast", "small filter", "filter by segment", "joined"])
+@pytest.mark.parametrize("way", ["broadcast", "small filter", "folded filter", "joined"])
 def test_line_dedup(docs, rows, empty, way, monkeypatch):
-    if way == "filter by segment":
-        monkeypatch.setattr(linededup, "BROADCAST_BITS", 1)
+    if way == "folded filter":
+        monkeypatch.setattr(linededup, "BROADCAST_BITS", linededup.SEGMENT_BITS)
     if way == "joined":
         monkeypatch.setattr(linededup, "BROADCAST_BYTES", -1)
     want = brute_lines(rows, 3)
-    found = linededup.dedup_lines(docs, min_docs=3, bits=1 << 22 if way == "filter by segment" else 1 << 20 if way == "small filter" else None)
+    found = linededup.dedup_lines(docs, min_docs=3, bits=1 << 22 if way == "folded filter" else 1 << 20 if way == "small filter" else None)
     assert line_rows(found) == want
     assert found.where("drop <> 'clash'").count() == 0 and any(w[2] for w in want)
     assert linededup.dedup_lines(empty).count() == 0

@@ -2,8 +2,9 @@
 
 Each task marks its documents' line hashes in a pair of filters: a hash already in the once-seen filter goes to the
 twice-seen one. The filters of two tasks merge by bits, (a1|b1, a2|b2|(a1&b1)), segment by segment; their number grows
-with the corpus. Filters up to a bound are broadcast to test the lines, larger ones meet the lines' hashes by segment.
-Only lines found in the twice-seen filter shuffle; they are counted exactly by their text.
+with the corpus. The merged twice-seen filter, in which few bits are set, is folded to a bound and broadcast to test the
+lines. Only lines that it holds shuffle; they are counted exactly by their text. The more distinct repeated lines a corpus
+has for the bound, the more other lines pass the filter and are counted, in the limit all; texts never move for it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from tickframe.llm.textbatch import lean, to_bytes_array
 
 SPACE = b" \t\n\x0b\x0c\r"
 SEGMENT_BITS = 1 << 20
-#: Fewest bits of a filter, and those for each expected line. A filter of more than BROADCAST_BITS (32 MB) stays in Spark.
+#: Fewest bits of a filter, those for each expected line, and those (32 MB) to which the twice-seen filter is folded.
 LEAST_BITS, BITS_A_LINE, BROADCAST_BITS = 1 << 20, 8, 1 << 28
 #: Repeated lines are broadcast to the texts if their texts have at most so many bytes; else texts that lose lines are
 #: joined with them, and a filter of this many bits at most tells which those are.
@@ -135,65 +136,6 @@ def suspected(filters, bits: int, min_chars: int):
     return run
 
 
-def line_hashes(bits: int, min_chars: int):
-    """Task function: every document's distinct long lines as packed (hash, doc_id) by segment."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, hashes = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), strict=True):
-                own = long_keys(text, min_chars) if doc_id is not None else ()
-                ids.extend([doc_id] * len(own))
-                hashes.extend(map(xxhash.xxh3_64_intdigest, own))
-            doc, found = np.array(ids, np.int64), np.array(hashes, np.uint64)
-            segment = (found % np.uint64(bits // SEGMENT_BITS)).astype(np.int32)
-            order = np.argsort(segment, kind="stable")
-            doc, found, segment = doc[order], found[order], segment[order]
-            edges = np.append(np.flatnonzero(np.diff(segment, prepend=-1)), len(segment))
-            spans = list(zip(edges[:-1], edges[1:], strict=True))
-            columns = [
-                pa.array([segment[a] for a, _ in spans], pa.int32()),
-                pa.array([found[a:b].tobytes() for a, b in spans], pa.binary()),
-                pa.array([doc[a:b].tobytes() for a, b in spans], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["segment", "hashes", "docs"])
-
-    return run
-
-
-def suspects_of_segment(bits: int):
-    """Cogroup function: (doc_id, hash) of the lines that the segment's twice-seen filter holds."""
-
-    def run(lines: pa.Table, filters: pa.Table) -> pa.Table:
-        docs, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        if lines.num_rows:
-            held = np.frombuffer(filters.column("bits")[0].as_py(), np.uint8)
-            for raw, ids in zip(lines.column("hashes").to_pylist(), lines.column("docs").to_pylist(), strict=True):
-                found = np.frombuffer(raw, np.uint64)
-                hit = held_at(held, positions(found, bits) % np.uint64(SEGMENT_BITS))
-                hashes.append(found[hit])
-                docs.append(np.frombuffer(ids, np.int64)[hit])
-        return pa.table({"doc_id": np.concatenate(docs), "hash": np.concatenate(hashes).view(np.int64)})
-
-    return run
-
-
-def keys_of_hashes(min_chars: int):
-    """Task function over (doc_id, text, hashes): (doc_id, key) of the lines with these hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys = [], []
-            for doc_id, text, hashes in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), batch.column("hashes").to_pylist(), strict=True):
-                wanted = {h % (1 << 64) for h in hashes}
-                own = [k for k in long_keys(text, min_chars) if xxhash.xxh3_64_intdigest(k) in wanted]
-                ids.extend([doc_id] * len(own))
-                keys.extend(own)
-            yield suspect_rows(ids, keys)
-
-    return run
-
-
 def rewrite(min_chars: int, repeated=None):
     """Task function: the other columns, n_lines, n_dropped and the remaining text.
 
@@ -235,24 +177,33 @@ def merged_filters(docs: DataFrame, bits: int, min_chars: int) -> DataFrame:
     return marks.groupBy("segment").applyInArrow(merge_segment, "segment int, bits binary")
 
 
-def collected(filters: DataFrame, bits: int) -> bytes:
-    """A filter of at most BROADCAST_BITS as one run of bytes."""
-    held = bytearray(bits // 8)
-    for row in filters.toLocalIterator():
-        held[row["segment"] * SEGMENT_BITS // 8 : (row["segment"] + 1) * SEGMENT_BITS // 8] = row["bits"]
-    return bytes(held)
+def collected(filters: DataFrame, bits: int, most: int) -> bytes:
+    """A filter of ``bits`` as one run of bytes, folded to at most ``most`` bits: segments that share a place are joined.
+
+    A folded filter answers for a hash by the same rule with fewer segments; it holds all that the whole one does.
+    """
+    held = np.zeros(min(bits, most) // 8, np.uint8)
+    size = SEGMENT_BITS // 8
+    folded = filters.withColumn("segment", F.pmod("segment", F.lit(len(held) // size))) if bits > most else filters
+    for row in (folded.groupBy("segment").applyInArrow(joined_segments, "segment int, bits binary") if bits > most else folded).toLocalIterator():
+        held[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    return held.tobytes()
+
+
+def joined_segments(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The union of the filters of segments that share a place."""
+    held = np.zeros(SEGMENT_BITS // 8, np.uint8)
+    for batch in batches:
+        for raw in batch.column("bits"):
+            held |= np.frombuffer(raw.as_buffer(), np.uint8)
+    yield pa.RecordBatch.from_pydict({"segment": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([held.tobytes()], pa.binary())})
 
 
 def find_suspects(docs: DataFrame, bits: int, min_chars: int) -> DataFrame:
-    """(doc_id, key) of each row's distinct long lines that the twice-seen filter holds."""
+    """(doc_id, key) of each row's distinct long lines that the twice-seen filter holds, from one pass that moves no text."""
     filters = merged_filters(docs, bits, min_chars)
-    if bits <= BROADCAST_BITS:
-        sent = docs.sparkSession.sparkContext.broadcast(collected(filters, bits))
-        return materialize(docs.mapInArrow(lean(suspected(sent, bits, min_chars)), "doc_id long, key string"), "suspects")
-    lines = docs.mapInArrow(line_hashes(bits, min_chars), "segment int, hashes binary, docs binary")
-    found = lines.groupBy("segment").cogroup(filters.groupBy("segment")).applyInArrow(suspects_of_segment(bits), "doc_id long, hash long")
-    per_doc = found.groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
-    return materialize(docs.join(per_doc, "doc_id").mapInArrow(keys_of_hashes(min_chars), "doc_id long, key string"), "suspects")
+    sent = docs.sparkSession.sparkContext.broadcast(collected(filters, bits, BROADCAST_BITS))
+    return materialize(docs.mapInArrow(lean(suspected(sent, min(bits, BROADCAST_BITS), min_chars)), "doc_id long, key string"), "suspects")
 
 
 def set_bits(bits: int):
@@ -287,7 +238,7 @@ def lose_lines(docs: DataFrame, drops: DataFrame) -> tuple[DataFrame, DataFrame]
     n = drops.count()
     bits = 1 << max(LEAST_BITS, min(ID_BITS, 16 * n)).bit_length() - 1
     marks = drops.select(F.xxhash64("doc_id").alias("hash")).mapInArrow(set_bits(bits), "segment int, once binary, twice binary")
-    sent = docs.sparkSession.sparkContext.broadcast(collected(marks.groupBy("segment").applyInArrow(merge_segment, "segment int, bits binary"), bits))
+    sent = docs.sparkSession.sparkContext.broadcast(collected(marks.groupBy("segment").applyInArrow(merge_segment, "segment int, bits binary"), bits, bits))
     schema = T.StructType([*docs.schema.fields, T.StructField(DROPPED, T.BooleanType())])
     flagged = docs.withColumn(DROPPED, F.xxhash64("doc_id")).mapInArrow(may_hold(sent, bits, DROPPED), schema)
     hit = flagged.where(F.col(DROPPED)).drop(DROPPED).join(drops, "doc_id", "left").select(*docs.columns, DROPPED)
