@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.storage import bucket_count, corpus_size, in_small_batches, materialize
-from tickframe.llm.textbatch import U64, mix, pack_planes, prefix_sums, slices, substring_hash, to_bytes_array, unpack_planes
+from tickframe.llm.textbatch import SLICE_BYTES, U64, mix, pack_planes, prefix_sums, slices, substring_hash, to_bytes_array, unpack_planes
 
 LENGTH = 200
 #: Bytes of a sampled suffix's first name.
@@ -66,6 +66,20 @@ def sample(chunk: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[n
     return row, place - at[row], place - hi, place - lo, names[place], context
 
 
+def sampled_parts(chunk: np.ndarray, at: np.ndarray, length: int, gram: int, most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """``sample`` of a slice. A row of over ``most`` bytes, which is a slice of its own, is sampled in parts of half as many:
+    a part has so much of what lies beside it that all windows of the suffixes in it are whole."""
+    if len(at) != 2 or len(chunk) <= most:
+        yield sample(chunk, at, length, gram)
+        return
+    for first in range(0, len(chunk), most // 2):
+        low = max(0, first - length)
+        part = chunk[low : first + most // 2 + length]
+        row, place, *rest = sample(part, np.array([0, len(part)]), length, gram)
+        own = (place + low >= first) & (place + low < first + most // 2)
+        yield (row[own], place[own] + low, *(x[own] for x in rest))
+
+
 def _packed(bucket: np.ndarray, buckets: int, columns: dict[str, np.ndarray]) -> dict[str, list]:
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
@@ -85,7 +99,7 @@ def _batch(schema: str, columns: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns.get(k, [None] * n), kinds[t]) for k, t in fields], names=[k for k, _ in fields])
 
 
-SAMPLES = "rid long, rk long, bucket int, name binary, context binary, rids binary, places binary, near binary, far binary, many binary, chunk long, starts binary, ends binary"
+SAMPLES = "rid long, rk string, bucket int, name binary, context binary, rids binary, places binary, near binary, far binary, many binary, chunk long, starts binary, ends binary"
 SPANS = "chunk long, rids binary, starts binary, ends binary"
 #: Sampled suffixes to go on with: near and far are the least and most distance from a window's start to the suffix.
 GROUPED = SPANS + ", names binary, near binary, far binary, wants binary"
@@ -113,12 +127,12 @@ def sample_task(buckets: int, length: int, gram: int):
             yield _batch(SAMPLES, {"rid": list(range(rid, rid + n)), "rk": batch.column("rk").to_pylist()})
             data, offsets = to_bytes_array(batch.column("text"))
             for first, _, chunk, at in slices(data, offsets):
-                row, *rest = sample(chunk, at, length, gram)
-                parts.append((row + first + rid, *rest))
-                held += len(row)
-                if held >= TUPLES_A_FLUSH:
-                    yield from flush(parts)
-                    parts, held = [], 0
+                for row, *rest in sampled_parts(chunk, at, length, gram, 2 * SLICE_BYTES):
+                    parts.append((row + first + rid, *rest))
+                    held += len(row)
+                    if held >= TUPLES_A_FLUSH:
+                        yield from flush(parts)
+                        parts, held = [], 0
             rid += n
         if held:
             yield from flush(parts)
@@ -253,22 +267,28 @@ def region_task(buckets: int, length: int, gram: int):
             data, offsets = to_bytes_array(batch.column("text"))
             rows = zip(*(batch.column(c).to_pylist() for c in ("rid", "names", "places", "near", "far", "wants")), strict=True)
             for i, (rid, names, places, near, far, wants) in enumerate(rows):
-                own = data[offsets[i] : offsets[i + 1]]
-                sums = prefix_sums(own, fold_case=False)
-                name, place = unpack_planes(names).astype(np.uint64), unpack_planes(places)
-                near, far, wants = np.frombuffer(near, np.uint16).astype(np.int64), np.frombuffer(far, np.uint16).astype(np.int64), np.frombuffer(wants, np.uint8)
-                for left in (False, True):
-                    on = far > half if left else near <= half
-                    p, lo, hi = place[on], np.maximum(near[on], half + 1) if left else near[on], far[on] if left else np.minimum(far[on], half)
-                    around = substring_hash(sums, p - half - 1, p) if left else substring_hash(sums, p, p + length - half)
-                    key = mix(around ^ mix(name[on] << U64(1) | U64(left)))
-                    same = mix(substring_hash(sums, p - hi, p - lo + length) ^ mix(lo.astype(np.uint64) << U64(16) | hi.astype(np.uint64)))
-                    raw = own[_ranges(p - hi, hi - lo + length)]
-                    parts.append((key, same, np.full(len(p), rid), p, lo, hi, wants[on], raw))
-                    held += len(raw)
-                if held >= REGION_BYTES:
-                    yield from flush(parts)
-                    parts, held = [], 0
+                whole = data[offsets[i] : offsets[i + 1]]
+                every = (unpack_planes(places), unpack_planes(names).astype(np.uint64), np.frombuffer(near, np.uint16).astype(np.int64), np.frombuffer(far, np.uint16).astype(np.int64), np.frombuffer(wants, np.uint8))
+                done = 0
+                while done < len(every[0]):
+                    # Suffixes are ascending: those of one stretch of the text at a time, with what their windows reach.
+                    upto = int(np.searchsorted(every[0], every[0][done] + SLICE_BYTES))
+                    place, name, near, far, wants = (x[done:upto] for x in every)
+                    done, base = upto, max(0, int(place[0]) - 2 * length)
+                    own = whole[base : int(place[-1]) + 2 * length]
+                    sums = prefix_sums(own, fold_case=False)
+                    for left in (False, True):
+                        on = far > half if left else near <= half
+                        p, lo, hi = place[on] - base, np.maximum(near[on], half + 1) if left else near[on], far[on] if left else np.minimum(far[on], half)
+                        around = substring_hash(sums, p - half - 1, p) if left else substring_hash(sums, p, p + length - half)
+                        key = mix(around ^ mix(name[on] << U64(1) | U64(left)))
+                        same = mix(substring_hash(sums, p - hi, p - lo + length) ^ mix(lo.astype(np.uint64) << U64(16) | hi.astype(np.uint64)))
+                        raw = own[_ranges(p - hi, hi - lo + length)]
+                        parts.append((key, same, np.full(len(p), rid), p + base, lo, hi, wants[on], raw))
+                        held += len(raw)
+                    if held >= REGION_BYTES:
+                        yield from flush(parts)
+                        parts, held = [], 0
         if parts:
             yield from flush(parts)
 
@@ -345,13 +365,8 @@ def removal_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (starts, ends) in enumerate(zip(batch.column("starts").to_pylist(), batch.column("ends").to_pylist(), strict=True)):
             own = data[offsets[i] : offsets[i + 1]]
             a, b = (unpack_planes(starts), unpack_planes(ends)) if starts else (np.zeros(0, np.int64),) * 2
-            keep = own
-            if len(a):
-                mark = np.zeros(len(own) + 1, np.int8)
-                mark[a], mark[b] = 1, mark[b] - 1
-                keep = own[np.cumsum(mark[:-1]) == 0]
-            raw = keep.tobytes()
-            for k, v in zip(out, (len(own), len(own) - len(keep), len(a), hashlib.sha256(raw).hexdigest(), [{"start": int(x), "end": int(y)} for x, y in zip(a, b, strict=True)], raw), strict=True):
+            raw = b"".join(own[x:y].tobytes() for x, y in zip(np.append(0, b).tolist(), np.append(a, len(own)).tolist(), strict=True))
+            for k, v in zip(out, (len(own), len(own) - len(raw), len(a), hashlib.sha256(raw).hexdigest(), [{"start": int(x), "end": int(y)} for x, y in zip(a, b, strict=True)], raw), strict=True):
                 out[k].append(v)
         spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(out[k], t) for k, t in (("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", spans), ("kept", pa.binary())))], names=["doc_id", *out])
@@ -370,9 +385,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     Texts are UTF-8 bytes, null is empty, strings stay within a row, and overlaps within a row count. Returns one row
     per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, spans (start, end) and kept (the
     remaining bytes). Texts shorter than ``length`` stay whole. Repeated rows repeat each other's strings; a row without
-    a doc_id is one like any other. Other columns are not read; an empty table gives no rows.
+    a doc_id is one like any other. Other columns are not read; an empty table gives no rows. Very long texts are worked on
+    in stretches of ``SLICE_BYTES``.
     """
-    rows = in_small_batches(docs).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"))
+    # Rows are told apart by 128 bits of doc_id and text; equal rows share the key, and their results.
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"))
+    rows = in_small_batches(docs).select("doc_id", "text", key.alias("rk"))
     buckets = bucket_count(corpus_size(docs)[1])
     sampled = materialize(rows.select("rk", "text").mapInArrow(sample_task(buckets, length, gram), SAMPLES), "samples")
     keys = sampled.where("rid is not null").select("rid", "rk")

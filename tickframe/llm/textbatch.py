@@ -107,8 +107,17 @@ LONG_WORD = 512
 
 
 def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold_case: bool = True) -> np.ndarray:
-    """64-bit hash of each word data[start:end], A-Z lower-cased with ``fold_case``."""
-    found = substring_hash(prefix_sums(data, fold_case), starts, ends)
+    """64-bit hash of each word data[start:end], A-Z lower-cased with ``fold_case``; words in ascending order.
+
+    The running hash is kept for ``SLICE_BYTES`` of the data at a time, whatever the length of a text.
+    """
+    found, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + SLICE_BYTES)))
+        low, high = starts[i], min(ends[j - 1], starts[j - 1] + LONG_WORD)
+        sums = prefix_sums(data[low:high], fold_case)
+        found[i:j] = substring_hash(sums, starts[i:j] - low, np.minimum(ends[i:j], high) - low)
+        i = j
     for i in np.flatnonzero(ends - starts >= LONG_WORD):
         raw = data[starts[i] : ends[i]].tobytes()
         found[i] = xxhash.xxh3_64_intdigest(raw.lower() if fold_case else raw)
