@@ -21,35 +21,35 @@ def _cell(at: str, width: int) -> Column:
     return F.col(at) - F.pmod(F.col(at), F.lit(width))
 
 
-def hot_cells(df: DataFrame, most: int = MOST_ROWS) -> list[DataFrame]:
-    """For each width of ``CELLS``, the cells (symbol, cell) of ``df(symbol, at)`` with more than ``most`` rows.
+def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at") -> list[DataFrame]:
+    """For each width of ``CELLS``, the cells (symbol, __cell) of ``df(symbol, at)`` with more than ``most`` rows.
 
     A narrower width is only counted inside the hot cells of the one before; the list ends with the first width that has no
     hot cell. Each step is a job; the tables have at most one row for each ``most`` rows of ``df``.
     """
     hot: list[DataFrame] = []
-    rows = df.select("symbol", "at")
+    rows = df.select("symbol", at)
     for width in CELLS[:-1]:
-        celled = rows.withColumn("cell", _cell("at", width))
-        found = checkpointed(celled.groupBy("symbol", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("symbol", "cell"))
+        celled = rows.withColumn("__cell", _cell(at, width))
+        found = checkpointed(celled.groupBy("symbol", "__cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("symbol", "__cell"))
         if found.isEmpty():
             break
         hot.append(found)
-        rows = celled.join(found, ["symbol", "cell"], "left_semi").drop("cell")
+        rows = celled.join(found, ["symbol", "__cell"], "left_semi").drop("__cell")
     return hot
 
 
-def with_bucket(df: DataFrame, hot: list[DataFrame]) -> DataFrame:
+def with_bucket(df: DataFrame, hot: list[DataFrame], at: str = "at") -> DataFrame:
     """``df(symbol, at, ...)`` with ``bucket``, the start of the widest cell around ``at`` that is not hot.
 
     Buckets of a symbol are disjoint, in the order of their starts, and lie within days. None has more rows than ``hot`` was
     made for, but for those of one symbol in one microsecond.
     """
-    bucket = _cell("at", CELLS[0])
+    bucket, columns = _cell(at, CELLS[0]), df.columns
     for k, cells in enumerate(hot):
-        df = df.withColumn("cell", _cell("at", CELLS[k])).join(cells.withColumn(f"hot{k}", F.lit(True)), ["symbol", "cell"], "left").drop("cell")
-        bucket = F.when(F.col(f"hot{k}"), _cell("at", CELLS[k + 1])).otherwise(bucket)
-    return df.withColumn("bucket", bucket).drop(*(f"hot{k}" for k in range(len(hot))))
+        df = df.withColumn("__cell", _cell(at, CELLS[k])).join(cells.withColumn(f"__hot{k}", F.lit(True)), ["symbol", "__cell"], "left").drop("__cell")
+        bucket = F.when(F.col(f"__hot{k}"), _cell(at, CELLS[k + 1])).otherwise(bucket)
+    return df.withColumn("bucket", bucket).select(*columns, "bucket")
 
 
 def with_halo(df: DataFrame, order: list[str], rows: int, most: int = MOST_ROWS) -> DataFrame:
@@ -58,8 +58,8 @@ def with_halo(df: DataFrame, order: list[str], rows: int, most: int = MOST_ROWS)
     ``order`` begins with the time. Adds ``bucket``: a day, or less where a day has over ``most`` rows. Of a bucket only its
     last rows are gathered; as every bucket has at least one, those of the ``rows`` buckets before suffice.
     """
-    timed = df.withColumn("at", epoch_micros(order[0]))
-    own = with_bucket(timed, hot_cells(timed, most)).drop("at").select(*df.columns, "bucket")
+    timed = df.withColumn("__at", epoch_micros(order[0]))
+    own = with_bucket(timed, hot_cells(timed, most, "__at"), "__at").drop("__at")
     back = Window.partitionBy("symbol", "bucket").orderBy(*(F.desc(c) for c in order))
     last = own.withColumn("back", F.row_number().over(back)).where(F.col("back") <= rows)
     last = last.groupBy("symbol", "bucket").agg(F.collect_list(F.struct("back", *df.columns)).alias("last"))
