@@ -122,3 +122,8 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
     sent = alert_json(alerts).withColumn("alert", F.from_json("value", "symbol string, window_start string, alert_type string"))
     told = dedupe_key("alert.symbol", "alert.window_start", "alert.alert_type")
     return sent.select("key", "value", told.alias("dedupe_key"), F.array(F.struct(F.lit("dedupe_key").alias("key"), told.cast("binary").alias("value"))).alias("headers"))
+
+
+def alerts_once(alerts: DataFrame) -> DataFrame:
+    """Decoded alerts with their dedupe key, each once. For a stream see ``jobs.alerts_once``, whose memory is bounded."""
+    return alerts.withColumn("dedupe_key", dedupe_key("symbol", "window_start", "alert_type")).dropDuplicates(["dedupe_key"])
