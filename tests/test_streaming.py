@@ -379,3 +379,19 @@ def test_raw_ticks_run_on(spark, feed, tmp_path):
         assert query.isActive and spark.read.parquet(str(tmp_path / "raw")).count() == 2
     finally:
         query.stop()
+
+
+def test_latest_ticks_are_kept_as_a_table(spark, feed, tmp_path):
+    """The last tick of each symbol, by time and then offset, without reading the history."""
+    write, stream = feed
+    for b in BATCHES:
+        write(*b)
+    path = str(tmp_path / "latest")
+    ticks = lambda: stream().select("symbol", "ts", "tick_id", "price_usd")
+    keep = sinks.latest_table(path, "symbol", ("ts", "tick_id"))
+    sinks.start(ticks(), str(tmp_path / "check"), keep, every=None).awaitTermination(120)
+    read = lambda: {r["symbol"]: (r["ts"], float(r["price_usd"])) for r in sinks.read_latest(spark, path).collect()}
+    assert {k: v[1] for k, v in read().items()} == {"BTC": 1.0, "ETH": 1.0}
+    write(tick(800, 50, "BTC"), tick(901, 60, "ETH"))  # one comes too late to be the last
+    sinks.start(ticks(), str(tmp_path / "check"), keep, every=None).awaitTermination(120)
+    assert {k: v[1] for k, v in read().items()} == {"BTC": 1.0, "ETH": 60.0}

@@ -31,10 +31,10 @@ def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at") -> list[Data
     rows = df.select("symbol", at)
     for width in CELLS[:-1]:
         celled = rows.withColumn("__cell", _cell(at, width))
-        found = checkpointed(celled.groupBy("symbol", "__cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("symbol", "__cell"))
+        found = celled.groupBy("symbol", "__cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("symbol", "__cell")
         if found.isEmpty():
             break
-        hot.append(found)
+        hot.append(found := checkpointed(found))
         rows = celled.join(found, ["symbol", "__cell"], "left_semi").drop("__cell")
     return hot
 
@@ -110,6 +110,15 @@ def tick_jumps(ticks: DataFrame, percent: float = 50.0) -> DataFrame:
     return trend_detect(ticks, percent).where(F.abs("change_pct") > percent).drop("trend")
 
 
+def _any_hot_day(timed: DataFrame, spans: dict[str, int], most: int) -> bool:
+    """Whether a day has more than ``most`` ticks and look-back points, from the ticks' counts by hour, moved by the spans."""
+    if any(n % HOUR for n in spans.values()):
+        return True
+    hours = timed.groupBy("symbol", _cell("at", CELLS[1]).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    moved = hours.select("symbol", "n", F.explode(F.array(*[F.col("hour") - n * 1_000_000 for n in (0, *spans.values())])).alias("at"))
+    return not moved.groupBy("symbol", _cell("at", CELLS[0])).agg(F.sum("n").alias("n")).where(F.col("n") > most).isEmpty()
+
+
 def look_back(ticks: DataFrame, spans: dict[str, int], extremes: str, most: int = MOST_ROWS) -> DataFrame:
     """For each tick what the last so many seconds hold: the price of the earliest tick inside a span as base_<span>, and
     the high and low of the span ``extremes``, which is a day. Every row comes out again, also one that repeats another's
@@ -128,7 +137,7 @@ def look_back(ticks: DataFrame, spans: dict[str, int], extremes: str, most: int
     points = F.array(*[F.struct((F.col("at") - n * 1_000_000).alias("at"), F.lit(k).alias("span")) for k, n in spans.items()])
     points = timed.select(*own, F.explode(points).alias("p")).select(*own, "p.at", "p.span", none.alias("base"))
     both = timed.select(*own, "at", F.lit(None).cast("string").alias("span"), price.alias("base")).unionByName(points)
-    both = with_bucket(both, hot_cells(both, most))
+    both = with_bucket(both, hot_cells(both, most) if _any_hot_day(timed, spans, most) else [])
     order = ordinal(F.col("at"), F.coalesce(F.col("tick_id").cast("long"), F.lit(-(1 << 63))))
     table = both.groupBy("symbol", "bucket").agg(F.max("base").alias("high"), F.min("base").alias("low"), F.min_by("base", F.when(F.col("span").isNull(), order)).alias("first"))
     table = table.withColumn("day", _cell("bucket", CELLS[0]))

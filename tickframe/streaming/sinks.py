@@ -81,10 +81,12 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return [n for n in numbers if _exists(spark, f"{path}/version={n}/_SUCCESS")]
 
 
-def latest_table(path: str) -> Callable[[DataFrame, int], None]:
-    """Keep each symbol's last candle: every batch writes the whole small table as a new version, and the two last stay.
+def latest_table(path: str, key: str | list[str] = "symbol", order: tuple[str, ...] = ("window_start",)) -> Callable[[DataFrame, int], None]:
+    """Keep each symbol's last candle, or each key's last row by ``order``, as ("ts", "tick_id") for ticks: readers of the
+    latest price then read a row for each key and no history. Every batch writes the whole small table as a new version,
+    and the two last stay.
 
-    Merging keeps the later window, so a replayed batch, or one of a query with a fresh checkpoint, changes nothing that
+    Merging keeps the later row, so a replayed batch, or one of a query with a fresh checkpoint, changes nothing that
     is newer.
     """
 
@@ -93,7 +95,7 @@ def latest_table(path: str) -> Callable[[DataFrame, int], None]:
         done = _versions(spark, path)
         if done:
             rows = df.unionByName(spark.read.parquet(f"{path}/version={done[-1]}").select(*df.columns))
-        latest_by(rows, "symbol", ["window_start"]).write.mode("overwrite").parquet(f"{path}/version={done[-1] + 1 if done else 0}")
+        latest_by(rows, key, list(order)).write.mode("overwrite").parquet(f"{path}/version={done[-1] + 1 if done else 0}")
         for old in done[:-1]:
             _remove(spark, f"{path}/version={old}")
 
