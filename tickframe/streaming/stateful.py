@@ -140,7 +140,11 @@ def stop_and_flush(query: StreamingQuery, checkpoint: str, batch) -> None:
 
 
 def stateful_alerts(candles: DataFrame) -> DataFrame:
-    """Alerts of candles (symbol, window_start, open, close) by keyed state."""
+    """Alerts of candles (symbol, window_start, open, close) by keyed state, row by row in Python.
+
+    For input in which a window may come again within an hour. ``jobs.alert_stream`` gives the same alerts of candles that
+    are emitted once, built in.
+    """
     return candles.groupBy("symbol").transformWithStateInPandas(AlertProcessor(), outputStructType=ALERTS, outputMode="Update", timeMode="ProcessingTime")
 
 
