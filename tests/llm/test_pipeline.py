@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF, edge_rows
-from test_text_operators import brute_components, counted, hits, line_rows, brute_lines, utf8
+from test_text_operators import brute_components, counted, hits, brute_lines, utf8
 from tickframe.llm.queries import QUERIES
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")

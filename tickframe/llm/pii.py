@@ -216,7 +216,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
     Returns doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the pattern spans as kind:start:end, code points,
     by kind and start), spans (those and the disclosing terms', kinds generalise and remove, likewise), n_spans and
-    span_list. A row without a doc_id is one like any other.
+    span_list. A row without a doc_id is one like any other; the smallest long, -2^63, counts as none.
     Null and empty texts have none. Repeated rows get equal rows. Other columns are not read; an empty table gives no
     rows. A term is disclosing when at least MIN_SHARE of the documents with the term mention one entity (a value, its
     group or its kind) near it, and the share of the entity's information that it gives, smoothed by the number of
