@@ -80,7 +80,7 @@ def test_operators_keep_rows_without_ids(spark, tmp_path):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
     ids = Counter(r[0] for r in rows)
     for name, query in QUERIES.items():
-        if name == "op9_url_filter":
+        if name in ("op9_url_filter", "op11_whitening", "op13_collocations"):  # other tables, or rows of their own
             continue
         out = query(spark, str(tmp_path))
         found = out.where("piece = 0") if name == "op5_pack" else out

@@ -45,4 +45,4 @@ def test_url_empty(spark):
 
 
 def test_queries_are_registered():
-    assert {re.match(r"op(\d+)_", q)[1] for q in QUERIES} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", q)[1] for q in QUERIES} == {str(n) for n in range(1, 14)}
