@@ -1,8 +1,10 @@
 """Very long texts are worked on in stretches, and large corpora by filters that move no text."""
 
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +105,46 @@ def test_toxic_features_by_hand():
     assert dict(zip(names, toxicity.features(far, lexicon)))["near_second_person"] == 0
 
 
+def test_letters_end_where_they_are_said_to():
+    assert not any(c.isalnum() or c.isspace() or c != c.lower() for c in map(chr, range(toxicity.MOST_LETTERS, 0x110000)))
+
+
+def brute_features(text, lexicon):
+    """The same features, word by word."""
+    words = re.findall(r"[^\W_]+", text)
+    low = [toxicity.fold(w) for w in words]
+    n = max(1, len(words))
+    at, you = ([i for i, w in enumerate(low) if w in kind] for kind in (lexicon, toxicity.SECOND_PERSON))
+    near = sum(any(abs(i - j) <= 5 for j in you) for i in at)
+    hidden = 0
+    for raw in text.split():
+        plain = re.sub(r"[^\w]", "", toxicity.fold(raw.strip(".,;:!?\"'()")).translate(toxicity.LOOKALIKES))
+        hidden += plain in lexicon and plain != toxicity.fold(raw.strip(".,;:!?\"'()#*%&$"))
+    found, raw, n_bytes = {low[i] for i in at}, text.encode(), max(1, len(text.encode()))
+    n_letters = max(1, sum(b >= 0x80 or chr(b).isalpha() for b in raw))
+    return [
+        len(at) / n, len(at), len(found), sum(lexicon[w] for w in found), len(you) / n, near / n,
+        sum(65 <= b <= 90 for b in raw) / n_letters, sum(len(w) > 2 and w.isupper() for w in words) / n,
+        sum(0x20 < b < 0x7F and not chr(b).isalnum() for b in raw) / n_bytes, raw.count(b"!") / n_bytes, hidden / n, hidden, np.log1p(len(words)),
+    ]
+
+
+@pytest.mark.parametrize("stretch", [3, 1 << 19])
+def test_toxic_features_against_brute_force(rows, monkeypatch, stretch):
+    monkeypatch.setattr(toxicity, "SLICE_BYTES", stretch)
+    draw, texts = random.Random(5), [r[1] or "" for r in rows if stretch > 3 or len(r[1] or "") < 3000]
+    words = sorted({w for t in texts for w in toxicity.WORD.findall(toxicity.fold(t))})
+    lexicon = {w: draw.uniform(2.5, 6) for w in draw.sample(words, 300) + ["idiot", "stoss", "you", "z" * 700]}
+    odd = ["1d10t", "(tr@sh)", "\u0130d\u0130OT", "\u0130D\u0130OT!", "IDIOT", "id_iot", "i-d-i-o-t", "$toss#", "st0$$!", "YOU", "u", "\u01c5AB", "ABC\u01c4", "z" * 700, "Z" * 699, "\u00c9COLE", "...", "\u3000", "\u0391\u03a3", "\U0001f600", "\n", "word,", "1d10t." + "_" * 600, "z-" * 700]
+    texts += [draw.choice(["", " "]).join(draw.choice(odd) + draw.choice([" ", "", "\u00a0"]) for _ in range(draw.randrange(40))) for _ in range(200)]
+    column = pa.array([None, *texts, ""])
+    data, offsets = textbatch.to_bytes_array(column)
+    got = np.concatenate([toxicity.feature_rows(chunk, at, toxicity.Lexicon(lexicon)) for _, _, chunk, at in textbatch.slices(data, offsets)])
+    np.testing.assert_allclose(got, [brute_features(t, lexicon) for t in column.fill_null("").to_pylist()], rtol=1e-12)
+    assert (got[:, toxicity.FEATURES.index("obfuscated_hits")] > 0).sum() > 20
+    assert not toxicity.feature_rows(data, offsets, toxicity.Lexicon({}))[:, :4].any()
+
+
 def test_lexicon_and_sample_against_brute_force(spark):
     import math
     from collections import Counter

@@ -89,10 +89,15 @@ _POWERS = _Powers()
 
 
 def prefix_sums(data: np.ndarray, fold_case: bool = True) -> np.ndarray:
-    """Running polynomial hash; ``substring_hash`` takes differences of it."""
-    up, _ = _POWERS.to(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_FOLDED if fold_case else _PLAIN)[data] * up[:-1], out=sums[1:])
+    """Running polynomial hash of bytes; ``substring_hash`` takes differences of it."""
+    return running_hash((_FOLDED if fold_case else _PLAIN)[data])
+
+
+def running_hash(values: np.ndarray) -> np.ndarray:
+    """The same of characters that have a 64-bit value each."""
+    up, _ = _POWERS.to(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:-1], out=sums[1:])
     return sums
 
 

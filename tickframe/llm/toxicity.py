@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.llm.storage import in_small_batches, materialize
-from tickframe.llm.textbatch import lean
+from tickframe.llm.textbatch import LONG_WORD, SLICE_BYTES, U64, lean, mix, running_hash, slices, substring_hash, to_bytes_array, word_spans
 
 #: Fitting reads at most about so many labelled rows, half of them for each class, chosen by a hash of the doc_id; counts
 #: for the lexicon read all.
@@ -35,48 +37,179 @@ SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi vous votre du
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 LETTERS = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
 MARKS = np.array([0x20 < b < 0x7F and not chr(b).isalnum() for b in range(256)])
+CAPITALS = np.array([65 <= b <= 90 for b in range(256)])
+#: Marks around a word.
+EDGE_MARKS = ".,;:!?\"'()"
 WORD = re.compile(r"[^\W_]+")
-RAW_WORD = re.compile(r"\S+")
 FEATURES = ["lexicon_rate", "lexicon_hits", "lexicon_distinct", "lexicon_weight", "second_person_rate", "near_second_person", "caps_rate", "shout_rate", "punctuation_rate", "exclaim_rate", "obfuscated_rate", "obfuscated_hits", "log_words"]
 
 
+#: Letters, digits and white space are all below this code point.
+MOST_LETTERS = 0x40000
+
+
+class _Letters:
+    """What is known of each code point, as arrays; made when first needed, as it takes a while."""
+
+    def __init__(self) -> None:
+        chars = [chr(c) for c in range(MOST_LETTERS)]
+
+        def which(test) -> np.ndarray:
+            return np.append(np.fromiter(map(test, chars), bool, MOST_LETTERS), np.zeros(0x110000 - MOST_LETTERS, bool))
+
+        self.word, self.alpha, self.upper, self.visible = which(str.isalnum), which(str.isalpha), which(str.isupper), ~which(str.isspace)
+        self.small = (which(str.islower) | which(str.istitle)) & ~self.upper
+        self.inner = self.visible.copy()
+        self.inner[[ord(c) for c in EDGE_MARKS]] = False
+        low = np.arange(0x110000, dtype=np.uint64)
+        cased = np.flatnonzero(self.upper | which(str.istitle))
+        low[cased] = [ord(fold(chars[c])) for c in cased]
+        #: Equal for capitals and small letters.
+        self.value = mix((low + U64(1)) * U64(0x9E3779B97F4A7C15))
+        #: The same with lookalikes as the letters they are written for, and which characters then stay in a word.
+        self.plain, self.stays = self.value.copy(), self.word.copy()
+        self.plain[list(LOOKALIKES)] = self.value[[ord(fold(chr(c) if isinstance(c, int) else c)) for c in LOOKALIKES.values()]]
+        self.stays[[ord("_"), *LOOKALIKES]] = True
+
+    def hashes(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each word, folded; the running hash is kept for a stretch of the text at a time."""
+        found, i = np.empty(len(starts), np.uint64), 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(starts, starts[i] + SLICE_BYTES)))
+            low, high = starts[i], min(ends[j - 1], starts[j - 1] + LONG_WORD)
+            found[i:j] = substring_hash(running_hash(self.value[codes[low:high]]), starts[i:j] - low, np.minimum(ends[i:j], high) - low)
+            i = j
+        for i in np.flatnonzero(ends - starts >= LONG_WORD):
+            found[i] = xxhash.xxh3_64_intdigest(fold(codes[starts[i] : ends[i]].tobytes().decode("utf-32-le")))
+        return found
+
+
+letters = cache(_Letters)
+
+
+def fold(text: str) -> str:
+    """Lower case, letter by letter: the two letters whose small form has two letters or depends on the word are simple."""
+    return text.replace("\u0130", "i").replace("\u03a3", "\u03c3").lower()
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    """Hashes of folded words, in their order."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    ends = np.cumsum([len(w) for w in words])
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    return letters().hashes(codes, np.append(0, ends[:-1]), ends)
+
+
+class Lexicon:
+    """Lexicon words and second-person words by hash, for lookups of many words at once."""
+
+    def __init__(self, words: dict[str, float]) -> None:
+        self.words = words
+        found = word_hashes(list(words))
+        order = np.argsort(found)
+        self.known, self.weight = found[order], np.array(list(words.values()), np.float64)[order]
+        self.you = np.sort(word_hashes(sorted(SECOND_PERSON)))
+
+    def may_hide(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which of these stretches are a lexicon word by hash, read without marks and with lookalikes as letters."""
+        table, size = letters(), ends - starts
+        short = np.flatnonzero(size < LONG_WORD)
+        size, first = size[short], starts[short]
+        edges = np.append(0, np.cumsum(size))
+        taken = codes[np.arange(edges[-1]) + np.repeat(first - edges[:-1], size)]
+        stays = table.stays[taken]
+        edges = np.append(0, np.cumsum(stays))[edges]
+        may = np.ones(len(starts), bool)
+        may[short] = position(self.known, substring_hash(running_hash(table.plain[taken[stays]]), edges[:-1], edges[1:]))[1]
+        return may
+
+    def hides(self, raw: str) -> bool:
+        """Whether marks or characters written for letters hide a lexicon word."""
+        plain = re.sub(r"[^\w]", "", fold(raw.strip(EDGE_MARKS)).translate(LOOKALIKES))
+        return plain in self.words and plain != fold(raw.strip(EDGE_MARKS + "#*%&$"))
+
+
+def position(sorted_values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each x is in the sorted values, and whether it is there at all."""
+    if not len(sorted_values):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)
+    return at, sorted_values[at] == x
+
+
+def between(places: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many of the ascending places lie in each [start, end)."""
+    return np.searchsorted(places, ends) - np.searchsorted(places, starts)
+
+
+def feature_rows(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.ndarray:
+    """Dense features of the texts data[offsets[i]:offsets[i + 1]], a row for each; an empty text has zeros."""
+    table, n_rows = letters(), len(offsets) - 1
+    codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    rows = list(zip(offsets[:-1], offsets[1:], strict=True))
+
+    def per_row(mask: np.ndarray) -> np.ndarray:
+        return np.array([np.count_nonzero(mask[a:b]) for a, b in rows], np.int64)
+
+    at_code = np.append(0, np.cumsum(per_row((data & 0xC0) != 0x80)))
+    starts, ends, before = word_spans(codes, at_code, table.word)
+    n_words = np.diff(before)
+    row_of = np.repeat(np.arange(n_rows), n_words)
+    hashes = table.hashes(codes, starts, ends)
+
+    entry, hit = position(lexicon.known, hashes)
+    at, you = np.flatnonzero(hit), np.flatnonzero(position(lexicon.you, hashes)[1])
+    close = np.zeros(len(at), bool)
+    if len(you):
+        gap = np.searchsorted(you, at)
+        for other in (you[np.maximum(gap - 1, 0)], you[np.minimum(gap, len(you) - 1)]):
+            close |= (row_of[other] == row_of[at]) & (np.abs(other - at) <= 5)
+    distinct = np.unique(row_of[at] * max(1, len(lexicon.known)) + entry[at])
+    distinct_row, distinct_entry = np.divmod(distinct, max(1, len(lexicon.known)))
+    shout = (ends - starts > 2) & (between(np.flatnonzero(table.upper[codes]), starts, ends) > 0)
+    shout[shout] = between(np.flatnonzero(table.small[codes]), starts[shout], ends[shout]) == 0
+
+    # Only what is not all letters between its outer marks can hide a word.
+    raw_start, raw_end, raw_before = word_spans(codes, at_code, table.visible)
+    inner = np.flatnonzero(table.inner[codes])
+    first, last = np.searchsorted(inner, raw_start), np.searchsorted(inner, raw_end) - 1
+    suspect = np.flatnonzero(first <= last)
+    low, high = inner[first[suspect]], inner[last[suspect]] + 1
+    odd = between(np.flatnonzero(~table.alpha[codes]), low, high) > 0
+    suspect = suspect[odd][lexicon.may_hide(codes, low[odd], high[odd])]
+    hiding = [i for i in suspect if lexicon.hides(codes[raw_start[i] : raw_end[i]].tobytes().decode("utf-32-le"))]
+
+    def count(of: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+        return np.bincount(of, weights, n_rows).astype(np.float64)
+
+    words, size = np.maximum(n_words, 1), np.maximum(np.diff(offsets), 1)
+    hits, hidden = count(row_of[at]), count(np.searchsorted(raw_before, np.array(hiding, np.int64), "right") - 1)
+    return np.stack(
+        [
+            hits / words, hits, count(distinct_row), count(distinct_row, lexicon.weight[distinct_entry]), count(row_of[you]) / words, count(row_of[at[close]]) / words,
+            per_row(CAPITALS[data]) / np.maximum(per_row(LETTERS[data]), 1), count(row_of[shout]) / words,
+            per_row(MARKS[data]) / size, per_row(data == 33) / size, hidden / words, hidden, np.log1p(n_words),
+        ],
+        axis=1,
+    )
+
+
 def features(text: str, lexicon: dict[str, float]) -> list[float]:
-    """Dense features of one text; an empty text has zeros."""
-    words = WORD.findall(text)
-    low = [w.lower() for w in words]
-    n = max(1, len(words))
-    at = [i for i, w in enumerate(low) if w in lexicon]
-    you = [i for i, w in enumerate(low) if w in SECOND_PERSON]
-    near = 0
-    if at and you:
-        gap = np.abs(np.searchsorted(you, at))
-        left = np.array(you)[np.maximum(gap - 1, 0)]
-        right = np.array(you)[np.minimum(gap, len(you) - 1)]
-        near = int((np.minimum(np.abs(left - at), np.abs(right - at)) <= 5).sum())
-    hidden = 0
-    if not text.isalpha():
-        for raw in RAW_WORD.findall(text):
-            if not raw.isalpha():
-                plain = re.sub(r"[^\w]", "", raw.strip(".,;:!?\"'()").lower().translate(LOOKALIKES))
-                if plain in lexicon and plain != raw.strip(".,;:!?\"'()#*%&$").lower():
-                    hidden += 1
-    counts = np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=256)
-    size, letters = max(1, int(counts.sum())), max(1, int(counts[LETTERS].sum()))
-    found = [low[i] for i in at]
-    return [
-        len(at) / n, float(len(at)), float(len(set(found))), sum(lexicon[w] for w in set(found)), len(you) / n, near / n,
-        float(counts[65:91].sum()) / letters, sum(len(w) > 2 and w.isupper() for w in words) / n,
-        float(counts[MARKS].sum()) / size, float(counts[33]) / size, hidden / n, float(hidden), float(np.log1p(len(words))),
-    ]
+    """Dense features of one text."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    return feature_rows(data, np.array([0, len(data)]), Lexicon(lexicon))[0].tolist()
 
 
 def extract(lexicon):
     """Task function: puts the features of ``text`` in its place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lexicon.value
+        known = Lexicon(lexicon.value)
         for batch in batches:
-            rows = np.array([features(t or "", known) for t in batch.column("text").to_pylist()], np.float64).reshape(-1, len(FEATURES))
+            data, offsets = to_bytes_array(batch.column("text"))
+            parts = [feature_rows(chunk, at, known) for _, _, chunk, at in slices(data, offsets)]
+            rows = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
             keep = [n for n in batch.schema.names if n != "text"]
             added = [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(rows.shape[1])]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), *added], names=[*keep, *FEATURES])
@@ -89,7 +222,7 @@ def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     counts: dict[str, list[int]] = {}
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            for word in {w.lower() for w in WORD.findall(text or "")}:
+            for word in set(WORD.findall(fold(text or ""))):
                 counts.setdefault(word, [0, 0])[0 if toxic else 1] += 1
         if len(counts) > 500_000:
             yield from _word_rows(counts)
