@@ -24,6 +24,7 @@ from tickframe.llm.textbatch import (
     NOT_SPACE,
     U64,
     lean,
+    lean_group,
     mix,
     pack_planes,
     slices,
@@ -36,7 +37,7 @@ from tickframe.llm.textbatch import (
 SHINGLE = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
-KEYS_A_FLUSH = 1 << 21
+KEYS_A_FLUSH = 1 << 20
 #: Logarithms of the fewest and most bits of a parity sketch, its bits for each shingle, and the bytes of one in a group.
 LEAST_BITS, MOST_BITS, BITS_A_SHINGLE, GROUP_BYTES = 6, 16, 4, 256
 #: Ids of documents in candidate pairs are broadcast, to filter the read of their texts, if there are at most so many.
@@ -327,8 +328,8 @@ def compare_sets(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             outcome = []
-            for n_a, n_b, x, y in zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "set_a", "set_b")), strict=True):
-                p, q = np.frombuffer(x, kind), np.frombuffer(y, kind)
+            for n_a, n_b, x, y in zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b")), *(batch.column(c) for c in ("set_a", "set_b")), strict=True):
+                p, q = np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)
                 at = np.searchsorted(q, p)
                 same = int((q[np.minimum(at, len(q) - 1)] == p).sum())
                 over = (100 + PERCENT) * same - PERCENT * (n_a + n_b)
@@ -448,7 +449,7 @@ class _Join:
         are dealt over salts, so which they are decides how many candidates there are, not which pairs are found."""
         sample = self.docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SAMPLE_EVERY)) == 0)
         packed = sample.mapInArrow(lean(key_task(self.buckets)), KEYS)
-        counted = packed.groupBy("bucket").applyInArrow(frequent_keys(self.buckets), "key long, n long")
+        counted = packed.groupBy("bucket").applyInArrow(lean_group(frequent_keys(self.buckets)), "key long, n long")
         most = counted.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).toArrow()
         keys, n = most.column("key").to_numpy().view(np.uint64), most.column("n").to_numpy()
         return np.unique(keys), np.unique(keys[n >= HOT])
@@ -468,7 +469,7 @@ class _Join:
         last, hot = self.frequent()
         told = self.docs.sparkSession.sparkContext.broadcast((last, hot, *self.known_copies()))
         packed = self.docs.mapInArrow(lean(key_task(self.buckets, told)), KEYS)
-        found = materialize(packed.groupBy("bucket").applyInArrow(bucket_groups(self.buckets), GROUPS), "groups")
+        found = materialize(packed.groupBy("bucket").applyInArrow(lean_group(bucket_groups(self.buckets)), GROUPS), "groups")
         pairs = found.where("b is not null").select("a", "b")
         if len(hot):
             own = found.where("hot").select("g", "a")
@@ -511,7 +512,7 @@ class _Join:
             "g", "size", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
             "rep", "label", "n", "sketch", side.alias("side"), (F.col("size") > F.col("home")).alias("guest"),
         )
-        return dealt.groupBy("g", "size", "i", "j").applyInArrow(close_in_group, "a long, b long").where("a <> b").distinct()
+        return dealt.groupBy("g", "size", "i", "j").applyInArrow(lean_group(close_in_group), "a long, b long").where("a <> b").distinct()
 
     def merged(self, labels: DataFrame, pairs: DataFrame) -> DataFrame:
         edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))

@@ -50,13 +50,17 @@ def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
-#: Rows in a batch that goes to Python. Spark's default of 10,000 suits short rows; texts are long.
-TEXTS_A_BATCH = 1000
+#: Rows and bytes in a batch that goes to Python. Spark's defaults of 10,000 rows and 64 MB suit short rows; texts are long.
+#: A longer row is a batch of its own.
+TEXTS_A_BATCH, BYTES_A_BATCH = 1000, 4 << 20
 
 
 def in_small_batches(docs: DataFrame) -> DataFrame:
-    """``docs``, in a session that hands texts to Python in small batches, unless it was told a size of its own."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if docs.sparkSession.conf.get(name, "10000") == "10000":
-        docs.sparkSession.conf.set(name, str(TEXTS_A_BATCH))
+    """``docs``, in a session that hands texts to Python in small batches, unless it was told sizes of its own."""
+    conf = docs.sparkSession.conf
+    rows, size = (f"spark.sql.execution.arrow.{name}" for name in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    if conf.get(rows, "10000") == "10000":
+        conf.set(rows, str(TEXTS_A_BATCH))
+    if conf.get(size) in ("64MB", "67108864", "67108864b"):
+        conf.set(size, f"{BYTES_A_BATCH}b")
     return docs

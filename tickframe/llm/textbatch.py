@@ -41,6 +41,16 @@ def lean(run: Callable) -> Callable:
     return task
 
 
+def lean_group(run: Callable) -> Callable:
+    """The same for a function of one group's batches."""
+
+    @wraps(run)
+    def task(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return lean(lambda rows: run(key, rows))(batches)
+
+    return task
+
+
 #: Bytes of text handled at once; a longer document is handled whole, alone.
 SLICE_BYTES = 1 << 19
 
