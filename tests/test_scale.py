@@ -127,6 +127,16 @@ def test_multi_change_of_a_hot_day(spark, most):
     assert {k[:4] for k in found} == {k[:4] for k in want} and found == want
 
 
+def test_multi_change_has_tasks_by_rows(spark, monkeypatch):
+    """Some 3,900 ticks and look-back points: a task for every 100 of them, and nothing is shuffled once they are sorted."""
+    monkeypatch.setattr(windows, "TASK_ROWS", 100, raising=False)
+    found = windows.multi_change(spark.createDataFrame(hot_ticks(11), TICK), 20)
+    held = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 780 and len(held) > 16 and max(held) < 200
+    text = plan(windows.multi_change(spark.createDataFrame(hot_ticks(11), TICK), 20))
+    assert "Exchange" not in text[: text.index("Window [")] and "REPARTITION_BY_NUM" in text
+
+
 def test_buckets_are_bounded(spark):
     frame = spark.createDataFrame(hot_ticks(5), TICK).withColumn("at", windows.epoch_micros("ts"))
     ties = max(r["count"] for r in frame.groupBy("symbol", "at").count().collect())

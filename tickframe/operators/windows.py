@@ -11,31 +11,35 @@ from tickframe.operators.lineage import checkpointed
 
 HOUR = 3600
 SPANS = {"1h": HOUR, "24h": 24 * HOUR, "7d": 7 * 24 * HOUR, "30d": 30 * 24 * HOUR}
-#: Rows of a symbol that one task sorts, and the cells, in microseconds, into which a span of time with more is split: days,
-#: hours, minutes, seconds, milliseconds and microseconds.
+#: Rows of a symbol that are sorted together, and the cells, in microseconds, into which a span of time with more is split:
+#: days, hours, minutes, seconds, milliseconds and microseconds.
 MOST_ROWS = 1 << 20
 CELLS = [86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
+#: ``look_back``: rows that are sorted together, look-back points among them, and rows for which it has one partition.
+MOST_POINTS, TASK_ROWS = 1 << 16, 1 << 19
 
 
 def _cell(at: str, width: int) -> Column:
     return F.col(at) - F.pmod(F.col(at), F.lit(width))
 
 
-def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at") -> list[DataFrame]:
+def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at", hours: DataFrame | None = None) -> list[DataFrame]:
     """For each width of ``CELLS``, the cells (symbol, __cell) of ``df(symbol, at)`` with more than ``most`` rows.
 
     A narrower width is only counted inside the hot cells of the one before; the list ends with the first width that has no
-    hot cell. Each step is a job; the tables have at most one row for each ``most`` rows of ``df``.
+    hot cell. Each step is a job; the tables have at most one row for each ``most`` rows of ``df``. ``hours``, if at hand, has
+    the rows' counts as (symbol, at, n) by hour: then ``df`` is only read for widths below.
     """
     hot: list[DataFrame] = []
-    rows = df.select("symbol", at)
-    for width in CELLS[:-1]:
-        celled = rows.withColumn("__cell", _cell(at, width))
-        found = celled.groupBy("symbol", "__cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("symbol", "__cell")
+    for k, width in enumerate(CELLS[:-1]):
+        rows = hours if hours is not None and width >= CELLS[1] else df.select("symbol", F.col(at).alias("at"), F.lit(1).alias("n"))
+        if hot:
+            rows = rows.withColumn("__cell", _cell("at", CELLS[k - 1])).join(hot[-1], ["symbol", "__cell"], "left_semi")
+        counts = rows.groupBy("symbol", _cell("at", width).alias("__cell")).agg(F.sum("n").alias("n"))
+        found = checkpointed(counts.where(F.col("n") > most).select("symbol", "__cell"))
         if found.isEmpty():
             break
-        hot.append(found := checkpointed(found))
-        rows = celled.join(found, ["symbol", "__cell"], "left_semi").drop("__cell")
+        hot.append(found)
     return hot
 
 
@@ -110,60 +114,68 @@ def tick_jumps(ticks: DataFrame, percent: float = 50.0) -> DataFrame:
     return trend_detect(ticks, percent).where(F.abs("change_pct") > percent).drop("trend")
 
 
-def _any_hot_day(timed: DataFrame, spans: dict[str, int], most: int) -> bool:
-    """Whether a day has more than ``most`` ticks and look-back points, from the ticks' counts by hour, moved by the spans."""
-    if any(n % HOUR for n in spans.values()):
-        return True
-    hours = timed.groupBy("symbol", _cell("at", CELLS[1]).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    moved = hours.select("symbol", "n", F.explode(F.array(*[F.col("hour") - n * 1_000_000 for n in (0, *spans.values())])).alias("at"))
-    return not moved.groupBy("symbol", _cell("at", CELLS[0])).agg(F.sum("n").alias("n")).where(F.col("n") > most).isEmpty()
+def _by_hour(timed: DataFrame, spans: dict[str, int]) -> DataFrame:
+    """How many ticks and look-back points (symbol, at, n) each hour has; ticks are counted first where spans are whole hours."""
+    hours = lambda df: df.groupBy("symbol", _cell("at", CELLS[1]).alias("at")).agg(F.sum("n").alias("n"))
+    ticks = timed.select("symbol", "at", F.lit(1).alias("n"))
+    if not any(n % HOUR for n in spans.values()):
+        ticks = hours(ticks)
+    return hours(ticks.select("symbol", "n", F.explode(F.array(*[F.col("at") + n * 1_000_000 for n in (0, *spans.values())])).alias("at")))
 
 
-def look_back(ticks: DataFrame, spans: dict[str, int], extremes: str, most: int = MOST_ROWS) -> DataFrame:
+def look_back(ticks: DataFrame, spans: dict[str, int], extremes: str, most: int = MOST_POINTS) -> DataFrame:
     """For each tick what the last so many seconds hold: the price of the earliest tick inside a span as base_<span>, and
     the high and low of the span ``extremes``, which is a day. Every row comes out again, also one that repeats another's
     tick_id, or all of it, or has no tick_id.
 
-    Look-back points are sorted together with the ticks of their own bucket, latest first: the last tick passed is a point's
-    base. Before its own rows a bucket passes a carried one with what lies behind it: the first tick of the next bucket that
-    has any, and the high and low of the later buckets of its day. So a point sees its day from itself to the end. A tick
-    sees its own day from the start in the same way, by a running frame led by the high and low of the day's earlier
-    buckets; both together are the last 24 hours. Points count when buckets are sized, so that neither a hot day nor the
-    quiet one before it, on which its points lie, is sorted whole.
+    A tick leaves each span at its time plus the span: at this point its price, and little else, is sorted together with the
+    ticks of the point's bucket, latest first. The last point of a span that was passed is a tick's base, and the points of
+    ``extremes`` passed are the ticks of the day before that it still sees. Before its own rows a bucket passes carried ones
+    with what lies behind it: each span's first point of the later buckets, and the high and low of the day's later points.
+    A tick sees its own day from the start in the same way, by a running frame led by the high and low of the day's earlier
+    buckets; both together are the last 24 hours. So one shuffle brings the points to the ticks, and nothing is brought back.
+
+    Points count when buckets are sized, so that neither a hot day nor the quiet one after it, on which its points lie, is
+    sorted whole; and there is a partition for every ``TASK_ROWS`` rows, so that more rows make more tasks, not larger ones.
     """
-    own = ["symbol", "tick_id", "ts", "price_usd"]
-    price, none = F.col("price_usd"), F.lit(None).cast("decimal(20,8)")
+    own, price, span = ["symbol", "tick_id", "ts", "price_usd"], F.col("price_usd"), F.col("span")
+    tick, later, earlier, edge = 0, len(spans) + 1, len(spans) + 2, (1 << 63) - 1
+    code = {k: i for i, k in enumerate(spans, 1)}
     timed = ticks.select(*own, epoch_micros("ts").alias("at"))
-    points = F.array(*[F.struct((F.col("at") - n * 1_000_000).alias("at"), F.lit(k).alias("span")) for k, n in spans.items()])
-    points = timed.select(*own, F.explode(points).alias("p")).select(*own, "p.at", "p.span", none.alias("base"))
-    both = timed.select(*own, "at", F.lit(None).cast("string").alias("span"), price.alias("base")).unionByName(points)
-    both = with_bucket(both, hot_cells(both, most) if _any_hot_day(timed, spans, most) else [])
+    hours = checkpointed(_by_hour(timed, spans))
     order = ordinal(F.col("at"), F.coalesce(F.col("tick_id").cast("long"), F.lit(-(1 << 63))))
-    table = both.groupBy("symbol", "bucket").agg(F.max("base").alias("high"), F.min("base").alias("low"), F.min_by("base", F.when(F.col("span").isNull(), order)).alias("first"))
+    points = [F.struct((F.col("at") + n * 1_000_000).alias("at"), F.lit(i).alias("span")) for i, n in enumerate((0, *spans.values()))]
+    rows = timed.select(*own, order.alias("order"), F.explode(F.array(*points)).alias("p"))
+    rows = rows.select("symbol", "tick_id", F.when(F.col("p.span") == tick, F.col("ts")).alias("ts"), "price_usd", "order", "p.at", "p.span")
+    rows = with_bucket(rows, hot_cells(rows, most, hours=hours))
+
+    # Once for each span, as every row then meets three aggregates; beside the buckets, which are few.
+    table = rows.groupBy("symbol", "bucket", "span").agg(F.min_by("price_usd", "order").alias("first"), F.max("price_usd").alias("most"), F.min("price_usd").alias("least"))
+    sides = (("high", "most", tick), ("low", "least", tick), ("left_high", "most", code[extremes]), ("left_low", "least", code[extremes]))
+    table = table.groupBy("symbol", "bucket").agg(*[F.max(F.when(span == i, F.col(value))).alias(name) for name, value, i in (*((k, "first", i) for k, i in code.items()), *sides)])
     table = table.withColumn("day", _cell("bucket", CELLS[0]))
     up = Window.partitionBy("symbol", "day").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     down = Window.partitionBy("symbol", "day").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     behind = Window.partitionBy("symbol").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = lambda at, base, high, low: table.select("symbol", "bucket", F.lit(at).cast("long").alias("at"), base.alias("base"), high.alias("high"), low.alias("low"))
-    ahead = carried((1 << 63) - 1, F.last("first", ignorenulls=True).over(behind), F.max("high").over(down), F.min("low").over(down))
-    before = carried(-(1 << 63), none, F.max("high").over(up), F.min("low").over(up))
-    rows = both.withColumns({"high": F.col("base"), "low": F.col("base")})
-
-    # At equal times ticks come before points, and of ticks the smallest id last.
-    passed = Window.partitionBy("symbol", "bucket").orderBy(F.desc("at"), F.col("span").isNotNull(), F.desc("tick_id")).rowsBetween(Window.unboundedPreceding, 0)
-    seen = rows.unionByName(ahead, allowMissingColumns=True)
-    answers = seen.select(*own, "span", F.last("base", ignorenulls=True).over(passed).alias("base"), F.max("high").over(passed).alias("high"), F.min("low").over(passed).alias("low")).where("span IS NOT NULL")
+    carried = [(edge, i, F.last(k, ignorenulls=True).over(behind)) for k, i in code.items()]
+    carried += [(edge, later, F.max("left_high").over(down)), (edge, later, F.min("left_low").over(down)), (-edge, earlier, F.max("high").over(up)), (-edge, earlier, F.min("low").over(up))]
+    carried = [F.struct(F.lit(at).cast("long").alias("at"), F.lit(i).alias("span"), value.alias("price_usd")) for at, i, value in carried]
+    carried = table.select("symbol", "bucket", F.array(*carried).alias("c")).select("symbol", "bucket", F.explode("c").alias("c")).select("symbol", "bucket", "c.*").where("price_usd IS NOT NULL")
+
+    total = hours.agg(F.sum("n")).first()[0] or 0
+    tasks = max(ticks.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_ROWS))
+    rows = rows.drop("order").unionByName(carried, allowMissingColumns=True).repartition(tasks, "symbol", "bucket")
+    # At equal times points come before ticks, and of points the smallest id last.
+    passed = Window.partitionBy("symbol", "bucket").orderBy(F.desc("at"), F.desc("span"), F.desc("tick_id")).rowsBetween(Window.unboundedPreceding, 0)
+    seen = F.when(span.isin(code[extremes], later), price)
+    bases = [F.last(F.when(span == i, price), ignorenulls=True).over(passed).alias(f"base_{k}") for k, i in code.items()]
+    found = rows.select(*own, "bucket", "at", "span", *bases, F.max(seen).over(passed).alias("left_high"), F.min(seen).over(passed).alias("left_low")).where(span.isin(tick, earlier))
     today = Window.partitionBy("symbol", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    mine = rows.where("span IS NULL").unionByName(before, allowMissingColumns=True)
-    mine = mine.select(*own, "span", none.alias("base"), F.max("high").over(today).alias("high"), F.min("low").over(today).alias("low"), "at").where(F.col("at") > -(1 << 63)).drop("at")
-
-    day = F.col("span").isNull() | (F.col("span") == extremes)
-    bases = [F.max(F.when(F.col("span") == k, F.col("base"))).alias(f"base_{k}") for k in spans]
-    found = mine.unionByName(answers).groupBy(*own).agg(*bases, F.max(F.when(day, F.col("high"))).alias("high"), F.min(F.when(day, F.col("low"))).alias("low"), F.count_if(F.col("span").isNull()).alias("copies"))
-    return found.withColumn("copies", F.explode(F.expr("array_repeat(0, int(copies))"))).drop("copies")
+    found = found.withColumns({"high": F.max(price).over(today), "low": F.min(price).over(today)}).where(span == tick)
+    return found.select(*own, *[f"base_{k}" for k in spans], F.greatest("high", "left_high").alias("high"), F.least("low", "left_low").alias("low"))
 
 
-def multi_change(ticks: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+def multi_change(ticks: DataFrame, most: int = MOST_POINTS) -> DataFrame:
     """For each tick: percent change over 1 h, 24 h, 7 d and 30 d, 24 h absolute change, 24 h high and low.
 
     A span's base is the earliest tick inside it. Rows that repeat a tick_id, or have none, each get their row.
