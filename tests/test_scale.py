@@ -170,6 +170,16 @@ def test_no_extra_passes_without_hot_days(spark):
     assert plan(windows.with_previous(ticks, "price_usd", ["ts", "tick_id"])).count("LeftSemi") == 0
 
 
+def test_symbols_with_few_rows_are_shuffled_once(spark):
+    """Only a symbol with too many rows is split by days; without one, a table of many symbols is shuffled and sorted once."""
+    frame = spark.range(3000).select(F.pmod("id", F.lit(97)).cast("string").alias("symbol"), F.col("id").alias("tick_id"), F.timestamp_seconds(F.col("id") * 86_400).cast("timestamp_ntz").alias("ts"), F.col("id").cast("decimal(20,8)").alias("price_usd"))
+    for df in (windows.trend_detect(frame), windows.moving_average(frame, "price_usd", 3, ["ts", "tick_id"], "m")):
+        assert len(re.findall("Exchange hashpartitioning", plan(df))) == 1
+    for most in (31, 30, 7):  # 92 of the symbols have 31 rows, so none, these or all are split
+        found = windows.with_previous(frame, "price_usd", ["ts", "tick_id"], most=most).collect()
+        assert len(found) == 3000 and all(r["previous"] == (r["tick_id"] - 97 if r["tick_id"] >= 97 else None) for r in found)
+
+
 # pages
 
 

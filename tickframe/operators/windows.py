@@ -12,29 +12,31 @@ from tickframe.operators.lineage import checkpointed
 HOUR = 3600
 SPANS = {"1h": HOUR, "24h": 24 * HOUR, "7d": 7 * 24 * HOUR, "30d": 30 * 24 * HOUR}
 #: Rows of a symbol that are sorted together, and the cells, in microseconds, into which a span of time with more is split:
-#: days, hours, minutes, seconds, milliseconds and microseconds.
-MOST_ROWS = 1 << 20
+#: days, hours, minutes, seconds, milliseconds and microseconds. Ahead of them stands the whole symbol, as one cell.
+MOST_ROWS = 1 << 18
 CELLS = [86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
+WHOLE = 0
 #: ``look_back``: rows that are sorted together, look-back points among them, and rows for which it has one partition.
 MOST_POINTS, TASK_ROWS = 1 << 16, 1 << 19
 
 
 def _cell(at: str, width: int) -> Column:
-    return F.col(at) - F.pmod(F.col(at), F.lit(width))
+    return F.lit(-(1 << 63)) if width == WHOLE else F.col(at) - F.pmod(F.col(at), F.lit(width))
 
 
-def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at", hours: DataFrame | None = None) -> list[DataFrame]:
-    """For each width of ``CELLS``, the cells (symbol, __cell) of ``df(symbol, at)`` with more than ``most`` rows.
+def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at", hours: DataFrame | None = None, cells: list[int] = CELLS) -> list[DataFrame]:
+    """For each width of ``cells``, the cells (symbol, __cell) of ``df(symbol, at)`` with more than ``most`` rows.
 
     A narrower width is only counted inside the hot cells of the one before; the list ends with the first width that has no
     hot cell. Each step is a job; the tables have at most one row for each ``most`` rows of ``df``. ``hours``, if at hand, has
     the rows' counts as (symbol, at, n) by hour: then ``df`` is only read for widths below.
     """
     hot: list[DataFrame] = []
-    for k, width in enumerate(CELLS[:-1]):
-        rows = hours if hours is not None and width >= CELLS[1] else df.select("symbol", F.col(at).alias("at"), F.lit(1).alias("n"))
+    for k, width in enumerate(cells[:-1]):
+        by_hour = hours is not None and (width == WHOLE or width >= CELLS[1])
+        rows = hours if by_hour else df.select("symbol", F.col(at).alias("at"), F.lit(1).alias("n"))
         if hot:
-            rows = rows.withColumn("__cell", _cell("at", CELLS[k - 1])).join(hot[-1], ["symbol", "__cell"], "left_semi")
+            rows = rows.withColumn("__cell", _cell("at", cells[k - 1])).join(hot[-1], ["symbol", "__cell"], "left_semi")
         counts = rows.groupBy("symbol", _cell("at", width).alias("__cell")).agg(F.sum("n").alias("n"))
         found = checkpointed(counts.where(F.col("n") > most).select("symbol", "__cell"))
         if found.isEmpty():
@@ -43,29 +45,34 @@ def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at", hours: DataF
     return hot
 
 
-def with_bucket(df: DataFrame, hot: list[DataFrame], at: str = "at") -> DataFrame:
-    """``df(symbol, at, ...)`` with ``bucket``, the start of the widest cell around ``at`` that is not hot.
+def with_bucket(df: DataFrame, hot: list[DataFrame], at: str = "at", cells: list[int] = CELLS) -> DataFrame:
+    """``df(symbol, at, ...)`` with ``bucket``, the start of the widest of ``cells`` around ``at`` that is not hot.
 
-    Buckets of a symbol are disjoint, in the order of their starts, and lie within days. None has more rows than ``hot`` was
-    made for, but for those of one symbol in one microsecond.
+    Buckets of a symbol are disjoint, in the order of their starts, and lie within the widest cells. None has more rows than
+    ``hot`` was made for, but for those of one symbol in one microsecond.
     """
-    bucket, columns = _cell(at, CELLS[0]), df.columns
-    for k, cells in enumerate(hot):
-        df = df.withColumn("__cell", _cell(at, CELLS[k])).join(cells.withColumn(f"__hot{k}", F.lit(True)), ["symbol", "__cell"], "left").drop("__cell")
-        bucket = F.when(F.col(f"__hot{k}"), _cell(at, CELLS[k + 1])).otherwise(bucket)
+    bucket, columns = _cell(at, cells[0]), df.columns
+    for k, found in enumerate(hot):
+        df = df.withColumn("__cell", _cell(at, cells[k])).join(found.withColumn(f"__hot{k}", F.lit(True)), ["symbol", "__cell"], "left").drop("__cell")
+        bucket = F.when(F.col(f"__hot{k}"), _cell(at, cells[k + 1])).otherwise(bucket)
     return df.withColumn("bucket", bucket).select(*columns, "bucket")
 
 
 def with_halo(df: DataFrame, order: list[str], rows: int, most: int = MOST_ROWS) -> DataFrame:
     """Each bucket of a symbol as a partition of its own, led by the last ``rows`` rows before it, marked ``carried``.
 
-    ``order`` begins with the time. Adds ``bucket``: a day, or less where a day has over ``most`` rows. Of a bucket only its
-    last rows are gathered; as every bucket has at least one, those of the ``rows`` buckets before suffice.
+    ``order`` begins with the time. Adds ``bucket``: the whole symbol, or where that has over ``most`` rows a day or less. A
+    whole symbol has nothing before it, so a table of many symbols with few rows each is only sorted by them. Of other buckets
+    the last rows are gathered; as every bucket has at least one, those of the ``rows`` buckets before suffice.
     """
-    timed = df.withColumn("__at", epoch_micros(order[0]))
-    own = with_bucket(timed, hot_cells(timed, most, "__at"), "__at").drop("__at")
+    timed, cells = df.withColumn("__at", epoch_micros(order[0])), [WHOLE, *CELLS]
+    hot = hot_cells(timed, most, "__at", cells=cells)
+    own = with_bucket(timed, hot, "__at", cells).drop("__at")
+    if not hot:
+        return own.withColumn("carried", F.lit(False))
+    split = own.where(~F.col("bucket").eqNullSafe(_cell("__at", WHOLE)))
     back = Window.partitionBy("symbol", "bucket").orderBy(*(F.desc(c) for c in order))
-    last = own.withColumn("back", F.row_number().over(back)).where(F.col("back") <= rows)
+    last = split.withColumn("back", F.row_number().over(back)).where(F.col("back") <= rows)
     last = last.groupBy("symbol", "bucket").agg(F.collect_list(F.struct("back", *df.columns)).alias("last"))
     buckets = Window.partitionBy("symbol").orderBy("bucket").rowsBetween(-rows, -1)
     ordered = last.select("symbol", "bucket", F.sort_array("last", asc=False).alias("last"))
