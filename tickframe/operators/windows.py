@@ -17,7 +17,7 @@ MOST_ROWS = 1 << 18
 CELLS = [86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
 WHOLE = 0
 #: ``look_back``: rows that are sorted together, look-back points among them, and rows for which it has one partition.
-MOST_POINTS, TASK_ROWS = 1 << 16, 1 << 19
+MOST_POINTS, TASK_ROWS = 1 << 16, 1 << 20
 
 
 def _cell(at: str, width: int) -> Column:
