@@ -12,16 +12,21 @@ from tickframe.operators.lineage import checkpointed
 HOUR = 3600
 SPANS = {"1h": HOUR, "24h": 24 * HOUR, "7d": 7 * 24 * HOUR, "30d": 30 * 24 * HOUR}
 #: Rows of a symbol that are sorted together, and the cells, in microseconds, into which a span of time with more is split:
-#: days, hours, minutes, seconds, milliseconds and microseconds. Ahead of them stands the whole symbol, as one cell.
+#: days, hours, minutes, seconds, milliseconds and microseconds. Ahead of them stands a cell from -EVER
+#: that holds all times there are, and rows without one: the whole symbol.
 MOST_ROWS = 1 << 18
 CELLS = [86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
-WHOLE = 0
+EVER = 5 * 10**17
+WHOLE = 2 * EVER
 #: ``look_back``: rows that are sorted together, look-back points among them, and rows for which it has one partition.
 MOST_POINTS, TASK_ROWS = 1 << 16, 1 << 20
 
 
 def _cell(at: str, width: int) -> Column:
-    return F.lit(-(1 << 63)) if width == WHOLE else F.col(at) - F.pmod(F.col(at), F.lit(width))
+    if width == WHOLE:
+        micros = F.coalesce(F.col(at), F.lit(0))
+        return micros - F.pmod(micros + EVER, F.lit(WHOLE))
+    return F.col(at) - F.pmod(F.col(at), F.lit(width))
 
 
 def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at", hours: DataFrame | None = None, cells: list[int] = CELLS) -> list[DataFrame]:
@@ -33,7 +38,7 @@ def hot_cells(df: DataFrame, most: int = MOST_ROWS, at: str = "at", hours: DataF
     """
     hot: list[DataFrame] = []
     for k, width in enumerate(cells[:-1]):
-        by_hour = hours is not None and (width == WHOLE or width >= CELLS[1])
+        by_hour = hours is not None and width >= CELLS[1]
         rows = hours if by_hour else df.select("symbol", F.col(at).alias("at"), F.lit(1).alias("n"))
         if hot:
             rows = rows.withColumn("__cell", _cell("at", cells[k - 1])).join(hot[-1], ["symbol", "__cell"], "left_semi")
@@ -70,7 +75,7 @@ def with_halo(df: DataFrame, order: list[str], rows: int, most: int = MOST_ROWS)
     own = with_bucket(timed, hot, "__at", cells).drop("__at")
     if not hot:
         return own.withColumn("carried", F.lit(False))
-    split = own.where(~F.col("bucket").eqNullSafe(_cell("__at", WHOLE)))
+    split = own.where(~F.col("bucket").eqNullSafe(F.lit(-EVER)))
     back = Window.partitionBy("symbol", "bucket").orderBy(*(F.desc(c) for c in order))
     last = split.withColumn("back", F.row_number().over(back)).where(F.col("back") <= rows)
     last = last.groupBy("symbol", "bucket").agg(F.collect_list(F.struct("back", *df.columns)).alias("last"))
